@@ -1,4 +1,11 @@
-"""Pairwise-complete Pearson correlations."""
+"""Pairwise-complete Pearson correlations.
+
+One pass finds count, mean and deviation of every column.  The second sums
+products of the standardised columns: one sum per pair of gap-free columns,
+six where a gap means that both sides must be taken over the common rows only.
+Standardising first keeps the sums well conditioned, and plain sums of
+products stay cheap in one aggregate where hundreds of covariances would not.
+"""
 
 from __future__ import annotations
 
@@ -7,31 +14,78 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.expr import col, no_nan, number
+from riskloom.functions.expr import col, number
+from riskloom.operators.schema import numeric_columns
 
-PAIRS_PER_PASS = 60
+SUMS_PER_PASS = 400
+FLAT = 1e-12
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation over the rows with both values; NULL where either side is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return no_nan(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(a, b, r) for the listed pairs; r is NULL where either side is constant."""
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(names):
+        x = number(col(c))
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+    row = df.agg(*aggs).first()
+    rows = row["rows"]
+    at = {c: i for i, c in enumerate(names)}
+    spread = [c for c in names if row[f"s{at[c]}"]]
+    gaps = {c for c in names if row[f"n{at[c]}"] < rows}
 
+    z = df.select(
+        *[
+            F.coalesce((number(col(c)) - row[f"m{at[c]}"]) / row[f"s{at[c]}"], F.lit(0.0)).alias(f"z{at[c]}")
+            for c in spread
+        ],
+        *[number(col(c)).isNotNull().cast("double").alias(f"k{at[c]}") for c in spread if c in gaps],
+    )
+
+    def known(c: str) -> Column:
+        return F.col(f"k{at[c]}") if c in gaps else F.lit(1.0)
+
+    sums: list[Column] = []
+    parts: list[tuple[list[Column], list[Column]]] = []
+    results: list[Column] = []
+
+    def flush() -> None:
+        if results:
+            parts.append((list(sums), list(results)))
+            sums.clear()
+            results.clear()
+
+    def summed(c: Column) -> Column:
+        name = f"t{len(sums)}"
+        sums.append(F.sum(c).alias(name))
+        return F.col(name)
+
+    for a, b in pairs:
+        if len(sums) > SUMS_PER_PASS:
+            flush()
+        if a not in spread or b not in spread:
+            r = F.lit(None).cast("double")
+        elif a == b:
+            r = F.lit(1.0)
+        else:
+            x, y = F.col(f"z{at[a]}"), F.col(f"z{at[b]}")
+            xy = summed(x * y)
+            if a not in gaps and b not in gaps:
+                r = xy / float(rows)
+            else:
+                n = summed(known(a) * known(b))
+                sx, sy = summed(x * known(b)), summed(y * known(a))
+                xx, yy = summed(x * x * known(b)), summed(y * y * known(a))
+                vx = F.try_divide(xx, n) - F.pow(F.try_divide(sx, n), F.lit(2))
+                vy = F.try_divide(yy, n) - F.pow(F.try_divide(sy, n), F.lit(2))
+                cov = F.try_divide(xy, n) - F.try_divide(sx, n) * F.try_divide(sy, n)
+                r = F.when((vx > FLAT) & (vy > FLAT), cov / F.sqrt(vx * vy))
+        results.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
+    flush()
 
-def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, r) for the listed pairs; long lists are cut so that one aggregate stays compilable."""
     out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start : start + PAIRS_PER_PASS]
-        row = df.agg(*[pearson(number(col(a)), number(col(b))).alias(f"r{i}") for i, (a, b) in enumerate(part)])
-        rows = F.array(
-            *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-                for i, (a, b) in enumerate(part)
-            ]
-        )
-        one = row.select(F.inline(rows))
+    for part, found in parts:
+        one = z.agg(*(part or [F.count(F.lit(1)).alias("t0")])).select(F.inline(F.array(*found)))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -41,8 +95,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame | Non
 
     Each pair is computed once, the mirror image is derived from it.
     """
-    names = [f.name for f in df.schema if f.name in columns and f.dataType.typeName() not in ("string", "boolean")]
-    names = [c for c in columns if c in names]
+    numeric = set(numeric_columns(df))
+    names = [c for c in columns if c in numeric]
     if len(names) < 2:
         return None
     upper = _pairs(df, [(c, c) for c in names] + list(combinations(names, 2)))

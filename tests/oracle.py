@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import math
 import os
+import time
 
 import duckdb
 
@@ -28,11 +29,13 @@ def _cell(x):
     return (1, str(x))
 
 
-def difference(spark_df, con, sql: str) -> str | None:
+def difference(spark_df, con, sql: str, clock: list | None = None) -> str | None:
     """None if both results hold the same rows, else what differs."""
     types = {f.name: f.dataType.typeName() for f in spark_df.schema}
     left_names = sorted(spark_df.columns)
     left = [tuple(r[c] for c in left_names) for r in spark_df.collect()]
+    if clock is not None:
+        clock.append(time.time())
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     kinds = {d[0]: str(d[1]) for d in cur.description}
