@@ -9,10 +9,11 @@ products stay cheap in one aggregate where hundreds of covariances would not.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.expr import col, number
 from riskloom.operators.schema import numeric_columns
@@ -22,72 +23,68 @@ FLAT = 1e-12
 
 
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, r) for the listed pairs; r is NULL where either side is constant."""
+    """(a, b, r) for the listed pairs; r is NULL where either side is constant.
+
+    The sums come back as one row per pass, a few numbers per pair.
+    """
     names = list(dict.fromkeys(c for p in pairs for c in p))
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(names):
-        x = number(col(c))
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    rows = row["rows"]
     at = {c: i for i, c in enumerate(names)}
+    x = df.select(*[number(col(c)).alias(f"x{i}") for i, c in enumerate(names)])
+    moments = [f"count(x{i}) n{i}, avg(x{i}) m{i}, stddev_pop(x{i}) s{i}" for i in range(len(names))]
+    row = x.selectExpr("count(1) n", *[m for part in moments for m in part.split(", ")]).first()
     spread = [c for c in names if row[f"s{at[c]}"]]
-    gaps = {c for c in names if row[f"n{at[c]}"] < rows}
-
-    z = df.select(
-        *[
-            F.coalesce((number(col(c)) - row[f"m{at[c]}"]) / row[f"s{at[c]}"], F.lit(0.0)).alias(f"z{at[c]}")
-            for c in spread
-        ],
-        *[number(col(c)).isNotNull().cast("double").alias(f"k{at[c]}") for c in spread if c in gaps],
+    gaps = {c for c in names if row[f"n{at[c]}"] < row["n"]}
+
+    z = x.selectExpr(
+        *[f"coalesce((x{at[c]} - {row[f'm{at[c]}']!r}D) / {row[f's{at[c]}']!r}D, 0D) z{at[c]}" for c in spread],
+        *[f"CAST(x{at[c]} IS NOT NULL AS DOUBLE) k{at[c]}" for c in spread if c in gaps],
     )
 
-    def known(c: str) -> Column:
-        return F.col(f"k{at[c]}") if c in gaps else F.lit(1.0)
-
-    sums: list[Column] = []
-    parts: list[tuple[list[Column], list[Column]]] = []
-    results: list[Column] = []
-
-    def flush() -> None:
-        if results:
-            parts.append((list(sums), list(results)))
-            sums.clear()
-            results.clear()
-
-    def summed(c: Column) -> Column:
-        name = f"t{len(sums)}"
-        sums.append(F.sum(c).alias(name))
-        return F.col(name)
-
-    for a, b in pairs:
-        if len(sums) > SUMS_PER_PASS:
-            flush()
-        if a not in spread or b not in spread:
-            r = F.lit(None).cast("double")
-        elif a == b:
-            r = F.lit(1.0)
-        else:
-            x, y = F.col(f"z{at[a]}"), F.col(f"z{at[b]}")
-            xy = summed(x * y)
-            if a not in gaps and b not in gaps:
-                r = xy / float(rows)
-            else:
-                n = summed(known(a) * known(b))
-                sx, sy = summed(x * known(b)), summed(y * known(a))
-                xx, yy = summed(x * x * known(b)), summed(y * y * known(a))
-                vx = F.try_divide(xx, n) - F.pow(F.try_divide(sx, n), F.lit(2))
-                vy = F.try_divide(yy, n) - F.pow(F.try_divide(sy, n), F.lit(2))
-                cov = F.try_divide(xy, n) - F.try_divide(sx, n) * F.try_divide(sy, n)
-                r = F.when((vx > FLAT) & (vy > FLAT), cov / F.sqrt(vx * vy))
-        results.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-    flush()
-
-    out = None
-    for part, found in parts:
-        one = z.agg(*(part or [F.count(F.lit(1)).alias("t0")])).select(F.inline(F.array(*found)))
-        out = one if out is None else out.unionByName(one)
-    return out
+    def known(c: str) -> str:
+        return f" * k{at[c]}" if c in gaps else ""
+
+    wanted = [(a, b) for a, b in pairs if a != b and a in spread and b in spread]
+    sums: dict[tuple[str, str], list[str]] = {}
+    for a, b in wanted:
+        i, j = f"z{at[a]}", f"z{at[b]}"
+        sums[a, b] = [f"sum({i} * {j})"]
+        if a in gaps or b in gaps:
+            sums[a, b] += [
+                f"sum(1D{known(a)}{known(b)})",
+                f"sum({i}{known(b)})",
+                f"sum({j}{known(a)})",
+                f"sum({i} * {i}{known(b)})",
+                f"sum({j} * {j}{known(a)})",
+            ]
+
+    found: dict[tuple[str, str], float | None] = {}
+    batch: list[tuple[str, str]] = []
+
+    def run() -> None:
+        values = iter(z.selectExpr(*[s for p in batch for s in sums[p]]).first()) if batch else iter(())
+        for p in batch:
+            found[p] = _from_sums([next(values) for _ in sums[p]], row["n"])
+        batch.clear()
+
+    for p in wanted:
+        batch.append(p)
+        if sum(len(sums[q]) for q in batch) > SUMS_PER_PASS:
+            run()
+    run()
+    rows = [(a, b, (1.0 if a in spread else None) if a == b else found.get((a, b))) for a, b in pairs]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def _from_sums(sums: Sequence[float], rows: int) -> float | None:
+    if len(sums) == 1:
+        return sums[0] / rows
+    xy, n, sx, sy, xx, yy = sums
+    if not n:
+        return None
+    vx, vy = xx / n - (sx / n) ** 2, yy / n - (sy / n) ** 2
+    if vx <= FLAT or vy <= FLAT:
+        return None
+    return (xy / n - sx * sy / n**2) / math.sqrt(vx * vy)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
