@@ -141,7 +141,7 @@ def student_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(when & (F.col("o_orderstatus") == "P")).alias(f"waiting{n}"),
             F.count_if(when & (F.col("o_orderpriority") == "1-URGENT")).alias(f"credited{n}"),
             F.sum(F.when(when, F.coalesce("n_lines", F.lit(0))).otherwise(0)).alias(f"evaluations{n}"),
-            (F.avg(F.when(when, F.col("o_totalprice"))) / 25000).alias(f"grade{n}"),
+            (F.avg(F.when(when, F.col("o_totalprice"))) / 25013).alias(f"grade{n}"),
         ]
     history = joined.groupBy("o_custkey").agg(*aggs)
     c = table(spark, sf_dir, "customer")
@@ -158,7 +158,7 @@ def _history_sql() -> str:
             f"count(*) FILTER (WHERE {when} AND o_orderstatus = 'P') AS waiting{n}",
             f"count(*) FILTER (WHERE {when} AND o_orderpriority = '1-URGENT') AS credited{n}",
             f"CAST(coalesce(sum(n_lines) FILTER (WHERE {when}), 0) AS BIGINT) AS evaluations{n}",
-            f"avg(o_totalprice) FILTER (WHERE {when}) / 25000 AS grade{n}",
+            f"avg(o_totalprice) FILTER (WHERE {when}) / 25013 AS grade{n}",
         ]
     return ", ".join(parts)
 

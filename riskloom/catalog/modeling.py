@@ -1 +1,275 @@
-"""Bound queries."""
+"""Fitted models.  Only steps with fixed numbers have an SQL counterpart.
+
+Queries on the same tables share one fitted run per session; sizes are smaller
+than the defaults, so that a local check ends in reasonable time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from riskloom.catalog.actions import E2, G2
+from riskloom.catalog.features import CORRELATION_FEATURES, WITH_TARGET, student_paths, student_signals
+from riskloom.catalog.fixtures import PATHS, STUDENTS, student_records
+from riskloom.catalog.registry import query, rounded
+from riskloom.functions.expr import col, mapped
+from riskloom.operators import actions, attribution, correlation, evaluate, fairness, importance, scenarios
+from riskloom.operators.models import Settings, cross_validate
+from riskloom.operators.scenarios import Scenario
+from riskloom.operators.split import stratified_folds
+from riskloom.plans import student
+from riskloom.plans.modeling import Run, run_models
+from riskloom.session import stage
+
+QUICK = Settings(logistic_iterations=100, forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
+POSITIVE = "Dropout"
+BINARY_TARGET = {"Dropout": 1, "Enrolled": 0, "Graduate": 0}
+TEXT_COLUMNS = ("Subject_Specific", "Academic_Stress_Level")
+
+_runs: dict[tuple[str, str], Run] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
+def _once(cache: dict, spark: SparkSession, sf_dir: str, make):
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in cache:
+        cache[at] = make()
+    return cache[at]
+
+
+def modeling_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Students with all derived features, staged once per session."""
+    return _once(_tables, spark, sf_dir, lambda: stage(student_signals(spark, sf_dir), "modeling"))
+
+
+def _numeric(df: DataFrame) -> list[str]:
+    from riskloom.operators.schema import numeric_columns
+
+    return numeric_columns(df, ["student_id", "batch", student.TARGET])
+
+
+def fitted(spark: SparkSession, sf_dir: str) -> Run:
+    def make() -> Run:
+        df = modeling_table(spark, sf_dir)
+        return run_models(df, "student_id", student.TARGET, _numeric(df), TEXT_COLUMNS, QUICK)
+
+    return _once(_runs, spark, sf_dir, make)
+
+
+# ------------------------------------------------------------------ feature importance
+
+_matrix = (
+    "Age at enrollment",
+    "Admission grade",
+    "Debtor",
+    "Curricular units 1st sem (grade)",
+    "Curricular units 2nd sem (grade)",
+    "GDP",
+)
+
+
+@query(
+    "modeling_matrix",
+    f"""WITH {STUDENTS}, known AS (SELECT *, CASE WHEN "Target" = 'Dropout' THEN 1.0 ELSE 0.0 END AS y FROM students
+          WHERE "Target" IS NOT NULL), med AS (SELECT """
+    + ", ".join(f'quantile_cont("{c}", 0.5) AS m{i}' for i, c in enumerate(_matrix))
+    + " FROM known) SELECT CAST(y AS DOUBLE) AS y, "
+    + ", ".join(f'round(CAST(coalesce("{c}", m{i}) AS DOUBLE), 6) AS "{c}"' for i, c in enumerate(_matrix))
+    + " FROM known CROSS JOIN med",
+)
+def modeling_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stage(student_records(spark, sf_dir).select("Target", *[col(c) for c in _matrix]))
+    return rounded(importance.modeling_matrix(s, student.TARGET, BINARY_TARGET)[0])
+
+
+_CODED = f"""{PATHS}, coded AS (SELECT *, CASE "Target" WHEN 'Dropout' THEN 1 WHEN 'Enrolled' THEN 0 WHEN 'Graduate' THEN 0 END AS y
+    FROM paths), grad AS (SELECT *, CASE "Target" WHEN 'Dropout' THEN 0 WHEN 'Enrolled' THEN 0 WHEN 'Graduate' THEN 1 END AS y FROM paths)"""
+
+
+@query(
+    "combined_ranking",
+    f"""WITH {_CODED}, c AS ({WITH_TARGET}), g AS ({WITH_TARGET.replace("FROM coded", "FROM grad")}),
+        a AS (SELECT feature, r AS coefficient, row_number() OVER (ORDER BY abs(r) DESC, feature) AS l1_rank FROM c
+          WHERE r IS NOT NULL QUALIFY l1_rank <= 8),
+        b AS (SELECT feature, r * r AS importance, row_number() OVER (ORDER BY r * r DESC, feature) AS rf_rank FROM g
+          WHERE r IS NOT NULL QUALIFY rf_rank <= 8),
+        m AS (SELECT feature, coalesce(coefficient, 0) AS coefficient, coalesce(importance, 0) AS importance,
+          CAST(coalesce(l1_rank, 9) AS INT) AS l1_rank, CAST(coalesce(rf_rank, 9) AS INT) AS rf_rank FROM a FULL OUTER JOIN b USING (feature))
+        SELECT feature, round(coefficient, 6) AS coefficient, round(importance, 6) AS importance, l1_rank, rf_rank,
+          round((abs(coefficient) * 10 + importance) / 2, 6) AS combined_score FROM m
+        ORDER BY (abs(coefficient) * 10 + importance) / 2 DESC, feature LIMIT 10""",
+)
+def combined_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merging of two rankings, on two measured ones: correlation with dropout, and with graduation squared."""
+    s = stage(
+        student_paths(spark, sf_dir).select(
+            *[col(c) for c in CORRELATION_FEATURES],
+            mapped(col("Target"), BINARY_TARGET).alias("_d"),
+            mapped(col("Target"), {"Dropout": 0, "Enrolled": 0, "Graduate": 1}).alias("_g"),
+        )
+    )
+    k = len(CORRELATION_FEATURES)
+    a = correlation.correlation_with(s, CORRELATION_FEATURES, "_d", k).withColumnRenamed("correlation", "coefficient")
+    b = correlation.correlation_with(s, CORRELATION_FEATURES, "_g", k).select(
+        "feature", (F.col("correlation") * F.col("correlation")).alias("importance")
+    )
+    return rounded(importance.combined_importance(a, b, top=10, size=8))
+
+
+def _ready(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    matrix, features = importance.modeling_matrix(
+        modeling_table(spark, sf_dir), student.TARGET, BINARY_TARGET, ["student_id", "batch"]
+    )
+    return stage(importance.assembled(matrix, features), "matrix"), features
+
+
+@query("l1_importance")
+def l1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready, features = _ready(spark, sf_dir)
+    return rounded(importance.l1_importance(ready, features, iterations=QUICK.logistic_iterations))
+
+
+@query("forest_importance")
+def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready, features = _ready(spark, sf_dir)
+    return rounded(importance.forest_importance(ready, features, trees=QUICK.forest_trees))
+
+
+@query("combined_importance")
+def combined_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models are fitted once on the same staged matrix."""
+    ready, features = _ready(spark, sf_dir)
+    l1 = importance.l1_importance(ready, features, importance.LIST_SIZE, iterations=QUICK.logistic_iterations)
+    rf = importance.forest_importance(ready, features, importance.LIST_SIZE, trees=QUICK.forest_trees)
+    return rounded(importance.combined_importance(l1, rf))
+
+
+# ------------------------------------------------------------------ models
+
+@query("model_comparison")
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(fitted(spark, sf_dir).comparison())
+
+
+@query("model_reports")
+def model_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(fitted(spark, sf_dir).reports())
+
+
+@query("model_confusions")
+def model_confusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitted(spark, sf_dir).confusions()
+
+
+@query("model_top_features")
+def model_top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.top_features(fitted(spark, sf_dir).trained.importances(), "model", "feature", "importance"))
+
+
+@query("model_best")
+def model_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.best_model(fitted(spark, sf_dir).comparison()))
+
+
+@query("model_fairness")
+def model_fairness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(fitted(spark, sf_dir).audit("Boosted_Trees", student.SENSITIVE_COLUMNS, POSITIVE))
+
+
+@query("model_fairness_overall")
+def model_fairness_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = fitted(spark, sf_dir).audit("Boosted_Trees", student.SENSITIVE_COLUMNS, POSITIVE)
+    return rounded(fairness.overall_fairness(audit))
+
+
+@query("forest_cross_validation")
+def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = modeling_table(spark, sf_dir).where(F.col(student.TARGET).isNotNull())
+    numeric = _numeric(df)
+    folded = stage(stratified_folds(df, student.TARGET, "student_id", 3), "folds")
+    held = cross_validate(folded, student.TARGET, "fold", 3, numeric, settings=QUICK, key="student_id")
+    return rounded(evaluate.cross_validation_score(held, "truth", "pred", "fold"))
+
+
+@query("model_actions")
+def model_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows by tier of the boosted model, with the drivers of the linear one."""
+    run = fitted(spark, sf_dir)
+    risk = run.scored.where("model = 'Boosted_Trees'").select(
+        "student_id", col(student.TARGET).alias("true_status"), F.col("pred").alias("predicted_status"),
+        col(f"p_{POSITIVE}").alias("risk"),
+    )
+    top = actions.top_per_tier(risk, "risk", "student_id")
+    linear = linear_weights(run)
+    explained = attribution.top_drivers(attribution.linear_contributions(run.test, linear))
+    drivers = explained.select("student_id", "top_drivers")
+    listed = actions.with_actions(top.join(drivers, "student_id"), "risk")
+    return rounded(
+        listed.select(
+            "student_id", "tier", "tier_rank", "risk_rank", "risk", "true_status", "predicted_status",
+            "overall_recommendation", F.inline(F.slice("top_drivers", 1, 1)),
+        )
+    )
+
+
+def linear_weights(run: Run) -> dict[str, float]:
+    """Coefficients of the positive class of the L1 model per unit of the raw column."""
+    scaler, model = run.trained.models["Logistic_L1"].stages
+    row = run.trained.classes.index(POSITIVE)
+    spread = scaler.std.toArray()
+    raw = model.coefficientMatrix.toArray()[row]
+    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
+    return {f: float(raw[i] / spread[i]) if spread[i] > 0 else 0.0 for i, f in enumerate(numeric)}
+
+
+def _plans() -> tuple[Scenario, ...]:
+    high = F.col("risk") > 0.4
+    return (
+        Scenario("Financial Aid Program", {"Debtor": F.lit(0), "Tuition fees up to date": F.lit(1)},
+                 "Clear debt of high-risk debtors", high & (col("Debtor") == 1), unit_cost=2000),
+        Scenario("Engagement Nudge System", {E2: F.bround(col(E2).cast("double") + 6, 0),
+                 G2: F.bround(F.least(col(G2) + 5, F.lit(20.0)), 0)}, "Raise engagement", high, flat_cost=500),
+    )
+
+
+def _with_risk(run: Run, model: str) -> DataFrame:
+    risk = run.scored.where(F.col("model") == model).select("student_id", col(f"p_{POSITIVE}").alias("risk"))
+    return run.test.join(risk, "student_id")
+
+
+@query("model_policy")
+def model_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy simulation with the forest as scorer."""
+    run = fitted(spark, sf_dir)
+    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
+    rows = _with_risk(run, "Random_Forest")
+
+    def score(df: DataFrame) -> DataFrame:
+        with_text = df.withColumns({c: F.lit(None).cast("string") for c in TEXT_COLUMNS if c not in df.columns})
+        return run.scorer("Random_Forest", POSITIVE, ["scenario"])(with_text)
+
+    return rounded(scenarios.policy_simulation(rows, "risk", numeric, _plans(), score, cut=0.35, high=0.4))
+
+
+@query("model_what_if")
+def model_what_if(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test row under three scenarios, scored by the forest."""
+    run = fitted(spark, sf_dir)
+    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
+    support = [f for f in numeric if any(w in f.lower() for w in ("stress", "support", "sentiment"))]
+    plans = (
+        Scenario("Academic Support", {G2: col(G2) + 10, E2: col(E2) + 5}),
+        Scenario("Financial Support", {"Tuition fees up to date": F.lit(1), "Debtor": F.lit(0)}),
+        Scenario("Socio-emotional Support", {f: col(f) * 1.2 for f in support}),
+    )
+
+    def score(df: DataFrame) -> DataFrame:
+        with_text = df.withColumns({c: F.lit(None).cast("string") for c in TEXT_COLUMNS})
+        return run.scorer("Random_Forest", POSITIVE, ["student_id", "scenario", "baseline_risk"])(with_text)
+
+    return rounded(scenarios.what_if(_with_risk(run, "Random_Forest"), "student_id", "risk", numeric, plans, score))
+
+
+@query("split_manifest")
+def split_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fitted(spark, sf_dir).rows.select("student_id", "split")
