@@ -212,8 +212,8 @@ def report_target_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Target", outcome.outcome_label(col("Target"), student.TARGET_LABELS)
     )
     s = stage(s.select("Target", *[col(c) for c in student.SLICE_COLUMNS]))
-    slices = outcome.target_slices(s, student.SLICE_COLUMNS, "Target", student.CLASSES, student.KINDS)
-    return rounded(report.slices_long(slices, "Target", student.CLASSES))
+    shares, numbers = outcome.target_slices(s, student.SLICE_COLUMNS, "Target", student.CLASSES, student.KINDS)
+    return rounded(report.slices_long(shares, numbers, "Target", student.CLASSES, student.KINDS))
 
 
 # ------------------------------------------------------------------ action pages

@@ -223,13 +223,14 @@ def train(
     The prepared training table is staged once; every model reads it from there.
     """
     known = df.where(col(target).isNotNull())
-    classes = sorted(class_weights(known, target))
+    weights = class_weights(known, target)
+    classes = sorted(weights)
     codes = None
     for i, c in enumerate(classes):
         hit = col(target) == c
         codes = F.when(hit, float(i)) if codes is None else codes.when(hit, float(i))
     preparation = fit_preparation(known, numeric, categorical)
-    ready = preparation.transform(with_weights(known, target, WEIGHT).withColumn(LABEL, codes))
+    ready = preparation.transform(with_weights(known, target, WEIGHT, weights).withColumn(LABEL, codes))
     ready = stage(ready.select(FEATURES, LABEL, WEIGHT), "train")
     rows = ready.count()
     todo = estimators(settings, rows)

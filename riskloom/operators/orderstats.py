@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from riskloom.functions.expr import col, number
 from riskloom.session import stage
 
-MAP_LIMIT = 1_000_000
+MAP_LIMIT = 200_000
 GROUP_LIMIT = 10_000
 SLICES = 1024
 ROWS_PER_TASK = 2_000_000
@@ -43,17 +43,46 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     )
 
 
-def distinct_estimates(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> tuple[int, dict[str, int]]:
-    """Number of groups and, per column, the largest estimated distinct count of a group."""
-    sketches = [F.approx_count_distinct(number(col(c))).alias(f"d{i}") for i, c in enumerate(columns)]
-    per_group = df.groupBy(*[col(b) for b in by]).agg(*sketches)
-    row = per_group.agg(
-        F.count(F.lit(1)).alias("groups"), *[F.max(f"d{i}").alias(f"d{i}") for i in range(len(columns))]
-    ).first()
-    return row["groups"], {c: row[f"d{i}"] or 0 for i, c in enumerate(columns)}
+@dataclass(frozen=True)
+class Facts:
+    """Per group and column: known values, smallest, largest, and the estimated distinct count."""
+
+    cells: Mapping[tuple, tuple[int, float, float, int]]
+
+    def distinct(self, column: str) -> int:
+        """Largest estimate of any group."""
+        return max((d for key, (_, _, _, d) in self.cells.items() if key[-1] == column), default=0)
+
+    def known(self, column: str) -> int:
+        return sum(n for key, (n, _, _, _) in self.cells.items() if key[-1] == column)
+
+
+def column_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Facts | None:
+    """Facts of all columns in one pass; None if there are more groups than a bounded table should hold."""
+    aggs = []
+    for i, c in enumerate(columns):
+        x = number(col(c))
+        aggs += [
+            F.count(x).alias(f"n{i}"),
+            F.min(x).alias(f"a{i}"),
+            F.max(x).alias(f"z{i}"),
+            F.approx_count_distinct(x).alias(f"d{i}"),
+        ]
+    rows = df.groupBy(*[col(b) for b in by]).agg(*aggs).limit(GROUP_LIMIT + 1).collect()
+    if len(rows) > GROUP_LIMIT:
+        return None
+    return Facts(
+        {
+            (*[r[b] for b in by], c): (r[f"n{i}"], r[f"a{i}"], r[f"z{i}"], r[f"d{i}"])
+            for r in rows
+            for i, c in enumerate(columns)
+        }
+    )
 
 
-def few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, int | None]:
+def few_distinct(
+    df: DataFrame, columns: Sequence[str], limit: int, facts: Facts | None = None
+) -> dict[str, int | None]:
     """Exact distinct count of each column with at most ``limit`` values, else None.
 
     The sketch first sorts out the columns that are far above the limit, so the
@@ -61,8 +90,8 @@ def few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str,
     """
     if not columns:
         return {}
-    _, estimate = distinct_estimates(df, columns)
-    near = [c for c in columns if estimate[c] <= 4 * limit + 20]
+    facts = facts or column_facts(df, columns)
+    near = [c for c in columns if facts.distinct(c) <= 4 * limit + 20]
     out: dict[str, int | None] = dict.fromkeys(columns)
     if near:
         row = df.agg(
@@ -83,25 +112,33 @@ class _Bracket:
 
 
 def select_ranks(
-    long: DataFrame, keys: Sequence[str], wanted: Callable[[tuple, int], Iterable[int]]
+    long: DataFrame,
+    keys: Sequence[str],
+    wanted: Callable[[tuple, int], Iterable[int]],
+    sizes: Mapping[tuple, tuple[int, float, float]] | None = None,
 ) -> dict[tuple, tuple[int, dict[int, float]]]:
     """Values at given 0-based ranks of ``value`` within each key.
 
     ``wanted(key, n)`` names the ranks once the group size is known.  Returns
-    key -> (n, {rank: value}).  Driver state is one bracket per key and rank.
+    key -> (n, {rank: value}).  Driver state is one bracket per key and rank,
+    so there must be few keys.  ``sizes`` holds (n, smallest, largest) per key
+    where they are known already.
     """
     spark = long.sparkSession
-    sizes = long.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    ).collect()
+    if sizes is None:
+        ends = long.groupBy(*[col(k) for k in keys]).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        )
+        sizes = {tuple(r[k] for k in keys): (r["n"], r["lo"], r["hi"]) for r in ends.collect()}
     found: dict[tuple, tuple[int, dict[int, float]]] = {}
     open_brackets: list[_Bracket] = []
-    for r in sizes:
-        key = tuple(r[k] for k in keys)
-        ranks = tuple(sorted({min(max(int(x), 0), r["n"] - 1) for x in wanted(key, r["n"])}))
-        found[key] = (r["n"], {})
+    for key, (n, low, high) in sizes.items():
+        if n == 0:
+            continue
+        ranks = tuple(sorted({min(max(int(x), 0), n - 1) for x in wanted(key, n)}))
+        found[key] = (n, {})
         if ranks:
-            open_brackets.append(_Bracket(key, r["lo"], r["hi"], 0, ranks))
+            open_brackets.append(_Bracket(key, low, high, 0, ranks))
 
     schema = T.StructType(
         [T.StructField("_b", T.IntegerType())]
@@ -169,14 +206,15 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     map_limit: int = MAP_LIMIT,
+    facts: Facts | None = None,
 ) -> DataFrame:
     """(by..., column, n, q): linearly interpolated quantiles, exact.
 
     ``q`` is an array in the order of ``probs``.  Columns without values have no row.
     """
-    groups, distinct = distinct_estimates(df, columns, by)
-    # more groups than brackets could hold: each group is then counted on its own
-    small = [c for c in columns if distinct[c] <= map_limit or groups > GROUP_LIMIT]
+    facts = facts or column_facts(df, columns, by)
+    # with very many groups each one is counted on its own, in parallel
+    small = [c for c in columns if facts is None or facts.distinct(c) <= map_limit]
     large = [c for c in columns if c not in small]
     keys = [*by, "column"]
     parts = []
@@ -189,8 +227,9 @@ def exact_quantiles(
         )
     if large:
         long = long_values(df, large, by)
+        sizes = {k: (n, a, z) for k, (n, a, z, _) in facts.cells.items() if k[-1] in large}
         found = select_ranks(
-            long, keys, lambda _, n: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)]
+            long, keys, lambda _, n: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)], sizes
         )
         schema = T.StructType(
             [T.StructField(k, long.schema[k].dataType) for k in keys]
@@ -205,12 +244,16 @@ def exact_quantiles(
 
 
 def quantile_table(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], map_limit: int = MAP_LIMIT
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    map_limit: int = MAP_LIMIT,
+    facts: Facts | None = None,
 ) -> dict[str, list[float]]:
     """column -> quantiles of the whole table, as constants for later expressions."""
     if not columns:
         return {}
-    rows = exact_quantiles(df, columns, probs, map_limit=map_limit).collect()
+    rows = exact_quantiles(df, columns, probs, map_limit=map_limit, facts=facts).collect()
     return {r["column"]: list(r["q"]) for r in rows}
 
 

@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.functions.expr import col, mapped, number, pct
-from riskloom.operators.orderstats import exact_quantiles
+from riskloom.functions.expr import col, mapped, pct
+from riskloom.operators.orderstats import exact_quantiles, long_values, value_counts
 from riskloom.operators.profile import describe
 from riskloom.plans.rules import CONTINUOUS, COUNT
 
 UNKNOWN = "Unknown"
+BOX_LIMIT = 10_000
 
 
 def outcome_label(target: Column, labels: Mapping[str, str]) -> Column:
@@ -24,21 +25,30 @@ def value_label(c: Column, labels: Mapping) -> Column:
     return mapped(c.cast("string"), {str(k): v for k, v in labels.items()}, c.cast("string"))
 
 
-def crosstab_pct(df: DataFrame, column: str, target: str, classes: Sequence[str]) -> DataFrame:
-    """(value, one column per class): share of each outcome per value, in percent of the row.
+def crosstabs_pct(df: DataFrame, columns: Sequence[str], target: str, classes: Sequence[str]) -> DataFrame:
+    """(column, value, one column per class): share of each outcome per value, in percent of the row.
 
-    Rows lacking either side are dropped; the class list makes absent outcomes 0.
+    All columns share one pass.  Rows lacking either side are dropped; the class
+    list makes absent outcomes 0.
     """
-    counts = (
-        df.where(col(column).isNotNull() & col(target).isNotNull())
-        .groupBy(col(column).cast("string").alias("value"), col(target).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    wide = df.where(col(target).isNotNull()).select(
+        col(target).alias("_t"), *[col(c).cast("string").alias(c) for c in columns]
     )
-    wide = counts.groupBy("value").agg(
-        F.sum("n").alias("_all"),
-        *[F.sum(F.when(F.col("_t") == k, F.col("n")).otherwise(0)).alias(k) for k in classes],
+    counts = (
+        wide.unpivot([F.col("_t")], [col(c) for c in columns], "column", "value")
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(
+            F.count(F.lit(1)).alias("_all"),
+            *[F.count_if(F.col("_t") == k).alias(f"_n{i}") for i, k in enumerate(classes)],
+        )
     )
-    return wide.select("value", *[pct(col(k), F.col("_all")).alias(k) for k in classes])
+    return counts.select("column", "value", *[pct(F.col(f"_n{i}"), F.col("_all")).alias(k) for i, k in enumerate(classes)])
+
+
+def crosstab_pct(df: DataFrame, column: str, target: str, classes: Sequence[str]) -> DataFrame:
+    """(value, one column per class) of a single column."""
+    return crosstabs_pct(df, [column], target, classes).drop("column")
 
 
 def grouped_describe(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -50,7 +60,9 @@ def box_stats(df: DataFrame, columns: Sequence[str], target: str, whisker: float
     """(target, column, n, q1, median, q3, whisker_low, whisker_high, fliers).
 
     Whiskers end at the outermost values within ``whisker`` quartile ranges of
-    the box.  The box table holds one row per outcome and column.
+    the box.  With few boxes the rows are compared with a broadcast copy of
+    them and nothing is shuffled but the results; with very many, rows and
+    boxes are joined on outcome and column, equal values counted first.
     """
     q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], [target]).where(col(target).isNotNull())
     boxes = q.select(
@@ -59,14 +71,17 @@ def box_stats(df: DataFrame, columns: Sequence[str], target: str, whisker: float
         "n",
         *[F.col("q")[i].alias(a) for i, a in enumerate(("q1", "median", "q3"))],
     )
-    wide = df.where(col(target).isNotNull()).select(col(target), *[number(col(c)).alias(c) for c in columns])
-    long = wide.unpivot([col(target)], [col(c) for c in columns], "column", "value").where("value is not null")
-    # value counts first: a hot value is one row when it meets its box
-    counts = long.groupBy(col(target), "column", "value").agg(F.count(F.lit(1)).alias("k"))
+    known = df.where(col(target).isNotNull())
+    few = boxes.limit(BOX_LIMIT + 1).collect()
+    if len(few) <= BOX_LIMIT:
+        boxes = F.broadcast(df.sparkSession.createDataFrame(few, boxes.schema))
+        values = long_values(known, columns, [target]).withColumn("k", F.lit(1).cast("bigint"))
+    else:
+        values = value_counts(known, columns, [target]).withColumnRenamed("n", "k")
     reach = (F.col("q3") - F.col("q1")) * whisker
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(boxes, (col(target) == F.col("_t")) & (F.col("column") == F.col("_c")))
+        values.join(boxes, (col(target) == F.col("_t")) & (F.col("column") == F.col("_c")))
         .groupBy(col(target), "column", "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -78,14 +93,12 @@ def box_stats(df: DataFrame, columns: Sequence[str], target: str, whisker: float
 
 def target_slices(
     df: DataFrame, columns: Sequence[str], target: str, classes: Sequence[str], kinds: Mapping[str, str]
-) -> dict[str, tuple[str, DataFrame]]:
-    """column -> (kind, table): outcome shares for categories, descriptions for numbers."""
-    out = {}
-    for c in columns:
-        if c not in df.columns:
-            continue
-        if kinds[c] in (CONTINUOUS, COUNT):
-            out[c] = (kinds[c], grouped_describe(df, [c], target))
-        else:
-            out[c] = (kinds[c], crosstab_pct(df, c, target, classes))
-    return out
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Outcome shares of the categorical columns, and descriptions per outcome of the numeric ones."""
+    present = [c for c in columns if c in df.columns]
+    numbers = [c for c in present if kinds[c] in (CONTINUOUS, COUNT)]
+    codes = [c for c in present if c not in numbers]
+    return (
+        crosstabs_pct(df, codes, target, classes) if codes else None,
+        grouped_describe(df, numbers, target) if numbers else None,
+    )

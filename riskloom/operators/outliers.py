@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.expr import clip, col, flag, number, pct
-from riskloom.operators.orderstats import few_distinct, quantile_table
+from riskloom.operators.orderstats import Facts, column_facts, few_distinct, quantile_table
 from riskloom.plans.rules import RuleSet
 
 MIN_VALUES = 20
@@ -28,18 +28,15 @@ class Fence:
         return F.coalesce((c < self.low) | (c > self.high), F.lit(False))
 
 
-def _known(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.count(number(col(c))).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"n{i}"] for i, c in enumerate(columns)}
-
-
-def iqr_fences(df: DataFrame, columns: Sequence[str], multiple: float = 3.0) -> dict[str, Fence]:
+def iqr_fences(
+    df: DataFrame, columns: Sequence[str], multiple: float = 3.0, facts: Facts | None = None
+) -> dict[str, Fence]:
     """Quartiles widened by ``multiple`` quartile ranges; none under 20 values or without spread."""
     if not columns:
         return {}
-    known = _known(df, columns)
-    enough = [c for c in columns if known[c] >= MIN_VALUES]
-    quartiles = quantile_table(df, enough, [0.25, 0.75])
+    facts = facts or column_facts(df, columns)
+    enough = [c for c in columns if facts.known(c) >= MIN_VALUES]
+    quartiles = quantile_table(df, enough, [0.25, 0.75], facts=facts)
     out = {}
     for c in columns:
         q1, q3 = quartiles.get(c, (0.0, 0.0))
@@ -89,12 +86,13 @@ def outlier_report(
     """
     rules = rules or RuleSet()
     names = [c for c in columns if c in df.columns and not (skip_word and skip_word in c.lower())]
-    few = few_distinct(df, names, few_values)
+    facts = column_facts(df, names) if names else None
+    few = few_distinct(df, names, few_values, facts)
     names = [c for c in names if few[c] is None]
     schema = "column string, outlier_count bigint, outlier_pct double, handling string, rationale string"
     if not names:
         return df.sparkSession.createDataFrame([], schema)
-    fences = fences or iqr_fences(df, names, multiple)
+    fences = fences or iqr_fences(df, names, multiple, facts)
     aggs = []
     for i, c in enumerate(names):
         x = number(col(c))

@@ -1,19 +1,19 @@
 """Repeatable stratified splits, folds and class weights.
 
 A split takes the rows with the smallest hash per class.  Instead of ranking
-whole classes in one task each, the hash value at the wanted rank is found
-exactly (see ``orderstats``) and rows are compared with it, so no row moves.
+a large class in one task, the hash value at the wanted rank is found exactly
+(see ``orderstats``) and rows are compared with it, so no row moves.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from riskloom.functions.expr import col
-from riskloom.operators.orderstats import select_ranks
+from riskloom.operators.orderstats import ROWS_PER_TASK, select_ranks
 
 HASH_RANGE = 1 << 53
 
@@ -23,45 +23,95 @@ def hash_order(key: str, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), col(key)), F.lit(HASH_RANGE)).cast("double")
 
 
-def _with_cuts(
-    df: DataFrame, label: str, order: Column, ranks: Callable[[int], Sequence[int]]
-) -> DataFrame:
-    """``df`` with ``_o`` and ``_cuts``: order values at the given 0-based ranks of its class."""
-    ordered = df.withColumn("_o", order.cast("double"))
-    long = ordered.select(col(label).alias("_label"), F.col("_o").alias("value"))
-    found = select_ranks(long, ["_label"], lambda _, n: [r for r in ranks(n) if r >= 0])
+def _cut_table(
+    ordered: DataFrame, label: str, ranks: Callable[[int], Sequence[int]], rows_per_task: int
+) -> tuple[DataFrame, bool, bool]:
+    """(label, cuts) of the classes too large for one task, and whether there are large and small ones."""
+    sizes = ordered.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n"))
+    # at most one row per ``rows_per_task`` rows of the table
+    large = {(r[0],): r["n"] for r in sizes.where(F.col("n") > rows_per_task).collect()}
+    some_small = not sizes.where(F.col("n") <= rows_per_task).isEmpty()
     schema = T.StructType(
         [
-            T.StructField("_label", df.schema[label].dataType),
+            T.StructField("_label", ordered.schema[label].dataType),
             T.StructField("_cuts", T.ArrayType(T.DoubleType())),
         ]
     )
-    # one row per class; rank -1 (take nothing) lies below every order value
-    rows = [
-        (key[0], [at[r] if r >= 0 else float("-inf") for r in ranks(n)]) for key, (n, at) in found.items()
-    ]
-    cuts = df.sparkSession.createDataFrame(rows, schema)
-    return ordered.join(F.broadcast(cuts), col(label).eqNullSafe(F.col("_label"))).drop("_label")
+    spark = ordered.sparkSession
+    if not large:
+        return spark.createDataFrame([], schema), False, some_small
+    names = F.broadcast(spark.createDataFrame(list(large), T.StructType([schema["_label"]])))
+    long = ordered.join(names, col(label).eqNullSafe(F.col("_label"))).select(
+        "_label", F.col("_o").alias("value")
+    )
+    found = select_ranks(long, ["_label"], lambda _, n: [r for r in ranks(n) if r >= 0])
+    # rank -1 (take nothing) lies below every order value
+    rows = [(key[0], [at[r] if r >= 0 else float("-inf") for r in ranks(n)]) for key, (n, at) in found.items()]
+    return spark.createDataFrame(rows, schema), True, some_small
+
+
+def _placed(
+    df: DataFrame,
+    label: str,
+    key: str,
+    order: Column,
+    ranks: Callable[[int], Sequence[int]],
+    by_cuts: Column,
+    by_window: Callable[[WindowSpec, Column], Column],
+    name: str,
+    rows_per_task: int,
+) -> DataFrame:
+    """Large classes are placed by comparing with their cuts, small ones by a window over the class."""
+    ordered = df.withColumn("_o", order.cast("double"))
+    cuts, some_large, some_small = _cut_table(ordered, label, ranks, rows_per_task)
+    parts = []
+    if some_large:
+        joined = ordered.join(F.broadcast(cuts), col(label).eqNullSafe(F.col("_label")))
+        parts.append(joined.withColumn(name, by_cuts).drop("_label", "_cuts"))
+    if some_small or not some_large:
+        rest = ordered
+        if some_large:
+            rest = ordered.join(F.broadcast(cuts), col(label).eqNullSafe(F.col("_label")), "left_anti")
+        group = Window.partitionBy(col(label))
+        parts.append(
+            rest.withColumn(name, by_window(group.orderBy("_o", col(key)), F.count(F.lit(1)).over(group)))
+        )
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.drop("_o")
 
 
 def stratified_split(
-    df: DataFrame, label: str, key: str, share: float = 0.2, order: Column | None = None
+    df: DataFrame,
+    label: str,
+    key: str,
+    share: float = 0.2,
+    order: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``split`` (test/train) with round(share * n) test rows in every class.
 
-    ``key`` must be unique; ``order`` replaces the hash order.
+    ``key`` must be unique; ``order`` replaces the hash order and must be unique too.
     """
-
-    def ranks(n: int) -> list[int]:
-        return [math.floor(share * n + 0.5) - 1]
-
-    out = _with_cuts(df, label, hash_order(key) if order is None else order, ranks)
-    test = F.col("_o") <= F.col("_cuts")[0]
-    return out.withColumn("split", F.when(test, "test").otherwise("train")).drop("_o", "_cuts")
+    return _placed(
+        df,
+        label,
+        key,
+        hash_order(key) if order is None else order,
+        lambda n: [math.floor(share * n + 0.5) - 1],
+        F.when(F.col("_o") <= F.col("_cuts")[0], "test").otherwise("train"),
+        lambda w, n: F.when(F.row_number().over(w) <= F.floor(n * share + 0.5), "test").otherwise("train"),
+        "split",
+        rows_per_task,
+    )
 
 
 def stratified_folds(
-    df: DataFrame, label: str, key: str, k: int = 5, order: Column | None = None
+    df: DataFrame,
+    label: str,
+    key: str,
+    k: int = 5,
+    order: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``fold`` (1..k), of equal size per class; the first folds take the remainder."""
 
@@ -69,9 +119,17 @@ def stratified_folds(
         size, extra = divmod(n, k)
         return [size * i + min(i, extra) - 1 for i in range(1, k)]
 
-    out = _with_cuts(df, label, hash_order(key, 7) if order is None else order, ranks)
-    above = F.size(F.filter("_cuts", lambda c: F.col("_o") > c))
-    return out.withColumn("fold", above + 1).drop("_o", "_cuts")
+    return _placed(
+        df,
+        label,
+        key,
+        hash_order(key, 7) if order is None else order,
+        ranks,
+        F.size(F.filter("_cuts", lambda c: F.col("_o") > c)) + 1,
+        lambda w, _: F.ntile(k).over(w),
+        "fold",
+        rows_per_task,
+    )
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -85,8 +143,8 @@ def class_weights(df: DataFrame, label: str) -> dict:
     return {k: total / (len(counts) * n) for k, n in counts.items()}
 
 
-def with_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    weights = class_weights(df, label)
+def with_weights(df: DataFrame, label: str, name: str = "weight", weights: Mapping | None = None) -> DataFrame:
+    weights = weights or class_weights(df, label)
     out = None
     for k, w in sorted(weights.items()):
         hit = col(label) == k

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.expr import col
 from riskloom.operators import outcome, profile
@@ -40,21 +40,23 @@ def group_profiles(
     return out
 
 
-def slices_long(slices: Mapping[str, tuple[str, DataFrame]], target: str, classes: Sequence[str]) -> DataFrame:
+def slices_long(
+    shares: DataFrame | None, numbers: DataFrame | None, target: str, classes: Sequence[str], kinds: Mapping[str, str]
+) -> DataFrame:
     """(column, type, key, metric, value) of all outcome slices."""
-    out = None
-    for c, (kind, table) in slices.items():
-        if kind in (CONTINUOUS, COUNT):
-            metrics = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-            key = F.coalesce(col(target), F.lit(outcome.UNKNOWN))
-        else:
-            metrics, key = list(classes), F.col("value")
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for p in kinds.items() for x in p]), F.col("column"))
+
+    def long(table: DataFrame, key: Column, metrics: Sequence[str]) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(m).alias("metric"), col(m).cast("double").alias("value")) for m in metrics])
-        part = table.select(
-            F.lit(c).alias("column"), F.lit(kind).alias("type"), key.alias("key"), F.inline(pairs)
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+        return table.select("column", kind.alias("type"), key.alias("key"), F.inline(pairs))
+
+    parts = []
+    if shares is not None:
+        parts.append(long(shares, F.col("value"), classes))
+    if numbers is not None:
+        key = F.coalesce(col(target), F.lit(outcome.UNKNOWN))
+        parts.append(long(numbers, key, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def tier_table(top: DataFrame, key: str, k: int = 10) -> DataFrame:
