@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.registry import query, rounded
 from riskloom.operators import evaluate, fairness, split
-from riskloom.sources.tables import table
+from riskloom.sources.tables import spread, table
 
 # ------------------------------------------------------------------ splits and balance
 
@@ -96,7 +96,7 @@ _WEIGHTS = {
 
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the probabilities and predictions of two fixed scoring rules."""
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "truth")
+    lines = spread(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_returnflag", "truth")
     rules = F.array(
         *[
             F.struct(F.lit(m).alias("model"), *[F.expr(w).alias(f"w_{k}") for k, w in zip(FLAGS, ws)])

@@ -9,7 +9,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col
-from riskloom.operators.orderstats import ROWS_PER_TASK
 
 # Imbalance limits, labels and wording.
 IMBALANCE = ((3.0, "Light", "class_weight_only"), (10.0, "Moderate", "class_weight_required"))
@@ -27,6 +26,9 @@ ADVICE = {
 REPORT_LEVELS = ((1.5, "Minimal Imbalance"), (3.0, "Light Imbalance"), (5.0, "Moderate Imbalance"))
 REPORT_SEVERE = "Severe Imbalance"
 
+SCORES_PER_TASK = 250_000
+MAX_RANGES = 2000
+
 
 def class_imbalance(df: DataFrame, label: str) -> DataFrame:
     """One row: ratio of largest to smallest class, severity, strategy, advice, and the report's label."""
@@ -145,7 +147,7 @@ def roc_auc_ovr(
     truth: str,
     scores: Mapping[str, str],
     by: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = SCORES_PER_TASK,
 ) -> DataFrame:
     """(by..., label, auc): one against the rest, ties counted half, plus the ``macro`` mean.
 
@@ -166,12 +168,14 @@ def roc_auc_ovr(
     distinct = max(
         df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(scores.values())]).first()
     )
-    parts = math.ceil((distinct or 0) / rows_per_task)
+    parts = min(math.ceil((distinct or 0) / rows_per_task), MAX_RANGES)
     if parts > 1:
-        cuts = counts.agg(
-            F.percentile_approx("score", [i / parts for i in range(1, parts)], 10 * parts).alias("c")
-        ).first()["c"]
-        borders = [-math.inf, *sorted(set(cuts)), math.inf]
+        # any borders give the same result; these make the ranges about equally full
+        at = [i / parts for i in range(1, parts)]
+        per_class = df.agg(
+            *[F.percentile_approx(col(c).cast("double"), at, 10 * parts).alias(f"c{i}") for i, c in enumerate(scores.values())]
+        ).first()
+        borders = [-math.inf, *sorted({x for cuts in per_class for x in cuts}), math.inf]
         counts = Bucketizer(splits=borders, inputCol="score", outputCol="_r").transform(counts)
     else:
         counts = counts.withColumn("_r", F.lit(0.0))

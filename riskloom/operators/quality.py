@@ -5,30 +5,58 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.functions.expr import col, pct
 from riskloom.plans.rules import SEVERITIES, Check
 
+FEW_HASHES = 100_000
 
-def basic_check(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows, columns, missing cells and repeated rows, for the table or per group.
 
-    Equal rows are counted before the shuffle, so a row repeated very often
-    stays one record; everything else is derived from those counts in the same
-    pass.
+def _plain_zero(df: DataFrame, name: str) -> Column:
+    """Negative zero as zero, so that rows that compare equal also hash alike."""
+    fraction = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return F.when(col(name) == 0, F.lit(0.0)).otherwise(col(name)) if fraction else col(name)
+
+
+def repeated_rows(df: DataFrame, few: int = FEW_HASHES) -> DataFrame:
+    """(all columns, _n) of the rows that occur more than once; NULLs count as equal.
+
+    A first pass shuffles one hash per row instead of the row.  Where few hashes
+    recur, only their rows are compared in full; else all rows are.  Equal rows
+    are combined before either shuffle, so a row with very many copies is one
+    record per task.
     """
+    names = [col(c) for c in df.columns]
+    hashed = df.withColumn("_h", F.xxhash64(*[_plain_zero(df, c) for c in df.columns]))
+    twice = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_h")
+    found = twice.limit(few + 1).collect()
+    rows = df
+    if len(found) <= few:
+        candidates = F.broadcast(df.sparkSession.createDataFrame(found, twice.schema))
+        rows = hashed.join(candidates, "_h", "left_semi").drop("_h")
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+
+
+def basic_check(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows, columns, missing cells and repeated rows, for the table or per group."""
     cells = [c for c in df.columns if c not in by]
+    keys = [col(b) for b in by]
     nulls = reduce(lambda a, b: a + b, [col(c).isNull().cast("bigint") for c in cells])
-    copies = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    sums = copies.groupBy(*[col(b) for b in by]).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.lit(len(cells)).alias("cols"),
-        F.coalesce(F.sum(nulls * F.col("_n")), F.lit(0)).alias("missing_cells"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
+    zero = F.lit(0).cast("bigint")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("missing_cells"))
+    repeats = repeated_rows(df).groupBy(*keys).agg(F.sum(F.col("_n") - 1).alias("duplicate_rows"))
+    sums = (
+        counted.withColumn("duplicate_rows", zero)
+        .unionByName(repeats.withColumns({"rows": zero, "missing_cells": zero}))
+        .groupBy(*keys)
+        .agg(
+            *[F.coalesce(F.sum(c), zero).alias(c) for c in ("rows", "missing_cells", "duplicate_rows")],
+            F.lit(len(cells)).alias("cols"),
+        )
     )
     return sums.select(
-        *[col(b) for b in by],
+        *keys,
         "rows",
         "cols",
         "missing_cells",

@@ -191,6 +191,13 @@ def test_basic_check_counts_repeats_with_nulls_equal(spark):
     assert r["missing_cell_pct"] == 37.5 and r["has_missing"] == "Yes"
 
 
+@pytest.mark.parametrize("few", [100, 1])
+def test_repeated_rows_both_ways(spark, few):
+    rows = [(1, 0.0, "a"), (1, -0.0, "a"), (1, None, "b"), (1, None, "b"), (1, None, "b"), (2, None, None), (None, 2.0, None)]
+    got = quality.repeated_rows(spark.createDataFrame(rows, "i int, x double, t string"), few).collect()
+    assert sorted((r["t"], r["_n"]) for r in got) == [("a", 2), ("b", 3)]
+
+
 def test_basic_check_of_nothing(spark):
     r = quality.basic_check(spark.createDataFrame([], "a int, b int")).first()
     assert (r["rows"], r["missing_cells"], r["missing_cell_pct"], r["duplicate_rows"]) == (0, 0, 0.0, 0)
