@@ -7,6 +7,7 @@ from importlib import import_module
 from riskloom.catalog.registry import ORACLES, QUERIES
 
 MODULES = (
+    "sources",
     "intake",
     "profiling",
     "features",

@@ -14,12 +14,12 @@ from riskloom.catalog.fixtures import PATHS, STUDENTS, student_records
 from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col, mapped
 from riskloom.operators import actions, attribution, correlation, evaluate, fairness, importance, scenarios
-from riskloom.operators.models import Settings, cross_validate
+from riskloom.operators.models import Settings, cross_validate, load_trained
 from riskloom.operators.scenarios import Scenario
 from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
 from riskloom.plans.modeling import Run, run_models
-from riskloom.session import stage
+from riskloom.session import shared_path, stage
 
 QUICK = Settings(logistic_iterations=100, forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
 POSITIVE = "Dropout"
@@ -270,6 +270,17 @@ def model_what_if(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scenarios.what_if(_with_risk(run, "Random_Forest"), "student_id", "risk", numeric, plans, score))
 
 
+@query("saved_model_scores")
+def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models written to the shared folder, read back, and used on the test rows."""
+    run = fitted(spark, sf_dir)
+    path = shared_path(spark, "models")
+    run.trained.save(path)
+    back = load_trained(path, list(run.trained.models), run.trained.features, run.trained.classes)
+    again = back.score_all(run.test, ["student_id", student.TARGET])
+    return rounded(again.groupBy("model").agg(F.avg((F.col("pred") == col(student.TARGET)).cast("int")).alias("accuracy")))
+
+
 @query("split_manifest")
 def split_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).rows.select("student_id", "split")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.catalog.actions import _GLOBAL, COEFFICIENTS, INTERCEPT
+from riskloom.catalog.actions import _GLOBAL, COEFFICIENTS, INTERCEPT, SCORED
 from riskloom.catalog.fixtures import STUDENTS, WEEKLY_EVENTS, student_records
 from riskloom.catalog.intake import DRIFT_CUMULATIVE, DRIFT_LAST, drifting_events
 from riskloom.catalog.registry import query, rounded
@@ -238,3 +238,41 @@ def report_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = actions.top_per_tier(attribution.logistic_score(s, COEFFICIENTS, INTERCEPT), "risk", "student_id")
     listed = attribution.top_drivers(attribution.linear_contributions(top, COEFFICIENTS, means))
     return rounded(report.tier_table(actions.with_actions(listed, "risk"), "student_id"))
+
+
+@query(
+    "report_missing",
+    f"""WITH {STUDENTS}, n AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{_quoted(c)}' AS \"column\", count(*) - count(\"{c}\") AS missing_count, count(*) AS n FROM students"
+        for c in ("Mother's qualification", "Debtor", "Admission grade", "Previous qualification", _G1, _G2, "Target")
+    )
+    + """) SELECT "column", missing_count, round(missing_count * 100.0 / n, 6) AS missing_pct FROM n WHERE missing_count > 0
+        ORDER BY missing_count DESC, "column" LIMIT 5""",
+)
+def report_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five columns with most gaps."""
+    from riskloom.operators.missing import missing_plan
+
+    s = student_records(spark, sf_dir).drop("student_id", "batch")
+    top = missing_plan(s, student.RULES, student.KINDS).limit(5)
+    return rounded(top.select("column", "missing_count", "missing_pct"))
+
+
+@query(
+    "report_cohorts",
+    f"""WITH {SCORED}, c AS (SELECT "Course" AS cohort_id, count(*) AS n, avg(risk) AS avg_risk FROM scored GROUP BY "Course")
+        SELECT CAST(row_number() OVER (ORDER BY avg_risk DESC, cohort_id) AS INT) AS place, cohort_id, n, round(avg_risk, 6) AS avg_risk
+        FROM c ORDER BY avg_risk DESC, cohort_id LIMIT 10""",
+)
+def report_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten riskiest cohorts, numbered."""
+    from pyspark.sql import Window
+
+    from riskloom.operators.cohorts import cohort_risk
+
+    s = attribution.logistic_score(student_records(spark, sf_dir), COEFFICIENTS, INTERCEPT)
+    best = cohort_risk(s.select("Course", "risk"), "Course", "risk", student.COURSE_NAMES).limit(10)
+    # ten rows
+    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("avg_risk"), "cohort_id"))
+    return rounded(best.select(place.alias("place"), "cohort_id", "n", "avg_risk"))
