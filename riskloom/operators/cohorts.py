@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col, graded, mapped, min_max, number
 
@@ -86,10 +86,9 @@ def cohort_radar(
         .where(F.col("k") == 2)
         .withColumn("difference", F.round(F.col("group_1") - F.col("group_0"), 2))
     )
-    largest = pairs.groupBy("attribute").agg(
-        F.min(F.struct((-F.abs("difference")).alias("o"), F.col("no"), F.col("difference").alias("d"))).alias("m")
-    )
-    return pairs.join(largest, "attribute").select(
+    # five rows per attribute
+    largest = F.min(F.struct((-F.abs("difference")).alias("o"), F.col("no"), F.col("difference").alias("d")))
+    return pairs.withColumn("m", largest.over(Window.partitionBy("attribute"))).select(
         "attribute",
         "dimension",
         "group_0",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col, pct
+from riskloom.session import stage
 
 
 def shares(df: DataFrame, target: str) -> DataFrame:
@@ -22,11 +23,15 @@ def compare_shares(this: DataFrame, ref: DataFrame, target: str, ref_name: str =
     return both.withColumn("delta_pct", F.col("this_pct") - F.col(f"{ref_name}_pct"))
 
 
-def _numbered(df: DataFrame, batch: str, target: str) -> tuple[DataFrame, DataFrame]:
-    """Counts per (batch number, outcome), and one row per batch with its totals."""
-    known = df.where(col(target).isNotNull()).groupBy(col(batch), col(target)).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def batch_counts(df: DataFrame, batch: str, target: str) -> DataFrame:
+    """(batch, target, n), staged: the only pass over the rows that drift needs."""
+    counts = df.groupBy(col(batch), col(target)).agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts, "counts")
+
+
+def _numbered(counts: DataFrame, batch: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Counts of known outcomes with their batch number, and one row per batch with its totals."""
+    known = counts.where(col(target).isNotNull())
     # a handful of rows: one per batch, in time order
     order = Window.partitionBy(F.lit(1)).orderBy(col(batch))
     batches = (
@@ -43,13 +48,13 @@ def _numbered(df: DataFrame, batch: str, target: str) -> tuple[DataFrame, DataFr
     return known.join(batches, batch), batches
 
 
-def drift_vs_previous(df: DataFrame, batch: str, target: str) -> DataFrame:
+def drift_vs_previous(df: DataFrame, batch: str, target: str, counts: DataFrame | None = None) -> DataFrame:
     """(batch, target, this_pct, last_pct, delta_pct) for every batch but the first.
 
     A row appears for each value of either batch, like the full outer join of
-    the two share tables.
+    the two share tables.  ``counts`` may hold ``batch_counts`` already made.
     """
-    counts, batches = _numbered(df, batch, target)
+    counts, batches = _numbered(counts or batch_counts(df, batch, target), batch, target)
     now = counts.select("no", col(target), pct(F.col("n"), F.col("total")).alias("this_pct"))
     before = now.select((F.col("no") + 1).alias("no"), col(target), F.col("this_pct").alias("last_pct"))
     return (
@@ -65,9 +70,9 @@ def drift_vs_previous(df: DataFrame, batch: str, target: str) -> DataFrame:
     )
 
 
-def drift_vs_cumulative(df: DataFrame, batch: str, target: str) -> DataFrame:
+def drift_vs_cumulative(df: DataFrame, batch: str, target: str, counts: DataFrame | None = None) -> DataFrame:
     """(batch, target, this_pct, cum_pct, delta_pct) against all earlier batches together."""
-    counts, batches = _numbered(df, batch, target)
+    counts, batches = _numbered(counts or batch_counts(df, batch, target), batch, target)
     # each value from the batch it first occurs in up to the last one
     grid = (
         counts.groupBy(col(target))

@@ -39,35 +39,39 @@ def group_rates(df: DataFrame, attributes: Sequence[str], truth: str, pred: str,
     )
 
 
-def disparate_impact(rates: DataFrame) -> DataFrame:
-    """(attribute, n_groups, disparate_impact, fairness_level): lowest over highest positive rate."""
-    low, high = F.min("positive_rate"), F.max("positive_rate")
-    impact = F.when(high > 0, low / high).otherwise(1.0)
-    return (
-        rates.groupBy("attribute")
-        .agg(F.count(F.lit(1)).alias("n_groups"), impact.alias("disparate_impact"))
-        .withColumn("fairness_level", F.when(F.col("disparate_impact") >= MIN_IMPACT, FAIR).otherwise(BIASED))
-    )
-
+def full_audit(rates: DataFrame) -> DataFrame:
+    """(attribute, n_groups, disparate_impact, di_level, tpr_difference, fpr_difference, eo_level).
 
-def equalized_odds(rates: DataFrame) -> DataFrame:
-    """(attribute, tpr_difference, fpr_difference, fairness_level)."""
+    Disparate impact is the lowest over the highest positive rate (1 if nobody
+    is predicted positive); the differences are those of equalised odds.
+    """
+    low, high = F.min("positive_rate"), F.max("positive_rate")
     fair = (F.col("tpr_difference") < MAX_GAP) & (F.col("fpr_difference") < MAX_GAP)
     return (
         rates.groupBy("attribute")
         .agg(
+            F.count(F.lit(1)).alias("n_groups"),
+            F.when(high > 0, low / high).otherwise(1.0).alias("disparate_impact"),
             (F.max("tpr") - F.min("tpr")).alias("tpr_difference"),
             (F.max("fpr") - F.min("fpr")).alias("fpr_difference"),
         )
-        .withColumn("fairness_level", F.when(fair, FAIR).otherwise(BIASED))
+        .withColumn("di_level", F.when(F.col("disparate_impact") >= MIN_IMPACT, FAIR).otherwise(BIASED))
+        .withColumn("eo_level", F.when(fair, FAIR).otherwise(BIASED))
     )
 
 
-def full_audit(rates: DataFrame) -> DataFrame:
-    """(attribute, n_groups, disparate_impact, di_level, tpr_difference, fpr_difference, eo_level)."""
-    di = disparate_impact(rates).withColumnRenamed("fairness_level", "di_level")
-    eo = equalized_odds(rates).withColumnRenamed("fairness_level", "eo_level")
-    return di.join(eo, "attribute")
+def disparate_impact(rates: DataFrame) -> DataFrame:
+    """(attribute, n_groups, disparate_impact, fairness_level)."""
+    return full_audit(rates).select(
+        "attribute", "n_groups", "disparate_impact", F.col("di_level").alias("fairness_level")
+    )
+
+
+def equalized_odds(rates: DataFrame) -> DataFrame:
+    """(attribute, tpr_difference, fpr_difference, fairness_level)."""
+    return full_audit(rates).select(
+        "attribute", "tpr_difference", "fpr_difference", F.col("eo_level").alias("fairness_level")
+    )
 
 
 def overall_fairness(audit: DataFrame) -> DataFrame:

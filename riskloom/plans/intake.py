@@ -64,7 +64,7 @@ def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Chec
         _long(basics, "segment", "basic", F.lit("all"), ["rows", "cols", "missing_cells", "missing_cell_pct", "duplicate_rows"])
     ]
     # the counts per batch and outcome are few, so the totals are made from them
-    counts = df.groupBy(col(batch), col(target)).agg(F.count(F.lit(1)).alias("n"))
+    counts = drift.batch_counts(df, batch, target)
     both = counts.groupingSets([[batch, target], [target]], batch, target).agg(
         F.sum("n").alias("count"), F.grouping(batch).alias("_all")
     )
@@ -76,14 +76,16 @@ def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Chec
     total = F.sum("count").over(Window.partitionBy("segment"))
     parts.append(_long(named.withColumn("pct", pct(F.col("count"), total)), "segment", "outcome", F.col("item"), ["count", "pct"]))
     for block, table, ref in (
-        ("drift_last", drift.drift_vs_previous(df, batch, target), "last_pct"),
-        ("drift_cum", drift.drift_vs_cumulative(df, batch, target), "cum_pct"),
+        ("drift_last", drift.drift_vs_previous(df, batch, target, counts), "last_pct"),
+        ("drift_cum", drift.drift_vs_cumulative(df, batch, target, counts), "cum_pct"),
     ):
         parts.append(_long(table, batch, block, col(target), ["this_pct", ref, "delta_pct"]))
     if checks:
-        audits = quality.integrity_audit(df, checks, [batch]).withColumnRenamed(batch, "segment").unionByName(
-            quality.integrity_audit(df, checks).withColumn("segment", F.lit("Overall"))
-        )
+        # hits add up over the batches
+        per = stage(quality.integrity_audit(df, checks, [batch]).withColumnRenamed(batch, "segment"), "audit")
+        named = [c for c in per.columns if c not in ("segment", "affected_rows")]
+        whole = per.groupBy(*named).agg(F.sum("affected_rows").alias("affected_rows"))
+        audits = per.unionByName(whole.withColumn("segment", F.lit("Overall")))
         parts.append(_long(audits, "segment", "audit", F.col("check_name"), ["affected_rows", "severity_rank"]))
     out = parts[0]
     for p in parts[1:]:
