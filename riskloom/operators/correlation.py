@@ -15,7 +15,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.expr import col, number
+from riskloom.operators.orderstats import numeric_view
 from riskloom.operators.schema import numeric_columns
 
 SUMS_PER_PASS = 400
@@ -29,7 +29,7 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: i for i, c in enumerate(names)}
-    x = df.select(*[number(col(c)).alias(f"x{i}") for i, c in enumerate(names)])
+    x = numeric_view(df, names, names=[f"x{i}" for i in range(len(names))])
     moments = [f"count(x{i}) n{i}, avg(x{i}) m{i}, stddev_pop(x{i}) s{i}" for i in range(len(names))]
     row = x.selectExpr("count(1) n", *[m for part in moments for m in part.split(", ")]).first()
     spread = [c for c in names if row[f"s{at[c]}"]]

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from riskloom.functions.expr import col, number
+from riskloom.functions.expr import col, no_nan, number
 from riskloom.session import stage
 
 MAP_LIMIT = 200_000
@@ -28,9 +28,24 @@ SLICES = 1024
 ROWS_PER_TASK = 2_000_000
 
 
+def numeric_view(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), names: Sequence[str] = ()) -> DataFrame:
+    """(by..., one double per column): the cast that each column's type needs, and no more."""
+    out = [col(b) for b in by]
+    for c, name in zip(columns, names or columns):
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.IntegralType, T.DecimalType)):
+            x = col(c).cast("double")
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            x = no_nan(col(c).cast("double"))
+        else:
+            x = number(col(c))
+        out.append(x.alias(name))
+    return df.select(*out)
+
+
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value) with one row per known numeric cell."""
-    wide = df.select(*[col(b) for b in by], *[number(col(c)).alias(c) for c in columns])
+    wide = numeric_view(df, columns, by)
     return wide.unpivot(
         [col(b) for b in by], [col(c) for c in columns], "column", "value"
     ).where(F.col("value").isNotNull())
@@ -59,16 +74,14 @@ class Facts:
 
 def column_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Facts | None:
     """Facts of all columns in one pass; None if there are more groups than a bounded table should hold."""
-    aggs = []
-    for i, c in enumerate(columns):
-        x = number(col(c))
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.min(x).alias(f"a{i}"),
-            F.max(x).alias(f"z{i}"),
-            F.approx_count_distinct(x).alias(f"d{i}"),
-        ]
-    rows = df.groupBy(*[col(b) for b in by]).agg(*aggs).limit(GROUP_LIMIT + 1).collect()
+    wide = numeric_view(df, columns, by, [f"_x{i}" for i in range(len(columns))])
+    aggs = [
+        F.expr(f.format(f"_x{i}")).alias(f"{n}{i}")
+        for i in range(len(columns))
+        # a coarse sketch is enough to choose a way, and keeps many columns in one compact aggregate
+        for n, f in (("n", "count({})"), ("a", "min({})"), ("z", "max({})"), ("d", "approx_count_distinct({}, 0.1)"))
+    ]
+    rows = wide.groupBy(*[col(b) for b in by]).agg(*aggs).limit(GROUP_LIMIT + 1).collect()
     if len(rows) > GROUP_LIMIT:
         return None
     return Facts(
@@ -94,9 +107,8 @@ def few_distinct(
     near = [c for c in columns if facts.distinct(c) <= 4 * limit + 20]
     out: dict[str, int | None] = dict.fromkeys(columns)
     if near:
-        row = df.agg(
-            *[F.size(F.collect_set(number(col(c)))).alias(f"d{i}") for i, c in enumerate(near)]
-        ).first()
+        wide = numeric_view(df, near, names=[f"_x{i}" for i in range(len(near))])
+        row = wide.agg(*[F.expr(f"size(collect_set(_x{i}))").alias(f"d{i}") for i in range(len(near))]).first()
         for i, c in enumerate(near):
             out[c] = row[f"d{i}"] if row[f"d{i}"] <= limit else None
     return out
