@@ -9,7 +9,6 @@ from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col
 from riskloom.operators import actions, attribution, cohorts, scenarios
 from riskloom.operators.orderstats import global_rank
-from riskloom.operators.scenarios import Scenario
 from riskloom.plans import student
 from riskloom.session import stage
 from riskloom.sources.tables import table
@@ -236,15 +235,6 @@ def cohort_radar(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ scenarios
 
 FEATURES = list(COEFFICIENTS)
-
-
-def what_if_scenarios() -> tuple[Scenario, ...]:
-    return (
-        Scenario("Academic Support", {G2: col(G2) + 10, E2: col(E2) + 5}),
-        Scenario("Financial Support", {"Tuition fees up to date": F.lit(1), "Debtor": F.lit(0)}),
-    )
-
-
 _WHAT_IF_SQL = {
     "Academic Support": {G2: f'"{G2}" + 10', E2: f'"{E2}" + 5'},
     "Financial Support": {"Tuition fees up to date": "1", "Debtor": "0"},
@@ -256,7 +246,7 @@ _OUTCOMES = f"{SCORED}, outcomes AS (" + " UNION ALL ".join(
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scenarios.what_if(scored_students(spark, sf_dir), "student_id", "risk", FEATURES, what_if_scenarios(), _scorer)
+    return scenarios.what_if(scored_students(spark, sf_dir), "student_id", "risk", FEATURES, student.what_if_scenarios(FEATURES)[:2], _scorer)
 
 
 @query(
@@ -282,33 +272,6 @@ def best_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 AID = "Clear debt of high-risk debtors"
 NUDGE = "Raise engagement and achievement of all high-risk rows"
-
-
-def policies() -> tuple[Scenario, ...]:
-    high = F.col("risk") > 0.7
-    grade = F.when(col(G2) + 5 > 20, 20.0).otherwise(col(G2) + 5)
-    return (
-        Scenario(
-            "Financial Aid Program",
-            {"Debtor": F.lit(0), "Tuition fees up to date": F.lit(1)},
-            AID,
-            high & (col("Debtor") == 1),
-            unit_cost=2000,
-        ),
-        Scenario(
-            "Engagement Nudge System",
-            {
-                E2: F.bround(col(E2).cast("double") + 6, 0),
-                A2: F.bround(col(A2).cast("double") + 4, 0),
-                G2: F.bround(grade, 0),
-            },
-            NUDGE,
-            high,
-            flat_cost=500,
-        ),
-    )
-
-
 _POLICY_SQL = {
     "Financial Aid Program": (
         AID, "risk > 0.7 AND \"Debtor\" = 1", "2000.0 * e",
@@ -341,4 +304,4 @@ _POLICY_SQL = {
 )
 def policy_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stage(scored_students(spark, sf_dir).select("student_id", "risk", *[col(c) for c in FEATURES]))
-    return rounded(scenarios.policy_simulation(s, "risk", FEATURES, policies(), _scorer))
+    return rounded(scenarios.policy_simulation(s, "risk", FEATURES, student.policies(F.col("risk") > 0.7), _scorer))

@@ -11,6 +11,7 @@ from riskloom.functions.text import has_any, tokens
 from riskloom.operators import correlation, signals, trajectory
 from riskloom.operators.trajectory import TRAJECTORY_FEATURES
 from riskloom.plans import student
+from riskloom.plans.features import feature_table
 from riskloom.session import stage
 from riskloom.sources.tables import spread, table
 
@@ -242,20 +243,11 @@ SIGNALS_SQL = f"""{PATHS}, {_FEEDBACK}, heard AS (SELECT *, conv_id IS NOT NULL
 
 def student_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Students with trajectory and signal columns; a conversation is a student's feedback."""
-    talk = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    words = talk.select("conv_id", tokens(F.col("text")).alias("w"))
-    # one row per conversation, whatever its length
-    heard = words.groupBy("conv_id").agg(
-        *[F.max(has_any(F.col("w"), x)).alias(f"_{t}") for t, x in TOPICS.items()]
+    talk = table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "text")
+    return feature_table(
+        student_records(spark, sf_dir), "student_id", student.FIRST, student.SECOND,
+        "Age at enrollment", "International", "Debtor", talk, "conv_id", "text", TOPICS,
     )
-    subject = None
-    for t in TOPICS:
-        subject = F.when(F.col(f"_{t}"), t) if subject is None else subject.when(F.col(f"_{t}"), t)
-    s = student_paths(spark, sf_dir).join(heard, F.col("student_id") == F.col("conv_id"), "left")
-    out = signals.signal_features(
-        s, "Age at enrollment", "International", "Debtor", subject, F.col("conv_id").isNotNull()
-    )
-    return out.drop("conv_id", *[f"_{t}" for t in TOPICS])
 
 
 SIGNAL_COLUMNS = [f for fs in signals.SIGNAL_FEATURES.values() for f in fs]

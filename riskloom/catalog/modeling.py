@@ -8,16 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.catalog.actions import E2, G2
 from riskloom.catalog.features import CORRELATION_FEATURES, WITH_TARGET, student_paths, student_signals
 from riskloom.catalog.fixtures import PATHS, STUDENTS, student_records
 from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col, mapped
-from riskloom.operators import actions, attribution, correlation, evaluate, fairness, importance, scenarios
+from riskloom.operators import correlation, evaluate, fairness, importance
 from riskloom.operators.models import Settings, cross_validate, load_trained
-from riskloom.operators.scenarios import Scenario
 from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
+from riskloom.plans.actions import ActionPlan
 from riskloom.plans.modeling import Run, run_models
 from riskloom.session import shared_path, stage
 
@@ -193,81 +192,36 @@ def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_actions")
 def model_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows by tier of the boosted model, with the drivers of the linear one."""
-    run = fitted(spark, sf_dir)
-    risk = run.scored.where("model = 'Boosted_Trees'").select(
-        "student_id", col(student.TARGET).alias("true_status"), F.col("pred").alias("predicted_status"),
-        col(f"p_{POSITIVE}").alias("risk"),
-    )
-    top = actions.top_per_tier(risk, "risk", "student_id")
-    linear = linear_weights(run)
-    explained = attribution.top_drivers(attribution.linear_contributions(run.test, linear))
-    drivers = explained.select("student_id", "top_drivers")
-    listed = actions.with_actions(top.join(drivers, "student_id"), "risk")
-    return rounded(
-        listed.select(
-            "student_id", "tier", "tier_rank", "risk_rank", "risk", "true_status", "predicted_status",
-            "overall_recommendation", F.inline(F.slice("top_drivers", 1, 1)),
-        )
-    )
+    """Test rows by tier of the boosted model, with the strongest driver of the linear one."""
+    listed = ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).tiers()
+    first = F.inline(F.slice("top_drivers", 1, 1))
+    return rounded(listed.select(*[c for c in listed.columns if c != "top_drivers"], first))
 
 
-def linear_weights(run: Run) -> dict[str, float]:
-    """Coefficients of the positive class of the L1 model per unit of the raw column."""
-    scaler, model = run.trained.models["Logistic_L1"].stages
-    row = run.trained.classes.index(POSITIVE)
-    spread = scaler.std.toArray()
-    raw = model.coefficientMatrix.toArray()[row]
-    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
-    return {f: float(raw[i] / spread[i]) if spread[i] > 0 else 0.0 for i, f in enumerate(numeric)}
+@query("model_drivers")
+def model_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).drivers())
 
 
-def _plans() -> tuple[Scenario, ...]:
-    high = F.col("risk") > 0.4
-    return (
-        Scenario("Financial Aid Program", {"Debtor": F.lit(0), "Tuition fees up to date": F.lit(1)},
-                 "Clear debt of high-risk debtors", high & (col("Debtor") == 1), unit_cost=2000),
-        Scenario("Engagement Nudge System", {E2: F.bround(col(E2).cast("double") + 6, 0),
-                 G2: F.bround(F.least(col(G2) + 5, F.lit(20.0)), 0)}, "Raise engagement", high, flat_cost=500),
+@query("model_cohorts")
+def model_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(
+        ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).cohorts("Course", student.COURSE_NAMES)
     )
 
 
-def _with_risk(run: Run, model: str) -> DataFrame:
-    risk = run.scored.where(F.col("model") == model).select("student_id", col(f"p_{POSITIVE}").alias("risk"))
-    return run.test.join(risk, "student_id")
-
-
 @query("model_policy")
 def model_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policy simulation with the forest as scorer."""
-    run = fitted(spark, sf_dir)
-    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
-    rows = _with_risk(run, "Random_Forest")
-
-    def score(df: DataFrame) -> DataFrame:
-        with_text = df.withColumns({c: F.lit(None).cast("string") for c in TEXT_COLUMNS if c not in df.columns})
-        return run.scorer("Random_Forest", POSITIVE, ["scenario"])(with_text)
-
-    return rounded(scenarios.policy_simulation(rows, "risk", numeric, _plans(), score, cut=0.35, high=0.4))
+    plan = ActionPlan.of(fitted(spark, sf_dir), "Random_Forest", POSITIVE)
+    return rounded(plan.policies(student.policies(F.col("risk") > 0.4), cut=0.35, high=0.4))
 
 
 @query("model_what_if")
 def model_what_if(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test row under three scenarios, scored by the forest."""
-    run = fitted(spark, sf_dir)
-    numeric = [f for f in run.trained.features if f not in TEXT_COLUMNS]
-    support = [f for f in numeric if any(w in f.lower() for w in ("stress", "support", "sentiment"))]
-    plans = (
-        Scenario("Academic Support", {G2: col(G2) + 10, E2: col(E2) + 5}),
-        Scenario("Financial Support", {"Tuition fees up to date": F.lit(1), "Debtor": F.lit(0)}),
-        Scenario("Socio-emotional Support", {f: col(f) * 1.2 for f in support}),
-    )
-
-    def score(df: DataFrame) -> DataFrame:
-        with_text = df.withColumns({c: F.lit(None).cast("string") for c in TEXT_COLUMNS})
-        return run.scorer("Random_Forest", POSITIVE, ["student_id", "scenario", "baseline_risk"])(with_text)
-
-    return rounded(scenarios.what_if(_with_risk(run, "Random_Forest"), "student_id", "risk", numeric, plans, score))
+    plan = ActionPlan.of(fitted(spark, sf_dir), "Random_Forest", POSITIVE)
+    return rounded(plan.what_if(student.what_if_scenarios(plan.run.trained.numeric)))
 
 
 @query("saved_model_scores")
@@ -276,7 +230,9 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = fitted(spark, sf_dir)
     path = shared_path(spark, "models")
     run.trained.save(path)
-    back = load_trained(path, list(run.trained.models), run.trained.features, run.trained.classes)
+    back = load_trained(
+        path, list(run.trained.models), run.trained.numeric, run.trained.categorical, run.trained.classes
+    )
     again = back.score_all(run.test, ["student_id", student.TARGET])
     return rounded(again.groupBy("model").agg(F.avg((F.col("pred") == col(student.TARGET)).cast("int")).alias("accuracy")))
 

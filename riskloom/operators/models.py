@@ -149,9 +149,14 @@ class Trained:
 
     preparation: PipelineModel
     models: Mapping[str, Model]
-    features: Sequence[str]
+    numeric: Sequence[str]
+    categorical: Sequence[str]
     classes: Sequence[str]
 
+    @property
+    def features(self) -> list[str]:
+        return [*self.numeric, *self.categorical]
+
     def score(self, df: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
         """(keep..., pred, p_<class>...) for every row."""
         return self._scored(self.preparation.transform(df), name, keep)
@@ -235,10 +240,12 @@ def train(
     rows = ready.count()
     todo = estimators(settings, rows)
     fitted = {n: todo[n].fit(ready) for n in names}
-    return Trained(preparation, fitted, [*numeric, *categorical], classes)
+    return Trained(preparation, fitted, list(numeric), list(categorical), classes)
 
 
-def load_trained(path: str, names: Sequence[str], features: Sequence[str], classes: Sequence[str]) -> Trained:
+def load_trained(
+    path: str, names: Sequence[str], numeric: Sequence[str], categorical: Sequence[str], classes: Sequence[str]
+) -> Trained:
     from pyspark.ml.classification import (
         DecisionTreeClassificationModel,
         OneVsRestModel,
@@ -252,7 +259,7 @@ def load_trained(path: str, names: Sequence[str], features: Sequence[str], class
         "Boosted_Trees": OneVsRestModel,
     }
     models = {n: kinds[n].load(f"{path}/{n}") for n in names}
-    return Trained(PipelineModel.load(f"{path}/preparation"), models, features, classes)
+    return Trained(PipelineModel.load(f"{path}/preparation"), models, list(numeric), list(categorical), classes)
 
 
 def cross_validate(

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.functions.expr import col
 from riskloom.operators import evaluate, fairness
 from riskloom.operators.models import TITLES, Settings, Trained, train
-from riskloom.operators.scenarios import Scorer
 from riskloom.operators.split import stratified_split
 from riskloom.session import stage
 
@@ -49,15 +48,6 @@ class Run:
         rates = fairness.group_rates(known.join(judged, self.key), attributes, self.target, "pred", positive)
         return fairness.full_audit(rates)
 
-    def scorer(self, model: str, positive: str, keep: Sequence[str]) -> Scorer:
-        """Risk of the positive class by one model, for scenario tables that hold the feature columns."""
-
-        def score(df: DataFrame) -> DataFrame:
-            present = [c for c in keep if c in df.columns]
-            return self.trained.score(df, model, present).withColumnRenamed(f"p_{positive}", "risk")
-
-        return score
-
 
 def run_models(
     df: DataFrame,

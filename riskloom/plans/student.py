@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from riskloom.functions.expr import col, number
+from riskloom.operators.scenarios import Scenario
 from riskloom.operators.trajectory import Period
 from riskloom.plans.rules import (
     BINARY,
@@ -351,3 +352,54 @@ def clip_macro(name: str) -> Column:
     """Macro indicator with negative values set to 0."""
     x = number(col(name))
     return F.when(x < 0, F.lit(0.0)).otherwise(x)
+
+
+SUPPORT_WORDS = ("stress", "support", "sentiment")
+
+
+def what_if_scenarios(features: Sequence[str], support_factor: float = 1.2) -> tuple[Scenario, ...]:
+    """Academic, financial and socio-emotional help, each for a single row."""
+    support = [f for f in features if any(w in f.lower() for w in SUPPORT_WORDS)]
+    return (
+        Scenario(
+            "Academic Support",
+            {SECOND.grade: col(SECOND.grade) + 10, SECOND.evaluations: col(SECOND.evaluations) + 5},
+            "Increase 2nd semester grade by +10 and evaluations by +5",
+        ),
+        Scenario(
+            "Financial Support",
+            {"Tuition fees up to date": F.lit(1), "Debtor": F.lit(0)},
+            "Set tuition fees up to date and clear debtor status",
+        ),
+        Scenario(
+            "Socio-emotional Support",
+            {f: col(f) * support_factor for f in support},
+            f"Scale stress and support features by {support_factor}",
+        ),
+    )
+
+
+def policies(high_risk: Column) -> tuple[Scenario, ...]:
+    """Financial aid for indebted high-risk rows, and an engagement nudge for all high-risk rows."""
+    best_grade = 20.0
+    grade = col(SECOND.grade).cast("double") + 5
+    return (
+        Scenario(
+            "Financial Aid Program",
+            {"Debtor": F.lit(0), "Tuition fees up to date": F.lit(1)},
+            "Clear debt of high-risk debtors",
+            high_risk & (col("Debtor") == 1),
+            unit_cost=2000,
+        ),
+        Scenario(
+            "Engagement Nudge System",
+            {
+                SECOND.evaluations: F.bround(col(SECOND.evaluations).cast("double") + 6, 0),
+                SECOND.approved: F.bround(col(SECOND.approved).cast("double") + 4, 0),
+                SECOND.grade: F.bround(F.when(grade > best_grade, best_grade).otherwise(grade), 0),
+            },
+            "Raise engagement and achievement of all high-risk rows",
+            high_risk,
+            flat_cost=500,
+        ),
+    )

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.catalog import evaluation
-from riskloom.catalog.modeling import POSITIVE, QUICK, TEXT_COLUMNS, fitted, linear_weights
+from riskloom.catalog.modeling import POSITIVE, QUICK, fitted
 from riskloom.operators.attribution import linear_contributions
 from riskloom.operators.models import Settings, fit_preparation, load_trained, train
 from riskloom.plans import student
+from riskloom.plans.actions import linear_weights
 from tests.oracle import DATA
 
 
@@ -90,7 +91,7 @@ def test_same_seed_same_model(spark, run):
 def test_saved_models_score_alike(spark, run, tmp_path):
     path = str(tmp_path / "models")
     run.trained.save(path)
-    back = load_trained(path, list(run.trained.models), run.trained.features, run.trained.classes)
+    back = load_trained(path, list(run.trained.models), run.trained.numeric, run.trained.categorical, run.trained.classes)
     for m in run.trained.models:
         a, b = (t.score(run.test, m, ["student_id"]).orderBy("student_id").collect() for t in (run.trained, back))
         assert a == b
@@ -104,8 +105,8 @@ def test_preparation_learns_from_training_rows_only(spark):
 
 
 def test_linear_contributions_of_the_fitted_model(run):
-    weights = linear_weights(run)
-    assert len(weights) == len([f for f in run.trained.features if f not in TEXT_COLUMNS])
+    weights = linear_weights(run, POSITIVE)
+    assert list(weights) == list(run.trained.numeric)
     out = linear_contributions(run.test, weights).select(F.aggregate("contributions", F.lit(0.0), lambda a, s: a + s["contribution"]).alias("s"))
     assert abs(out.agg(F.avg("s")).first()[0]) < 1e-6
 
