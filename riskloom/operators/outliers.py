@@ -62,14 +62,21 @@ def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = 4.0)
     return df.withColumns(new)
 
 
-def iqr_flags(df: DataFrame, columns: Sequence[str], multiple: float = 3.0) -> DataFrame:
+def iqr_flags(
+    df: DataFrame, columns: Sequence[str], multiple: float = 3.0, fences: Mapping[str, Fence] | None = None
+) -> DataFrame:
     """``df`` with ``<column>__is_outlier`` by quartile fences."""
-    fences = iqr_fences(df, columns, multiple)
+    fences = fences or iqr_fences(df, columns, multiple)
     return df.withColumns(
         {f"{c}__is_outlier": flag(fences[c].outside(number(col(c)))) for c in columns}
     )
 
 
+def unbounded(columns: Sequence[str], skip_word: str | None = "grade") -> list[str]:
+    """Columns without the word that marks a bounded scale."""
+    return [c for c in columns if not (skip_word and skip_word in c.lower())]
+
+
 def outlier_report(
     df: DataFrame,
     columns: Sequence[str],
@@ -78,15 +85,17 @@ def outlier_report(
     few_values: int = FEW_VALUES,
     skip_word: str | None = "grade",
     fences: Mapping[str, Fence] | None = None,
+    facts: Facts | None = None,
 ) -> DataFrame:
     """(column, outlier_count, outlier_pct, handling, rationale) of columns with outliers.
 
     Columns with few distinct values count as codes and are skipped, and so are
-    bounded columns, which ``skip_word`` in the name marks.
+    bounded columns, which ``skip_word`` in the name marks.  ``fences`` and
+    ``facts`` may be handed in where they are known already.
     """
     rules = rules or RuleSet()
-    names = [c for c in columns if c in df.columns and not (skip_word and skip_word in c.lower())]
-    facts = column_facts(df, names) if names else None
+    names = unbounded([c for c in columns if c in df.columns], skip_word)
+    facts = facts or (column_facts(df, names) if names else None)
     few = few_distinct(df, names, few_values, facts)
     names = [c for c in names if few[c] is None]
     schema = "column string, outlier_count bigint, outlier_pct double, handling string, rationale string"
@@ -123,14 +132,21 @@ def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01, upper:
     return df.withColumns({c: clip(number(col(c)), *limits[c]) for c in columns if c in limits})
 
 
-def apply_outliers(df: DataFrame, report: DataFrame, multiple: float = 3.0) -> DataFrame:
+def apply_outliers(
+    df: DataFrame,
+    report: DataFrame,
+    multiple: float = 3.0,
+    fences: Mapping[str, Fence] | None = None,
+    facts: Facts | None = None,
+) -> DataFrame:
     """Add indicators for the reported columns and winsorise those whose policy says so."""
     handling = {r["column"]: r["handling"] for r in report.select("column", "handling").collect()}
     handling = {c: h for c, h in handling.items() if c in df.columns}
     if not handling:
         return df
-    flagged = iqr_flags(df, list(handling), multiple)
-    limits = quantile_table(df, [c for c, h in handling.items() if h == "winsorize"], [0.01, 0.99])
+    flagged = iqr_flags(df, list(handling), multiple, fences)
+    noisy = [c for c, h in handling.items() if h == "winsorize"]
+    limits = quantile_table(df, noisy, [0.01, 0.99], facts=facts)
     if not limits:
         return flagged
     return flagged.withColumns({c: clip(number(col(c)), *q) for c, q in limits.items()})

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col, number, pct
 from riskloom.operators import drift, missing, outliers, quality
+from riskloom.operators.orderstats import column_facts
 from riskloom.operators.schema import classify_columns, group_by_kind
 from riskloom.plans.rules import CONTINUOUS, COUNT, Check, RuleSet
 from riskloom.session import stage
@@ -39,16 +40,31 @@ def clean(
     clip: Sequence[str] = (),
     multiple: float = 3.0,
 ) -> Cleaned:
-    """Clip, fill and flag.  The filled table is staged, because the outlier steps read it several times."""
+    """Clip, fill and flag.
+
+    The filled table is staged, because the outlier steps read it several
+    times; facts and fences are found once and shared, and the plan and the
+    report are kept as rows.
+    """
     clipped = clip_negatives(df, clip)
     data = [c for c in clipped.columns if c not in keys]
     kinds = classify_columns(clipped, rules, exclude=keys)
-    plan = missing.missing_plan(clipped.select(*[col(c) for c in data]), rules, kinds)
+    plan = _kept(missing.missing_plan(clipped.select(*[col(c) for c in data]), rules, kinds))
     filled = stage(missing.apply_plan(clipped, plan), "filled")
     groups = group_by_kind({c: k for c, k in kinds.items() if c != rules.target})
     numbers = groups[CONTINUOUS] + groups[COUNT]
-    report = outliers.outlier_report(filled, numbers, rules, multiple)
-    return Cleaned(outliers.apply_outliers(filled, report, multiple), kinds, plan, report)
+    open_ended = outliers.unbounded(numbers)
+    facts = column_facts(filled, open_ended) if open_ended else None
+    fences = outliers.iqr_fences(filled, open_ended, multiple, facts)
+    report = _kept(
+        outliers.outlier_report(filled, open_ended, rules, multiple, fences=fences, facts=facts)
+    )
+    return Cleaned(outliers.apply_outliers(filled, report, multiple, fences, facts), kinds, plan, report)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """A table of one row per column, worked out once."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Check] = ()) -> DataFrame:
