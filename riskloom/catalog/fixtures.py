@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.functions.expr import col
 from riskloom.sources.tables import table
 
 # ---------------------------------------------------------------- events by week
