@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_SPREAD = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -17,5 +19,5 @@ def spread(df: DataFrame) -> DataFrame:
     For costly row-local work on a table in few files.  A table of many files
     has splits enough and is passed on without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
