@@ -27,10 +27,14 @@ def _cut_table(
     ordered: DataFrame, label: str, ranks: Callable[[int], Sequence[int]], rows_per_task: int
 ) -> tuple[DataFrame, bool, bool]:
     """(label, cuts) of the classes too large for one task, and whether there are large and small ones."""
-    sizes = ordered.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n"))
-    # at most one row per ``rows_per_task`` rows of the table
-    large = {(r[0],): r["n"] for r in sizes.where(F.col("n") > rows_per_task).collect()}
-    some_small = not sizes.where(F.col("n") <= rows_per_task).isEmpty()
+    sizes = ordered.groupBy(col(label).alias("_label")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_o").alias("lo"), F.max("_o").alias("hi")
+    )
+    large_one = F.when(F.col("n") > rows_per_task, F.struct("_label", "n", "lo", "hi"))
+    # the list holds at most one entry per ``rows_per_task`` rows of the table
+    row = sizes.agg(F.collect_list(large_one).alias("large"), F.count(F.lit(1)).alias("classes")).first()
+    large = {(r["_label"],): (r["n"], r["lo"], r["hi"]) for r in row["large"]}
+    some_small = row["classes"] > len(large)
     schema = T.StructType(
         [
             T.StructField("_label", ordered.schema[label].dataType),
@@ -44,7 +48,7 @@ def _cut_table(
     long = ordered.join(names, col(label).eqNullSafe(F.col("_label"))).select(
         "_label", F.col("_o").alias("value")
     )
-    found = select_ranks(long, ["_label"], lambda _, n: [r for r in ranks(n) if r >= 0])
+    found = select_ranks(long, ["_label"], lambda _, n: [r for r in ranks(n) if r >= 0], large)
     # rank -1 (take nothing) lies below every order value
     rows = [(key[0], [at[r] if r >= 0 else float("-inf") for r in ranks(n)]) for key, (n, at) in found.items()]
     return spark.createDataFrame(rows, schema), True, some_small
