@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and the benchmark; clusters bring their own."""
-    return (
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
+) -> SparkSession:
+    """A local session for tests and the benchmark; clusters bring their own.
+
+    ``folder`` is the folder of staged tables.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("riskloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -20,23 +25,24 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it.
+    """The folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (a bare local session) a new
-    local folder is taken.
+    Without that setting only a local master is served, whose one machine sees the folder below Spark's own working
+    folder; on a cluster no folder of one machine would do, so that is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="riskloom-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.path.join(os.path.abspath("spark-staging"), spark.sparkContext.applicationId)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

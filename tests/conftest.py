@@ -7,8 +7,8 @@ from tests.oracle import DATA, connect
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session()
+def spark(tmp_path_factory):
+    s = local_session(folder=str(tmp_path_factory.mktemp("staged")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

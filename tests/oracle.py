@@ -47,7 +47,7 @@ def difference(spark_df, con, sql: str, clock: list | None = None) -> str | None
     if len(left) != len(right):
         return f"rows {len(left)} != {len(right)}"
     groups = {"integer": "i", "long": "i", "INTEGER": "i", "BIGINT": "i", "string": "s", "VARCHAR": "s", "double": "f",
-              "DOUBLE": "f"}
+              "DOUBLE": "f", "boolean": "b", "BOOLEAN": "b"}
     for c in left_names:
         a, b = groups.get(types[c], types[c]), groups.get(kinds[c], kinds[c])
         if a != b:
