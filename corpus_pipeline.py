@@ -1,4 +1,8 @@
-"""The corpus pipeline: stages that clean, deduplicate and pack the table of documents."""
+"""The corpus pipeline: quality rules, near copies, benchmark passages, personal data, packing.
+
+Every stage takes all its predecessor kept and returns the columns of documents; the last returns packed token pieces.
+Stages handle null ids and texts, empty texts, repeated rows and empty tables as their operators' docstrings define.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +10,29 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import packing, quality
+from riskloom.llm import neardup, packing, pii, quality, templates
 from riskloom.session import stage
-
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+from riskloom.sources.tables import table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.keep(docs).select(*COLUMNS)
+    return quality.keep(docs)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return neardup.keep_one(docs)
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return templates.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by marks."""
+    return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +40,15 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("quality rules", keep_good), ("packing", pack)]
+STAGES = [
+    ("quality rules", keep_good),
+    ("near duplicates", keep_one),
+    ("decontamination", keep_clean),
+    ("personal data", redact),
+    ("packing", pack),
+]
 
-#: Similarity of weighted samples, boosted trees and packing have no SQL form.
+#: Weighted samples, boosted trees and packing have no SQL form; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

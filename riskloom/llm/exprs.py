@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -31,3 +31,20 @@ def words(text: Column) -> Column:
 def total(values: Column) -> Column:
     """Sum of an array of longs, 0 if it is empty."""
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """A column of any name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")

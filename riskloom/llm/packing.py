@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm import bytesops
+from riskloom.llm.exprs import quoted
 from riskloom.session import stage
 
 CAPACITY = 2048
@@ -62,7 +63,7 @@ def token_pieces(
                 yield _batch(rows, PIECES)
 
     return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).cast("string").alias("text")
     ).mapInArrow(cut, PIECES)
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.exprs import let, total, words
+from riskloom.llm.exprs import let, quoted, total, words
 from riskloom.session import stage
 
 SAMPLE_ROWS = 500  # texts on which cost and selectivity are measured
@@ -176,7 +176,7 @@ def measured(docs: DataFrame, rules, text_col: str = "text", rows: int = SAMPLE_
 
     The sample decides the order of the rules and nothing else.
     """
-    sample = stage(docs.select(F.col(text_col).cast("string").alias("text")).limit(rows), "rule-sample")
+    sample = stage(docs.select(quoted(text_col).cast("string").alias("text")).limit(rows), "rule-sample")
 
     def run(rejected: Column) -> tuple[float, int]:
         times = []
@@ -201,8 +201,8 @@ def ordered(measures: list[tuple[Rule, float, int]]) -> list[Rule]:
 
 def facts(docs: DataFrame, rules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, base verdict and final verdict of every document; ``rules`` come after the base ones."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), words(text).alias("words"))
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
+    found = docs.select(quoted(id_col).alias("doc_id"), text.alias("text"), words(text).alias("words"))
     w, t = F.col("words"), F.col("text")
     counted = found.select(
         "doc_id",
@@ -230,4 +230,4 @@ def facts(docs: DataFrame, rules, id_col: str = "doc_id", text_col: str = "text"
 def keep(docs: DataFrame, rules=BASE + RULES, text_col: str = "text") -> DataFrame:
     """The rows whose text no rule rejects, all columns as they were."""
     order = ordered(measured(docs, rules, text_col))
-    return docs.filter(verdict(F.col(text_col).cast("string"), order).isNull())
+    return docs.filter(verdict(quoted(text_col).cast("string"), order).isNull())

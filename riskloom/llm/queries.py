@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import chat, langid, packing, quality, quality_sql, token_blocks, toxicity
+from riskloom.llm import (
+    chat,
+    chunks,
+    langid,
+    neardup,
+    packing,
+    pii,
+    quality,
+    quality_sql,
+    templates,
+    token_blocks,
+    toxicity,
+)
 from riskloom.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +34,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.facts(docs, quality.ordered(quality.measured(docs, quality.RULES)))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that other documents hold, too."""
+    return chunks.repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items they contain."""
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +78,15 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least id of its class of near copies."""
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = _held_out(3, 1)
@@ -64,6 +95,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_token_rows, op2_quality, op5_packing, op6_chat, op7_language, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_token_rows,
+        op2_quality,
+        op3_repeats,
+        op4_decontamination,
+        op5_packing,
+        op6_chat,
+        op7_language,
+        op8_personal_data,
+        op9_near_duplicates,
+        op10_toxicity,
+    )
 }
 ORACLES: dict[str, str] = {"op2_quality": quality_sql.SQL}

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm import bytesops
+from riskloom.llm.exprs import quoted
 
 CAPACITY = 2048
 BUFFER_TOKENS = 4_000_000
@@ -124,7 +125,7 @@ def token_rows(
             yield part
 
     return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).cast("string").alias("text")
     ).mapInArrow(write, ROWS)
 
 
