@@ -58,8 +58,9 @@ def _risk(values: dict[str, str] | None = None) -> str:
 SCORED = f"{STUDENTS}, scored AS (SELECT *, {_risk()} AS risk FROM students)"
 _TIER = "CASE WHEN risk > 0.7 THEN 'critical' WHEN risk >= 0.4 THEN 'warning' ELSE 'on_track' END"
 _ADVICE = (
-    f"CASE WHEN risk > 0.7 THEN '{actions.ROW_ADVICE[0]}' WHEN risk >= 0.4 THEN '{actions.ROW_ADVICE[1]}' "
-    f"ELSE '{actions.ROW_ADVICE[2]}' END"
+    "CASE WHEN risk > 0.7 THEN 'Immediate intervention recommended: contact within 48 hours' "
+    "WHEN risk >= 0.4 THEN 'Proactive monitoring recommended: monthly check-ins' "
+    "ELSE 'On track: maintain current support level' END"
 )
 
 
@@ -104,11 +105,26 @@ def top_k_per_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MEANS = ", ".join(f"avg(coalesce(CAST(\"{c}\" AS DOUBLE), 0)) AS m{i}" for i, c in enumerate(COEFFICIENTS))
 
 
-def _case(column: str, rules, default: str) -> str:
-    whens = " ".join(
-        "WHEN " + " OR ".join(f"contains(lower({column}), '{w}')" for w in words) + f" THEN '{text}'" for words, text in rules
-    )
-    return f"CASE {whens} ELSE '{default}' END"
+# the texts stand here once more, so that a change of the rules or of their order shows
+_ROW_ACTION = """CASE
+  WHEN contains(lower(feature), 'grade') OR contains(lower(feature), 'approved')
+    THEN 'Schedule tutoring sessions; recommend study groups'
+  WHEN contains(lower(feature), 'tuition') OR contains(lower(feature), 'fee')
+    THEN 'Provide financial aid guidance; offer payment plan options'
+  WHEN contains(lower(feature), 'debtor') THEN 'Refer to financial counseling; explore debt restructuring options'
+  WHEN contains(lower(feature), 'evaluation')
+    THEN 'Encourage attendance and assignment completion; provide structured check-ins'
+  WHEN contains(lower(feature), 'age') THEN 'Connect with support resources for non-traditional students'
+  ELSE 'Schedule an advisor consultation' END"""
+_SYSTEM_ACTION = """CASE
+  WHEN contains(lower(feature), 'tuition') OR contains(lower(feature), 'fee')
+    THEN 'Establish emergency financial aid funding and improve payment flexibility'
+  WHEN contains(lower(feature), 'scholarship') THEN 'Expand scholarship funding and eligibility review'
+  WHEN contains(lower(feature), 'grade') OR contains(lower(feature), 'approved')
+    THEN 'Strengthen academic support programs and targeted tutoring'
+  WHEN contains(lower(feature), 'evaluation')
+    THEN 'Review assessment practices and provide structured learning supports'
+  ELSE 'Monitor the factor and evaluate targeted interventions' END"""
 
 
 _CONTRIBUTIONS = f"""{SCORED}, means AS (SELECT {_MEANS} FROM scored), contributions AS (""" + " UNION ALL ".join(
@@ -137,7 +153,7 @@ def linear_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_CONTRIBUTIONS}, r AS (SELECT *, CAST(row_number() OVER (PARTITION BY student_id ORDER BY abs(contribution) DESC, feature) AS INT)
           AS place FROM contributions)
         SELECT student_id, place, feature, round(value, 6) AS value, round(contribution, 6) AS contribution,
-          {_case("feature", actions.ROW_ACTIONS, actions.ROW_DEFAULT)} AS action, {_ADVICE} AS overall_recommendation
+          {_ROW_ACTION} AS action, {_ADVICE} AS overall_recommendation
         FROM r WHERE place <= 5""",
 )
 def top_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +172,7 @@ _GLOBAL = f"""{_CONTRIBUTIONS}, g AS (SELECT feature, avg(abs(contribution)) AS
     "global_drivers",
     f"""WITH {_GLOBAL} SELECT rank, feature, round(mean_abs, 6) AS mean_abs,
           round(mean_abs / (SELECT max(mean_abs) FROM g), 6) AS bar_share,
-          {_case("feature", actions.SYSTEM_ACTIONS, actions.SYSTEM_DEFAULT)} AS policy_action FROM ranked WHERE rank <= 10""",
+          {_SYSTEM_ACTION} AS policy_action FROM ranked WHERE rank <= 10""",
 )
 def global_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = attribution.global_drivers(_explained(spark, sf_dir), COEFFICIENTS)
@@ -165,8 +181,8 @@ def global_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "strategic_recommendations",
-    f"""WITH {_GLOBAL}, f AS (SELECT count(*) FILTER (WHERE {" OR ".join(f"contains(lower(feature), '{w}')" for w in actions.STRATEGIES[0][0])}) AS money,
-          count(*) FILTER (WHERE {" OR ".join(f"contains(lower(feature), '{w}')" for w in actions.STRATEGIES[1][0])}) AS study
+    f"""WITH {_GLOBAL}, f AS (SELECT count(*) FILTER (WHERE regexp_matches(lower(feature), 'tuition|fee|scholarship|debtor')) AS money,
+          count(*) FILTER (WHERE regexp_matches(lower(feature), 'grade|approved|evaluation|curricular')) AS study
           FROM ranked WHERE rank <= 3)
         SELECT 'Financial Support' AS domain, 'Critical' AS priority, 'Strengthen financial support pathways' AS action FROM f WHERE money > 0
         UNION ALL SELECT 'Academic Support', 'High', 'Expand tutoring and academic success programs' FROM f WHERE study > 0
@@ -188,7 +204,10 @@ _PRIORITY = "CASE WHEN avg_risk > 0.6 THEN 'Critical' WHEN avg_risk > 0.4 THEN '
     f"""WITH {SCORED}, c AS (SELECT "Course" AS cohort_id, count(*) AS n, avg(risk) AS avg_risk FROM scored GROUP BY "Course"),
         p AS (SELECT *, {_PRIORITY} AS priority FROM c)
         SELECT 'Course' AS cohort_type, cohort_id, {_NAMES} AS cohort_name, n, priority, round(avg_risk, 6) AS avg_risk,
-          CASE priority {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in cohorts.COHORT_ACTIONS.items())} END AS recommended_action FROM p""",
+          CASE priority WHEN 'Critical' THEN 'Immediate intervention: assign dedicated advisor and increase TA support'
+            WHEN 'High' THEN 'Increase TA support and monitor weekly'
+            WHEN 'Medium' THEN 'Monitor closely and provide supplemental resources'
+            WHEN 'Low' THEN 'Maintain current support level' END AS recommended_action FROM p""",
 )
 def cohort_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored_students(spark, sf_dir).select("Course", "risk")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.registry import query, rounded
 from riskloom.operators import evaluate, fairness, split
-from riskloom.sources.tables import spread, table
+from riskloom.sources.tables import table
 
 # ------------------------------------------------------------------ splits and balance
 
@@ -96,7 +96,7 @@ _WEIGHTS = {
 
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the probabilities and predictions of two fixed scoring rules."""
-    lines = spread(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_returnflag", "truth")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "truth")
     rules = F.array(
         *[
             F.struct(F.lit(m).alias("model"), *[F.expr(w).alias(f"w_{k}") for k, w in zip(FLAGS, ws)])
@@ -221,15 +221,15 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "cross_validation_score",
-    f"""WITH {SCORED.replace("scored AS (", "all_scored AS (")}, scored AS (SELECT CAST(1 + (l_orderkey * 7 + l_linenumber) % 5 AS INT)
-          AS fold, truth, pred FROM all_scored WHERE model = 'by_quantity'), {report_sql("fold")}
-        SELECT count(*) AS folds, round(avg(CAST(f1 AS DOUBLE)), 6) AS cv_score_mean,
-          round(stddev_pop(CAST(f1 AS DOUBLE)), 6) AS cv_score_std FROM report WHERE label = 'macro avg'""",
+    f"""WITH {SCORED.replace("scored AS (", "all_scored AS (")}, scored AS (SELECT model || '#' ||
+          CAST(1 + (l_orderkey * 7 + l_linenumber) % 5 AS INT) AS part, truth, pred FROM all_scored), {report_sql("part")}
+        SELECT split_part(part, '#', 1) AS model, count(*) AS folds, round(avg(CAST(f1 AS DOUBLE)), 6) AS cv_score_mean,
+          round(stddev_pop(CAST(f1 AS DOUBLE)), 6) AS cv_score_std FROM report WHERE label = 'macro avg' GROUP BY 1""",
 )
 def cross_validation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = scored_lines(spark, sf_dir).where("model = 'by_quantity'")
+    s = scored_lines(spark, sf_dir)
     s = s.withColumn("fold", F.expr("CAST(1 + (l_orderkey * 7 + l_linenumber) % 5 AS INT)"))
-    return rounded(evaluate.cross_validation_score(s, "truth", "pred", "fold"))
+    return rounded(evaluate.cross_validation_score(s, "truth", "pred", "fold", ["model"]))
 
 
 @query(

@@ -13,7 +13,7 @@ from riskloom.operators.trajectory import TRAJECTORY_FEATURES
 from riskloom.plans import student
 from riskloom.plans.features import feature_table
 from riskloom.session import stage
-from riskloom.sources.tables import spread, table
+from riskloom.sources.tables import table
 
 ALL_PATHS = [f for fs in TRAJECTORY_FEATURES.values() for f in fs]
 
@@ -104,7 +104,7 @@ TOPICS = {
     "Other": ("ing", "tion", "ble"),
 }
 
-_WORDS = "list_filter(regexp_split_to_array(lower({t}), '[^a-z]+'), lambda w: w <> '')"
+_WORDS = "list_filter(regexp_split_to_array(lower({t}), '[^\\p{{L}}]+'), lambda w: w <> '')"
 
 
 def _in(words: tuple[str, ...]) -> str:
@@ -127,7 +127,7 @@ _TOPIC_CASE = (
           WHEN score <= 1 THEN 'High' END AS level FROM s""",
 )
 def lexicon_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rounded(signals.lexicon_scores(d, "text", STRAIN, 5.0).drop("text"))
 
 
@@ -139,7 +139,7 @@ def lexicon_score(spark: SparkSession, sf_dir: str) -> DataFrame:
           CASE topic WHEN 'None' THEN 0.0::DOUBLE WHEN 'Math' THEN 1.0 WHEN 'Language' THEN 0.5 ELSE 0.3 END AS difficulty FROM t""",
 )
 def topic_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("w"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text").select("doc_id", tokens(F.col("text")).alias("w"))
     tagged = d.select("doc_id", signals.topic_tag(F.col("w"), TOPICS).alias("topic"))
     return tagged.withColumns(
         {
@@ -184,7 +184,7 @@ QUADRANT_TOPICS = {
           WHEN prevalence <= 0.5 AND sentiment > 0 THEN 'Niche strength' ELSE 'Minor frustration' END AS quadrant FROM t""",
 )
 def topic_quadrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("text")).select(tokens(F.col("text")).alias("w"))
+    d = table(spark, sf_dir, "documents").select("text").select(tokens(F.col("text")).alias("w"))
     # the tokens are found once, as a projection below the aggregate
     s = d.select(_balance(F.col("w")).alias("s"), *[has_any(F.col("w"), x).alias(t) for t, x in QUADRANT_TOPICS.items()])
     return rounded(signals.topic_quadrants(s, {t: col(t) for t in QUADRANT_TOPICS}, "s"))

@@ -244,7 +244,7 @@ def outcome_distribution_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DRIFT_COUNTS = f"""WITH {WEEKLY_EVENTS},
   n AS (SELECT week, event_type, count(*) AS n FROM weekly
-    WHERE event_type IS NOT NULL AND NOT (event_type = 'signup' AND week = '2024-01-08') GROUP BY week, event_type),
+    WHERE event_type IS NOT NULL GROUP BY week, event_type),
   w AS (SELECT week, sum(n) AS total, row_number() OVER (ORDER BY week) AS no FROM n GROUP BY week),
   grid AS (SELECT w.week, w.no, w.total, t.event_type, coalesce(n.n, 0) AS n
     FROM w CROSS JOIN (SELECT DISTINCT event_type FROM n) t LEFT JOIN n ON n.week = w.week AND n.event_type = t.event_type)"""
@@ -269,37 +269,29 @@ DRIFT_CUMULATIVE = (
 )
 
 
-def drifting_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event type is taken out of the second week, so that a value is absent there."""
-    e = weekly_events(spark, sf_dir)
-    gone = (F.col("event_type") == "signup") & (F.col("week") == "2024-01-08")
-    return e.where(~F.coalesce(gone, F.lit(False)))
-
-
 @query("weekly_outcome_drift", DRIFT_LAST)
 def weekly_outcome_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(drift.drift_vs_previous(drifting_events(spark, sf_dir), "week", "event_type"))
+    return rounded(drift.drift_vs_previous(weekly_events(spark, sf_dir), "week", "event_type"))
 
 
 @query("cumulative_drift", DRIFT_CUMULATIVE)
 def cumulative_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(drift.drift_vs_cumulative(drifting_events(spark, sf_dir), "week", "event_type"))
+    return rounded(drift.drift_vs_cumulative(weekly_events(spark, sf_dir), "week", "event_type"))
 
 
 @query(
     "compare_shares",
     """WITH a AS (SELECT o_orderpriority AS p, count(*) * 100.0 / sum(count(*)) OVER () AS s FROM orders
-         WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' GROUP BY 1),
+         WHERE o_orderstatus = 'F' GROUP BY 1),
        b AS (SELECT o_orderpriority AS p, count(*) * 100.0 / sum(count(*)) OVER () AS s FROM orders
-         WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT' GROUP BY 1)
+         WHERE o_orderstatus <> 'F' GROUP BY 1)
        SELECT coalesce(a.p, b.p) AS o_orderpriority, round(coalesce(a.s, 0), 6) AS this_pct,
          round(coalesce(b.s, 0), 6) AS open_pct, round(coalesce(a.s, 0) - coalesce(b.s, 0), 6) AS delta_pct
        FROM a FULL OUTER JOIN b ON a.p = b.p""",
 )
 def compare_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    this = o.where("o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'")
-    ref = o.where("o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT'")
+    this, ref = o.where("o_orderstatus = 'F'"), o.where("o_orderstatus <> 'F'")
     return rounded(drift.compare_shares(this, ref, "o_orderpriority", "open"))
 
 
@@ -381,10 +373,10 @@ GAPPY_RULES = R.RuleSet(
     fill_rules=R.FILL_RULES,
 )
 _GAPPY_FILL = {
-    "price": ("continuous_general", "indicator+median", R.FILL_RULES["continuous"].rationale),
-    "priority": ("continuous_general", "indicator+unknown", R.FILL_RULES["categorical_text"].rationale),
-    "level": ("continuous_general", "indicator+zero", R.FILL_RULES["count"].rationale),
-    "urgent": ("finance", "indicator+assume_no", R.FILL_RULES["finance"].rationale),
+    "price": ("continuous_general", "indicator+median", "Continuous variable: use median and indicator"),
+    "priority": ("continuous_general", "indicator+unknown", "Text category: fill with 'Unknown' and indicator"),
+    "level": ("continuous_general", "indicator+zero", "Count variable: assume zero and indicator"),
+    "urgent": ("finance", "indicator+assume_no", "Financial variable: assume 'No' (0) and indicator"),
 }
 _GAPPY_NULLS = "WITH " + GAPPY_ORDERS + ", gaps AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", '{b}' AS rule_bucket, '{s}' AS strategy, '{r.replace(chr(39), chr(39) * 2)}' AS rationale, "
@@ -529,7 +521,7 @@ def _unit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _UNIT_LINES = f"""lines AS (SELECT {_UNIT} AS unit_price, l_extendedprice * l_discount * l_tax AS rebate, l_quantity,
     l_discount FROM lineitem)"""
-_UNIT_RULES = R.RuleSet(outlier_policies={"unit_price": R.OutlierPolicy("winsorize", "Unit price extremes are noise")})
+_UNIT_RULES = R.RuleSet(outlier_policies={"unit_price": R.Treatment("winsorize", "Unit price extremes are noise")})
 
 
 def _report_sql(c: str, handling: str, why: str) -> str:
@@ -573,5 +565,5 @@ def winsorize(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def apply_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = weekly_events(spark, sf_dir).select("event_id", "value")
-    noisy = R.RuleSet(outlier_policies={"value": R.OutlierPolicy("winsorize", "noise")})
+    noisy = R.RuleSet(outlier_policies={"value": R.Treatment("winsorize", "noise")})
     return rounded(outliers.apply_outliers(e, outliers.outlier_report(e, ["value"], noisy)))

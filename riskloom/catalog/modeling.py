@@ -1,7 +1,6 @@
-"""Fitted models.  Only steps with fixed numbers have an SQL counterpart.
+"""Fitted models in their full configuration.  Only steps with fixed numbers have an SQL counterpart.
 
-Queries on the same tables share one fitted run per session; sizes are smaller
-than the defaults, so that a local check ends in reasonable time.
+A run is fitted once and then reported on, so the queries on the same tables share it within a session.
 """
 
 from __future__ import annotations
@@ -13,14 +12,13 @@ from riskloom.catalog.fixtures import PATHS, STUDENTS, student_records
 from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col, mapped
 from riskloom.operators import correlation, evaluate, fairness, importance
-from riskloom.operators.models import Settings, cross_validate, load_trained
+from riskloom.operators.models import cross_validate, load_trained
 from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
-from riskloom.plans.actions import ActionPlan
+from riskloom.plans.actions import LINEAR, ActionPlan
 from riskloom.plans.modeling import Run, run_models
 from riskloom.session import shared_path, stage
 
-QUICK = Settings(logistic_iterations=100, forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
 POSITIVE = "Dropout"
 BINARY_TARGET = {"Dropout": 1, "Enrolled": 0, "Graduate": 0}
 TEXT_COLUMNS = ("Subject_Specific", "Academic_Stress_Level")
@@ -50,7 +48,7 @@ def _numeric(df: DataFrame) -> list[str]:
 def fitted(spark: SparkSession, sf_dir: str) -> Run:
     def make() -> Run:
         df = modeling_table(spark, sf_dir)
-        return run_models(df, "student_id", student.TARGET, _numeric(df), TEXT_COLUMNS, QUICK)
+        return run_models(df, "student_id", student.TARGET, _numeric(df), TEXT_COLUMNS)
 
     return _once(_runs, spark, sf_dir, make)
 
@@ -125,21 +123,21 @@ def _ready(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
 @query("l1_importance")
 def l1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready, features = _ready(spark, sf_dir)
-    return rounded(importance.l1_importance(ready, features, iterations=QUICK.logistic_iterations))
+    return rounded(importance.l1_importance(ready, features))
 
 
 @query("forest_importance")
 def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready, features = _ready(spark, sf_dir)
-    return rounded(importance.forest_importance(ready, features, trees=QUICK.forest_trees))
+    return rounded(importance.forest_importance(ready, features))
 
 
 @query("combined_importance")
 def combined_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both models are fitted once on the same staged matrix."""
     ready, features = _ready(spark, sf_dir)
-    l1 = importance.l1_importance(ready, features, importance.LIST_SIZE, iterations=QUICK.logistic_iterations)
-    rf = importance.forest_importance(ready, features, importance.LIST_SIZE, trees=QUICK.forest_trees)
+    l1 = importance.l1_importance(ready, features, importance.LIST_SIZE)
+    rf = importance.forest_importance(ready, features, importance.LIST_SIZE)
     return rounded(importance.combined_importance(l1, rf))
 
 
@@ -185,22 +183,22 @@ def model_fairness_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = modeling_table(spark, sf_dir).where(F.col(student.TARGET).isNotNull())
     numeric = _numeric(df)
-    folded = stage(stratified_folds(df, student.TARGET, "student_id", 3), "folds")
-    held = cross_validate(folded, student.TARGET, "fold", 3, numeric, settings=QUICK, key="student_id")
+    folded = stage(stratified_folds(df, student.TARGET, "student_id", 5), "folds")
+    held = cross_validate(folded, student.TARGET, "fold", 5, numeric, key="student_id")
     return rounded(evaluate.cross_validation_score(held, "truth", "pred", "fold"))
 
 
 @query("model_actions")
 def model_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows by tier of the boosted model, with the strongest driver of the linear one."""
-    listed = ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).tiers()
+    """Test rows by tier of the linear model, with its strongest driver."""
+    listed = ActionPlan.of(fitted(spark, sf_dir), LINEAR, POSITIVE).tiers()
     first = F.inline(F.slice("top_drivers", 1, 1))
     return rounded(listed.select(*[c for c in listed.columns if c != "top_drivers"], first))
 
 
 @query("model_drivers")
 def model_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).drivers())
+    return rounded(ActionPlan.of(fitted(spark, sf_dir), LINEAR, POSITIVE).drivers())
 
 
 @query("model_cohorts")
@@ -214,7 +212,7 @@ def model_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policy simulation with the forest as scorer."""
     plan = ActionPlan.of(fitted(spark, sf_dir), "Random_Forest", POSITIVE)
-    return rounded(plan.policies(student.policies(F.col("risk") > 0.4), cut=0.35, high=0.4))
+    return rounded(plan.policies(student.policies(F.col("risk") > 0.7)))
 
 
 @query("model_what_if")

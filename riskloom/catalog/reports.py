@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.actions import _GLOBAL, COEFFICIENTS, INTERCEPT, SCORED
 from riskloom.catalog.fixtures import STUDENTS, WEEKLY_EVENTS, student_records
-from riskloom.catalog.intake import DRIFT_CUMULATIVE, DRIFT_LAST, drifting_events
+from riskloom.catalog.intake import DRIFT_CUMULATIVE, DRIFT_LAST
 from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col
 from riskloom.operators import actions, attribution, outcome
@@ -112,7 +112,7 @@ def _panel_sql() -> str:
 
 @query("intake_panel", _panel_sql())
 def intake_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = drifting_events(spark, sf_dir).select("week", "user_id", "event_type", "value")
+    e = weekly_events(spark, sf_dir).select("week", "user_id", "event_type", "value")
     checks = [Check("high_value", "WARN", ("value",), F.col("value") > 250, "value > 250")]
     return rounded(intake.segment_panels(e, "week", "event_type", checks))
 
@@ -227,8 +227,10 @@ _CONTRIB = _GLOBAL[: _GLOBAL.index(", g AS (SELECT feature, avg(abs(contribution
           QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY abs(contribution) DESC, feature) = 1),
         t AS (SELECT student_id, risk, CASE WHEN risk > 0.7 THEN 'critical' WHEN risk >= 0.4 THEN 'warning' ELSE 'on_track' END AS tier FROM scored),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY tier ORDER BY risk DESC, student_id) AS INT) AS tier_rank FROM t)
-        SELECT tier, tier_rank, r.student_id, round(risk, 6) AS risk, top_factor, CASE tier WHEN 'critical' THEN '{actions.ROW_ADVICE[0]}'
-          WHEN 'warning' THEN '{actions.ROW_ADVICE[1]}' ELSE '{actions.ROW_ADVICE[2]}' END AS overall_recommendation
+        SELECT tier, tier_rank, r.student_id, round(risk, 6) AS risk, top_factor, CASE tier
+          WHEN 'critical' THEN 'Immediate intervention recommended: contact within 48 hours'
+          WHEN 'warning' THEN 'Proactive monitoring recommended: monthly check-ins'
+          ELSE 'On track: maintain current support level' END AS overall_recommendation
         FROM r JOIN best ON r.student_id = best.student_id WHERE tier_rank <= 10""",
 )
 def report_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:

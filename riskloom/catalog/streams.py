@@ -27,7 +27,7 @@ def stream_weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "weekly")
     intake.finished(intake.run_complete(intake.weekly_counts(_events(spark, sf_dir), "ts", "event_type"), path))
     total = F.sum("n").over(Window.partitionBy("week"))
-    return rounded(spark.read.parquet(path).withColumn("pct", pct(F.col("n"), total)))
+    return rounded(intake.current(spark, path).withColumn("pct", pct(F.col("n"), total)))
 
 
 @query(
@@ -56,12 +56,13 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "pulse")
     intake.finished(intake.run_complete(intake.pulse(_events(spark, sf_dir), "ts", "value", 49.0), path))
-    return rounded(spark.read.parquet(path))
+    return rounded(intake.current(spark, path))
 
 
 @query("stream_without_repeats", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event arrives twice; the watermark covers the whole month, so none is late."""
+    intake.on_disk_state(spark)
     e = _events(spark, sf_dir)
     twice = e.unionByName(_events(spark, sf_dir))
     path = shared_path(spark, "once")

@@ -8,8 +8,8 @@ from pyspark.sql import Column, functions as F
 
 
 def tokens(c: Column) -> Column:
-    """Lower-case runs of ASCII letters."""
-    return F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: w != "")
+    """Lower-case runs of letters, accented ones included."""
+    return F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != "")
 
 
 def word_hits(words: Column, lexicon: Sequence[str]) -> Column:

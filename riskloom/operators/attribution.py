@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,6 +48,25 @@ def linear_contributions(
     return df.withColumn("contributions", F.array(*parts))
 
 
+def vector_contributions(
+    df: DataFrame, values: Column, features: Sequence[str], weights: Sequence[float], means: Sequence[float]
+) -> DataFrame:
+    """Add ``contributions`` of the array ``values``, which holds what the model itself was given.
+
+    With the means of the training rows they add up to the row's margin less the margin at these means, which is the
+    mean margin of the training rows.
+    """
+    parts = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            values[i].alias("value"),
+            ((values[i] - F.lit(float(m))) * F.lit(float(w))).alias("contribution"),
+        )
+        for i, (f, w, m) in enumerate(zip(features, weights, means))
+    ]
+    return df.withColumn("contributions", F.array(*parts))
+
+
 def top_drivers(df: DataFrame, k: int = 5) -> DataFrame:
     """Add ``top_drivers``: the k contributions of largest size, ties by feature name."""
     sortable = F.transform(

@@ -23,16 +23,26 @@ FLAT = 1e-12
 
 
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, r) for the listed pairs; r is NULL where either side is constant.
+    """(a, b, r) for the listed pairs; r is NULL where either side is constant or holds an infinite value.
 
     The sums come back as one row per pass, a few numbers per pair.
     """
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: i for i, c in enumerate(names)}
     x = numeric_view(df, names, names=[f"x{i}" for i in range(len(names))])
-    moments = [f"count(x{i}) n{i}, avg(x{i}) m{i}, stddev_pop(x{i}) s{i}" for i in range(len(names))]
-    row = x.selectExpr("count(1) n", *[m for part in moments for m in part.split(", ")]).first()
-    spread = [c for c in names if row[f"s{at[c]}"]]
+    moments = []
+    for i in range(len(names)):
+        v = F.col(f"x{i}")
+        finite = F.when(F.abs(v) < float("inf"), v)
+        moments += [
+            F.count(v).alias(f"n{i}"),
+            F.avg(finite).alias(f"m{i}"),
+            F.stddev_pop(finite).alias(f"s{i}"),
+            F.count_if(F.abs(v) == float("inf")).alias(f"i{i}"),
+        ]
+    row = x.agg(F.count(F.lit(1)).alias("n"), *moments).first()
+    # a column with an infinite value has no correlation
+    spread = [c for c in names if row[f"s{at[c]}"] and not row[f"i{at[c]}"]]
     gaps = {c for c in names if row[f"n{at[c]}"] < row["n"]}
 
     z = x.selectExpr(

@@ -11,8 +11,13 @@ from riskloom.session import stage
 def shares(df: DataFrame, target: str) -> DataFrame:
     """(target, pct) over the rows with a known outcome."""
     counts = df.where(col(target).isNotNull()).groupBy(col(target)).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    return counts.select(col(target), pct(F.col("n"), total).alias("pct"))
+    return with_total(counts, "n").select(col(target), pct(F.col("n"), F.col("_total")).alias("pct"))
+
+
+def with_total(counts: DataFrame, n: str) -> DataFrame:
+    """Add ``_total``, the sum of ``n`` over all rows, which is one row to look up."""
+    total = counts.agg(F.sum(n).alias("_total")).withColumn("_all", F.lit(1))
+    return counts.withColumn("_all", F.lit(1)).join(F.broadcast(total), "_all").drop("_all")
 
 
 def compare_shares(this: DataFrame, ref: DataFrame, target: str, ref_name: str = "ref") -> DataFrame:

@@ -27,7 +27,6 @@ REPORT_LEVELS = ((1.5, "Minimal Imbalance"), (3.0, "Light Imbalance"), (5.0, "Mo
 REPORT_SEVERE = "Severe Imbalance"
 
 SCORES_PER_TASK = 250_000
-MAX_RANGES = 2000
 
 
 def class_imbalance(df: DataFrame, label: str) -> DataFrame:
@@ -165,10 +164,9 @@ def roc_auc_ovr(
     positive = F.col("_t").eqNullSafe(F.col("label"))
     counts = long.groupBy(*keys, "score").agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
 
-    distinct = max(
-        df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(scores.values())]).first()
-    )
-    parts = min(math.ceil((distinct or 0) / rows_per_task), MAX_RANGES)
+    sizes = [F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(scores.values())]
+    most = df.groupBy(*groups).agg(*sizes).agg(*[F.max(f"d{i}") for i in range(len(sizes))]).first()
+    parts = math.ceil(max((n or 0 for n in most), default=0) / rows_per_task)
     if parts > 1:
         # any borders give the same result; these make the ranges about equally full
         at = [i / parts for i in range(1, parts)]
@@ -197,10 +195,10 @@ def roc_auc_ovr(
     return both.select(*groups, F.inline(F.concat("_each", macro)))
 
 
-def cross_validation_score(df: DataFrame, truth: str, pred: str, fold: str) -> DataFrame:
-    """(folds, mean, std): macro F1 per fold, its mean and population deviation."""
-    report = classification_report(df, truth, pred, [fold]).where(F.col("label") == "macro avg")
-    return report.agg(
+def cross_validation_score(df: DataFrame, truth: str, pred: str, fold: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., folds, mean, std): macro F1 per fold, its mean and population deviation."""
+    report = classification_report(df, truth, pred, [*by, fold]).where(F.col("label") == "macro avg")
+    return report.groupBy(*[col(b) for b in by]).agg(
         F.count(F.lit(1)).alias("folds"), F.avg("f1").alias("cv_score_mean"), F.stddev_pop("f1").alias("cv_score_std")
     )
 

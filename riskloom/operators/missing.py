@@ -52,8 +52,8 @@ def missing_plan(df: DataFrame, rules: RuleSet, kinds: Mapping[str, str] | None
         rule = rules.fill_rule(c, kinds.get(c))
         extra[c] = (
             F.lit(rules.bucket(c)).alias("rule_bucket"),
-            F.lit(rule.strategy).alias("strategy"),
-            F.lit(rule.rationale).alias("rationale"),
+            F.lit(rule.action).alias("strategy"),
+            F.lit(rule.reason).alias("rationale"),
         )
     return (
         _null_counts(df, df.columns, extra)

@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.functions.expr import col
 from riskloom.operators.orderstats import quantile_table
 from riskloom.operators.split import class_weights, with_weights
-from riskloom.session import stage
+from riskloom.session import shared_path, stage
 
 FEATURES, LABEL, WEIGHT = "_features", "_label", "_weight"
+ROWS_PER_PARTITION = 20_000
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,7 @@ class Settings:
     """Model sizes.  The defaults are the full configuration."""
 
     penalty: float = 0.1
-    logistic_iterations: int = 2000
+    logistic_iterations: int = 2000  # an upper limit; fitting stops on tolerance
     tree_depth: int = 5
     tree_leaf: int = 50
     forest_trees: int = 200
@@ -134,6 +135,8 @@ def estimators(settings: Settings, rows: int, boosted_parallel: int = 3) -> dict
             minInstancesPerNode=s.boost_leaf,
             subsamplingRate=s.boost_rows,
             featureSubsetStrategy=str(s.boost_columns),
+            cacheNodeIds=True,
+            checkpointInterval=20,  # hundreds of rounds make a long lineage
             seed=s.seed,
         ),
         featuresCol=FEATURES,
@@ -177,9 +180,14 @@ class Trained:
             *[F.element_at(p, i + 1).alias(f"p_{c}") for i, c in enumerate(self.classes)],
         )
 
+    def prepared_array(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the prepared features as an array, in the order of ``features``."""
+        ready = self.preparation.transform(df)
+        return ready.select(*[col(c) for c in df.columns], vector_to_array(FEATURES).alias(name))
+
     def score_all(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Scores of every model, with ``model``; the features are prepared once."""
-        prepared = stage(self.preparation.transform(df), "prepared")
+        prepared = stage(self.preparation.transform(df).select(*[col(c) for c in keep], FEATURES), "prepared")
         out = None
         for name in self.models:
             part = self._scored(prepared, name, keep).withColumn("model", F.lit(name))
@@ -238,6 +246,11 @@ def train(
     ready = preparation.transform(with_weights(known, target, WEIGHT, weights).withColumn(LABEL, codes))
     ready = stage(ready.select(FEATURES, LABEL, WEIGHT), "train")
     rows = ready.count()
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_path(df.sparkSession, "checkpoints"))
+    # every round is a job over all partitions, so these should be full
+    ready = ready.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
     todo = estimators(settings, rows)
     fitted = {n: todo[n].fit(ready) for n in names}
     return Trained(preparation, fitted, list(numeric), list(categorical), classes)

@@ -7,7 +7,9 @@ values rather than rows (a value held by a third of all rows is one entry).
 Beyond the bound the k-th value is found by narrowing brackets: every round
 counts the rows per slice of each bracket, with map-side combine, and keeps
 the slice that holds the wanted rank.  No round shuffles more than the slice
-counts, and the result is the exact value.
+counts, and the result is the exact value.  Slices are equal in value; where
+that has hardly narrowed a bracket, the next round slices by order of magnitude,
+so values over any number of decades take few rounds.
 """
 
 from __future__ import annotations
@@ -17,14 +19,14 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.functions.expr import col, no_nan, number
 from riskloom.session import stage
 
 MAP_LIMIT = 200_000
-GROUP_LIMIT = 10_000
 SLICES = 1024
+STUCK = 8  # a round that leaves more than this part of a bracket's rows has not narrowed it
 ROWS_PER_TASK = 2_000_000
 
 
@@ -72,25 +74,36 @@ class Facts:
         return sum(n for key, (n, _, _, _) in self.cells.items() if key[-1] == column)
 
 
-def column_facts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Facts | None:
-    """Facts of all columns in one pass; None if there are more groups than a bounded table should hold."""
-    wide = numeric_view(df, columns, by, [f"_x{i}" for i in range(len(columns))])
-    aggs = [
+def _cell_aggregates(columns: Sequence[str]) -> list:
+    return [
         F.expr(f.format(f"_x{i}")).alias(f"{n}{i}")
         for i in range(len(columns))
         # a coarse sketch is enough to choose a way, and keeps many columns in one compact aggregate
         for n, f in (("n", "count({})"), ("a", "min({})"), ("z", "max({})"), ("d", "approx_count_distinct({}, 0.1)"))
     ]
-    rows = wide.groupBy(*[col(b) for b in by]).agg(*aggs).limit(GROUP_LIMIT + 1).collect()
-    if len(rows) > GROUP_LIMIT:
-        return None
-    return Facts(
-        {
-            (*[r[b] for b in by], c): (r[f"n{i}"], r[f"a{i}"], r[f"z{i}"], r[f"d{i}"])
-            for r in rows
-            for i, c in enumerate(columns)
-        }
-    )
+
+
+def column_facts(df: DataFrame, columns: Sequence[str]) -> Facts:
+    """Facts of all columns over the whole table, in one pass."""
+    wide = numeric_view(df, columns, names=[f"_x{i}" for i in range(len(columns))])
+    r = wide.agg(*_cell_aggregates(columns)).first()
+    return Facts({(c,): (r[f"n{i}"], r[f"a{i}"], r[f"z{i}"], r[f"d{i}"]) for i, c in enumerate(columns)})
+
+
+def large_cells(df: DataFrame, columns: Sequence[str], by: Sequence[str], limit: int) -> dict[tuple, tuple]:
+    """(by..., column) -> (n, smallest, largest) of the cells with more than ``limit`` distinct values.
+
+    All other groups stay where they are, however many: a listed cell holds more than ``limit`` rows.
+    """
+    wide = numeric_view(df, columns, by, [f"_x{i}" for i in range(len(columns))])
+    per_group = wide.groupBy(*[col(b) for b in by]).agg(*_cell_aggregates(columns))
+    most = F.greatest(*[F.col(f"d{i}") for i in range(len(columns))], F.lit(0))
+    return {
+        (*[r[b] for b in by], c): (r[f"n{i}"], r[f"a{i}"], r[f"z{i}"])
+        for r in per_group.where(most > limit).collect()
+        for i, c in enumerate(columns)
+        if r[f"d{i}"] > limit
+    }
 
 
 def few_distinct(
@@ -121,6 +134,8 @@ class _Bracket:
     high: float
     below: int
     ranks: tuple[int, ...]
+    size: int = 0  # rows inside
+    by_magnitude: bool = False
 
 
 def select_ranks(
@@ -150,15 +165,23 @@ def select_ranks(
         ranks = tuple(sorted({min(max(int(x), 0), n - 1) for x in wanted(key, n)}))
         found[key] = (n, {})
         if ranks:
-            open_brackets.append(_Bracket(key, low, high, 0, ranks))
+            open_brackets.append(_Bracket(key, low, high, 0, ranks, n))
 
     schema = T.StructType(
         [T.StructField("_b", T.IntegerType())]
         + [T.StructField(f"_k{i}", long.schema[k].dataType) for i, k in enumerate(keys)]
         + [T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())]
+        + [T.StructField("_log", T.BooleanType())]
     )
     v, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
-    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+
+    def magnitude(x: Column) -> Column:
+        return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.log(F.abs(x)) + 746.0))  # ln of any double > -746
+
+    even = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    by_size = (magnitude(v) - magnitude(lo)) / (magnitude(hi) - magnitude(lo))
+    # infinite ends give no share; any slice will do, as the next round knows the finite ends
+    share = F.greatest(F.nanvl(F.when(F.col("_log"), by_size).otherwise(even), F.lit(0.5)), F.lit(0.0))
     # the two ends get slices of their own, so that every round narrows
     part = (
         F.when(v == lo, F.lit(0))
@@ -175,7 +198,7 @@ def select_ranks(
         if not todo:
             break
         # one row per open bracket: columns x groups x wanted ranks
-        table = spark.createDataFrame([(i, *b.key, b.low, b.high) for i, b in enumerate(todo)], schema)
+        table = spark.createDataFrame([(i, *b.key, b.low, b.high, b.by_magnitude) for i, b in enumerate(todo)], schema)
         on = (v >= lo) & (v <= hi)
         for i, k in enumerate(keys):
             on = col(k).eqNullSafe(F.col(f"_k{i}")) & on
@@ -198,7 +221,9 @@ def select_ranks(
             for rank in b.ranks:
                 hit.setdefault(bisect_right(starts, rank) - 1, []).append(rank)
             for j, ranks in hit.items():
-                open_brackets.append(_Bracket(b.key, parts[j][2], parts[j][3], starts[j], tuple(ranks)))
+                size = parts[j][1]
+                stuck = STUCK * size > b.size and not b.by_magnitude
+                open_brackets.append(_Bracket(b.key, parts[j][2], parts[j][3], starts[j], tuple(ranks), size, stuck))
     return found
 
 
@@ -212,6 +237,16 @@ def _interpolated(n: int, at: dict[int, float], probs: Sequence[float]) -> list[
     return out
 
 
+def _of_cells(long: DataFrame, keys: Sequence[str], cells: Iterable[tuple], how: str) -> DataFrame:
+    """The rows of the given (large, so few) cells, or all others."""
+    schema = T.StructType([T.StructField(f"_k{i}", long.schema[k].dataType) for i, k in enumerate(keys)])
+    table = long.sparkSession.createDataFrame(list(cells), schema)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & col(k).eqNullSafe(F.col(f"_k{i}"))
+    return long.join(F.broadcast(table), on, how)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -224,22 +259,30 @@ def exact_quantiles(
 
     ``q`` is an array in the order of ``probs``.  Columns without values have no row.
     """
-    facts = facts or column_facts(df, columns, by)
-    # with very many groups each one is counted on its own, in parallel
-    small = [c for c in columns if facts is None or facts.distinct(c) <= map_limit]
-    large = [c for c in columns if c not in small]
     keys = [*by, "column"]
+    if by:
+        sizes = large_cells(df, columns, by, map_limit)
+        small = list(columns)
+    else:
+        facts = facts or column_facts(df, columns)
+        sizes = {k: (n, a, z) for k, (n, a, z, d) in facts.cells.items() if k[-1] in columns and d > map_limit}
+        small = [c for c in columns if (c,) not in sizes]
     parts = []
     if small:
         array = "array(" + ",".join(f"{float(p)!r}D" for p in probs) + ")"
+        values = long_values(df, small, by)
+        if by and sizes:
+            values = _of_cells(values, keys, sizes, "left_anti")
+        counted = values.groupBy(*[col(k) for k in keys], "value").agg(F.count(F.lit(1)).alias("n"))
         parts.append(
-            value_counts(df, small, by)
-            .groupBy(*[col(k) for k in keys])
-            .agg(F.sum("n").alias("n"), F.expr(f"percentile(value, {array}, n)").alias("q"))
+            counted.groupBy(*[col(k) for k in keys]).agg(
+                F.sum("n").alias("n"), F.expr(f"percentile(value, {array}, n)").alias("q")
+            )
         )
-    if large:
-        long = long_values(df, large, by)
-        sizes = {k: (n, a, z) for k, (n, a, z, _) in facts.cells.items() if k[-1] in large}
+    if sizes:
+        long = long_values(df, [c for c in columns if any(k[-1] == c for k in sizes)], by)
+        if by:
+            long = _of_cells(long, keys, sizes, "left_semi")
         found = select_ranks(
             long, keys, lambda _, n: [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)], sizes
         )

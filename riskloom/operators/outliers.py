@@ -112,8 +112,8 @@ def outlier_report(
                 F.lit(c).alias("column"),
                 F.col(f"o{i}").alias("outlier_count"),
                 pct(F.col(f"o{i}"), F.col(f"n{i}")).alias("outlier_pct"),
-                F.lit(rules.policy(c).handling).alias("handling"),
-                F.lit(rules.policy(c).rationale).alias("rationale"),
+                F.lit(rules.policy(c).action).alias("handling"),
+                F.lit(rules.policy(c).reason).alias("rationale"),
             )
             for i, c in enumerate(names)
         ]

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from riskloom.operators.drift import with_total
 from riskloom.functions.expr import col, pct
 from riskloom.plans.rules import SEVERITIES, Check
 
@@ -73,9 +74,7 @@ def outcome_distribution(df: DataFrame, target: str, by: Sequence[str] = ()) ->
     if by:
         total = F.sum("count").over(Window.partitionBy(*[col(b) for b in by]))
         return counts.withColumn("pct", pct(F.col("count"), total))
-    # counted outcomes only: one row per class
-    total = F.sum("count").over(Window.partitionBy(F.lit(1)))
-    return counts.withColumn("pct", pct(F.col("count"), total))
+    return with_total(counts, "count").withColumn("pct", pct(F.col("count"), F.col("_total"))).drop("_total")
 
 
 def integrity_audit(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:

@@ -31,6 +31,7 @@ class Scenario:
 def scenario_rows(df: DataFrame, features: Sequence[str], scenarios: Sequence[Scenario], keep: Sequence[str]) -> DataFrame:
     """One copy of each eligible row per scenario, with ``scenario`` and the changed features.
 
+    ``keep`` are columns that go along unchanged: keys, and features that are no numbers.
     Copies are unfolded in place, so nothing is joined or shuffled.
     """
     copies = []
@@ -45,10 +46,20 @@ def scenario_rows(df: DataFrame, features: Sequence[str], scenarios: Sequence[Sc
 
 
 def what_if(
-    df: DataFrame, key: str, risk: str, features: Sequence[str], scenarios: Sequence[Scenario], scorer: Scorer
+    df: DataFrame,
+    key: str,
+    risk: str,
+    features: Sequence[str],
+    scenarios: Sequence[Scenario],
+    scorer: Scorer,
+    others: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, scenario, baseline_risk, new_risk, risk_reduction, reduction_pct) for every row."""
-    rows = scenario_rows(df.withColumn("baseline_risk", col(risk)), features, scenarios, [key, "baseline_risk"])
+    """(key, scenario, baseline_risk, new_risk, risk_reduction, reduction_pct) for every row.
+
+    ``others`` are features that the scorer reads and no scenario changes, of any type.
+    """
+    based = df.withColumn("baseline_risk", col(risk))
+    rows = scenario_rows(based, features, scenarios, [key, "baseline_risk", *others])
     scored = scorer(rows)
     gain = F.col("baseline_risk") - col(risk)
     return scored.select(
@@ -107,6 +118,7 @@ def policy_simulation(
     scorer: Scorer,
     cut: float = 0.5,
     high: float = 0.7,
+    others: Sequence[str] = (),
 ) -> DataFrame:
     """(scenario, description, beneficiaries, total_cost, prevented, cost_per_save, new_rate, baseline_rate, ...).
 
@@ -115,7 +127,7 @@ def policy_simulation(
     save is NULL.
     """
     base = baseline(df, risk, scenarios, cut, high)
-    copies = scorer(scenario_rows(df, features, scenarios, []))
+    copies = scorer(scenario_rows(df, features, scenarios, list(others)))
     after = copies.groupBy("scenario").agg(F.count_if(col(risk) > cut).alias("_still"))
     facts = df.sparkSession.createDataFrame(
         [

@@ -11,16 +11,31 @@ from riskloom.functions.expr import col
 from riskloom.operators import actions, attribution, cohorts, scenarios
 from riskloom.operators.scenarios import Scenario, Scorer
 from riskloom.plans.modeling import Run
-from riskloom.session import stage
 
 
-def linear_weights(run: Run, positive: str) -> dict[str, float]:
-    """Coefficients of the positive class of the L1 model per unit of the raw numeric column."""
-    scaler, model = run.trained.models["Logistic_L1"].stages
-    spread = scaler.std.toArray()
-    raw = model.coefficientMatrix.toArray()[run.trained.classes.index(positive)]
-    numeric = run.trained.numeric
-    return {f: float(raw[i] / spread[i]) if spread[i] > 0 else 0.0 for i, f in enumerate(numeric)}
+LINEAR = "Logistic_L1"
+
+
+@dataclass(frozen=True)
+class Linear:
+    """The margin of one class of the linear model on prepared features: per unit, with the training means."""
+
+    features: Sequence[str]
+    weights: Sequence[float]
+    means: Sequence[float]
+    at_means: float
+
+
+def linear_part(run: Run, positive: str) -> Linear:
+    """Of features without spread in training the weight is 0."""
+    if LINEAR not in run.trained.models:
+        raise ValueError(f"the run has no {LINEAR} model; fitted are {', '.join(run.trained.models)}")
+    scaler, model = run.trained.models[LINEAR].stages
+    place = run.trained.classes.index(positive)
+    spread, raw = scaler.std.toArray(), model.coefficientMatrix.toArray()[place]
+    weights = [float(w / s) if s > 0 else 0.0 for w, s in zip(raw, spread)]
+    means = [float(m) for m in scaler.mean.toArray()]
+    return Linear(run.trained.features, weights, means, float(model.interceptVector.toArray()[place]))
 
 
 @dataclass(frozen=True)
@@ -34,29 +49,37 @@ class ActionPlan:
 
     @classmethod
     def of(cls, run: Run, model: str, positive: str) -> ActionPlan:
-        risk = run.scored.where(F.col("model") == model).select(
-            col(run.key), F.col("pred").alias("predicted_status"), col(f"p_{positive}").alias("risk")
+        """The scored rows hold all columns of the test rows, so nothing is joined back."""
+        if model not in run.trained.models:
+            raise ValueError(f"the run has no {model} model; fitted are {', '.join(run.trained.models)}")
+        rows = run.scored.where(F.col("model") == model).withColumnsRenamed(
+            {"pred": "predicted_status", f"p_{positive}": "risk"}
         )
-        return cls(run, model, positive, stage(run.test.join(risk, run.key), "risk"))
+        return cls(run, model, positive, rows)
 
     def scorer(self, keep: Sequence[str]) -> Scorer:
-        """The model as scorer of scenario tables; text columns they lack count as missing."""
+        """The model as scorer of scenario tables, which must hold all its features."""
 
         def score(df: DataFrame) -> DataFrame:
-            absent = {c: F.lit(None).cast("string") for c in self.run.trained.features if c not in df.columns}
-            whole = df.withColumns(absent) if absent else df
-            present = [c for c in keep if c in df.columns]
-            scored = self.run.trained.score(whole, self.model, present)
+            scored = self.run.trained.score(df, self.model, [c for c in keep if c in df.columns])
             return scored.withColumnRenamed(f"p_{self.positive}", "risk")
 
         return score
 
+    def explained(self, rows: DataFrame) -> DataFrame:
+        """Add the linear model's ``contributions``, from the features as it was given them."""
+        part = linear_part(self.run, self.positive)
+        values = self.run.trained.prepared_array(rows, "_values")
+        return attribution.vector_contributions(values, F.col("_values"), part.features, part.weights, part.means)
+
     def tiers(self, k: int = 50, drivers: int = 5) -> DataFrame:
-        """The k riskiest rows per tier with rank, drivers of the linear model, actions and advice."""
-        weights = linear_weights(self.run, self.positive)
-        means = attribution.feature_means(self.rows, weights)
+        """The k riskiest rows per tier with rank, drivers, actions and advice.
+
+        Drivers are those of the linear model; with another model's risk they tell about the features, not about
+        that model, so lists to act on should be ranked by the linear one, too.
+        """
         top = actions.top_per_tier(self.rows, "risk", self.run.key, k)
-        explained = attribution.top_drivers(attribution.linear_contributions(top, weights, means), drivers)
+        explained = attribution.top_drivers(self.explained(top), drivers)
         return actions.with_actions(explained, "risk").select(
             col(self.run.key),
             "tier",
@@ -72,20 +95,23 @@ class ActionPlan:
     def what_if(self, plans: Sequence[Scenario]) -> DataFrame:
         numeric = self.run.trained.numeric
         score = self.scorer([self.run.key, "scenario", "baseline_risk"])
-        return scenarios.what_if(self.rows, self.run.key, "risk", numeric, plans, score)
+        return scenarios.what_if(
+            self.rows, self.run.key, "risk", numeric, plans, score, self.run.trained.categorical
+        )
 
     def policies(self, plans: Sequence[Scenario], cut: float = 0.5, high: float = 0.7) -> DataFrame:
         numeric = self.run.trained.numeric
-        return scenarios.policy_simulation(self.rows, "risk", numeric, plans, self.scorer(["scenario"]), cut, high)
+        return scenarios.policy_simulation(
+            self.rows, "risk", numeric, plans, self.scorer(["scenario"]), cut, high, self.run.trained.categorical
+        )
 
     def cohorts(self, cohort: str, names: Mapping[int, str] | None = None) -> DataFrame:
         return cohorts.cohort_risk(self.rows, cohort, "risk", names)
 
     def drivers(self, k: int = 10) -> DataFrame:
         """Features by the mean size of their contribution, with the action for the whole system."""
-        weights = linear_weights(self.run, self.positive)
-        explained = attribution.linear_contributions(self.rows, weights)
-        found = attribution.global_drivers(explained, weights, k)
+        features = self.run.trained.features
+        found = attribution.global_drivers(self.explained(self.rows), dict.fromkeys(features, 0.0), k)
         return found.withColumn("policy_action", actions.system_action(F.col("feature")))
 
     def recommendations(self) -> DataFrame:

@@ -16,7 +16,7 @@ from riskloom.session import stage
 
 @dataclass(frozen=True)
 class Run:
-    """A fitted run: the split table, the models, and the test rows scored by each model."""
+    """A fitted run: the split table, the models, and the whole test rows scored by each model."""
 
     rows: DataFrame
     trained: Trained
@@ -43,10 +43,8 @@ class Run:
 
     def audit(self, model: str, attributes: Sequence[str], positive: str) -> DataFrame:
         """Fairness of one model on the test rows; predictions are labels, as the truth is."""
-        judged = self.scored.where(F.col("model") == model).select(col(self.key), "pred")
-        known = self.test.select(col(self.key), col(self.target), *[col(a) for a in attributes])
-        rates = fairness.group_rates(known.join(judged, self.key), attributes, self.target, "pred", positive)
-        return fairness.full_audit(rates)
+        judged = self.scored.where(F.col("model") == model)
+        return fairness.full_audit(fairness.group_rates(judged, attributes, self.target, "pred", positive))
 
 
 def run_models(
@@ -63,5 +61,5 @@ def run_models(
     known = df.where(col(target).isNotNull())
     rows = stage(stratified_split(known, target, key, share), "split")
     trained = train(rows.where(F.col("split") == "train"), target, numeric, categorical, settings, names)
-    scored = trained.score_all(rows.where(F.col("split") == "test"), [key, target])
+    scored = trained.score_all(rows.where(F.col("split") == "test"), rows.columns)
     return Run(rows, trained, stage(scored, "scored"), key, target)

@@ -13,7 +13,7 @@ from riskloom.plans.rules import BINARY, CODE, CONTINUOUS, COUNT, TEXT, RuleSet
 
 
 def group_profiles(
-    df: DataFrame, rules: RuleSet, kinds: Mapping[str, str], top: int = 10, max_categories: int = 10
+    df: DataFrame, rules: RuleSet, kinds: Mapping[str, str], top: int = 10, max_categories: int | None = None
 ) -> dict[str, DataFrame]:
     """Tables ``binary``, ``continuous`` and ``categorical``, each with the feature group of its columns.
 
@@ -23,7 +23,7 @@ def group_profiles(
     by_kind = group_by_kind({c: kinds[c] for c in place})
     names = [x for pair in place.items() for x in pair]
     group = F.try_element_at(F.create_map(*[F.lit(x) for x in names]), F.col("column")).alias("group")
-    # the categorical table takes the first columns of every group
+    # a page may ask for the first columns of every group only
     shown: list[str] = []
     for cs in rules.groups.values():
         here = [c for c in cs if c in place]

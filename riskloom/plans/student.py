@@ -16,7 +16,7 @@ from riskloom.plans.rules import (
     COUNT,
     FILL_RULES,
     Check,
-    OutlierPolicy,
+    Treatment,
     RuleSet,
 )
 
@@ -109,6 +109,7 @@ KINDS = {
     **dict.fromkeys(COUNTS, COUNT),
 }
 
+# Rule buckets in their order of precedence, outlier treatments and their wording.
 BUCKETS = (
     ("critical_academic", frozenset(SEM1 + SEM2)),
     ("finance", frozenset(GROUPS["Financial / administrative"])),
@@ -118,15 +119,15 @@ BUCKETS = (
     ("macro", frozenset(GROUPS["Macro context"])),
 )
 
-MACRO_NOISE = OutlierPolicy("winsorize", "Macroeconomic extremes are external noise")
+MACRO_NOISE = Treatment("winsorize", "Macroeconomic extremes are external noise")
 OUTLIER_POLICIES = {
-    "Age at enrollment": OutlierPolicy(
+    "Age at enrollment": Treatment(
         "flag_only", "High age represents non-traditional students (Risk Signal)"
     ),
-    "Previous qualification (grade)": OutlierPolicy(
+    "Previous qualification (grade)": Treatment(
         "flag_only", "Low prior grades indicate preparedness gaps (Risk Signal)"
     ),
-    "Admission grade": OutlierPolicy(
+    "Admission grade": Treatment(
         "flag_only", "Extremes in admission grades serve as stratification signals"
     ),
     "GDP": MACRO_NOISE,
@@ -348,12 +349,6 @@ def checks(min_age: int = MIN_AGE, max_age: int = MAX_AGE) -> Sequence[Check]:
     )
 
 
-def clip_macro(name: str) -> Column:
-    """Macro indicator with negative values set to 0."""
-    x = number(col(name))
-    return F.when(x < 0, F.lit(0.0)).otherwise(x)
-
-
 SUPPORT_WORDS = ("stress", "support", "sentiment")
 
 

@@ -6,18 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_SPREAD = 256
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out evenly if the scan has fewer tasks than there are cores.
-
-    For costly row-local work on a table in few files.  A table of many files
-    has splits enough and is passed on without a shuffle.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

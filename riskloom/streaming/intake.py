@@ -3,7 +3,8 @@
 Event time must be a zoned ``timestamp`` for a watermark, so sources with local
 timestamps are cast first.  A result that must equal its batch counterpart runs
 in complete mode; in append mode rows later than the watermark are dropped.
-Long-running streams with much state should use the RocksDB state store.
+Duplicate removal holds a key per event for as long as the watermark, so it runs on
+the RocksDB state store (``on_disk_state``), which need not fit into memory.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.functions.expr import col
 from riskloom.operators.quality import integrity_audit
 from riskloom.plans.rules import Check
-from riskloom.session import shared_path
 
 # seven-day windows that begin on Mondays; the epoch was a Thursday
 WEEK, MONDAY = "7 days", "4 days"
@@ -66,28 +66,55 @@ def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], lateness:
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def checkpoint_of(path: str) -> str:
+    """The checkpoint folder of a sink.
+
+    It lies beside the sink and is named after it, so whoever writes to the sink again goes on where the last run
+    ended.  Deleting one of the two without the other loses or repeats rows.
+    """
+    return path.rstrip("/") + "-checkpoint"
+
+
+def on_disk_state(spark: SparkSession) -> None:
+    """Let streams that start from now on keep their state in RocksDB."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def run_complete(result: DataFrame, path: str) -> StreamingQuery:
-    """Keep the whole current result at ``path``; every trigger replaces it."""
+    """Write the whole current result below ``path`` at every trigger; ``current`` reads the last one.
+
+    Each trigger has a folder of its own, so a reader always finds a whole result.
+    """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         result.writeStream.outputMode("complete")
-        .option("checkpointLocation", shared_path(result.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint_of(path))
         .trigger(availableNow=True)
         .foreachBatch(replace)
         .start()
     )
 
 
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The last whole result that ``run_complete`` has written."""
+    every = spark.read.parquet(path)
+    last = every.agg(F.max("batch_id")).first()[0]
+    return every.where(F.col("batch_id") == last).drop("batch_id")
+
+
 def run_append(result: DataFrame, path: str) -> StreamingQuery:
-    """Append finished rows to Parquet files, exactly once."""
+    """Append finished rows to Parquet files, exactly once, over restarts, too."""
     return (
         result.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
-        .option("checkpointLocation", shared_path(result.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint_of(path))
         .trigger(availableNow=True)
         .start()
     )
@@ -96,14 +123,14 @@ def run_append(result: DataFrame, path: str) -> StreamingQuery:
 def run_audit(stream: DataFrame, checks: Sequence[Check], path: str) -> StreamingQuery:
     """Audit every micro-batch and write its findings under its batch number.
 
-    A batch that is run again after a failure replaces its own findings.
+    The number goes on after a restart.  A batch that is run again after a failure replaces its own findings.
     """
 
     def audit(batch: DataFrame, batch_id: int) -> None:
         integrity_audit(batch, checks).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
-        stream.writeStream.option("checkpointLocation", shared_path(stream.sparkSession, "stream"))
+        stream.writeStream.option("checkpointLocation", checkpoint_of(path))
         .trigger(availableNow=True)
         .foreachBatch(audit)
         .start()

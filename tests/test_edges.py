@@ -108,12 +108,12 @@ def test_student_rules():
     assert student.RULES.bucket("GDP") == "macro"
     assert student.RULES.bucket("Target") == "outcome"
     assert student.RULES.bucket("Admission grade") == "continuous_general"
-    assert student.RULES.fill_rule("Gender").strategy == "indicator+mode"
-    assert student.RULES.fill_rule("Course").strategy == "indicator+mode"
-    assert student.RULES.fill_rule("Mother's occupation").strategy == "indicator+unknown"
-    assert student.RULES.fill_rule("Target").strategy == "indicator"
-    assert student.RULES.policy("GDP").handling == "winsorize"
-    assert student.RULES.policy("Course").handling == "flag_only"
+    assert student.RULES.fill_rule("Gender").action == "indicator+mode"
+    assert student.RULES.fill_rule("Course").action == "indicator+mode"
+    assert student.RULES.fill_rule("Mother's occupation").action == "indicator+unknown"
+    assert student.RULES.fill_rule("Target").action == "indicator"
+    assert student.RULES.policy("GDP").action == "winsorize"
+    assert student.RULES.policy("Course").action == "flag_only"
 
 
 # ---------------------------------------------------------------- missing

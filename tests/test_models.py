@@ -4,14 +4,15 @@ import os
 
 import duckdb
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.catalog import evaluation
-from riskloom.catalog.modeling import POSITIVE, QUICK, fitted
-from riskloom.operators.attribution import linear_contributions
+from riskloom.catalog.modeling import POSITIVE, fitted
 from riskloom.operators.models import Settings, fit_preparation, load_trained, train
 from riskloom.plans import student
-from riskloom.plans.actions import linear_weights
+from riskloom.operators.scenarios import Scenario
+from riskloom.plans.actions import LINEAR, ActionPlan, linear_part
 from tests.oracle import DATA
 
 
@@ -82,7 +83,7 @@ def test_confusions_hold_every_test_row(run):
 def test_same_seed_same_model(spark, run):
     rows = run.rows.where("split = 'train'")
     names = ["Admission grade", "CR_Sem1", "CR_Sem2", "Debtor"]
-    one, two = (train(rows, "Target", names, settings=QUICK, names=["Decision_Tree", "Random_Forest"]) for _ in range(2))
+    one, two = (train(rows, "Target", names, settings=Settings(), names=["Decision_Tree", "Random_Forest"]) for _ in range(2))
     for m in ("Decision_Tree", "Random_Forest"):
         a, b = (t.score(run.test, m, ["student_id"]).orderBy("student_id").collect() for t in (one, two))
         assert a == b
@@ -104,11 +105,37 @@ def test_preparation_learns_from_training_rows_only(spark):
     assert [list(r[0]) for r in rows] == [[2.0, 2.0], [100.0, 0.0]]
 
 
-def test_linear_contributions_of_the_fitted_model(run):
-    weights = linear_weights(run, POSITIVE)
-    assert list(weights) == list(run.trained.numeric)
-    out = linear_contributions(run.test, weights).select(F.aggregate("contributions", F.lit(0.0), lambda a, s: a + s["contribution"]).alias("s"))
-    assert abs(out.agg(F.avg("s")).first()[0]) < 1e-6
+def test_contributions_add_up_to_the_margin(run):
+    """On rows with gaps and with text features: their sum is the margin less that at the training means."""
+    part = linear_part(run, POSITIVE)
+    assert list(part.features) == run.trained.features and len(run.trained.categorical) == 2
+    plan = ActionPlan.of(run, LINEAR, POSITIVE)
+    sums = plan.explained(plan.rows).select(
+        "student_id", F.aggregate("contributions", F.lit(0.0), lambda a, s: a + s["contribution"]).alias("s")
+    )
+    place = run.trained.classes.index(POSITIVE)
+    raw = run.trained.models[LINEAR].transform(run.trained.preparation.transform(run.test))
+    margins = raw.select("student_id", vector_to_array("rawPrediction")[place].alias("m"))
+    rows = sums.join(margins, "student_id").collect()
+    assert len(rows) == run.test.count()
+    assert any(r["Academic_Stress"] is None for r in run.test.select("Academic_Stress").collect())
+    for r in rows:
+        assert r["s"] == pytest.approx(r["m"] - part.at_means, abs=1e-6)
+
+
+@pytest.mark.parametrize("model", ["Logistic_L1", "Decision_Tree", "Random_Forest", "Boosted_Trees"])
+def test_a_scenario_without_changes_changes_nothing(run, model):
+    plan = ActionPlan.of(run, model, POSITIVE)
+    out = plan.what_if([Scenario("nothing", {})])
+    assert out.count() == run.test.count()
+    assert out.where("risk_reduction <> 0").count() == 0
+    policy = plan.policies([Scenario("nothing", {})]).first()
+    assert policy["prevented"] == 0 and policy["new_rate"] == policy["baseline_rate"]
+
+
+def test_a_missing_model_is_named(run):
+    with pytest.raises(ValueError, match="Nearest"):
+        ActionPlan.of(run, "Nearest", POSITIVE)
 
 
 def test_fairness_uses_labels(run):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import evaluate
+from riskloom.operators import evaluate, orderstats
 from riskloom.operators.orderstats import (
     column_facts,
     exact_quantiles,
@@ -140,3 +140,33 @@ def test_auc_edges(spark):
     one = spark.createDataFrame([("a", 0.5, 0.5)], ["t", "p_a", "p_b"])
     got = {r["label"]: r["auc"] for r in evaluate.roc_auc_ovr(one, "t", {"a": "p_a", "b": "p_b"}).collect()}
     assert got == {"a": None, "b": None, "macro": 0.0}
+
+
+def test_values_over_many_decades_take_few_rounds(spark, monkeypatch):
+    df = spark.range(4000).select((F.pow(F.lit(10.0), F.col("id") / 8.0 - 250) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)).alias("x"))
+    want = sorted(r["x"] for r in df.collect())
+    rounds = []
+    plain = orderstats._Bracket
+
+    def counted(*args):
+        rounds.append(args)
+        return plain(*args)
+
+    monkeypatch.setattr(orderstats, "_Bracket", counted)
+    got = orderstats.select_ranks(orderstats.long_values(df, ["x"]), ["column"], lambda _, n: [0, 1000, 1999, 2000, 3999])
+    assert got[("x",)][1] == {i: want[i] for i in (0, 1000, 1999, 2000, 3999)}
+    assert len(rounds) <= 5 * 9
+
+
+def test_infinite_values_have_ranks(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,), (2.0,), (3.0,), (-5.0,)], "x double")
+    got = orderstats.select_ranks(orderstats.long_values(df, ["x"]), ["column"], lambda _, n: range(n))
+    assert [got[("x",)][1][i] for i in range(6)] == [float("-inf"), -5.0, 1.0, 2.0, 3.0, float("inf")]
+
+
+def test_many_groups_with_one_that_holds_a_third(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") < 20_000, 0).otherwise(F.col("id") % 20_000 + 1).alias("g"), F.col("id").cast("double").alias("x"))
+    got = orderstats.exact_quantiles(df, ["x"], [0.5], ["g"], map_limit=1000)
+    rows = {r["g"]: r["q"][0] for r in got.collect()}
+    assert len(rows) == 20_001
+    assert rows[0] == 9999.5 and rows[1] == 30_000.0

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.features import TOPICS
 from riskloom.catalog.fixtures import student_records
-from riskloom.catalog.modeling import QUICK
+from riskloom.operators.models import Settings
 from riskloom.functions.expr import col
 from riskloom.operators.schema import numeric_columns
 from riskloom.plans import actions, features, intake, modeling, report, student
@@ -13,6 +13,8 @@ from riskloom.session import stage
 from riskloom.sources.batches import read_batches, write_csv, write_results, read_results
 from riskloom.sources.tables import table
 
+SMALL = Settings(logistic_iterations=100, forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
+
 
 @pytest.fixture(scope="module")
 def raw(spark, sf_dir, tmp_path_factory):
@@ -44,7 +46,7 @@ def featured(spark, sf_dir, cleaned):
 def plan(featured):
     numeric = numeric_columns(featured, ["batch", "student_id"])
     run = modeling.run_models(
-        featured, "student_id", "Target", numeric, ["Subject_Specific", "Academic_Stress_Level"], QUICK,
+        featured, "student_id", "Target", numeric, ["Subject_Specific", "Academic_Stress_Level"], SMALL,
         ["Logistic_L1", "Random_Forest"],
     )
     return actions.ActionPlan.of(run, "Random_Forest", "Dropout")

@@ -30,7 +30,7 @@ def stream(spark, folder):
 def test_complete_mode_equals_batch(spark, folder, tmp_path):
     out = str(tmp_path / "weekly")
     intake.finished(intake.run_complete(intake.weekly_counts(stream(spark, folder), "ts", "kind"), out))
-    got = {(r["week"], r["kind"]): r["n"] for r in spark.read.parquet(out).collect()}
+    got = {(r["week"], r["kind"]): r["n"] for r in intake.current(spark, out).collect()}
     assert got == {(w, k): n for w in ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22") for k, n in (("x", 56), ("y", 112))}
 
 
@@ -60,7 +60,7 @@ def test_repeats_within_the_watermark_go(spark, folder, tmp_path):
 def test_pulse_alerts(spark, folder, tmp_path):
     out = str(tmp_path / "pulse")
     intake.finished(intake.run_complete(intake.pulse(stream(spark, folder), "ts", "value", 24.0), out))
-    for r in spark.read.parquet(out).collect():
+    for r in intake.current(spark, out).collect():
         assert r["alert"] == int(r["score"] < 24.0)
 
 
@@ -68,3 +68,52 @@ def test_a_failing_stream_raises(spark, folder, tmp_path):
     bad = [Check("boom", "WARN", ("value",), F.raise_error(F.lit("boom")).cast("boolean"), "")]
     with pytest.raises(Exception, match="boom"):
         intake.finished(intake.run_audit(stream(spark, folder), bad, str(tmp_path / "bad")))
+
+
+@pytest.fixture
+def growing(spark, tmp_path):
+    """A folder with ten events, and a function that adds three more."""
+    path = str(tmp_path / "growing")
+
+    def add(first, n):
+        spark.range(first, first + n).select(
+            F.col("id").alias("event_id"),
+            (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).cast("timestamp_ntz").alias("ts"),
+            F.lit("x").alias("kind"),
+            F.col("id").cast("double").alias("value"),
+        ).coalesce(1).write.mode("append").parquet(path)
+
+    add(0, 10)
+    return path, lambda: add(10, 3)
+
+
+def test_append_goes_on_after_a_restart(spark, growing, tmp_path):
+    folder, add = growing
+    out = str(tmp_path / "rows")
+    for _ in range(2):
+        once = intake.without_repeats(stream(spark, folder), "ts", ["event_id"], "60 days")
+        intake.finished(intake.run_append(once, out))
+        add()
+    intake.finished(intake.run_append(intake.without_repeats(stream(spark, folder), "ts", ["event_id"], "60 days"), out))
+    ids = sorted(r["event_id"] for r in spark.read.parquet(out).collect())
+    assert ids == list(range(13))  # the second addition repeats the first one's keys
+
+
+def test_audit_goes_on_after_a_restart(spark, growing, tmp_path):
+    folder, add = growing
+    out = str(tmp_path / "findings")
+    checks = [Check("all", "WARN", ("value",), col("value") >= 0, "")]
+    intake.finished(intake.run_audit(stream(spark, folder), checks, out))
+    add()
+    intake.finished(intake.run_audit(stream(spark, folder), checks, out))
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r["affected_rows"] for r in rows) == [3, 10]
+
+
+def test_complete_goes_on_after_a_restart(spark, growing, tmp_path):
+    folder, add = growing
+    out = str(tmp_path / "counts")
+    for n in (10, 13):
+        intake.finished(intake.run_complete(intake.weekly_counts(stream(spark, folder), "ts", "kind"), out))
+        assert [r["n"] for r in intake.current(spark, out).collect()] == [n]
+        add()
