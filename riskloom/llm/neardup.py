@@ -1,10 +1,10 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF word shingles.
 
-A text is its set of five-word shingles, each with the weight (1 + ln tf) * sqrt(1 + relative idf).  The relative idf
+A text is its set of five-word shingles, each with the weight (1 + ln tf) * (1 + relative idf) ** DAMPING.  The relative idf
 runs from 0 (in every document) to 1 (rare); document frequencies come from all documents, counted in a sketch of
 ``2 ** SKETCH_BITS`` buckets.  They are smoothed by a thousandth of the documents, or by the mean load of a bucket if
-that is more, so what is rare or what the sketch can't tell apart weighs the same.  The square root keeps the copies of a large group, whose shingles are frequent just because of the group,
-as close to each other as they are without weights.
+that is more, so what is rare or what the sketch can't tell apart weighs the same.  The damping keeps the copies of a
+large group, whose shingles are frequent just because of the group, about as close to each other as without weights.
 
 ``SAMPLES`` consistent samples per text (the same shingle is drawn by two texts with a probability equal to their
 weighted Jaccard similarity) are banded; texts that share a band are candidates, and a pair is a link if its weighted
@@ -44,6 +44,7 @@ BAND = 4  # samples per band
 AGREE = 37
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
+DAMPING = 0.25
 SMOOTH, SMOOTH_SHARE = 8.0, 0.001  # document frequencies far below this number or share are all alike
 SMALL = 16  # buckets of so many texts or fewer are compared in full in the second round
 HUBS = 3  # rounds of changing hubs in larger ones
@@ -126,7 +127,7 @@ def shingle_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smooth = max(SMOOTH, SMOOTH_SHARE * n, totals[1] / counts.size)
     df = np.minimum(counts.reshape(-1), n)
     relative = np.log((n + smooth) / (df + smooth)) / np.log((n + smooth) / smooth)
-    return np.sqrt(1 + relative).astype(np.float32)
+    return ((1 + relative) ** DAMPING).astype(np.float32)
 
 
 def _sketch_rows(parts, counts) -> pa.RecordBatch:

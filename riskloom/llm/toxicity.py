@@ -120,22 +120,22 @@ def fit(rows: list[tuple], sizes=SIZES, bits: int = BITS) -> Model:
     flat = Model(empty, empty, 0.0, 1.0, float(np.log(share / (1 - share))), sizes, bits)
     if min(y.sum(), (1 - y).sum()) < FOLDS:
         return flat
-    found: list[tuple] = []
     counts = np.zeros((2, 1 << bits), np.int32)
     for at in range(0, len(rows), 64):
-        for i, (f, n) in enumerate(features([t for t, _ in rows[at : at + 64]], sizes, bits), at):
-            found.append((f, n.astype(np.float32)))
+        for i, (f, _) in enumerate(features([t for t, _ in rows[at : at + 64]], sizes, bits), at):
             counts[int(y[i])][f] += 1
     ratio = np.log((counts[1] + 0.5) / (y.sum() + 1)) - np.log((counts[0] + 0.5) / ((1 - y).sum() + 1))
-    used = np.flatnonzero((counts.sum(0) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO))
+    chosen = (counts.sum(0) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
+    used = np.flatnonzero(chosen)
     if not len(used):
         return flat
     place = np.full(1 << bits, -1, np.int32)
     place[used] = np.arange(len(used))
-    for i, (f, n) in enumerate(found):
-        p = place[f]
-        x = n[p >= 0] * ratio[f[p >= 0]]
-        found[i] = (p[p >= 0], x / max(np.linalg.norm(x), 1e-9))
+    found: list[tuple] = []  # of the chosen features only, so that all texts fit
+    for at in range(0, len(rows), 64):
+        for f, n in features([t for t, _ in rows[at : at + 64]], sizes, bits, chosen):
+            x = n * ratio[f]
+            found.append((place[f], x / max(np.linalg.norm(x), 1e-9)))
     signs = 2 * y - 1
     cost = np.where(y == 1, (1 - y).sum() / y.sum(), 1.0)
     fold = np.arange(len(rows)) % FOLDS
