@@ -80,6 +80,23 @@ def home_support_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.withColumn("display", signals.display_levels(F.lit(None).cast("double"), F.col("home_risk"))[1]))
 
 
+@query(
+    "display_levels",
+    f"""WITH {PATHS}, r AS (SELECT student_id, {_STRESS} AS stress, {_HOME} AS risk FROM paths)
+        SELECT student_id,
+          CASE WHEN stress IS NULL THEN 'N/A' WHEN stress > 0.67 THEN 'High' WHEN stress > 0.33 THEN 'Medium' ELSE 'Low' END AS stress_display,
+          CASE WHEN risk IS NULL THEN 'N/A' WHEN risk > 0.5 THEN 'High' WHEN risk > 0.25 THEN 'Medium' ELSE 'Low' END AS home_display
+        FROM r""",
+)
+def display_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = student_paths(spark, sf_dir)
+    stress, home = signals.display_levels(
+        signals.base_stress(col("Delta_Grade"), col("CR_Sem2")),
+        signals.home_risk(col("Age at enrollment"), col("International"), col("Debtor")),
+    )
+    return s.select("student_id", stress.alias("stress_display"), home.alias("home_display"))
+
+
 @query(
     "stress_levels",
     f"""WITH {PATHS}, l AS (SELECT {_STRESS} AS s FROM paths),

@@ -13,6 +13,7 @@ from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col, mapped
 from riskloom.operators import correlation, evaluate, fairness, importance
 from riskloom.operators.models import cross_validate, load_trained
+from riskloom.operators.scenarios import Scenario
 from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
 from riskloom.plans.actions import LINEAR, ActionPlan
@@ -48,7 +49,9 @@ def _numeric(df: DataFrame) -> list[str]:
 def fitted(spark: SparkSession, sf_dir: str) -> Run:
     def make() -> Run:
         df = modeling_table(spark, sf_dir)
-        return run_models(df, "student_id", student.TARGET, _numeric(df), TEXT_COLUMNS)
+        # a shuffled order that SQL knows, too
+        order = F.pmod(F.col("student_id") * 2654435761, F.lit(4294967296))
+        return run_models(df, "student_id", student.TARGET, _numeric(df), TEXT_COLUMNS, order=order)
 
     return _once(_runs, spark, sf_dir, make)
 
@@ -235,6 +238,70 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(again.groupBy("model").agg(F.avg((F.col("pred") == col(student.TARGET)).cast("int")).alias("accuracy")))
 
 
-@query("split_manifest")
+# ------------------------------------------------------------------ facts about a fitted run that the tables fix
+
+_SPLIT = f"""{STUDENTS}, ordered AS (SELECT *, count(*) OVER (PARTITION BY "Target") AS _n,
+    row_number() OVER (PARTITION BY "Target" ORDER BY (student_id * 2654435761) % 4294967296) AS _r
+    FROM students WHERE "Target" IS NOT NULL),
+  split AS (SELECT *, CASE WHEN _r <= floor(_n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM ordered),
+  test AS (SELECT * FROM split WHERE split = 'test'),
+  models AS (SELECT unnest(['Logistic_L1', 'Decision_Tree', 'Random_Forest', 'Boosted_Trees']) AS model)"""
+
+
+@query("split_manifest", f"WITH {_SPLIT} SELECT student_id, split FROM split")
 def split_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).rows.select("student_id", "split")
+
+
+@query(
+    "model_supports",
+    f"""WITH {_SPLIT} SELECT model, "Target" AS label, count(*) AS support FROM models CROSS JOIN test GROUP BY ALL""",
+)
+def model_supports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model is measured on all test rows."""
+    return fitted(spark, sf_dir).reports().where(col("label").isin(*student.CLASSES)).select(
+        "model", "label", F.col("support").cast("bigint").alias("support")
+    )
+
+
+@query(
+    "model_cohort_sizes",
+    f"""WITH {_SPLIT} SELECT "Course" AS cohort_id, count(*) AS n FROM test GROUP BY "Course" """,
+)
+def model_cohort_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ActionPlan.of(fitted(spark, sf_dir), "Boosted_Trees", POSITIVE).cohorts("Course").select("cohort_id", "n")
+
+
+@query(
+    "model_no_change",
+    f"""WITH {_SPLIT} SELECT model, student_id, 0.0::DOUBLE AS risk_reduction FROM models CROSS JOIN test""",
+)
+def model_no_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scenario that changes nothing leaves every risk as it is, whatever the model."""
+    run = fitted(spark, sf_dir)
+    out = None
+    for model in run.trained.models:
+        moved = ActionPlan.of(run, model, POSITIVE).what_if([Scenario("nothing", {})])
+        part = moved.select(F.lit(model).alias("model"), "student_id", "risk_reduction")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+@query(
+    "saved_model_differences",
+    f"""WITH {_SPLIT} SELECT model, count(*) AS n, 0::BIGINT AS differing FROM models CROSS JOIN test GROUP BY model""",
+)
+def saved_model_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models written and read back score every test row as before."""
+    run = fitted(spark, sf_dir)
+    path = shared_path(spark, "models")
+    run.trained.save(path)
+    back = load_trained(
+        path, list(run.trained.models), run.trained.numeric, run.trained.categorical, run.trained.classes
+    )
+    p = [f"p_{c}" for c in run.trained.classes]
+    again = back.score_all(run.test, ["student_id"]).select("model", "student_id", F.struct(*p).alias("now"))
+    both = run.scored.select("model", "student_id", F.struct(*p).alias("then")).join(again, ["model", "student_id"])
+    return both.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("now") != F.col("then")).alias("differing")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.actions import _GLOBAL, COEFFICIENTS, INTERCEPT, SCORED
-from riskloom.catalog.fixtures import STUDENTS, WEEKLY_EVENTS, student_records
+from riskloom.catalog.fixtures import STUDENTS, WEEKLY_EVENTS, student_records, weekly_events
 from riskloom.catalog.intake import DRIFT_CUMULATIVE, DRIFT_LAST
 from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col
@@ -84,9 +84,8 @@ _PANEL_CHECK = "value > 250"
 
 
 def _panel_sql() -> str:
-    """Segments of the drifting events; rows as (segment, block, item, metric, value)."""
-    base = """, d AS (SELECT week, user_id, event_type, value FROM weekly
-        WHERE NOT coalesce(event_type = 'signup' AND week = '2024-01-08', FALSE)),
+    """Segments of the events; rows as (segment, block, item, metric, value)."""
+    base = """, d AS (SELECT week, user_id, event_type, value FROM weekly),
       seg AS (SELECT week AS segment, user_id, event_type, value FROM d UNION ALL SELECT 'Overall', user_id, event_type, value FROM d),
       copies AS (SELECT segment, user_id, event_type, value, count(*) AS n FROM seg GROUP BY ALL),
       b AS (SELECT segment, sum(n) AS r, sum(n * ((user_id IS NULL)::INT + (event_type IS NULL)::INT + (value IS NULL)::INT)) AS m,
@@ -104,6 +103,13 @@ def _panel_sql() -> str:
         "SELECT week, 'drift_cum', event_type, unnest(['this_pct', 'cum_pct', 'delta_pct']), unnest([this_pct, cum_pct, delta_pct]::DOUBLE[]) FROM dc",
         "SELECT segment, 'audit', 'high_value', unnest(['affected_rows', 'severity_rank']), unnest([count(*), 1]::DOUBLE[]) FROM seg "
         f"WHERE {_PANEL_CHECK} GROUP BY segment",
+        f"SELECT segment, 'severity', 'WARN', unnest(['checks', 'affected_rows']), unnest([1, count(*)]::DOUBLE[]) FROM seg "
+        f"WHERE {_PANEL_CHECK} GROUP BY segment",
+        "SELECT DISTINCT segment, 'dtype', unnest(['bigint', 'string', 'double']), 'columns', 1.0 FROM seg",
+        "SELECT segment, 'missing', item, unnest(['missing_count', 'missing_pct']), unnest([m, m * 100.0 / r]::DOUBLE[]) FROM ("
+        "SELECT segment, unnest(['user_id', 'event_type', 'value']) AS item, "
+        "unnest([count(*) - count(user_id), count(*) - count(event_type), count(*) - count(value)]) AS m, count(*) AS r "
+        "FROM seg GROUP BY segment) WHERE m > 0",
     ]
     union = " UNION ALL ".join(rows)
     return f"""WITH {WEEKLY_EVENTS}{base}, p(segment, block, item, metric, value) AS ({union})

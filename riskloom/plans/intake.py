@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -67,10 +68,13 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
-def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Check] = ()) -> DataFrame:
+def segment_panels(
+    df: DataFrame, batch: str, target: str, checks: Sequence[Check] = (), top_missing: int = 5
+) -> DataFrame:
     """(segment, block, item, metric, value): the intake panel of every batch and of all batches together.
 
-    Blocks: ``basic``, ``outcome``, ``drift_last``, ``drift_cum``, ``audit``.
+    Blocks: ``basic``, ``dtype``, ``missing`` (the ``top_missing`` columns with most gaps), ``outcome``,
+    ``drift_last``, ``drift_cum``, ``audit``, and ``severity``, which adds up the audit.
     """
     cells = df.drop(batch)
     basics = quality.basic_check(df, [batch]).withColumnRenamed(batch, "segment").unionByName(
@@ -79,6 +83,31 @@ def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Chec
     parts = [
         _long(basics, "segment", "basic", F.lit("all"), ["rows", "cols", "missing_cells", "missing_cell_pct", "duplicate_rows"])
     ]
+    # one row per segment; unfolded to a row per type and per column
+    types = F.array(
+        *[
+            F.struct(F.lit(t).alias("item"), F.lit(float(n)).alias("columns"))
+            for t, n in Counter(t for c, t in df.dtypes if c != batch).items()
+        ]
+    )
+    parts.append(
+        _long(basics.select("segment", F.inline(types)), "segment", "dtype", F.col("item"), ["columns"])
+    )
+    gaps = df.groupBy(col(batch)).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cells.columns)]
+    )
+    gaps = stage(gaps.withColumnRenamed(batch, "segment"), "gaps")
+    whole = gaps.agg(*[F.sum(c).alias(c) for c in gaps.columns if c != "segment"]).withColumn("segment", F.lit("Overall"))
+    each = F.array(
+        *[
+            F.struct((-F.col(f"_m{i}")).alias("_o"), F.lit(c).alias("item"), F.col(f"_m{i}").alias("missing_count"))
+            for i, c in enumerate(cells.columns)
+        ]
+    )
+    worst = F.slice(F.array_sort(F.filter(each, lambda x: x["missing_count"] > 0)), 1, top_missing)
+    missed = gaps.unionByName(whole).select("segment", "_n", F.inline(worst))
+    missed = missed.withColumn("missing_pct", pct(F.col("missing_count"), F.col("_n")))
+    parts.append(_long(missed, "segment", "missing", F.col("item"), ["missing_count", "missing_pct"]))
     # the counts per batch and outcome are few, so the totals are made from them
     counts = drift.batch_counts(df, batch, target)
     both = counts.groupingSets([[batch, target], [target]], batch, target).agg(
@@ -103,6 +132,10 @@ def segment_panels(df: DataFrame, batch: str, target: str, checks: Sequence[Chec
         whole = per.groupBy(*named).agg(F.sum("affected_rows").alias("affected_rows"))
         audits = per.unionByName(whole.withColumn("segment", F.lit("Overall")))
         parts.append(_long(audits, "segment", "audit", F.col("check_name"), ["affected_rows", "severity_rank"]))
+        levels = audits.groupBy("segment", "severity").agg(
+            F.count(F.lit(1)).alias("checks"), F.sum("affected_rows").alias("affected_rows")
+        )
+        parts.append(_long(levels, "segment", "severity", F.col("severity"), ["checks", "affected_rows"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.expr import col
 from riskloom.operators import evaluate, fairness
@@ -56,10 +56,14 @@ def run_models(
     settings: Settings = Settings(),
     names: Sequence[str] = tuple(TITLES),
     share: float = 0.2,
+    order: Column | None = None,
 ) -> Run:
-    """Split, fit on the training side, score the test side with every model."""
+    """Split, fit on the training side, score the test side with every model.
+
+    ``order`` replaces the hash order of the split.
+    """
     known = df.where(col(target).isNotNull())
-    rows = stage(stratified_split(known, target, key, share), "split")
+    rows = stage(stratified_split(known, target, key, share, order), "split")
     trained = train(rows.where(F.col("split") == "train"), target, numeric, categorical, settings, names)
     scored = trained.score_all(rows.where(F.col("split") == "test"), rows.columns)
     return Run(rows, trained, stage(scored, "scored"), key, target)
