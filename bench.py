@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 from riskloom.catalog import QUERIES
@@ -55,7 +57,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cores)
+    folder = tempfile.mkdtemp(prefix="bench-")  # one machine: its disk is shared by all tasks
+    spark = local_session(cores, folder=folder)
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     times = {}
@@ -64,6 +67,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
+    shutil.rmtree(folder, ignore_errors=True)
     print(
         json.dumps(
             {

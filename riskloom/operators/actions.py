@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col, contains_any, first_match
+from riskloom.operators.orderstats import select_ranks
 
 # Tier limits and texts.
 CRITICAL, WARNING = 0.7, 0.4
@@ -72,11 +73,19 @@ def top_per_tier(df: DataFrame, risk: str, key: str, k: int = 50) -> DataFrame:
     """The k riskiest rows of every tier, with ``tier``, ``tier_rank`` and ``risk_rank`` over all rows.
 
     Tiers are score ranges, so a row's rank over the whole table is its rank in
-    the tier plus the size of the tiers above; no window spans the table.  The
-    limit on ``tier_rank`` is applied before the shuffle as well.
+    the tier plus the size of the tiers above; no window spans the table.  Rows
+    below the k-th score of their tier go before the window, so it sees k rows
+    of a tier and those that tie with the last one.
     """
-    tiered = df.where(col(risk).isNotNull()).withColumn("tier", risk_tier(col(risk)))
-    sizes = {r["tier"]: r["count"] for r in tiered.groupBy("tier").count().collect()}
+    known = df.where(col(risk).isNotNull() & ~F.isnan(col(risk).cast("double")))
+    tiered = known.withColumn("tier", risk_tier(col(risk)))
+    scores = tiered.select("tier", col(risk).cast("double").alias("value"))
+    found = select_ranks(scores, ["tier"], lambda _, n: [max(n - k, 0)])
+    sizes = {tier: n for (tier,), (n, _) in found.items()}
+    cut = F.lit(float("-inf"))
+    for (tier,), (_, at) in found.items():
+        cut = F.when(F.col("tier") == tier, F.lit(min(at.values()))).otherwise(cut)
+    tiered = tiered.where(col(risk).cast("double") >= cut)
     order = Window.partitionBy("tier").orderBy(F.desc(col(risk)), col(key))
     before = F.lit(0)
     above, run = None, 0

@@ -394,3 +394,62 @@ def test_strategies(spark):
     assert domains("Debtor", "GDP", "Age") == ["Financial Support"]
     assert domains("Curricular units", "Scholarship holder", "Age") == ["Financial Support", "Academic Support"]
     assert domains("GDP", "Age", "Inflation", "Debtor") == ["Monitoring"]
+
+
+def test_a_value_that_one_batch_lacks(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (2, "a"), (3, "b"), (3, None)]
+    df = spark.createDataFrame(rows, "b int, t string")
+    last = {(r["b"], r["t"]): (r["this_pct"], r["last_pct"]) for r in drift.drift_vs_previous(df, "b", "t").collect()}
+    assert last == {(2, "a"): (100.0, 50.0), (2, "b"): (0.0, 50.0), (3, "a"): (0.0, 100.0), (3, "b"): (100.0, 0.0)}
+    cum = {(r["b"], r["t"]): r["cum_pct"] for r in drift.drift_vs_cumulative(df, "b", "t").collect()}
+    assert cum == {(2, "a"): 50.0, (2, "b"): 50.0, (3, "a"): 75.0, (3, "b"): 25.0}
+
+
+def test_an_infinite_value_leaves_other_correlations(spark):
+    rows = [(1.0, 2.0, float("inf")), (2.0, 4.0, 1.0), (3.0, 6.5, 2.0), (4.0, 8.0, None)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    got = {(r["a"], r["b"]): r["r"] for r in correlation.correlation_matrix(df, ["x", "y", "z"]).collect()}
+    assert got["x", "y"] == pytest.approx(0.99586, abs=1e-4) and got["x", "x"] == 1.0
+    assert got["x", "z"] is None and got["z", "z"] is None
+    best = correlation.correlation_with(df, ["x", "z"], "y").collect()
+    assert [r["feature"] for r in best] == ["x"]
+
+
+def test_words_keep_their_accents(spark):
+    from riskloom.functions.text import tokens
+
+    df = spark.createDataFrame([("L'Été, señor: über-groß 12ß!",)], "s string")
+    assert df.select(tokens(F.col("s"))).first()[0] == ["l", "été", "señor", "über", "groß", "ß"]
+
+
+def test_many_rows_per_tier(spark):
+    df = spark.range(5000).select("id", ((F.col("id") % 100) / 100.0).alias("risk"))
+    got = actions.top_per_tier(df, "risk", "id", 1200).collect()
+    want = sorted(((r, i) for i, r in ((i, (i % 100) / 100.0) for i in range(5000))), key=lambda x: (-x[0], x[1]))
+    place = {i: n + 1 for n, (_, i) in enumerate(want)}
+    assert len(got) == 3600
+    for r in got:
+        assert r["risk_rank"] == place[r["id"]] and 1 <= r["tier_rank"] <= 1200
+
+
+def test_a_cluster_needs_a_named_folder(monkeypatch):
+    from riskloom import session
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    Context.master = "local[2]"
+    assert session.shared_dir(Session()).endswith("app")
