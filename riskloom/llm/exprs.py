@@ -33,6 +33,15 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
+def parts_for(rows: int, per_part: int) -> int:
+    """Partitions for a counted number of rows.
+
+    Given to ``coalesce`` after a shuffle, so that a small table is not worked on in hundreds of empty tasks; a large
+    one has at least as many partitions as the shuffle.
+    """
+    return max(8, -(-rows // per_part))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, lengthened until no column of ``df`` has them in any case."""
     taken = {c.lower() for c in df.columns}

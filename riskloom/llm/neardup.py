@@ -11,9 +11,11 @@ weighted Jaccard similarity) are banded; texts that share a band are candidates,
 Jaccard similarity, computed on all shingles, is ``THRESHOLD`` or more.  Classes are the connected components.
 
 Equal texts are one node from the start.  Within a bucket of texts that share a band, all are first compared with one
-of them; then only pairs of different classes so far are compared, all of them in small buckets, against changing
-hubs and at last all of them in large ones, so a group of copies costs about one comparison per text.  Hubs of many
-pairs are split, no bucket or group is gathered, and nothing is left out.  A pair of similarity 0.8 shares a band with
+of them; then only pairs of different classes so far are compared: all of them in small buckets, in large ones those
+with changing hubs and at last the others, block against block.  In large buckets, shingles that no other text there has are counted first;
+two texts share at most the rest, which rules out most pairs of a group of copies with several changes each, and a
+text with little of its own makes a good hub.  So a group of copies costs about one comparison per text.  Hubs of many
+pairs are split, no bucket or group is gathered, and no possible link is left out.  A pair of similarity 0.8 shares a band with
 a probability above 0.999; pairs with fewer than ``AGREE`` equal samples (4.4 standard deviations below the mean at
 0.8) are not looked at further.
 
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm import bytesops
-from riskloom.llm.exprs import fresh, quoted
+from riskloom.llm.exprs import fresh, parts_for, quoted
 from riskloom.llm.graphs import components
 from riskloom.session import stage
 
@@ -47,8 +49,10 @@ SKETCH_PARTS = 64
 DAMPING = 0.25
 SMOOTH, SMOOTH_SHARE = 8.0, 0.001  # document frequencies far below this number or share are all alike
 SMALL = 16  # buckets of so many texts or fewer are compared in full in the second round
-HUBS = 3  # rounds of changing hubs in larger ones
+HUBS = 2  # rounds of changing hubs in larger ones, before what is left is compared in blocks
+BLOCK = 256  # texts
 HUB_PAIRS = 256  # pairs per copy of a hub
+ROWS_PER_PART, TEXTS_PER_PART = 400_000, 4_000  # of short rows, and of rows with all shingles of a text
 
 _rng = np.random.default_rng(2010)
 _TABLE = 1 << 16
@@ -213,13 +217,16 @@ def signatures(docs: DataFrame, idf, id_col: str = "doc_id", text_col: str = "te
 # ---------------------------------------------------------------- links
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
     """The pairs that weight and samples allow to be links."""
     sides = nodes.select("node", "weight", "prints")
     a, b = (sides.select([F.col(c).alias(f"{c}_{s}") for c in sides.columns]) for s in "ab")
     near = (
-        pairs.join(a, F.col("a") == F.col("node_a"))
+        pairs.coalesce(parts)
+        .join(a, F.col("a") == F.col("node_a"))
+        .coalesce(parts)
         .join(b, F.col("b") == F.col("node_b"))
+        .coalesce(parts)
         .filter(F.least("weight_a", "weight_b") >= F.lit(THRESHOLD * 0.9999) * F.greatest("weight_a", "weight_b"))
         .select("a", "b", "prints_a", "prints_b")
     )
@@ -237,10 +244,12 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, hashes, tf) of the given nodes (node, doc_id, digest), read from their texts."""
-    wanted = nodes.select(F.col("doc_id").alias("of"), "node", F.col("digest").alias("wanted"))
-    rows = docs.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (digest(F.col("text")) == F.col("wanted"))
-    ).select("node", "text")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    wanted = nodes.select(key.alias("key"), "digest", "node")
+    named = docs.filter(F.col("text").isNotNull()).select(key.alias("key"), digest(F.col("text")).alias("digest"), "text")
+    # of equal rows one is read; the join has brought them together
+    # by a shuffle of both sides: what is wanted grows with the documents
+    rows = named.join(wanted.hint("merge"), ["key", "digest"]).dropDuplicates(["key", "digest"]).select("node", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,6 +272,12 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, idf) -> DataFrame:
+    n = pairs.count()
+    few, parts = parts_for(n, ROWS_PER_PART), parts_for(n, TEXTS_PER_PART)
+    return _compared(pairs, shingles, idf, few, parts)
+
+
+def _compared(pairs: DataFrame, shingles: DataFrame, idf, few: int, parts: int) -> DataFrame:
     """The pairs whose weighted Jaccard similarity is high enough, with it.
 
     All partners of a hub ``a`` are dealt to copies of it, ``HUB_PAIRS`` or so for each, and stream past it.
@@ -270,22 +285,19 @@ def _verified(pairs: DataFrame, shingles: DataFrame, idf) -> DataFrame:
     copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("copies"))
     partners = (
         pairs.join(copies, "a")
+        .coalesce(few)
         .select("a", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"), F.col("b").alias("node"))
         .join(shingles, "node")
+        .coalesce(parts)
         .select("a", "copy", F.lit(1).alias("role"), "node", "hashes", "tf")
     )
     hubs = (
         copies.select("a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
         .join(shingles.withColumnRenamed("node", "a"), "a")
+        .coalesce(parts)
         .select("a", "copy", F.lit(0).alias("role"), F.col("a").alias("node"), "hashes", "tf")
     )
-    dealt = partners.unionByName(hubs).repartition("a", "copy").sortWithinPartitions("a", "copy", "role")
-
-    def read(h, t):
-        hashes = np.frombuffer(h, np.uint64)
-        tf = np.frombuffer(t, "<u4") if t else np.ones(len(hashes), np.uint32)
-        w = weights_of(hashes, tf, idf.value)
-        return hashes, w, float(w.sum(dtype=np.float64))
+    dealt = partners.unionByName(hubs).repartition(parts, "a", "copy").sortWithinPartitions("a", "copy", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, key = None, None
@@ -294,7 +306,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame, idf) -> DataFrame:
             columns = [batch.column(c) for c in ("a", "copy", "role", "node", "hashes", "tf")]
             for i in range(batch.num_rows):  # row by row, so that one batch is not held twice
                 a, copy, role, node, h, t = (c[i].as_py() for c in columns)
-                own = read(h, t)
+                own = read_shingles(h, t, idf.value)
                 if role == 0:
                     if key != (a, copy):
                         hub, key = own, (a, copy)
@@ -310,6 +322,13 @@ def _verified(pairs: DataFrame, shingles: DataFrame, idf) -> DataFrame:
     return dealt.mapInArrow(compare, "a bigint, b bigint, similarity double")
 
 
+def read_shingles(hashes: bytes, tf: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(sorted hashes, weights, sum of weights) of a staged text."""
+    found = np.frombuffer(hashes, np.uint64)
+    w = weights_of(found, np.frombuffer(tf, "<u4") if tf else np.ones(len(found), np.uint32), idf)
+    return found, w, float(w.sum(dtype=np.float64))
+
+
 def similarity(x: tuple, y: tuple) -> float:
     """Weighted Jaccard similarity of two texts: (sorted hashes, weights, sum of weights)."""
     if len(x[0]) < len(y[0]):
@@ -330,65 +349,211 @@ def _links(docs: DataFrame, nodes: DataFrame, idf) -> DataFrame | None:
     """(node, root) of the texts linked to one of a lesser number; None if there are none."""
     banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("band", "prints"))
     keyed = banded.select(F.xxhash64("band", "prints").alias("bucket"), "node")
+    few = parts_for(nodes.count() * (SAMPLES // BAND), ROWS_PER_PART)
     shared = (
         keyed.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("node").alias("hub"))
         .filter(F.col("n") > 1)
     )
-    members = stage(keyed.join(shared, "bucket"), "members")
-    tested = _agreeing(
-        members.filter(F.col("node") != F.col("hub")).select(*_ordered_pairs(F.col("hub"), F.col("node"))).distinct(),
-        nodes,
-    )
-    tested = stage(tested, "pairs")
-    in_buckets = members.select("node").distinct()
-    shingles = stage(
-        _shingles_of(docs, nodes.join(in_buckets, "node")).dropDuplicates(["node"]), "shingles"
-    )
-    links = stage(_verified(tested, shingles, idf), "links")
-    big = members.agg(F.max("n")).first()[0]
+    members = stage(keyed.join(shared, "bucket").coalesce(few), "members")
+    counted = members.agg(F.count("*").alias("rows"), F.max("n").alias("most")).first()
+    few, big = parts_for(counted["rows"], ROWS_PER_PART), counted["most"]
     if big is None:
         return None
-    turn = 0
-    while True:
-        roots = components(links)
+    stars = members.filter(F.col("node") != F.col("hub")).select(*_ordered_pairs(F.col("hub"), F.col("node")))
+    tested = stage(_agreeing(stars.distinct(), nodes, few), "pairs")
+    in_buckets = stage(nodes.join(members.select("node"), "node", "left_semi").select("node", "doc_id", "digest").coalesce(few), "wanted")
+    shingles = stage(_shingles_of(docs, in_buckets), "shingles")
+    links = stage(_verified(tested, shingles, idf), "links")
+    roots, turn, mass = components(links), 0, None
+    while big > 2:  # in buckets of two, every pair has been looked at
         turn += 1
-        if big <= 2:  # every pair was looked at
-            return roots
         # members of buckets that still hold more than one class
         now = members.filter("n > 2").join(roots, "node", "left").select(
             "bucket", "n", "node", F.coalesce("root", "node").alias("root")
         )
         mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        now = stage(now.join(mixed.select("bucket"), "bucket"), "mixed")
-        last = turn > HUBS
-        small = now if last else now.filter(F.col("n") <= SMALL)
-        other = small.select("bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
-        pairs = (
-            small.join(other, "bucket")
-            .filter((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")))
-            .select(F.col("node").alias("a"), F.col("other").alias("b"))
-        )
-        if not last:
+        now = stage(now.coalesce(few).join(mixed.coalesce(few).select("bucket"), "bucket").coalesce(few), "mixed")
+        left = now.agg(F.count("*").alias("rows"), F.max("n").alias("most")).first()
+        if not left["rows"]:
+            break
+        last = turn > HUBS or left["most"] <= SMALL
+        pairs = _cross_pairs(now.filter(F.col("n") <= SMALL))
+        if left["most"] > SMALL:
             large = now.filter(F.col("n") > SMALL)
-            hubs = large.groupBy("bucket").agg(
-                F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("hub")
-            )
-            pairs = pairs.unionByName(
-                large.join(hubs, "bucket")
-                .filter(F.col("root") != F.col("hub.root"))
-                .select(*_ordered_pairs(F.col("node"), F.col("hub.node")))
-            )
-        pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        more = stage(_agreeing(pairs, nodes), "pairs")
-        large_left = not last and now.filter(F.col("n") > SMALL).limit(1).count()
-        if more.limit(1).count():
-            tested = tested.unionByName(more)
-            links = links.unionByName(stage(_verified(more, shingles, idf), "links"))
-        elif not large_left:
-            return roots
-        if last or not large_left:
-            return components(links)
+            if mass is None:
+                mass = stage(_shared_mass(large.select("node").distinct().coalesce(few), nodes, shingles, idf, few), "mass")
+            able = stage(large.join(mass, "node").coalesce(few), "able")
+            if not last:
+                pairs = pairs.unionByName(_hub_pairs(able, turn))
+        untested = pairs.distinct().coalesce(few).join(tested, ["a", "b"], "left_anti")
+        more = stage(_agreeing(untested, nodes, few), "pairs")
+        found = _verified(more, shingles, idf).select("a", "b")
+        if last and left["most"] > SMALL:
+            found = found.unionByName(_family_links(able, shingles, idf, few))
+        found = stage(found, "links")
+        if found.limit(1).count():
+            # the classes so far stand for the links that made them
+            so_far = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(so_far.unionByName(found.select("a", "b")))
+        if last:
+            break
+        tested = tested.unionByName(more)
+    return roots
+
+
+def _shared_mass(wanted: DataFrame, nodes: DataFrame, shingles: DataFrame, idf, parts: int) -> DataFrame:
+    """(node, weight, mass): the weight of each text, and that of its shingles which another wanted text has, too.
+
+    Texts whose own shingles alone weigh too much for any link are left out.
+    """
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                hashes = [np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()]
+                tf = [
+                    np.frombuffer(t, "<u4") if t else np.ones(len(h), np.uint32)
+                    for t, h in zip(part.column("tf").to_pylist(), hashes)
+                ]
+                flat = np.concatenate(hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(flat.view(np.int64)),
+                        pa.array(np.repeat(part.column("node").to_numpy(), [len(h) for h in hashes])),
+                        pa.array(weights_of(flat, np.concatenate(tf), idf.value).astype(np.float64)),
+                    ],
+                    names=["hash", "node", "w"],
+                )
+
+    cells = shingles.join(wanted, "node", "left_semi").mapInArrow(unfold, "hash bigint, node bigint, w double")
+    alone = (
+        cells.groupBy("hash")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w"))
+        .filter("n = 1")
+        .groupBy("node")
+        .agg(F.sum("w").alias("alone"))
+    )
+    return (
+        wanted.join(nodes.select("node", "weight"), "node")
+        .join(alone, "node", "left")
+        .select("node", "weight", (F.col("weight") - F.coalesce("alone", F.lit(0.0))).alias("mass"))
+        .filter(F.col("mass") >= F.lit(THRESHOLD * 0.9999) * F.col("weight"))
+        .coalesce(parts)
+    )
+
+
+def _possible(one: str, two: str) -> Column:
+    """Whether two texts can be a link: what they share is at most the lesser mass."""
+    shared = F.least(f"{one}mass", f"{two}mass")
+    union = F.col(f"{one}weight") + F.col(f"{two}weight") - shared
+    return shared >= F.lit(THRESHOLD * 0.9999) * union
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """The pairs of a small bucket whose members are of different classes."""
+    other = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in rows.columns if c not in ("bucket", "n")])
+    on = (F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root"))
+    return rows.join(other, "bucket").filter(on).select(F.col("node").alias("a"), F.col("other_node").alias("b"))
+
+
+def _family_links(able: DataFrame, shingles: DataFrame, idf, few: int) -> DataFrame:
+    """(a, b): links between classes among the members of large buckets, all looked at, block against block.
+
+    Buckets with common members are one family.  A family is dealt to blocks of about ``BLOCK`` texts, and each pair
+    of blocks is one small matrix product in a task, which gives back links only.
+    """
+    hub = able.groupBy("bucket").agg(F.min("node").alias("hub"))
+    kin = components(able.join(hub, "bucket").select("node", "hub").distinct(), "node", "hub")
+    kin = kin.select(F.col("node").alias("member"), F.col("root").alias("kin"))
+    texts = able.select("node", "root").distinct().coalesce(few)
+    named = texts.join(kin, F.col("node") == F.col("member"), "left").select(
+        "node", "root", F.coalesce("kin", "node").alias("family")
+    )
+    sizes = named.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).coalesce(few)
+    dealt = (
+        named.join(sizes, "family")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "family",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            "own",
+            "node",
+            "root",
+        )
+        .coalesce(few)
+        .join(shingles, "node")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(c) for c in ("family", "i", "j", "own", "node", "root", "hashes", "tf")]
+            for n in range(batch.num_rows):
+                *now, own, node, root, h, t = (c[n].as_py() for c in columns)
+                if now != key:
+                    yield from _block_links(key, held, idf.value)
+                    key, held = now, []
+                held.append((own, node, root, h, t))
+        yield from _block_links(key, held, idf.value)
+
+    return (
+        dealt.repartition("family", "i", "j")
+        .sortWithinPartitions("family", "i", "j")
+        .mapInArrow(compare, "a bigint, b bigint")
+    )
+
+
+def _block_links(key, rows: list[tuple], idf: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links between texts of different classes, of block i with block j (or within one block)."""
+    if len(rows) < 2:
+        return
+    _, i, j = key
+    own, node, root = (np.array([r[k] for r in rows]) for k in range(3))
+    texts = [read_shingles(r[3], r[4], idf) for r in rows]
+    flat = np.concatenate([t[0] for t in texts])
+    known, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]  # what one text alone has is no part of a link
+    who = np.repeat(np.arange(len(rows)), [len(t[0]) for t in texts])
+    weight = np.concatenate([t[1] for t in texts])
+    shared = np.zeros((len(rows), len(rows)), np.float32)
+    order = np.argsort(column, kind="stable")
+    edges = np.searchsorted(column[order], np.arange(0, int((count > 1).sum()) + 1024, 1024))
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = order[lo:hi]
+        if len(part):
+            # sqrt(x) sqrt(y) is at least min(x, y): no link is lost, and equal weights are exact
+            cells = np.zeros((len(rows), 1024), np.float32)
+            cells[who[part], column[part] % 1024] = np.sqrt(weight[part])
+            shared += cells @ cells.T
+    total = np.array([t[2] for t in texts], np.float32)
+    near = shared >= THRESHOLD * 0.999 * (total[:, None] + total[None, :] - shared)
+    near &= (root[:, None] != root[None, :]) & (node[:, None] < node[None, :])
+    if i != j:
+        near &= own[:, None] != own[None, :]
+    found = [(x, y) for x, y in zip(*np.nonzero(near)) if similarity(texts[x], texts[y]) >= THRESHOLD]
+    if found:
+        x, y = (np.array(c) for c in zip(*found))
+        yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
+
+
+def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Each bucket's members with its hub: the text with the least weight of its own, later of another class."""
+    share = F.struct(F.col("mass") / F.col("weight"), F.xxhash64("node", F.lit(turn)))
+    kind = F.struct("node", "root", "weight", "mass")
+    hubs = rows.groupBy("bucket").agg(F.max_by(kind, share).alias("hub"))
+    if turn > 1:
+        rest = rows.join(hubs, "bucket").filter(F.col("root") != F.col("hub.root")).drop("hub")
+        hubs = rest.groupBy("bucket").agg(F.max_by(kind, share).alias("hub"))
+    hubs = hubs.select("bucket", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "root", "weight", "mass")])
+    return (
+        rows.join(hubs, "bucket")
+        .filter((F.col("root") != F.col("hub_root")) & _possible("", "hub_"))
+        .select(*_ordered_pairs(F.col("node"), F.col("hub_node")))
+    )
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

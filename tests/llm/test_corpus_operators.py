@@ -83,6 +83,7 @@ def test_classes_equal_brute_force(spark, copies):
 def test_large_buckets_are_compared_exactly(spark, copies, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 2)
     monkeypatch.setattr(neardup, "HUB_PAIRS", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
     df = spark.createDataFrame([(i, t, "x", "x", "x") for i, t in copies], SCHEMA)
     got = {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()}
     assert got == brute_classes(copies, neardup.shingle_weights(df))
