@@ -3,8 +3,9 @@
 Words are stripped of ASCII punctuation at both ends and lowered in ASCII.  Typed placeholders take the place of
 numbers (digits, no letters), quantities (a digit first, then letters), units (a listed unit after a number) and names
 (a capital inside a sentence).  Windows of ``WINDOW`` template words, at least half of them literal, are hashed; an
-item of fewer words is one window of its own.  Windows of a document that occur in an item are aligned: along one
-alignment the words covered by common windows are counted, and every slot value of the item must always meet the same
+item of fewer words is one window of its own.  Every window is hashed a second time with all words literal and fully
+case-folded, so copies in other case and copies dense in slots are found as they stand.  Windows of a document that
+occur in an item are aligned: along one alignment the words covered by common windows of either kind are counted, and every slot value of the item must always meet the same
 value of the document, and the other way round.  A document contains an item if at least ``RUN`` words (or all words
 of a shorter item) are covered and the slots agree; if a slot value differs the question was re-parameterised.
 
@@ -55,31 +56,43 @@ _STOP[[33, 46, 58, 63, 10]] = True
 class Templates:
     """Template words of a run of texts."""
 
-    data: np.ndarray
-    starts: np.ndarray  # of each word without outer punctuation
-    ends: np.ndarray
     hashes: np.ndarray
+    literal: np.ndarray  # hashes of the case-folded words without outer punctuation
     slot: np.ndarray  # whether a placeholder stands for the word
     first: np.ndarray  # first[i]:first[i + 1] are the words of text i
 
-    def value(self, i: int) -> bytes:
-        return bytes(_LOWER[self.data[self.starts[i] : self.ends[i]]])
-
 
 def _unit_hashes() -> np.ndarray:
     data, offsets = bytesops.joined([u.encode() for u in UNITS])
     return np.sort(bytesops.segment_hashes(data, offsets[:-1], offsets[1:] - 1))
 
 
-def templates(texts: list[bytes | None]) -> Templates:
-    data, offsets = bytesops.joined(texts, None)
-    starts, ends = bytesops.words_of(data)
-    whole_ends = ends
+def _bare(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words without outer punctuation; a word of nothing else has no length."""
     inner = _LETTER[data] | _DIGIT[data]
     place = np.arange(len(data))
     after = np.minimum.accumulate(np.where(inner, place, len(data))[::-1])[::-1]  # next letter or digit
     before = np.maximum.accumulate(np.where(inner, place, -1))  # the last one
-    s, e = after[starts], before[ends - 1] + 1
+    return after[starts], before[ends - 1] + 1
+
+
+def _folded(text: bytes | None) -> bytes | None:
+    if text is None or text.isascii():
+        return text
+    return text.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+
+
+def _literal(texts: list[bytes | None]) -> np.ndarray:
+    """Hashes of the case-folded words; folding neither makes nor takes words."""
+    data, _ = bytesops.joined([_folded(t) for t in texts])
+    s, e = _bare(data, *bytesops.words_of(data))
+    return bytesops.segment_hashes(data, s[s < e], e[s < e])
+
+
+def templates(texts: list[bytes | None]) -> Templates:
+    data, offsets = bytesops.joined(texts, None)
+    starts, whole_ends = bytesops.words_of(data)
+    s, e = _bare(data, starts, whole_ends)
     kept = s < e
     opens = np.ones(len(starts), bool)  # a sentence begins with the word
     opens[1:] = _STOP[data[whole_ends[:-1] - 1]]
@@ -89,6 +102,7 @@ def templates(texts: list[bytes | None]) -> Templates:
     letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
     has_digit, has_letter = digits[e] > digits[s], letters[e] > letters[s]
     hashes = bytesops.segment_hashes(_LOWER[data], s, e)
+    literal = hashes.copy() if all(t is None or t.isascii() for t in texts) else _literal(texts)
     number = has_digit & ~has_letter
     quantity = _DIGIT[data[s]] & has_letter
     head, second = data[s], data[np.minimum(s + 1, len(data) - 1)]
@@ -101,16 +115,19 @@ def templates(texts: list[bytes | None]) -> Templates:
     unit[:1] = False
     for kind, where in ((NUMBER, number), (QUANTITY, quantity), (NAME, name), (UNIT, unit)):
         hashes[where] = kind
-    return Templates(data, s, e, hashes, number | quantity | name | unit, np.searchsorted(s, offsets))
+    return Templates(hashes, literal, number | quantity | name | unit, np.searchsorted(s, offsets))
 
 
-def windows(t: Templates, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of the n-word windows inside one text with at least half their words literal."""
-    grams = bytesops.ngram_hashes(t.hashes, n)
+def windows(t: Templates, n: int, literal: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the n-word windows inside one text: all of them by their literal words, or those with at
+    least half their words literal by their template words."""
+    grams = bytesops.ngram_hashes(t.literal if literal else t.hashes, n)
     owner = np.repeat(np.arange(len(t.first) - 1), np.diff(t.first))
     slots = np.concatenate([[0], np.cumsum(t.slot)])
     m = len(grams)
-    good = (owner[:m] == owner[n - 1 : n - 1 + m]) & (2 * (slots[n : n + m] - slots[:m]) <= n)
+    good = owner[:m] == owner[n - 1 : n - 1 + m]
+    if not literal:
+        good &= 2 * (slots[n : n + m] - slots[:m]) <= n
     at = np.flatnonzero(good)
     return at, grams[at]
 
@@ -121,7 +138,7 @@ class Items:
 
     texts: Templates
     ids: list
-    by_size: dict[int, tuple[np.ndarray, np.ndarray]]  # hashes in order, first word of each
+    by_size: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]  # (words, literal): hashes in order, first words
 
     def item_of(self, word: int) -> int:
         return int(np.searchsorted(self.texts.first, word, "right")) - 1
@@ -133,11 +150,12 @@ def read_items(rows: list[tuple]) -> Items:
     count = np.diff(t.first)
     by_size = {}
     for n in sorted({min(WINDOW, int(c)) for c in count if c}):
-        at, h = windows(t, n)
-        size = count[np.searchsorted(t.first, at, "right") - 1]
-        own = np.minimum(size, WINDOW) == n
-        order = np.argsort(h[own], kind="stable")
-        by_size[n] = (h[own][order], at[own][order])
+        for literal in (False, True):
+            at, h = windows(t, n, literal)
+            size = count[np.searchsorted(t.first, at, "right") - 1]
+            own = np.minimum(size, WINDOW) == n
+            order = np.argsort(h[own], kind="stable")
+            by_size[n, literal] = (h[own][order], at[own][order])
     return Items(t, [i for i, _ in rows], by_size)
 
 
@@ -146,8 +164,8 @@ def matches(texts: list[bytes | None], items: Items) -> Iterator[tuple]:
     t = templates(texts)
     hits: dict[tuple, list[int]] = defaultdict(list)  # (text, item, alignment) -> first words of common windows
     sizes = {}
-    for n, (known, where) in items.by_size.items():
-        at, h = windows(t, n)
+    for (n, literal), (known, where) in items.by_size.items():
+        at, h = windows(t, n, literal)
         table = np.zeros(1 << 16, bool)
         table[(known >> np.uint64(48)).astype(np.int64)] = True
         maybe = table[(h >> np.uint64(48)).astype(np.int64)]
@@ -167,7 +185,9 @@ def matches(texts: list[bytes | None], items: Items) -> Iterator[tuple]:
         if len(covered) < min(RUN, size):
             continue
         slots = [
-            (items.texts.value(k), t.value(k + shift)) for k in covered if items.texts.slot[k] and t.slot[k + shift]
+            (int(items.texts.literal[k]), int(t.literal[k + shift]))
+            for k in covered
+            if items.texts.slot[k] and t.slot[k + shift]
         ]
         if len({a for a, _ in slots}) != len(set(slots)) or len({b for _, b in slots}) != len(set(slots)):
             continue  # one value stands for two
@@ -192,8 +212,8 @@ def contaminated(
     asked = benchmark.select(
         F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
     ).filter(F.col("text").isNotNull())
-    # a text has no more windows than half its characters
-    weight = asked.agg(F.coalesce(F.sum(F.length("text") / 2), F.lit(0.0))).first()[0]
+    # a text has no more words than half its characters, and each opens at most two windows
+    weight = asked.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = max(1, int(-(-weight // BLOCK_WINDOWS)))
     out = None
     for part in range(parts):

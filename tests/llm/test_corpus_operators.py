@@ -183,6 +183,21 @@ def test_reparameterised_questions_are_found(spark):
     assert templates.contaminated(df, bench.limit(0)).count() == 0
 
 
+def leaks(spark, texts, items):
+    """Sorted (text number, item number) pairs."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return sorted((r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, bench).collect())
+
+
+def test_passages_in_other_case_are_found(spark):
+    item = "In Évreux the straße of Élodie and Óscar leads from the old market to the ΟΔΟΣ of Σίσυφος, over 3 hills"
+    plain = "the quick answer to such a long question is never given by those who have read the whole of it"
+    pad = " ".join(prose(30))
+    texts = [f"{pad} {f(x)} {pad}" for x in (item, plain) for f in (str, str.upper, str.lower, str.title)]
+    assert leaks(spark, [*texts, pad, pad.upper()], [item, plain]) == [(i, i // 4) for i in range(8)]
+
+
 def test_item_blocks_give_the_same(spark, monkeypatch, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(str, templates.contaminated(docs, bench).collect()))
