@@ -5,9 +5,12 @@ numbers (digits, no letters), quantities (a digit first, then letters), units (a
 (a capital inside a sentence).  Windows of ``WINDOW`` template words, at least half of them literal, are hashed; an
 item of fewer words is one window of its own.  Every window is hashed a second time with all words literal and fully
 case-folded, so copies in other case and copies dense in slots are found as they stand.  Windows of a document that
-occur in an item are aligned: along one alignment the words covered by common windows of either kind are counted, and every slot value of the item must always meet the same
-value of the document, and the other way round.  A document contains an item if at least ``RUN`` words (or all words
-of a shorter item) are covered and the slots agree; if a slot value differs the question was re-parameterised.
+occur in an item are aligned: along one alignment the words covered by common windows of either kind are counted.  In
+a span of them every slot value of the item must always meet the same value of the document, so an alignment is split
+where one does not; different values may meet the same new one.  A document contains an item if such a span, or the
+words covered literally, are ``RUN`` words or more (or all words of a shorter item); if a slot value differs the
+question was re-parameterised.  One case is left out: where a value that the item has in the same place too (9 to 120
+beside 120 to 120) takes the place of another, the whole alignment is no match, whatever stands beside it.
 
 The item side is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows, each block to one scan of the documents, so
 its size is bounded whatever the benchmark; a document's windows stay in the task that reads it.
@@ -159,11 +162,31 @@ def read_items(rows: list[tuple]) -> Items:
     return Items(t, [i for i, _ in rows], by_size)
 
 
+def _agreeing(covered: list[int], slots: dict[int, tuple]) -> list[int]:
+    """The longest run of the covered words in which no slot value of the item meets two of the document."""
+    best, lo = (0, 0), 0
+    met: dict = {}  # value of the item -> [value of the document, times in the run]
+    for hi, k in enumerate(covered):
+        if k in slots:
+            a, b = slots[k]
+            while a in met and met[a][0] != b:
+                if covered[lo] in slots:
+                    gone = slots[covered[lo]][0]
+                    met[gone][1] -= 1
+                    if not met[gone][1]:
+                        del met[gone]
+                lo += 1
+            met.setdefault(a, [b, 0])[1] += 1
+        if hi + 1 - lo > best[1] - best[0]:
+            best = (lo, hi + 1)
+    return covered[slice(*best)]
+
+
 def matches(texts: list[bytes | None], items: Items) -> Iterator[tuple]:
     """(text number, item id, words covered, words of the item, slots, changed slots) of each item in a text."""
     t = templates(texts)
-    hits: dict[tuple, list[int]] = defaultdict(list)  # (text, item, alignment) -> first words of common windows
-    sizes = {}
+    # (text, item, alignment) -> (words covered by template windows, by literal ones)
+    hits: dict[tuple, tuple[set, set]] = defaultdict(lambda: (set(), set()))
     for (n, literal), (known, where) in items.by_size.items():
         at, h = windows(t, n, literal)
         table = np.zeros(1 << 16, bool)
@@ -174,24 +197,27 @@ def matches(texts: list[bytes | None], items: Items) -> Iterator[tuple]:
         for word, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
             text = int(np.searchsorted(t.first, word, "right")) - 1
             for k in where[a:b].tolist():
-                key = (text, items.item_of(k), word - k)
-                hits[key].append(k)
-                sizes[key] = n
+                hits[text, items.item_of(k), word - k][literal].update(range(k, k + n))
     best: dict[tuple, tuple] = {}
-    for (text, item, shift), found in hits.items():
-        n = sizes[text, item, shift]
-        covered = sorted({k + j for k in found for j in range(n)})
+    for (text, item, shift), (typed, verbatim) in hits.items():
+        covered = sorted(typed | verbatim)
         size = int(items.texts.first[item + 1] - items.texts.first[item])
         if len(covered) < min(RUN, size):
             continue
-        slots = [
-            (int(items.texts.literal[k]), int(t.literal[k + shift]))
+        slots = {
+            k: (int(items.texts.literal[k]), int(t.literal[k + shift]))
             for k in covered
             if items.texts.slot[k] and t.slot[k + shift]
-        ]
-        if len({a for a, _ in slots}) != len(set(slots)) or len({b for _, b in slots}) != len(set(slots)):
-            continue  # one value stands for two
-        row = (len(covered), size, len(slots), sum(a != b for a, b in set(slots)))
+        }
+        changes = [slots[k] for k in typed if k in slots]
+        kept = {a for a, b in changes if a == b}
+        if any(a != b and b in kept for a, b in changes):
+            continue  # a value that stays takes the place of another
+        words = max(_agreeing(covered, slots), sorted(verbatim), key=len)
+        if len(words) < min(RUN, size):
+            continue
+        pairs = [slots[k] for k in words if k in slots]
+        row = (len(words), size, len(pairs), sum(a != b for a, b in set(pairs)))
         if (text, item) not in best or (row[0], -row[3]) > (best[text, item][0], -best[text, item][3]):
             best[text, item] = row
     for (text, item), row in sorted(best.items()):

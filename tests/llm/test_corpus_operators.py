@@ -198,6 +198,18 @@ def test_passages_in_other_case_are_found(spark):
     assert leaks(spark, [*texts, pad, pad.upper()], [item, plain]) == [(i, i // 4) for i in range(8)]
 
 
+def test_slots_that_disagree_split_the_alignment(spark):
+    item = (
+        "a bus carries 40 children from the school to the lake and then 40 of them walk home along the narrow path "
+        "beside the river while 3 teachers and 7 parents wait at the lake for the next bus"
+    )
+    split = item.replace("carries 40", "carries 55")  # 40 becomes 55 and stays 40, a long verbatim run behind it
+    merged = item.replace("3 teachers", "5 teachers").replace("7 parents", "5 parents").replace("40", "90")
+    short = "does 4 plus 4 make 8 here"
+    texts = [f"well {split} then", merged, "does 4 plus 5 make 8 here", "does 3 plus 3 make 9 here", item[60:100]]
+    assert leaks(spark, texts, [item, short]) == [(0, 0), (1, 0), (3, 1)]
+
+
 def test_item_blocks_give_the_same(spark, monkeypatch, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(str, templates.contaminated(docs, bench).collect()))
