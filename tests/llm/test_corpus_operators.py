@@ -210,6 +210,13 @@ def test_slots_that_disagree_split_the_alignment(spark):
     assert leaks(spark, texts, [item, short]) == [(0, 0), (1, 0), (3, 1)]
 
 
+def test_items_dense_in_slots_are_found_as_they_stand(spark):
+    items = ["12 km 5 kg 7 h 30 min 9 lb 11 oz 4 ft 6 in 2 l", "3 + 4 = 7", "and Ana Bo Cy Di", "17"]
+    pad = " ".join(prose(20))
+    texts = [f"{pad} {x}, {pad}" for x in items] + [pad, "13 km 5 kg 7 h 31 min 9 lb 12 oz 4 ft 7 in 2 l", "3 + 5 = 8"]
+    assert leaks(spark, texts, items) == [(i, i) for i in range(4)]
+
+
 def test_item_blocks_give_the_same(spark, monkeypatch, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(str, templates.contaminated(docs, bench).collect()))
