@@ -4,13 +4,14 @@ Words are stripped of ASCII punctuation at both ends and lowered in ASCII.  Type
 numbers (digits, no letters), quantities (a digit first, then letters), units (a listed unit after a number) and names
 (a capital inside a sentence).  Windows of ``WINDOW`` template words, at least half of them literal, are hashed; an
 item of fewer words is one window of its own.  Every window is hashed a second time with all words literal and fully
-case-folded, so copies in other case and copies dense in slots are found as they stand.  Windows of a document that
-occur in an item are aligned: along one alignment the words covered by common windows of either kind are counted.  In
-a span of them every slot value of the item must always meet the same value of the document, so an alignment is split
-where one does not; different values may meet the same new one.  A document contains an item if such a span, or the
-words covered literally, are ``RUN`` words or more (or all words of a shorter item); if a slot value differs the
-question was re-parameterised.  One case is left out: where a value that the item has in the same place too (9 to 120
-beside 120 to 120) takes the place of another, the whole alignment is no match, whatever stands beside it.
+case-folded, so copies in other case and copies dense in slots are found as they stand.  An item's first word with a
+capital is hashed as a name, too, as it is one inside a sentence, and must be the same word there.  Windows of a
+document that occur in an item are aligned: along one alignment the words covered by common windows of either kind are
+counted.  In a span of them every slot value of the item must always meet the same value of the document, so an
+alignment is split where one does not; different values may meet the same new one.  A document contains an item if such
+a span, or the words covered literally, are ``RUN`` words or more (or all words of a shorter item); if a slot value
+differs the question was re-parameterised.  One case is left out: where a value that the item has in the same place too
+(9 to 120 beside 120 to 120) takes the place of another, the whole alignment is no match, whatever stands beside it.
 
 The item side is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows, each block to one scan of the documents, so
 its size is bounded whatever the benchmark; a document's windows stay in the task that reads it.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,7 @@ class Templates:
     hashes: np.ndarray
     literal: np.ndarray  # hashes of the case-folded words without outer punctuation
     slot: np.ndarray  # whether a placeholder stands for the word
+    opening: np.ndarray  # whether a capital is no name only because the word opens a sentence
     first: np.ndarray  # first[i]:first[i + 1] are the words of text i
 
 
@@ -118,7 +120,8 @@ def templates(texts: list[bytes | None]) -> Templates:
     unit[:1] = False
     for kind, where in ((NUMBER, number), (QUANTITY, quantity), (NAME, name), (UNIT, unit)):
         hashes[where] = kind
-    return Templates(hashes, literal, number | quantity | name | unit, np.searchsorted(s, offsets))
+    slot = number | quantity | name | unit
+    return Templates(hashes, literal, slot, capital & opens & ~slot, np.searchsorted(s, offsets))
 
 
 def windows(t: Templates, n: int, literal: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -151,10 +154,18 @@ def read_items(rows: list[tuple]) -> Items:
     """``rows`` are (id, text as bytes)."""
     t = templates([text for _, text in rows])
     count = np.diff(t.first)
+    heads = t.first[:-1][count > 0]
+    heads = heads[t.opening[heads]]
+    inside = replace(t, hashes=t.hashes.copy(), slot=t.slot.copy())  # as the items read inside a sentence
+    inside.hashes[heads], inside.slot[heads] = NAME, True
     by_size = {}
     for n in sorted({min(WINDOW, int(c)) for c in count if c}):
         for literal in (False, True):
             at, h = windows(t, n, literal)
+            if not literal:
+                more, g = windows(inside, n, literal)
+                new = np.isin(more, heads)
+                at, h = np.concatenate([at, more[new]]), np.concatenate([h, g[new]])
             size = count[np.searchsorted(t.first, at, "right") - 1]
             own = np.minimum(size, WINDOW) == n
             order = np.argsort(h[own], kind="stable")
@@ -197,6 +208,8 @@ def matches(texts: list[bytes | None], items: Items) -> Iterator[tuple]:
         for word, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
             text = int(np.searchsorted(t.first, word, "right")) - 1
             for k in where[a:b].tolist():
+                if not literal and t.slot[word] and not items.texts.slot[k] and t.literal[word] != items.texts.literal[k]:
+                    continue  # another name than the item's first word
                 hits[text, items.item_of(k), word - k][literal].update(range(k, k + n))
     best: dict[tuple, tuple] = {}
     for (text, item, shift), (typed, verbatim) in hits.items():
@@ -238,8 +251,8 @@ def contaminated(
     asked = benchmark.select(
         F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
     ).filter(F.col("text").isNotNull())
-    # a text has no more words than half its characters, and each opens at most two windows
-    weight = asked.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    # (length + 1) / 2 words at most, two windows each, and one more for the first word
+    weight = asked.agg(F.coalesce(F.sum(F.length("text") + 2), F.lit(0))).first()[0]
     parts = max(1, int(-(-weight // BLOCK_WINDOWS)))
     out = None
     for part in range(parts):

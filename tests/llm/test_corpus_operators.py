@@ -217,6 +217,13 @@ def test_items_dense_in_slots_are_found_as_they_stand(spark):
     assert leaks(spark, texts, items) == [(i, i) for i in range(4)]
 
 
+def test_first_word_of_an_item_inside_a_sentence(spark):
+    item = "What is the capital of France"
+    texts = [f'one asked, "{item}?"', "one said, What is the capital of Spain then", "What is the capital of Chile",
+             "one said, Rome is the capital of Spain then", "one said, what is the capital of a land"]
+    assert leaks(spark, texts, [item]) == [(0, 0), (1, 0), (2, 0)]
+
+
 def test_item_blocks_give_the_same(spark, monkeypatch, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(str, templates.contaminated(docs, bench).collect()))
