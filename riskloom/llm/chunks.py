@@ -2,12 +2,15 @@
 
 A gear hash rolls over the bytes of a text; a chunk ends where ``MASK_BITS`` of its bits are zero.  These bits depend
 on the last ``LOOK_BACK`` bytes only, so an insertion moves no cut but those next to it, and equal passages are cut
-alike wherever they stand.  Chunks have no least or greatest size.  Chunks are counted by digest over all documents;
+alike wherever they stand.  Of any ``FAR`` words in a row without such a cut, those of least hash are cut at their
+least, so no passage of 50 words lacks cuts, however short its words or its period.  These cuts depend on the words of
+the window and the ``LOOK_BACK`` bytes before them only.  Chunks are counted by digest over all documents;
 those of two documents or more are repeats, and all but the ones of the document of least id are copies.  White space
 of any kind is a blank.
 
-Consecutive repeats of a document make a run.  A shared passage ends inside the chunks on either side, so a run counts
-if it and these two chunks together hold at least ``words`` words and the run itself ``OWN_WORDS``.  Its spans are the
+Consecutive repeats of a document make a run.  A shared passage begins and ends beside the run, as cuts near its ends
+differ: at most as far as the next cut by the mask (before the run ``LOOK_BACK`` bytes more) and ``FAR`` words off.  A
+run counts if it and these words hold at least ``words`` words and the run itself ``OWN_WORDS``.  Its spans are the
 parts that are copies and those that are not.
 
 Equal digests (64 bits) are taken for equal chunks.  Defined results: null and empty texts have no chunk; rows of one
@@ -31,6 +34,7 @@ LOOK_BACK = 20
 MASK = np.uint32(((1 << MASK_BITS) - 1) << (LOOK_BACK - MASK_BITS))
 WORDS = 50
 OWN_WORDS = 6
+FAR = 16  # with 10 words for LOOK_BACK, a cut in the first 27 of 50 words, one in the last 17, more than 6 between
 BLANKS = bytes(32 if 9 <= c <= 13 else c for c in range(256))
 
 CHUNKS = "doc_id bigint, row bigint, at int, start int, length int, words int, beside int, digest bigint"
@@ -48,17 +52,50 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cut(data: np.ndarray, lo: int, hi: int, hashes: np.ndarray) -> np.ndarray:
-    """Chunk edges of the text data[lo:hi], both ends included.
+def _over(values: np.ndarray, n: int, best: np.ufunc) -> np.ndarray:
+    """``best`` over each n values in a row, n a power of two."""
+    step = 1
+    while step < n:
+        values = best(values[:-step], values[step:])
+        step *= 2
+    return values
+
 
-    ``hashes`` may come from a longer run of texts: each text is cut only where it has had ``LOOK_BACK`` bytes of its own.
+def cuts(data: np.ndarray, offsets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a chunk ends after each byte of a run of texts, their ends not counted, and whether by the mask.
+
+    Each text is cut only where it has had ``LOOK_BACK`` bytes of its own.  The mask asks for the upper bits of the last
+    ``LOOK_BACK`` to be zero, so a cut by it is a hash below ``1 << (LOOK_BACK - MASK_BITS)``.
     """
-    inside = np.flatnonzero((hashes[lo + LOOK_BACK : hi - 1] & MASK) == 0) + lo + LOOK_BACK + 1
-    return np.concatenate([[lo], inside, [hi]]) if hi > lo else np.zeros(0, np.int64)
+    none = np.uint32(1 << LOOK_BACK)
+    low = gear_hash(data) & (none - np.uint32(1))
+    size = np.diff(offsets)
+    early = np.arange(len(data)) - np.repeat(offsets[:-1], size) < LOOK_BACK
+    low[early] = none
+    low[np.concatenate([offsets[1:] - 1, offsets[1:][size > 1] - 2])] = none
+    masked = (low & MASK == 0) & (low < none)
+    found = masked.copy()
+    # words with the white space after them; what comes before the first one of a text goes as a word
+    opens = begins.copy()
+    opens[offsets[:-1]] = True
+    at = np.flatnonzero(opens)
+    if len(at) < FAR:
+        return found, masked
+    least = np.minimum.reduceat(low, at)
+    text = np.searchsorted(offsets, at, "right")
+    window = _over(least, FAR, np.minimum)
+    bare = (text[: len(window)] == text[FAR - 1 :]) & (window >= 1 << (LOOK_BACK - MASK_BITS)) & (window < none)
+    zeros = np.zeros(FAR - 1, np.uint32)
+    wanted = _over(np.concatenate([zeros, np.where(bare, window, 0), zeros]).astype(np.uint32), FAR, np.maximum)
+    word = np.cumsum(opens) - 1
+    hit = np.flatnonzero((low == np.where(wanted == least, least, none + 1)[word]))
+    _, first = np.unique(word[hit], return_index=True)
+    found[hit[first]] = True
+    return found, masked
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per chunk: its place, its code points and words, the words of the chunks beside it, and its digest."""
+    """A row per chunk: its place, its code points and words, how many words a passage may go on beside, its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -76,8 +113,14 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def _chunk_rows(texts: list[bytes | None], ids: pa.Array, row: int) -> pa.RecordBatch:
     data, offsets = bytesops.joined(texts, BLANKS)
-    hashes = gear_hash(data)
-    edges = [cut(data, lo, hi - 1, hashes) for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    space = bytesops.SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    found, masked = cuts(data, offsets, begins)
+    edges = [
+        np.concatenate([[lo], np.flatnonzero(found[lo:hi]) + lo + 1, [hi]]) if hi > lo else np.zeros(0, np.int64)
+        for lo, hi in zip(offsets[:-1].tolist(), (offsets[1:] - 1).tolist())
+    ]
     count = np.array([max(len(e) - 1, 0) for e in edges], np.int64)
     starts = np.concatenate([e[:-1] for e in edges]).astype(np.int64)
     ends = np.concatenate([e[1:] for e in edges]).astype(np.int64)
@@ -85,17 +128,15 @@ def _chunk_rows(texts: list[bytes | None], ids: pa.Array, row: int) -> pa.Record
     first = np.repeat(np.cumsum(count) - count, count)
     place = np.arange(len(starts)) - first
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
-    space = bytesops.SPACE[data]
-    begins = ~space
-    begins[1:] &= space[:-1]
     word = np.concatenate([[0], np.cumsum(begins)])
     words = word[ends] - word[starts]
-    beside = np.zeros(len(words), np.int64)
-    beside[1:] += np.where(place[1:] > 0, words[:-1], 0)
-    before = beside.copy()
-    after = np.zeros(len(words), np.int64)
-    after[:-1] = np.where(place[1:] > 0, words[1:], 0)
-    packed = np.minimum(before, 0x7FFF) << 16 | np.minimum(after, 0xFFFF)
+    # how far a passage may go on before and after: no cut by the mask, save one that looks back over its beginning
+    marks = np.unique(np.concatenate([np.flatnonzero(masked) + 1, offsets[:-1], offsets[1:] - 1]))
+    last = marks[np.maximum(np.searchsorted(marks, starts, "left") - 1, 0)] - LOOK_BACK
+    before = np.minimum(word[starts] - word[np.maximum(last, offsets[owner])], FAR + LOOK_BACK // 2 + 1)
+    then = marks[np.minimum(np.searchsorted(marks, ends, "right"), len(marks) - 1)]
+    after = np.minimum(word[np.minimum(then, offsets[owner + 1] - 1)] - word[ends], FAR + 1)
+    packed = before << 16 | after
     return pa.RecordBatch.from_arrays(
         [
             ids.take(pa.array(owner)),

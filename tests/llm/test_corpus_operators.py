@@ -147,6 +147,17 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert chunks.repeats(df.limit(0)).count() == 0
 
 
+def test_short_and_periodic_passages_are_found(spark):
+    rng = random.Random(9)
+    shared = [" ".join(rng.choices(VOCABULARY, k=51 + i % 10)) for i in range(200)]
+    shared += [" ".join((rng.choices(VOCABULARY, k=1 + i % 8) * 60)[:60]) for i in range(100)]
+    shared += [" ".join(rng.choices("0123456789", k=51)) for _ in range(100)]
+    texts = [" ".join([*rng.choices(VOCABULARY, k=40), p, *rng.choices(VOCABULARY, k=40)]) for p in shared * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in chunks.repeats(df).collect()} == set(range(len(texts)))
+    assert chunks.chunks(df).where(f"words > {2 * chunks.FAR}").count() == 0
+
+
 def test_chunks_resist_insertions(spark):
     text = " ".join(prose(400))
     df = spark.createDataFrame([(1, text), (2, "inserted " + text)], "doc_id bigint, text string")
