@@ -328,6 +328,21 @@ def test_trees_add_what_looks_alike(spark):
             assert "/" not in rows[r["doc_id"]][1][int(a) : int(e)]
 
 
+def test_added_spans_that_do_not_overlap_all_stay(spark):
+    class Scores:
+        def selected(self, rows):
+            return rows
+
+    spans = [(1, "address", 0, 20, 0.8), (1, "number", 15, 30, 0.7), (1, "address", 25, 40, 0.9),
+             (2, "address", 0, 20, 0.6), (2, "number", 15, 30, 0.9), (2, "address", 25, 40, 0.8)]
+    loose = spark.createDataFrame(
+        [(k, k, *s, 0) for k, *s in spans], "k1 bigint, k2 int, kind string, start int, end int, score double, label int"
+    )
+    got = pii._added(loose, Scores())
+    assert got.columns == ["k1", "k2", "kind", "start", "end"]
+    assert sorted((r["k1"], r["start"]) for r in got.collect()) == [(1, 0), (1, 25), (2, 15)]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(
         [(1, "é a@b.co, +1 234 567 8901!", "n", "s", "h"), (2, None, "n", "s", "h"), (3, "clean", "n", "s", "h"),
