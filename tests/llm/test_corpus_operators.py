@@ -343,6 +343,13 @@ def test_added_spans_that_do_not_overlap_all_stay(spark):
     assert sorted((r["k1"], r["start"]) for r in got.collect()) == [(1, 0), (1, 25), (2, 15)]
 
 
+def test_few_candidates_are_scored_by_the_fixed_rule(spark):
+    said = ["mail jöhn@ü.example now", "card 4111 1111 1111 1112 ok", "call 132-555-1352 now", "part 123456789 x", "at@home"]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.find(df)).collect()}
+    assert got == {0: "address:5:19", 1: "number:5:24", 2: "number:5:17", 3: "", 4: ""}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(
         [(1, "é a@b.co, +1 234 567 8901!", "n", "s", "h"), (2, None, "n", "s", "h"), (3, "clean", "n", "s", "h"),
