@@ -17,6 +17,7 @@ from riskloom.functions.expr import col, number
 from riskloom.operators import drift, missing, outliers, quality, schema
 from riskloom.plans import rules as R
 from riskloom.plans import student
+from riskloom.plans.intake import clip_negatives
 from riskloom.sources.batches import json_records
 from riskloom.sources.tables import table
 
@@ -160,7 +161,8 @@ def columns_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal FROM customer",
 )
 def clip_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", student.clip_macro("c_acctbal").alias("c_acctbal"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return clip_negatives(customers, ["c_acctbal"])
 
 
 @query(

@@ -15,9 +15,10 @@ def shares(df: DataFrame, target: str) -> DataFrame:
 
 
 def with_total(counts: DataFrame, n: str) -> DataFrame:
-    """Add ``_total``, the sum of ``n`` over all rows, which is one row to look up."""
-    total = counts.agg(F.sum(n).alias("_total")).withColumn("_all", F.lit(1))
-    return counts.withColumn("_all", F.lit(1)).join(F.broadcast(total), "_all").drop("_all")
+    """Add ``_total``, the sum of ``n`` over all rows: one number, looked up first and used as a literal."""
+    counts = stage(counts, "counts")
+    total = counts.agg(F.sum(n)).first()[0]
+    return counts.withColumn("_total", F.lit(total).cast("bigint"))
 
 
 def compare_shares(this: DataFrame, ref: DataFrame, target: str, ref_name: str = "ref") -> DataFrame:
