@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.llm import (
+    alignment,
     chat,
     chunks,
     langid,
+    manifest,
+    manifest_sql,
     neardup,
     packing,
     pii,
@@ -18,6 +21,7 @@ from riskloom.llm import (
     templates,
     token_blocks,
     toxicity,
+    windows,
 )
 from riskloom.sources.tables import table
 
@@ -94,6 +98,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(rows)).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its place in the Merkle tree of the table, and whether a tampered copy is noticed."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0, F.lit(1)).otherwise(F.lit(0))
+    tampered = manifest.leaf([F.col(f) + more if f == "n_chars" else F.col(f) for f in fields])
+    made = manifest.manifest(docs, fields, "lang", "doc_id", extra={"tampered": tampered})
+    hexed = {c: manifest.shown(F.col(c)) for c in ("leaf", "subroot", "root")}
+    return made.select(
+        "doc_id",
+        *[value.alias(c) for c, value in hexed.items()],
+        F.sha2(manifest.proof_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        manifest.shown(manifest.fold(F.col("tampered"), F.col("proof"))).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of a document with its place in the packed sequences."""
+    return windows.pieces(windows.pack_documents(table(spark, sf_dir, "documents")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens for every document."""
+    found = alignment.aligned(table(spark, sf_dir, "documents"))
+    told = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return alignment.with_counts(found.withColumn("groups_sha256", told).drop("groups")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -107,6 +141,9 @@ QUERIES: dict[str, Query] = {
         op8_personal_data,
         op9_near_duplicates,
         op10_toxicity,
+        op11_manifest,
+        op12_windows,
+        op13_alignment,
     )
 }
-ORACLES: dict[str, str] = {"op2_quality": quality_sql.SQL}
+ORACLES: dict[str, str] = {"op2_quality": quality_sql.SQL, "op11_manifest": manifest_sql.SQL}
