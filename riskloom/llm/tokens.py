@@ -51,7 +51,20 @@ class WordTokenizer:
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): the ids of text i are ids[bounds[i]:bounds[i + 1]]."""
+        """(ids, bounds): the ids of text i are ids[bounds[i]:bounds[i + 1]].
+
+        Texts with what may be a special token, or with the character NUL, are tokenized as a whole.
+        """
+        whole = [i for i, t in enumerate(texts) if t and (b"<|" in t or b"\0" in t)]
+        if not whole:
+            return self._by_words(texts)
+        ids, bounds = self._by_words([None if t and (b"<|" in t or b"\0" in t) else t for t in texts])
+        parts = np.split(ids, bounds[1:-1])
+        for i, e in zip(whole, self.whole.encode_batch([texts[i].decode() for i in whole], add_special_tokens=False)):
+            parts[i] = np.array(e.ids, self.dtype)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _by_words(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = bytesops.joined(texts, None)
         if not ((data == 0xCC) | (data == 0xCD)).any():
             data, offsets = bytesops.joined(texts)
