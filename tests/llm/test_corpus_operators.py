@@ -186,10 +186,10 @@ def test_reparameterised_questions_are_found(spark):
     got = templates.contaminated(df, bench).collect()
     pairs = sorted((r["doc_id"] or 0, r["item_id"], r["reparameterised"]) for r in got)
     assert pairs == [(0, 1, False), (0, 5, False), (1, 1, False), (1, 1, False), (1, 5, False), (1, 5, False),
-                     (2, 1, True), (2, 5, True), (7, 2, False)]
+                     (2, 1, True), (2, 5, True), (6, 1, True), (6, 5, True), (7, 2, False)]
     clean = templates.keep_clean(df, bench)
     assert clean.columns == df.columns
-    assert sorted(r["doc_id"] for r in clean.collect()) == [3, 4, 5, 6, 8]
+    assert sorted(r["doc_id"] for r in clean.collect()) == [3, 4, 5, 8]
     assert templates.contaminated(df.limit(0), bench).count() == 0
     assert templates.contaminated(df, bench.limit(0)).count() == 0
 
@@ -221,6 +221,19 @@ def test_slots_that_disagree_split_the_alignment(spark):
     assert leaks(spark, texts, [item, short]) == [(0, 0), (1, 0), (3, 1)]
 
 
+def test_slots_of_several_words_and_common_changes(spark):
+    item = "Tom has 3 apples and 4 pears in his basket and gives 2 apples to his sister who has 5 km to walk home that day"
+    walk = "We know that Tom Baker walked 12 km from Athens to Sparta in 3 days, how many km did Tom Baker walk each day"
+    pad = " ".join(prose(30))
+    changed = [item.replace("Tom", "Mary Ann"), item.replace("3 apples", "4 apples"), item.replace("5 km", "9 miles"),
+               item.replace("3 apples", "120 apples").replace("5 km", "120 km"), "Νίκος" + item[3:]]
+    moved = [walk.replace("Tom Baker", "Άννα"), walk.replace("Athens", "Москва").replace("Sparta", "New York City"),
+             walk.replace("12 km", "30 miles")]
+    texts = [f"{pad} {x}, {pad}" for x in changed + moved] + [pad]
+    want = [(i, 0) for i in range(len(changed))] + [(len(changed) + i, 1) for i in range(len(moved))]
+    assert leaks(spark, texts, [item, walk]) == want
+
+
 def test_items_dense_in_slots_are_found_as_they_stand(spark):
     items = ["12 km 5 kg 7 h 30 min 9 lb 11 oz 4 ft 6 in 2 l", "3 + 4 = 7", "and Ana Bo Cy Di", "17"]
     pad = " ".join(prose(20))
@@ -343,11 +356,43 @@ def test_added_spans_that_do_not_overlap_all_stay(spark):
     assert sorted((r["k1"], r["start"]) for r in got.collect()) == [(1, 0), (1, 25), (2, 15)]
 
 
-def test_few_candidates_are_scored_by_the_fixed_rule(spark):
-    said = ["mail jöhn@ü.example now", "card 4111 1111 1111 1112 ok", "call 132-555-1352 now", "part 123456789 x", "at@home"]
-    df = spark.createDataFrame(list(enumerate(said)), "doc_id bigint, text string")
+FORMS = [
+    ("secret", 'token = "{}"', "9a8b99b6f89edc9746a2ef7e89e21f68bcb4543d"),
+    ("secret", "the api key: {}, keep it", "sk_9aZ81kQpL0x7Yt52WbC3mN4d"),
+    ("secret", "we saw {} in the log", "q8ZtY2xP0LkW7bVnM4cR1sDfG6hJ"),
+    ("hexgroups", "host {} answers", "2001:0db8:85a3:08d3:1319:8a2e:0370:7344"),
+    ("hexgroups", "the card at {} is new", "a4:5e:60:c2:1b:9f"),
+    ("account", "account {} was used", "DE44 5001 0517 5407 3249 31"),
+    ("account", "pay to {} today", "FR7630006000011234567890189"),
+    ("spelled", "write to {} today", "anna.kuhn at postweb dot com"),
+    ("spelled", "or {} instead", "joe (at) mailer (dot) org"),
+    ("address", "mail {} now", "jöhn@ümail.com"),
+    ("number", "call {} now", "132-555-1352"),
+    ("number", "card {} ok", "4111 1111 1111 1112"),
+]
+LIKE = ["on 2024-05-17 10:30:45 we met", "it cost 1 000 000 in 2020", "isbn 978-3-16-148410-0 is out", "verse 3:16:1 says so",
+        "he looked at the dot of ink", "section12ofthedocument is long", "file/name/2024/draft here", "part 123456789 x", "at@home",
+        "see HTTP_STATUS_CODE_NAME_12 there", "the number 4111111111111112 is odd", "AB12 THE QUICK BROWN FOX"]
+
+
+def test_added_spans_of_every_form(spark):
+    """Planted spans of each form are found whole and nothing else is, however small the table."""
+    rows = [(n, said.format(x)) for n, (_, said, x) in enumerate(FORMS)] + [(100 + n, x) for n, x in enumerate(LIKE)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["doc_id"]: r["spans"] for r in pii.report(pii.find(df)).collect()}
-    assert got == {0: "address:5:19", 1: "number:5:24", 2: "number:5:17", 3: "", 4: ""}
+    hit = 0
+    for n, (kind, said, x) in enumerate(FORMS):
+        at = said.index("{")
+        hit += f"{kind}:{at}:{at + len(x)}" in got[n].split(",")
+    assert hit >= 0.9 * len(FORMS), {n: got[n] for n in range(len(FORMS))}
+    wrong = {k: v for k, v in got.items() if k >= 100 and v}
+    assert len(wrong) <= 1, wrong
+
+
+def test_spans_are_added_on_given_tables(spark, sf_dir):
+    rows = [r["spans"] for r in queries.op8_personal_data(spark, "/root/testdata/sf0.01").collect()]
+    added = [s for x in rows for s in x.split(",") if s.split(":")[0] in pii.LOOSE]
+    assert added and all(s.startswith("secret:") for s in added)
 
 
 def test_redaction(spark):
@@ -434,5 +479,5 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 def test_registered_in_the_entry(spark):
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in entry.queries()}
     assert "pipeline" in entry.queries() and "op2_quality" in entry.oracle_sql()
