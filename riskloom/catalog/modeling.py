@@ -1,10 +1,14 @@
-"""Fitted models in their full configuration.  Only steps with fixed numbers have an SQL counterpart.
+"""Fitted models in their full configuration.  SQL counterparts hold what the tables fix of their results: splits,
+supports, totals, conditions that an optimum or an explanation must meet.
 
 A run is fitted once and then reported on, so the queries on the same tables share it within a session.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.features import CORRELATION_FEATURES, WITH_TARGET, student_paths, student_signals
@@ -16,11 +20,12 @@ from riskloom.operators.models import cross_validate, load_trained
 from riskloom.operators.scenarios import Scenario
 from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
-from riskloom.plans.actions import LINEAR, ActionPlan
+from riskloom.plans.actions import ActionPlan
 from riskloom.plans.modeling import Run, run_models
 from riskloom.session import shared_path, stage
 
 POSITIVE = "Dropout"
+MAIN = "Boosted_Trees"  # the model that action lists go by
 BINARY_TARGET = {"Dropout": 1, "Enrolled": 0, "Graduate": 0}
 TEXT_COLUMNS = ("Subject_Specific", "Academic_Stress_Level")
 
@@ -193,15 +198,15 @@ def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_actions")
 def model_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows by tier of the linear model, with its strongest driver."""
-    listed = ActionPlan.of(fitted(spark, sf_dir), LINEAR, POSITIVE).tiers()
+    """Test rows by tier of the boosted model, with its strongest driver."""
+    listed = ActionPlan.of(fitted(spark, sf_dir), MAIN, POSITIVE).tiers()
     first = F.inline(F.slice("top_drivers", 1, 1))
     return rounded(listed.select(*[c for c in listed.columns if c != "top_drivers"], first))
 
 
 @query("model_drivers")
 def model_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ActionPlan.of(fitted(spark, sf_dir), LINEAR, POSITIVE).drivers())
+    return rounded(ActionPlan.of(fitted(spark, sf_dir), MAIN, POSITIVE).drivers())
 
 
 @query("model_cohorts")
@@ -305,3 +310,64 @@ def saved_model_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("model").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("now") != F.col("then")).alias("differing")
     )
+
+
+@query(
+    "l1_optimum",
+    f"""WITH {STUDENTS} SELECT "Target" IS NOT NULL AS known, count(*) AS n, TRUE AS at_optimum FROM students
+        WHERE "Target" IS NOT NULL GROUP BY ALL""",
+)
+def l1_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the L1 model learnt from, and whether gradients at its coefficients meet the conditions of the optimum.
+
+    Of a coefficient other than 0 the gradient of the mean loss is the penalty with the other sign, of one that is 0 at
+    most the penalty, of the intercept 0, each within 1e-4 of the penalty's scale.
+    """
+    ready, features = _ready(spark, sf_dir)
+    model = importance.l1_model(ready)
+    x = vector_to_array("raw")
+    margin = model.margins(x)[0]
+    off = 1 / (1 + F.exp(-margin)) - F.col("y")
+    own = [i for i, s in enumerate(model.spreads) if s]
+    sums = ready.select(
+        off.alias("off"), *[((x[i] - model.means[i]) / model.spreads[i]).alias(f"z{i}") for i in own]
+    ).agg(F.count(F.lit(1)).alias("n"), F.avg("off").alias("g"), *[F.avg(F.col("off") * F.col(f"z{i}")).alias(f"g{i}") for i in own])
+    held = [F.abs("g") < 1e-4]
+    for i in own:
+        w, g = float(model.coefficients[0][i]), F.col(f"g{i}")
+        held.append(F.abs(g + math.copysign(model.penalty, w)) < 1e-4 if w else F.abs(g) < model.penalty + 1e-4)
+    good = held[0]
+    for h in held[1:]:
+        good = good & h
+    return sums.select(F.lit(True).alias("known"), "n", good.alias("at_optimum"))
+
+
+@query(
+    "model_contribution_gaps",
+    f"""WITH {_SPLIT} SELECT model, student_id, 0.0::DOUBLE AS gap FROM models CROSS JOIN test""",
+)
+def model_contribution_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What contributions leave unexplained of each test row's output less the mean output, for every model."""
+    run = fitted(spark, sf_dir)
+    out = None
+    for name in run.trained.models:
+        rows = run.trained.with_output(run.test, name, POSITIVE, "_output")
+        explained = run.trained.explained(rows.select("student_id", "_output", *[col(c) for c in run.trained.features]), name, POSITIVE)
+        told = F.aggregate("contributions", F.lit(0.0), lambda a, s: a + s["contribution"])
+        gap = F.col("_output") - F.lit(run.trained.base(name, POSITIVE)) - told
+        part = explained.select(F.lit(name).alias("model"), "student_id", F.abs(gap).alias("gap"))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+@query(
+    "model_confusion_totals",
+    f"""WITH {_SPLIT} SELECT model, "Target" AS label, count(*) AS n FROM models CROSS JOIN test GROUP BY ALL""",
+)
+def model_confusion_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each model's confusion matrix add up to the test rows of their class."""
+    run = fitted(spark, sf_dir)
+    whole = sum((F.col(f"pred_{c}") for c in run.trained.classes), F.lit(0))
+    table = run.confusions()
+    label = next(c for c in table.columns if c != "model" and not c.startswith("pred_"))
+    return table.select("model", col(label).alias("label"), whole.cast("bigint").alias("n"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.expr import col, mapped, number
+from riskloom.operators import sparse_logistic
 from riskloom.operators.orderstats import quantile_table
 from riskloom.operators.schema import numeric_columns
 
@@ -37,21 +39,17 @@ def assembled(matrix: DataFrame, features: Sequence[str]) -> DataFrame:
     return out.select("y", "raw")
 
 
-def l1_importance(
-    ready: DataFrame, features: Sequence[str], k: int = TOP, penalty: float = 0.1, iterations: int = 1000
-) -> DataFrame:
-    """(feature, coefficient): L1 logistic regression on standardised columns, largest size first."""
+def l1_model(ready: DataFrame, penalty: float = 0.1) -> sparse_logistic.LinearModel:
+    """L1 logistic regression of ``y`` on standardised columns, ``penalty`` as the inverse weight of a summed loss."""
     rows = ready.count()
-    scaled = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True).fit(ready).transform(ready)
-    model = LogisticRegression(
-        featuresCol="z",
-        labelCol="y",
-        elasticNetParam=1.0,
-        regParam=1.0 / (penalty * max(rows, 1)),
-        standardization=False,
-        maxIter=iterations,
-    ).fit(scaled)
-    pairs = [(f, float(c)) for f, c in zip(features, model.coefficients.toArray())]
+    return sparse_logistic.fit_binary(
+        ready.select(vector_to_array("raw").alias("x"), "y"), "x", "y", 1.0 / (penalty * max(rows, 1))
+    )
+
+
+def l1_importance(ready: DataFrame, features: Sequence[str], k: int = TOP, penalty: float = 0.1) -> DataFrame:
+    """(feature, coefficient) of the L1 model, largest size first."""
+    pairs = [(f, float(c)) for f, c in zip(features, l1_model(ready, penalty).coefficients[0])]
     out = ready.sparkSession.createDataFrame(pairs, "feature string, coefficient double")
     return out.orderBy(F.desc(F.abs("coefficient")), "feature").limit(k)
 

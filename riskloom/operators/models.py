@@ -1,28 +1,23 @@
-"""Class models on tabular features, fitted and scored by Spark ML."""
+"""Class models on tabular features: L1 logistic regression, tree, forest and boosted trees."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.expr import col
+from riskloom.operators import attribution, boosting, sparse_logistic, trees
 from riskloom.operators.orderstats import quantile_table
 from riskloom.operators.split import class_weights, with_weights
 from riskloom.session import shared_path, stage
 
-FEATURES, LABEL, WEIGHT = "_features", "_label", "_weight"
+FEATURES, LABEL, WEIGHT, VALUES = "_features", "_label", "_weight", "_values"
 ROWS_PER_PARTITION = 20_000
 
 
@@ -31,7 +26,6 @@ class Settings:
     """Model sizes.  The defaults are the full configuration."""
 
     penalty: float = 0.1
-    logistic_iterations: int = 2000  # an upper limit; fitting stops on tolerance
     tree_depth: int = 5
     tree_leaf: int = 50
     forest_trees: int = 200
@@ -43,6 +37,9 @@ class Settings:
     boost_leaf: int = 5
     boost_rows: float = 0.8
     boost_columns: float = 0.8
+    boost_gain: float = 0.1
+    boost_l1: float = 0.1
+    boost_l2: float = 1.0
     seed: int = 42
 
 
@@ -84,66 +81,43 @@ def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Seque
     return Pipeline(stages=stages).fit(train)
 
 
-def estimators(settings: Settings, rows: int, boosted_parallel: int = 3) -> dict[str, Estimator]:
-    """The four models.
+def fit_model(name: str, ready: DataFrame, rows: int, classes: int, settings: Settings):
+    """One of the four models on the prepared training table.
 
-    The logistic penalty of a summed loss becomes 1 / (C * rows) for a mean
-    loss; its inputs are standardised first.  Spark's boosting is binary, so
-    each class is boosted against the rest.
+    The logistic penalty of a summed loss becomes 1 / (C * rows) for a mean loss.
     """
     s = settings
-    logistic = Pipeline(
-        stages=[
-            StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True, withStd=True),
-            LogisticRegression(
-                featuresCol="_scaled",
-                labelCol=LABEL,
-                weightCol=WEIGHT,
-                family="multinomial",
-                elasticNetParam=1.0,
-                regParam=1.0 / (s.penalty * max(rows, 1)),
-                standardization=False,
-                maxIter=s.logistic_iterations,
-            ),
-        ]
-    )
-    tree = DecisionTreeClassifier(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        maxDepth=s.tree_depth,
-        minInstancesPerNode=s.tree_leaf,
-        seed=s.seed,
-    )
-    forest = RandomForestClassifier(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        numTrees=s.forest_trees,
-        maxDepth=s.forest_depth,
-        minInstancesPerNode=s.forest_leaf,
-        featureSubsetStrategy="sqrt",
+    if name == "Logistic_L1":
+        return sparse_logistic.fit(ready, VALUES, LABEL, classes, 1.0 / (s.penalty * max(rows, 1)), WEIGHT)
+    if name == "Boosted_Trees":
+        return boosting.fit(ready, VALUES, LABEL, classes, boost_settings(s))
+    common = {"featuresCol": FEATURES, "labelCol": LABEL, "weightCol": WEIGHT, "seed": s.seed}
+    if name == "Decision_Tree":
+        return DecisionTreeClassifier(maxDepth=s.tree_depth, minInstancesPerNode=s.tree_leaf, **common).fit(ready)
+    if name == "Random_Forest":
+        return RandomForestClassifier(
+            numTrees=s.forest_trees,
+            maxDepth=s.forest_depth,
+            minInstancesPerNode=s.forest_leaf,
+            featureSubsetStrategy="sqrt",
+            **common,
+        ).fit(ready)
+    raise ValueError(f"no model {name}; there are {', '.join(TITLES)}")
+
+
+def boost_settings(s: Settings) -> boosting.BoostSettings:
+    return boosting.BoostSettings(
+        rounds=s.boost_rounds,
+        depth=s.boost_depth,
+        rate=s.boost_rate,
+        least_weight=s.boost_leaf,
+        least_gain=s.boost_gain,
+        row_share=s.boost_rows,
+        column_share=s.boost_columns,
+        l1=s.boost_l1,
+        l2=s.boost_l2,
         seed=s.seed,
     )
-    boosted = OneVsRest(
-        classifier=GBTClassifier(
-            featuresCol=FEATURES,
-            labelCol=LABEL,
-            maxIter=s.boost_rounds,
-            maxDepth=s.boost_depth,
-            stepSize=s.boost_rate,
-            minInstancesPerNode=s.boost_leaf,
-            subsamplingRate=s.boost_rows,
-            featureSubsetStrategy=str(s.boost_columns),
-            cacheNodeIds=True,
-            checkpointInterval=20,  # hundreds of rounds make a long lineage
-            seed=s.seed,
-        ),
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        parallelism=boosted_parallel,
-    )
-    return {"Logistic_L1": logistic, "Decision_Tree": tree, "Random_Forest": forest, "Boosted_Trees": boosted}
 
 
 @dataclass(frozen=True)
@@ -151,7 +125,7 @@ class Trained:
     """Preparation and fitted models of one training table."""
 
     preparation: PipelineModel
-    models: Mapping[str, Model]
+    models: Mapping[str, Model | sparse_logistic.LinearModel | boosting.Boosted]
     numeric: Sequence[str]
     categorical: Sequence[str]
     classes: Sequence[str]
@@ -165,21 +139,74 @@ class Trained:
         return self._scored(self.preparation.transform(df), name, keep)
 
     def _scored(self, prepared: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
-        out = self.models[name].transform(prepared)
-        if "probability" in out.columns:
-            p = vector_to_array("probability")
+        model = self.models[name]
+        if isinstance(model, Model):
+            out = model.transform(prepared).withColumn("_p", vector_to_array("probability"))
         else:
-            # one-against-rest margins m of boosted trees: 1 / (1 + exp(-2m)), scaled to add up to 1
-            each = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-            total = F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
-            p = F.transform(each, lambda x: x / total)
+            out = prepared.select(*[col(c) for c in keep], vector_to_array(FEATURES).alias(VALUES))
+            out = self._with_margins(out, model).withColumn("_p", sparse_logistic.probabilities(F.col("_m")))
+            out = out.withColumn("prediction", F.array_position("_p", F.array_max("_p")) - 1)
         names = F.array(*[F.lit(c) for c in self.classes])
         return out.select(
             *[col(c) for c in keep],
             F.element_at(names, F.col("prediction").cast("int") + 1).alias("pred"),
-            *[F.element_at(p, i + 1).alias(f"p_{c}") for i, c in enumerate(self.classes)],
+            *[F.element_at("_p", i + 1).alias(f"p_{c}") for i, c in enumerate(self.classes)],
         )
 
+    @staticmethod
+    def _with_margins(df: DataFrame, model) -> DataFrame:
+        """Add ``_m``, a margin per class, from the feature array."""
+        if isinstance(model, boosting.Boosted):
+            return trees.with_margins(df, model.trees, VALUES, "_m")
+        return df.withColumn("_m", F.array(*model.margins(F.col(VALUES))))
+
+    def explained(self, df: DataFrame, name: str, label: str) -> DataFrame:
+        """``df`` with ``contributions`` of every feature to the model's output for the class ``label``.
+
+        They add up to the row's output less ``base``: margins of the linear and the boosted model, probabilities of the
+        tree and the forest.
+        """
+        rows = self.prepared_array(df, VALUES)
+        place, model = list(self.classes).index(label), self.models[name]
+        if isinstance(model, sparse_logistic.LinearModel):
+            found = attribution.vector_contributions(
+                rows, F.col(VALUES), self.features, *self.linear_weights(label), model.means
+            )
+        else:
+            found = trees.with_contributions(rows, *self._paths(name, place), VALUES, self.features)
+        return found.drop(VALUES)
+
+    def with_output(self, df: DataFrame, name: str, label: str, column: str) -> DataFrame:
+        """Add the output that ``explained`` explains: the margin of ``label``, or of trees and forests its
+        probability."""
+        place, model = list(self.classes).index(label), self.models[name]
+        if isinstance(model, Model):
+            ready = model.transform(self.preparation.transform(df))
+            return ready.select(*[col(c) for c in df.columns], vector_to_array("probability")[place].alias(column))
+        ready = self._with_margins(self.prepared_array(df, VALUES), model)
+        return ready.select(*[col(c) for c in df.columns], F.col("_m")[place].alias(column))
+
+    def base(self, name: str, label: str) -> float:
+        """The mean output of the training rows; of the linear model, its margin at their means."""
+        place, model = list(self.classes).index(label), self.models[name]
+        if isinstance(model, sparse_logistic.LinearModel):
+            return float(model.intercepts[place])
+        found, output = self._paths(name, place)
+        return found.base(output)
+
+    def linear_weights(self, label: str, name: str = "Logistic_L1") -> tuple[list[float]]:
+        """Coefficients of one class per unit of each feature, 0 for features without spread."""
+        model = self.models[name]
+        own = model.coefficients[list(self.classes).index(label)]
+        return ([float(w / s) if s > 0 else 0.0 for w, s in zip(own, model.spreads)],)
+
+    def _paths(self, name: str, place: int) -> tuple[trees.Trees, int]:
+        model = self.models[name]
+        if isinstance(model, boosting.Boosted):
+            return model.trees, place
+        spark = self._spark()
+        return trees.of_spark_model(model, place, spark, shared_path(spark, "nodes")), 0
+
     def prepared_array(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` with the prepared features as an array, in the order of ``features``."""
         ready = self.preparation.transform(df)
@@ -198,7 +225,7 @@ class Trained:
         """(model, feature, importance): impurity gain, or mean size of the coefficients over the classes."""
         rows = []
         for name, model in self.models.items():
-            rows += [(name, f, float(x)) for f, x in zip(self.features, _importance(model))]
+            rows += [(name, f, float(x)) for f, x in zip(self.features, _importance(model, len(self.features)))]
         spark = self._spark()
         return spark.createDataFrame(rows, "model string, feature string, importance double")
 
@@ -209,17 +236,21 @@ class Trained:
 
     def save(self, path: str) -> None:
         self.preparation.write().overwrite().save(f"{path}/preparation")
+        spark = self._spark()
         for name, model in self.models.items():
-            model.write().overwrite().save(f"{path}/{name}")
-
-
-def _importance(model: Model) -> list[float]:
-    if isinstance(model, PipelineModel):
-        matrix = model.stages[-1].coefficientMatrix.toArray()
-        return list(abs(matrix).mean(axis=0))
-    if hasattr(model, "models"):
-        per = [m.featureImportances.toArray() for m in model.models]
-        return list(sum(per) / len(per))
+            if isinstance(model, sparse_logistic.LinearModel):
+                model.rows(spark, self.features).write.mode("overwrite").parquet(f"{path}/{name}")
+            elif isinstance(model, boosting.Boosted):
+                model.trees.nodes(spark).write.mode("overwrite").parquet(f"{path}/{name}")
+            else:
+                model.write().overwrite().save(f"{path}/{name}")
+
+
+def _importance(model, n_features: int) -> list[float]:
+    if isinstance(model, sparse_logistic.LinearModel):
+        return list(abs(model.coefficients).mean(axis=0))
+    if isinstance(model, boosting.Boosted):
+        return list(model.trees.importances(n_features))
     return list(model.featureImportances.toArray())
 
 
@@ -244,34 +275,31 @@ def train(
         codes = F.when(hit, float(i)) if codes is None else codes.when(hit, float(i))
     preparation = fit_preparation(known, numeric, categorical)
     ready = preparation.transform(with_weights(known, target, WEIGHT, weights).withColumn(LABEL, codes))
-    ready = stage(ready.select(FEATURES, LABEL, WEIGHT), "train")
+    ready = stage(ready.select(FEATURES, vector_to_array(FEATURES).alias(VALUES), LABEL, WEIGHT), "train")
     rows = ready.count()
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_path(df.sparkSession, "checkpoints"))
     # every round is a job over all partitions, so these should be full
     ready = ready.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
-    todo = estimators(settings, rows)
-    fitted = {n: todo[n].fit(ready) for n in names}
+    fitted = {n: fit_model(n, ready, rows, len(classes), settings) for n in names}
     return Trained(preparation, fitted, list(numeric), list(categorical), classes)
 
 
 def load_trained(
     path: str, names: Sequence[str], numeric: Sequence[str], categorical: Sequence[str], classes: Sequence[str]
 ) -> Trained:
-    from pyspark.ml.classification import (
-        DecisionTreeClassificationModel,
-        OneVsRestModel,
-        RandomForestClassificationModel,
-    )
-
-    kinds = {
-        "Logistic_L1": PipelineModel,
-        "Decision_Tree": DecisionTreeClassificationModel,
-        "Random_Forest": RandomForestClassificationModel,
-        "Boosted_Trees": OneVsRestModel,
+    from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.active()
+    read = {
+        "Logistic_L1": lambda p: sparse_logistic.LinearModel.of_rows(spark.read.parquet(p)),
+        "Decision_Tree": DecisionTreeClassificationModel.load,
+        "Random_Forest": RandomForestClassificationModel.load,
+        "Boosted_Trees": lambda p: boosting.Boosted(trees.Trees.of_nodes(spark.read.parquet(p), len(classes)), []),
     }
-    models = {n: kinds[n].load(f"{path}/{n}") for n in names}
+    models = {n: read[n](f"{path}/{n}") for n in names}
     return Trained(PipelineModel.load(f"{path}/preparation"), models, list(numeric), list(categorical), classes)
 
 

@@ -13,31 +13,6 @@ from riskloom.operators.scenarios import Scenario, Scorer
 from riskloom.plans.modeling import Run
 
 
-LINEAR = "Logistic_L1"
-
-
-@dataclass(frozen=True)
-class Linear:
-    """The margin of one class of the linear model on prepared features: per unit, with the training means."""
-
-    features: Sequence[str]
-    weights: Sequence[float]
-    means: Sequence[float]
-    at_means: float
-
-
-def linear_part(run: Run, positive: str) -> Linear:
-    """Of features without spread in training the weight is 0."""
-    if LINEAR not in run.trained.models:
-        raise ValueError(f"the run has no {LINEAR} model; fitted are {', '.join(run.trained.models)}")
-    scaler, model = run.trained.models[LINEAR].stages
-    place = run.trained.classes.index(positive)
-    spread, raw = scaler.std.toArray(), model.coefficientMatrix.toArray()[place]
-    weights = [float(w / s) if s > 0 else 0.0 for w, s in zip(raw, spread)]
-    means = [float(m) for m in scaler.mean.toArray()]
-    return Linear(run.trained.features, weights, means, float(model.interceptVector.toArray()[place]))
-
-
 @dataclass(frozen=True)
 class ActionPlan:
     """Test rows with their risk, and what follows from it."""
@@ -67,17 +42,11 @@ class ActionPlan:
         return score
 
     def explained(self, rows: DataFrame) -> DataFrame:
-        """Add the linear model's ``contributions``, from the features as it was given them."""
-        part = linear_part(self.run, self.positive)
-        values = self.run.trained.prepared_array(rows, "_values")
-        return attribution.vector_contributions(values, F.col("_values"), part.features, part.weights, part.means)
+        """Add the ``contributions`` of the features to this model's output, from the features as it was given them."""
+        return self.run.trained.explained(rows, self.model, self.positive)
 
     def tiers(self, k: int = 50, drivers: int = 5) -> DataFrame:
-        """The k riskiest rows per tier with rank, drivers, actions and advice.
-
-        Drivers are those of the linear model; with another model's risk they tell about the features, not about
-        that model, so lists to act on should be ranked by the linear one, too.
-        """
+        """The k riskiest rows per tier with rank, the drivers of the model that ranks them, actions and advice."""
         top = actions.top_per_tier(self.rows, "risk", self.run.key, k)
         explained = attribution.top_drivers(self.explained(top), drivers)
         return actions.with_actions(explained, "risk").select(

@@ -1,20 +1,24 @@
 """Fitted models: repeatable, better than guessing, and measured right."""
 
 import os
+from dataclasses import replace
 
 import duckdb
+import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.catalog import evaluation
 from riskloom.catalog.modeling import POSITIVE, fitted
+from riskloom.operators import boosting, sparse_logistic
 from riskloom.operators.models import Settings, fit_preparation, load_trained, train
 from riskloom.plans import student
 from riskloom.operators.scenarios import Scenario
-from riskloom.plans.actions import LINEAR, ActionPlan, linear_part
+from riskloom.plans.actions import ActionPlan
 from tests.oracle import DATA
 
+MODELS = ["Logistic_L1", "Decision_Tree", "Random_Forest", "Boosted_Trees"]
+
 
 @pytest.fixture(scope="module")
 def run(spark):
@@ -25,7 +29,8 @@ def test_full_configuration_is_the_default():
     s = Settings()
     assert (s.forest_trees, s.forest_depth, s.forest_leaf) == (200, 10, 30)
     assert (s.boost_rounds, s.boost_depth, s.boost_rate, s.boost_leaf) == (300, 6, 0.05, 5)
-    assert (s.tree_depth, s.tree_leaf, s.penalty, s.logistic_iterations) == (5, 50, 0.1, 2000)
+    assert (s.tree_depth, s.tree_leaf, s.penalty) == (5, 50, 0.1)
+    assert (s.boost_gain, s.boost_l1, s.boost_l2) == (0.1, 0.1, 1.0)
 
 
 def test_split_keeps_the_class_shares(run):
@@ -105,25 +110,114 @@ def test_preparation_learns_from_training_rows_only(spark):
     assert [list(r[0]) for r in rows] == [[2.0, 2.0], [100.0, 0.0]]
 
 
-def test_contributions_add_up_to_the_margin(run):
-    """On rows with gaps and with text features: their sum is the margin less that at the training means."""
-    part = linear_part(run, POSITIVE)
-    assert list(part.features) == run.trained.features and len(run.trained.categorical) == 2
-    plan = ActionPlan.of(run, LINEAR, POSITIVE)
+@pytest.mark.parametrize("model", MODELS)
+def test_contributions_add_up_to_the_output(run, model):
+    """On rows with gaps and with text features: their sum is the model's output less its mean on the training rows."""
+    assert len(run.trained.categorical) == 2
+    plan = ActionPlan.of(run, model, POSITIVE)
     sums = plan.explained(plan.rows).select(
         "student_id", F.aggregate("contributions", F.lit(0.0), lambda a, s: a + s["contribution"]).alias("s")
     )
-    place = run.trained.classes.index(POSITIVE)
-    raw = run.trained.models[LINEAR].transform(run.trained.preparation.transform(run.test))
-    margins = raw.select("student_id", vector_to_array("rawPrediction")[place].alias("m"))
-    rows = sums.join(margins, "student_id").collect()
+    rows = run.trained.with_output(run.test, model, POSITIVE, "m").select("student_id", "m").join(sums, "student_id").collect()
     assert len(rows) == run.test.count()
-    assert any(r["Academic_Stress"] is None for r in run.test.select("Academic_Stress").collect())
+    base = run.trained.base(model, POSITIVE)
     for r in rows:
-        assert r["s"] == pytest.approx(r["m"] - part.at_means, abs=1e-6)
+        assert r["s"] == pytest.approx(r["m"] - base, abs=1e-9)
+    if model == "Boosted_Trees":  # the base is the mean margin of the training rows
+        train_rows = run.trained.with_output(run.rows.where("split = 'train'"), model, POSITIVE, "m")
+        assert train_rows.agg(F.avg("m")).first()[0] == pytest.approx(base, abs=1e-9)
+
+
+def test_boosting_lowers_the_loss_with_every_round(run):
+    losses = run.trained.models["Boosted_Trees"].losses
+    assert len(losses) == 301 and losses[0] == pytest.approx(np.log(3))
+    assert all(b < a for a, b in zip(losses, losses[1:]))
 
 
-@pytest.mark.parametrize("model", ["Logistic_L1", "Decision_Tree", "Random_Forest", "Boosted_Trees"])
+SMALL = boosting.BoostSettings(rounds=2, depth=3, row_share=1.0, column_share=1.0)
+
+
+@pytest.fixture(scope="module")
+def classes(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 20, (600, 4)).astype(float)
+    y = np.where(x[:, 0] + rng.normal(0, 2, 600) > 12, 2, np.where(x[:, 1] > 9, 1, 0))
+    return spark.createDataFrame([(v.tolist(), float(k), i) for i, (v, k) in enumerate(zip(x, y))], "x array<double>, y double, id long")
+
+
+def test_leaves_of_the_first_round_by_sql(classes):
+    """Values, thresholds and numbers of rows of the first trees follow from sums that SQL adds up."""
+    made = boosting.fit(classes, "x", "y", 3, replace(SMALL, rounds=1))
+    t = made.trees
+    rows = classes.toPandas()
+    x = np.array(rows["x"].tolist())
+    con = duckdb.connect()
+    for k in range(3):
+        leaf = t.leaves(x, k)
+        known = rows[["y"]].assign(leaf=leaf)
+        con.register("known", known)
+        sums = con.execute(f"SELECT leaf, count(*) AS n, sum(1/3.0 - (y = {k})::INT) AS g, sum(2 * (1/3.0) * (2/3.0)) AS h FROM known GROUP BY leaf").fetchall()
+        for node, n, g, h in sums:
+            want = -0.05 * np.sign(g) * max(abs(g) - 0.1, 0) / (h + 1.0)
+            assert t.value[node] == pytest.approx(want) and t.cover[node] == n and h >= SMALL.least_weight
+    assert [len(set(t.leaves(x, k))) > 1 for k in range(3)] == [True] * 3
+
+
+def test_the_first_split_is_the_best_one(classes):
+    made = boosting.fit(classes, "x", "y", 3, replace(SMALL, rounds=1, depth=1)).trees
+    rows = classes.toPandas()
+    x, y = np.array(rows["x"].tolist()), rows["y"].to_numpy()
+    score = lambda g, h: max(abs(g) - 0.1, 0) ** 2 / (h + 1)
+    for k in range(3):
+        g, h = 1 / 3 - (y == k), np.full(len(y), 4 / 9)
+        gains = {}
+        for f in range(4):
+            for cut in np.unique(x[:, f])[:-1]:
+                left = x[:, f] <= cut
+                if min(h[left].sum(), h[~left].sum()) >= SMALL.least_weight:
+                    gains[f, cut] = score(g[left].sum(), h[left].sum()) + score(g[~left].sum(), h[~left].sum()) - score(g.sum(), h.sum())
+        root = made.roots[k]
+        assert made.gain[root] == pytest.approx(max(gains.values()))
+        assert gains[made.feature[root], made.threshold[root]] == pytest.approx(max(gains.values()))
+
+
+def test_boosting_does_not_depend_on_partitions(classes, monkeypatch):
+    one = boosting.fit(classes.coalesce(1), "x", "y", 3, SMALL)
+    again = boosting.fit(classes.orderBy("id").repartitionByRange(1, "id"), "x", "y", 3, SMALL)
+    assert one.losses == pytest.approx(again.losses)
+    parts = boosting.fit(classes.repartition(5, "id"), "x", "y", 3, SMALL)  # sums of other blocks, the same trees
+    assert parts.losses == pytest.approx(one.losses)
+    monkeypatch.setattr(boosting, "CHECKPOINT_ROUNDS", 1)
+    assert boosting.fit(classes.coalesce(1), "x", "y", 3, SMALL).losses == pytest.approx(one.losses)
+
+
+@pytest.mark.parametrize("n_classes", [2, 3])
+def test_l1_model_meets_the_conditions_of_the_optimum(classes, n_classes):
+    df = classes.where(F.col("y") < n_classes)
+    model = sparse_logistic.fit(df, "x", "y", n_classes, 0.02)
+    assert model.passes <= 15 and (model.coefficients == 0).any()
+    rows = df.toPandas()
+    x, y = np.array(rows["x"].tolist()), rows["y"].to_numpy().astype(int)
+    z = (x - model.means) / model.spreads
+    m = z @ model.coefficients.T + np.array(model.intercepts)
+    p = np.exp(m) / np.exp(m).sum(axis=1, keepdims=True)
+    p[np.arange(len(y)), y] -= 1
+    g = p.T @ np.column_stack([np.ones(len(z)), z]) / len(y)
+    b = np.column_stack([model.intercepts, model.coefficients])
+    assert sparse_logistic.violation(b, g, 0.02) < 1e-4
+
+
+def test_l1_model_of_two_classes_and_of_constant_columns(spark, classes):
+    df = classes.select(F.concat("x", F.array(F.lit(7.0))).alias("x"), (F.col("y") == 2).cast("double").alias("y"))
+    model = sparse_logistic.fit_binary(df, "x", "y", 0.01)
+    assert model.coefficients.shape == (1, 5) and model.coefficients[0, 4] == 0 and model.coefficients[0, 0] > 0
+    risk = df.select(model.margins(F.col("x"))[0].alias("m"), "y").toPandas()
+    assert risk.loc[risk.y == 1, "m"].mean() > risk.loc[risk.y == 0, "m"].mean()
+    with pytest.raises(ValueError):
+        sparse_logistic.fit(df.limit(0), "x", "y", 2, 0.1)
+
+
+@pytest.mark.parametrize("model", MODELS)
 def test_a_scenario_without_changes_changes_nothing(run, model):
     plan = ActionPlan.of(run, model, POSITIVE)
     out = plan.what_if([Scenario("nothing", {})])

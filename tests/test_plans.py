@@ -13,7 +13,7 @@ from riskloom.session import stage
 from riskloom.sources.batches import read_batches, write_csv, write_results, read_results
 from riskloom.sources.tables import table
 
-SMALL = Settings(logistic_iterations=100, forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
+SMALL = Settings(forest_trees=20, boost_rounds=5, forest_leaf=10, tree_leaf=20)
 
 
 @pytest.fixture(scope="module")
