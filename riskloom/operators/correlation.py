@@ -1,10 +1,10 @@
 """Pairwise-complete Pearson correlations.
 
-One pass finds count, mean and deviation of every column.  The second sums
-products of the standardised columns: one sum per pair of gap-free columns,
-six where a gap means that both sides must be taken over the common rows only.
-Standardising first keeps the sums well conditioned, and plain sums of
-products stay cheap in one aggregate where hundreds of covariances would not.
+One pass finds count, mean and deviation of every column.  The second adds up
+Gram matrices of the standardised columns and of their masks of known values,
+block by block inside the tasks: from the four of them follow the sums of every
+pair over its common rows, however many columns have gaps.  Standardising first
+keeps the sums well conditioned.
 """
 
 from __future__ import annotations
@@ -13,19 +13,20 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.operators.orderstats import numeric_view
 from riskloom.operators.schema import numeric_columns
+from riskloom.operators.sums import matrix_sums
 
-SUMS_PER_PASS = 400
 FLAT = 1e-12
 
 
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(a, b, r) for the listed pairs; r is NULL where either side is constant or holds an infinite value.
 
-    The sums come back as one row per pass, a few numbers per pair.
+    Two passes over the rows, however many columns; only the matrices come back.
     """
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: i for i, c in enumerate(names)}
@@ -43,51 +44,32 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     row = x.agg(F.count(F.lit(1)).alias("n"), *moments).first()
     # a column with an infinite value has no correlation
     spread = [c for c in names if row[f"s{at[c]}"] and not row[f"i{at[c]}"]]
-    gaps = {c for c in names if row[f"n{at[c]}"] < row["n"]}
-
-    z = x.selectExpr(
-        *[f"coalesce((x{at[c]} - {row[f'm{at[c]}']!r}D) / {row[f's{at[c]}']!r}D, 0D) z{at[c]}" for c in spread],
-        *[f"CAST(x{at[c]} IS NOT NULL AS DOUBLE) k{at[c]}" for c in spread if c in gaps],
-    )
-
-    def known(c: str) -> str:
-        return f" * k{at[c]}" if c in gaps else ""
-
-    wanted = [(a, b) for a, b in pairs if a != b and a in spread and b in spread]
-    sums: dict[tuple[str, str], list[str]] = {}
-    for a, b in wanted:
-        i, j = f"z{at[a]}", f"z{at[b]}"
-        sums[a, b] = [f"sum({i} * {j})"]
-        if a in gaps or b in gaps:
-            sums[a, b] += [
-                f"sum(1D{known(a)}{known(b)})",
-                f"sum({i}{known(b)})",
-                f"sum({j}{known(a)})",
-                f"sum({i} * {i}{known(b)})",
-                f"sum({j} * {j}{known(a)})",
-            ]
-
-    found: dict[tuple[str, str], float | None] = {}
-    batch: list[tuple[str, str]] = []
-
-    def run() -> None:
-        values = iter(z.selectExpr(*[s for p in batch for s in sums[p]]).first()) if batch else iter(())
-        for p in batch:
-            found[p] = _from_sums([next(values) for _ in sums[p]], row["n"])
-        batch.clear()
-
-    for p in wanted:
-        batch.append(p)
-        if sum(len(sums[q]) for q in batch) > SUMS_PER_PASS:
-            run()
-    run()
-    rows = [(a, b, (1.0 if a in spread else None) if a == b else found.get((a, b))) for a, b in pairs]
+    means, scales = (np.array([row[f"{k}{at[c]}"] for c in spread], float) for k in "ms")
+    place = {c: i for i, c in enumerate(spread)}
+
+    def gram(block: np.ndarray) -> list[np.ndarray]:
+        known = ~np.isnan(block)
+        z = np.where(known, (block - means) / scales, 0.0)
+        known = known.astype(float)
+        return [z.T @ z, known.T @ known, z.T @ known, (z * z).T @ known]
+
+    sums = matrix_sums(x, [F.col(f"x{at[c]}") for c in spread], gram) if spread else None
+
+    def found(a: str, b: str) -> float | None:
+        if a not in place or b not in place:
+            return None
+        if a == b:
+            return 1.0
+        i, j = place[a], place[b]
+        products, common, first, squares = sums
+        own = (products[i, j], common[i, j], first[i, j], first[j, i], squares[i, j], squares[j, i])
+        return _from_sums([float(v) for v in own])
+
+    rows = [(a, b, found(a, b)) for a, b in pairs]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
-def _from_sums(sums: Sequence[float], rows: int) -> float | None:
-    if len(sums) == 1:
-        return sums[0] / rows
+def _from_sums(sums: Sequence[float]) -> float | None:
     xy, n, sx, sy, xx, yy = sums
     if not n:
         return None
