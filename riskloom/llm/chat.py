@@ -44,7 +44,9 @@ def unescape_role(role: Column) -> Column:
 def turn_events(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", size: int = 400
 ) -> DataFrame:
-    """The log of a finished table of turns: a start and streamed deltas of ``size`` characters for each row.
+    """A log that leads to a finished table of turns, as chats come about: by hash, a message is streamed in deltas of
+    ``size`` characters, or streamed after a first try that is thrown away, or edited from a draft; some messages are
+    taken back altogether.
 
     Turns of the same number stay apart: they follow each other by role and text.
     """
@@ -55,20 +57,32 @@ def turn_events(
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         said.alias("text"),
     ).withColumn("message", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")))
-    parts = F.when(
+
+    def event(kind: str, part: Column | str = "", behind: int = 0) -> Column:
+        part = F.lit(part) if isinstance(part, str) else part
+        return F.struct(F.lit(kind).alias("kind"), part.alias("part"), F.lit(behind).alias("behind"))
+
+    deltas = F.when(
         F.length("text") > 0,
         F.transform(
             F.sequence(F.lit(0), F.expr(f"cast((length(text) - 1) div {size} as int)")),
-            lambda i: F.struct(
-                F.lit("delta").alias("kind"), F.substring(F.col("text"), i * size + 1, F.lit(size)).alias("part")
-            ),
+            lambda i: event("delta", F.substring(F.col("text"), i * size + 1, F.lit(size))),
         ),
-    ).otherwise(F.array().cast("array<struct<kind:string,part:string>>"))
-    start = F.array(F.struct(F.lit("start").alias("kind"), F.lit("").alias("part")))
-    return rows.select("conv_id", "message", "role", F.posexplode(F.concat(start, parts)).alias("at", "event")).select(
+    ).otherwise(F.array().cast("array<struct<kind:string,part:string,behind:int>>"))
+    draft = event("delta", F.concat(F.lit("a draft of "), F.left("text", F.lit(40))))
+    way = F.pmod(F.xxhash64("conv_id", "message", "text"), F.lit(4))
+    own = (
+        F.when(way == 0, F.concat(F.array(event("start"), draft, event("regenerate")), deltas))
+        .when(way == 1, F.array(event("start"), draft, event("edit", F.col("text"))))
+        .otherwise(F.concat(F.array(event("start")), deltas))
+    )
+    lost = F.when(
+        way < 2, F.array(event("start", "", 1), event("delta", "never said", 1), event("delete", "", 1))
+    ).otherwise(F.array().cast("array<struct<kind:string,part:string,behind:int>>"))
+    return rows.select("conv_id", "message", "role", F.posexplode(F.concat(own, lost)).alias("at", "event")).select(
         "conv_id",
         (F.col("message").cast("bigint") * 2**32 + F.col("at")).cast("bigint").alias("seq"),
-        F.col("message").cast("bigint").alias("message"),
+        (2 * F.col("message").cast("bigint") + F.col("event.behind")).alias("message"),
         F.col("event.kind").alias("kind"),
         "role",
         F.col("event.part").alias("text"),

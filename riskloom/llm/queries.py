@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskloom.llm import (
     alignment,
     chat,
+    chat_sql,
     chunks,
     langid,
     manifest,
@@ -146,4 +147,8 @@ QUERIES: dict[str, Query] = {
         op13_alignment,
     )
 }
-ORACLES: dict[str, str] = {"op2_quality": quality_sql.SQL, "op11_manifest": manifest_sql.SQL}
+ORACLES: dict[str, str] = {
+    "op2_quality": quality_sql.SQL,
+    "op6_chat": chat_sql.SQL,
+    "op11_manifest": manifest_sql.SQL,
+}
