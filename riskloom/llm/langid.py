@@ -15,12 +15,12 @@ result; columns other than the key and the text are not read when predicting.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm import bytesops
@@ -31,7 +31,7 @@ PER_LANGUAGE = 800
 MAX_ROWS = 20_000
 AMBIGUOUS = 0.1
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def vectors(texts: list[bytes | None], sizes=SIZES, bits: int = BITS) -> np.ndarray:
@@ -102,21 +102,28 @@ def _fit_bits(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.3
 
 
 def training_rows(docs: DataFrame, chosen: Column, per_language: int, max_rows: int) -> list[tuple]:
-    """(text, language) of the bounded sample; only keys and languages travel until it is known."""
-    known = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang")
-    ).filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & chosen)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    taken = ranked.orderBy("n", "lang").limit(max_rows).select("doc_id", "lang")
-    # at most max_rows keys: small whatever the input
+    """(text, language) of the bounded sample; only keys and languages travel until it is known.
+
+    Of each language only keys of small hash are ranked, about twice as many as are taken, so no task gets a language
+    as a whole.  Of several texts of one key and language the least counts.
+    """
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    rows = texts.filter(F.col("text").isNotNull()).join(F.broadcast(taken.distinct()), ["doc_id", "lang"]).limit(2 * max_rows)
-    table = rows.select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    known = texts.filter(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").isNotNull() & chosen
+    ).select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+    rows_of = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.col("hash") / 2.0**64 + 0.5
+    few = known.join(rows_of, "lang").filter(share * F.col("rows") <= 2 * per_language + 100).select("doc_id", "lang", "hash")
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    ranked = few.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    taken = ranked.orderBy("n", "lang").limit(max_rows).select("doc_id", "lang")
+    # at most max_rows keys: small whatever the input
+    rows = texts.join(F.broadcast(taken), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    table = rows.select("doc_id", "lang", "text").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     return list(zip(bytesops.texts_of(table.column("text").combine_chunks()), table.column("lang").to_pylist()))
 
 

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm import chunks, graphs, langid, neardup, pii, queries, templates, toxicity
@@ -436,16 +437,26 @@ def test_languages_on_held_out_rows(spark):
 
 def test_languages_of_odd_texts(spark):
     train = [(f"the cat number {i} sat".encode(), "en") for i in range(20)] + [(f"die katze {i} sitzt".encode(), "de") for i in range(20)]
-    rows = [(1, None), (2, ""), (3, "12 34 !!"), (4, "katze die"), (4, "the cat"), (5, "the " * 20_000)]
+    rows = [(1, None), (2, ""), (3, "12 34 !!"), (4, "katze die"), (4, "the cat"), (5, "the " * 20_000), (6, "² ½ Ⅷ ①")]
     df = spark.createDataFrame([(i, t, "x", "x", "x") for i, t in rows], SCHEMA)
     got = [(r["doc_id"], r["lang_pred"]) for r in langid.predict(df, langid.fit(train)).collect()]
-    assert sorted(got) == [(1, "und"), (2, "und"), (3, "und"), (4, "de"), (4, "en"), (5, "en")]
+    assert sorted(got) == [(1, "und"), (2, "und"), (3, "und"), (4, "de"), (4, "en"), (5, "en"), (6, "und")]
     alone = langid.predict(df, langid.fit([(b"ab", "xx")])).collect()
     assert {r["lang_pred"] for r in alone} == {"und", "xx"}
     assert {r["lang_pred"] for r in langid.predict(df, langid.fit([])).collect()} == {"und"}
     assert langid.predict(df.limit(0), langid.fit(train)).count() == 0
 
 
+def test_sample_of_languages_is_bounded(spark):
+    """The least key hashes of each language, one text a key, whatever repeats."""
+    rows = [(i % 400, f"text {i:04d}", "en" if i % 400 < 300 else "de") for i in range(1200)]
+    rows += [(None, "x", "en"), (1, None, "en"), (2, "x", None), (3, "x", "und")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = langid.training_rows(df, F.col("doc_id") >= 0, 50, 70)
+    assert len(got) == 70 and {lang for _, lang in got} == {"de", "en"}
+    assert all(int(t.split()[1]) < 400 for t, _ in got) and got == langid.training_rows(df.repartition(7), F.col("doc_id") >= 0, 50, 70)
+
+
 @pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 6, 20])
 def test_codewords_differ_in_many_bits(k):
     code = langid.codewords(k)
