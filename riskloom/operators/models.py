@@ -275,7 +275,9 @@ def train(
         codes = F.when(hit, float(i)) if codes is None else codes.when(hit, float(i))
     preparation = fit_preparation(known, numeric, categorical)
     ready = preparation.transform(with_weights(known, target, WEIGHT, weights).withColumn(LABEL, codes))
-    ready = stage(ready.select(FEATURES, vector_to_array(FEATURES).alias(VALUES), LABEL, WEIGHT), "train")
+    # without the notes that codes are categories: all models take them for numbers, so all splits are thresholds
+    vector = F.col(FEATURES).alias(FEATURES, metadata={"codes": "numbers"})
+    ready = stage(ready.select(vector, vector_to_array(FEATURES).alias(VALUES), LABEL, WEIGHT), "train")
     rows = ready.count()
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
