@@ -16,7 +16,6 @@ def shares(df: DataFrame, target: str) -> DataFrame:
 
 def with_total(counts: DataFrame, n: str) -> DataFrame:
     """Add ``_total``, the sum of ``n`` over all rows: one number, looked up first and used as a literal."""
-    counts = stage(counts, "counts")
     total = counts.agg(F.sum(n)).first()[0]
     return counts.withColumn("_total", F.lit(total).cast("bigint"))
 

@@ -83,14 +83,13 @@ def importance_reports(
     positive: Mapping[str, int],
     exclude: Sequence[str] = (),
     top: int = 20,
-    iterations: int = 1000,
     trees: int = 100,
 ) -> dict[str, DataFrame]:
     """Both importance lists and their combination; each model is fitted once."""
     matrix, features = importance.modeling_matrix(df, target, positive, exclude)
     ready = stage(importance.assembled(matrix, features), "matrix")
     size = importance.LIST_SIZE
-    l1 = importance.l1_importance(ready, features, size, iterations=iterations)
+    l1 = importance.l1_importance(ready, features, size)
     forest = importance.forest_importance(ready, features, size, trees=trees)
     return {
         "l1": l1.limit(top),

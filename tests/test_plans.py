@@ -96,8 +96,7 @@ def test_feature_reports(featured):
     assert 0 < out["correlation_with_target"].count() <= 20
     top = {r["feature"] for r in out["correlation_with_target"].collect()}
     assert not {c for c in top if c.endswith(("__is_missing", "__is_outlier"))}
-    lists = features.importance_reports(featured, "Target", {"Dropout": 1, "Enrolled": 0, "Graduate": 0}, ["batch", "student_id"],
-                                        iterations=50, trees=10)
+    lists = features.importance_reports(featured, "Target", {"Dropout": 1, "Enrolled": 0, "Graduate": 0}, ["batch", "student_id"], trees=10)
     assert lists["combined"].count() == 20
 
 
