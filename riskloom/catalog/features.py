@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.catalog.fixtures import PATHS, WEEKLY_EVENTS, student_records, weekly_events
-from riskloom.catalog.registry import query, rounded
+from riskloom.catalog.registry import ORACLES, query, rounded
 from riskloom.functions.expr import col, mapped
 from riskloom.functions.text import has_any, tokens
 from riskloom.operators import correlation, signals, trajectory
 from riskloom.operators.trajectory import TRAJECTORY_FEATURES
 from riskloom.plans import student
-from riskloom.plans.features import feature_table
+from riskloom.plans.features import feature_reports, feature_table, page_rows
 from riskloom.session import stage
 from riskloom.sources.tables import table
 
@@ -166,6 +166,30 @@ def topic_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Terms of one, two and three words, more of them than are compared one by one.
+PHRASES = (
+    "the the", "of the", "the of", "and the", "to the", "la la", "la de", "de la", "die der", "der die", "en la", "is the",
+    "the and the", "of the the", "ing", "tion", "que",
+)
+
+
+@query(
+    "phrase_hits",
+    f"""WITH d AS (SELECT doc_id, {_WORDS.format(t="text")} AS w FROM documents),
+        r AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+        g AS (SELECT doc_id, n, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM r WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+        h AS (SELECT doc_id, count(*) FILTER (WHERE a IN {PHRASES}) AS n1, count(*) FILTER (WHERE a || ' ' || b IN {PHRASES}) AS n2,
+          count(*) FILTER (WHERE a || ' ' || b || ' ' || c IN {PHRASES}) AS n3 FROM g GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS INT) AS n_tokens, CAST(coalesce(n1 + n2 + n3, 0) AS INT) AS hits,
+          CASE WHEN len(w) > 0 THEN round(least((n1 + n2 + n3) / len(w), 1.0)::DOUBLE, 6) END AS score
+        FROM d LEFT JOIN h ON d.doc_id = h.doc_id""",
+)
+def phrase_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon that holds phrases beside words."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rounded(signals.lexicon_scores(d, "text", PHRASES).drop("text", "level"))
+
+
 _BALANCE = f"""CASE WHEN len(list_filter(w, lambda x: list_contains({_in(STRAIN + RELIEF)}, x))) > 0 THEN
     (len(list_filter(w, lambda x: list_contains({_in(RELIEF)}, x))) - len(list_filter(w, lambda x: list_contains({_in(STRAIN)}, x))))::DOUBLE
     / len(list_filter(w, lambda x: list_contains({_in(STRAIN + RELIEF)}, x))) ELSE 0.0 END"""
@@ -374,3 +398,55 @@ def correlation_with_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[col(c) for c in CORRELATION_FEATURES], mapped(col("Target"), student.TARGET_ORDINAL).alias("_y")
     )
     return rounded(correlation.correlation_with(stage(coded), CORRELATION_FEATURES, "_y"))
+
+
+# ------------------------------------------------------------------ the page of the feature strategy
+
+PAGE_MATRICES = {"static": student.STATIC_CORRELATION, "signals": student.SIGNAL_CORRELATION}
+PAGE_FEATURES = [*dict.fromkeys([*CORRELATION_FEATURES, *ALL_PATHS, *_NUMERIC_SIGNALS])]
+
+
+def _page_part(report: str, item: str, numbers: tuple[str, ...], texts: tuple[str, ...], sql: str) -> str:
+    cells = [f"('{m}', {m}::DOUBLE, NULL)" for m in numbers] + [f"('{m}', NULL, {m})" for m in texts]
+    return (
+        f"SELECT '{report}' AS report, {item} AS item, metric, round(number, 6) AS number, text "
+        f"FROM ({sql}) AS t, LATERAL (VALUES {', '.join(cells)}) AS v(metric, number, text)"
+    )
+
+
+_PAGE_TARGET = " UNION ALL ".join(
+    f"SELECT '{c.replace(chr(39), chr(39) * 2)}' AS feature, corr(\"{c}\", y) AS correlation FROM coded "
+    f"HAVING coalesce(stddev_pop(\"{c}\") FILTER (WHERE \"{c}\" IS NOT NULL AND y IS NOT NULL), 0) > 0"
+    for c in PAGE_FEATURES
+)
+_PAGE = [
+    _page_part("trajectory_summary", "feature", ("non_null",), ("category", "type", "mean"), ORACLES["trajectory_summary"]),
+    _page_part("signal_summary", "feature", (), ("category", "coverage", "mean", "std"), ORACLES["signal_summary"]),
+    _page_part(
+        "stress_levels", "level", ("ordinal", "n"), (),
+        """SELECT "Academic_Stress_Level" AS level, count(*) AS n,
+           CASE "Academic_Stress_Level" WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END AS ordinal FROM signals
+           WHERE "Academic_Stress_Level" IS NOT NULL GROUP BY "Academic_Stress_Level\"""",
+    ),
+    *[
+        _page_part(f"correlation_{n}", "a || ' | ' || b", ("r",), (), _matrix_sql(columns, "signals"))
+        for n, columns in PAGE_MATRICES.items()
+    ],
+    _page_part(
+        "correlation_with_target", "feature", ("correlation",), (),
+        f"SELECT * FROM ({_PAGE_TARGET}) AS c WHERE correlation IS NOT NULL ORDER BY abs(correlation) DESC, feature LIMIT 20",
+    ),
+]
+
+
+@query(
+    "report_features",
+    f"""WITH {SIGNALS_SQL}, coded AS (SELECT *, CASE "Target" WHEN 'Dropout' THEN 0 WHEN 'Enrolled' THEN 1 WHEN 'Graduate' THEN 2 END AS y
+        FROM signals) """
+    + " UNION ALL ".join(_PAGE),
+)
+def report_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries, levels and correlations of the feature table, as the page lists them."""
+    columns = [*dict.fromkeys(["Target", *PAGE_FEATURES, *SIGNAL_COLUMNS, *student.SIGNAL_CORRELATION])]
+    s = stage(student_signals(spark, sf_dir).select(*[col(c) for c in columns]), "features")
+    return rounded(page_rows(feature_reports(s, "Target", student.TARGET_ORDINAL, PAGE_MATRICES)))

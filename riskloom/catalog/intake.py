@@ -18,6 +18,7 @@ from riskloom.operators import drift, missing, outliers, quality, schema
 from riskloom.plans import rules as R
 from riskloom.plans import student
 from riskloom.plans.intake import clip_negatives
+from riskloom.session import stage
 from riskloom.sources.batches import json_records
 from riskloom.sources.tables import table
 
@@ -77,6 +78,49 @@ def stack_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.stack_batches({1: one, 2: two})
 
 
+@query(
+    "schema_contract",
+    """SELECT * FROM (VALUES (1::INT, 'event_id', 'bigint'), (2, 'event_type', 'string'), (3, 'value', 'double'), (4, 'year', 'int'))
+         AS c(position, "column", type)""",
+)
+def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first batch fixes, as written beside the batches and read back."""
+    contract = schema.infer_schema(_event_batches(spark, sf_dir)[1])
+    kept = stage(schema.contract_rows(spark, contract), "contract")
+    return schema.contract_rows(spark, schema.read_contract(kept))
+
+
+def _event_batches(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """Typed events; then all text, with a column too many; then one column short and words for numbers."""
+    e = table(spark, sf_dir, "events")
+    year = F.year("ts")
+    part = F.col("event_id") % 3
+    return {
+        1: e.where(part == 0).select("event_id", "event_type", "value", year.alias("year")),
+        2: e.where(part == 1).select(
+            *[F.col(c).cast("string").alias(c) for c in ("value", "event_id")],
+            year.cast("string").alias("year"),
+            "event_type",
+            "user_id",
+        ),
+        3: e.where(part == 2).select(
+            "event_id",
+            "event_type",
+            F.when(F.col("event_id") % 2 == 0, F.col("value").cast("string")).otherwise("none").alias("value"),
+        ),
+    }
+
+
+@query(
+    "batches_by_contract",
+    """SELECT CAST(event_id % 3 + 1 AS INT) AS batch, event_id, event_type,
+         CASE WHEN event_id % 3 < 2 OR event_id % 2 = 0 THEN value END AS value,
+         CASE WHEN event_id % 3 < 2 THEN CAST(year(ts) AS INT) END AS year FROM events""",
+)
+def batches_by_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema.batches_by_contract(_event_batches(spark, sf_dir))
+
+
 @query(
     "schema_difference",
     """SELECT 'extra' AS side, column_name, rows_seen FROM

@@ -111,6 +111,11 @@ def _panel_sql() -> str:
         "unnest([count(*) - count(user_id), count(*) - count(event_type), count(*) - count(value)]) AS m, count(*) AS r "
         "FROM seg GROUP BY segment) WHERE m > 0",
     ]
+    rows.append(
+        "SELECT segment, 'outlier', 'value', unnest(['outlier_count', 'outlier_pct']), unnest([o, o * 100.0 / n]::DOUBLE[]) FROM ("
+        "SELECT segment, count(value) AS n, count(*) FILTER (WHERE hi > lo AND (value < lo - 3 * (hi - lo) OR value > hi + 3 * (hi - lo))) AS o "
+        "FROM seg CROSS JOIN (SELECT quantile_cont(value, 0.25) AS lo, quantile_cont(value, 0.75) AS hi FROM d) GROUP BY segment) WHERE o > 0"
+    )
     union = " UNION ALL ".join(rows)
     return f"""WITH {WEEKLY_EVENTS}{base}, p(segment, block, item, metric, value) AS ({union})
       SELECT segment, block, item, metric, round(value, 6) AS value FROM p"""
@@ -120,7 +125,7 @@ def _panel_sql() -> str:
 def intake_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = weekly_events(spark, sf_dir).select("week", "user_id", "event_type", "value")
     checks = [Check("high_value", "WARN", ("value",), F.col("value") > 250, "value > 250")]
-    return rounded(intake.segment_panels(e, "week", "event_type", checks))
+    return rounded(intake.segment_panels(e, "week", "event_type", checks, measures=["value"]))
 
 
 # ------------------------------------------------------------------ profile and slice pages

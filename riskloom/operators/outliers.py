@@ -126,6 +126,51 @@ def outlier_report(
     )
 
 
+def outlier_counts(
+    df: DataFrame,
+    columns: Sequence[str],
+    batch: str,
+    whole: str = "Overall",
+    multiple: float = 3.0,
+    few_values: int = FEW_VALUES,
+    skip_word: str | None = "grade",
+) -> DataFrame:
+    """(segment, column, outlier_count, outlier_pct) of each batch and of all, where a column has outliers.
+
+    The fences come from all batches, so a count tells how far one batch departs from the rest; columns are
+    chosen as in ``outlier_report``.  A missing batch label is a segment of its own.
+    """
+    names = unbounded([c for c in columns if c in df.columns], skip_word)
+    facts = column_facts(df, names) if names else None
+    few = few_distinct(df, names, few_values, facts) if names else {}
+    names = [c for c in names if few[c] is None]
+    if not names:
+        return df.sparkSession.createDataFrame(
+            [], "segment string, column string, outlier_count bigint, outlier_pct double"
+        )
+    fences = iqr_fences(df, names, multiple, facts)
+    aggs = []
+    for i, c in enumerate(names):
+        x = number(col(c))
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(fences[c].outside(x)).alias(f"o{i}")]
+    per = df.groupBy(col(batch)).agg(*aggs)
+    # a row per batch, from which the row of all batches is added up
+    sums = [F.sum(c).alias(c) for c in per.columns if c != batch]
+    both = per.groupingSets([[batch], []], batch).agg(*sums, F.grouping(batch).alias("_all"))
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"o{i}").alias("outlier_count"),
+                pct(F.col(f"o{i}"), F.col(f"n{i}")).alias("outlier_pct"),
+            )
+            for i, c in enumerate(names)
+        ]
+    )
+    segment = F.when(F.col("_all") == 1, whole).otherwise(col(batch).cast("string")).alias("segment")
+    return both.select(segment, F.inline(rows)).where(F.col("outlier_count") > 0)
+
+
 def winsorize(df: DataFrame, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """Limit the columns to their lower and upper quantile; missing stays missing."""
     limits = quantile_table(df, columns, [lower, upper])

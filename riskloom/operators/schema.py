@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.functions.expr import col, no_nan, number, whole_number
 from riskloom.operators.orderstats import few_distinct
@@ -15,10 +15,35 @@ INDICATOR_SUFFIXES = ("__is_missing", "__is_outlier")
 
 
 def infer_schema(df: DataFrame) -> dict[str, str]:
-    """column -> type name, as the first batch defines it."""
+    """column -> type name, in the order of the columns, as the first batch defines it."""
     return dict(df.dtypes)
 
 
+def contract_schema(contract: Mapping[str, str]) -> T.StructType:
+    """The schema that a column -> type name contract stands for."""
+    return T.StructType([T.StructField(c, T.DataType.fromDDL(t)) for c, t in contract.items()])
+
+
+def contract_rows(spark: SparkSession, contract: Mapping[str, str]) -> DataFrame:
+    """(position, column, type): a contract as a table, to be kept beside the batches."""
+    rows = [(i, c, t) for i, (c, t) in enumerate(contract.items(), 1)]
+    return spark.createDataFrame(rows, "position int, column string, type string")
+
+
+def read_contract(table: DataFrame) -> dict[str, str]:
+    """The contract that ``contract_rows`` made the table from; a row per column."""
+    return {r["column"]: r["type"] for r in table.orderBy("position").collect()}
+
+
+def batches_by_contract(
+    batches: Mapping[str | int, DataFrame], contract: Mapping[str, str] | None = None, batch: str = "batch"
+) -> DataFrame:
+    """All batches under one contract, by default that of the first batch, with the label as first column."""
+    names = list(batches)
+    schema = contract_schema(contract or infer_schema(batches[names[0]]))
+    return stack_batches({n: coerce_to_schema(batches[n], schema) for n in names}, batch)
+
+
 def is_number(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 

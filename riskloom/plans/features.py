@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.functions.expr import col, mapped
 from riskloom.functions.text import has_any, tokens
 from riskloom.operators import correlation, importance, signals, trajectory
-from riskloom.operators.schema import numeric_columns
+from riskloom.operators.schema import is_number, numeric_columns
 from riskloom.operators.trajectory import Period
 from riskloom.session import stage
 
@@ -77,6 +77,32 @@ def feature_reports(
     return out
 
 
+def page_rows(reports: Mapping[str, DataFrame]) -> DataFrame:
+    """(report, item, metric, number, text): the feature page as one table.
+
+    Columns that name a row (feature, level, or the two columns of a pair) make its item; every other cell is
+    a metric, held as number or as text.
+    """
+    out = None
+    for name, df in reports.items():
+        keys = [c for c in ("feature", "level", "a", "b") if c in df.columns]
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("metric"),
+                    (col(f.name) if is_number(f.dataType) else F.lit(None)).cast("double").alias("number"),
+                    (F.lit(None) if is_number(f.dataType) else col(f.name)).cast("string").alias("text"),
+                )
+                for f in df.schema
+                if f.name not in keys
+            ]
+        )
+        item = F.concat_ws(" | ", *[col(c) for c in keys])
+        rows = df.select(F.lit(name).alias("report"), item.alias("item"), F.inline(cells))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def importance_reports(
     df: DataFrame,
     target: str,

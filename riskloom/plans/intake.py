@@ -69,12 +69,18 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def segment_panels(
-    df: DataFrame, batch: str, target: str, checks: Sequence[Check] = (), top_missing: int = 5
+    df: DataFrame,
+    batch: str,
+    target: str,
+    checks: Sequence[Check] = (),
+    top_missing: int = 5,
+    measures: Sequence[str] = (),
 ) -> DataFrame:
     """(segment, block, item, metric, value): the intake panel of every batch and of all batches together.
 
     Blocks: ``basic``, ``dtype``, ``missing`` (the ``top_missing`` columns with most gaps), ``outcome``,
-    ``drift_last``, ``drift_cum``, ``audit``, and ``severity``, which adds up the audit.
+    ``drift_last``, ``drift_cum``, ``outlier`` (the named ``measures`` against fences of all batches), ``audit``,
+    and ``severity``, which adds up the audit.
     """
     cells = df.drop(batch)
     basics = quality.basic_check(df, [batch]).withColumnRenamed(batch, "segment").unionByName(
@@ -125,6 +131,9 @@ def segment_panels(
         ("drift_cum", drift.drift_vs_cumulative(df, batch, target, counts), "cum_pct"),
     ):
         parts.append(_long(table, batch, block, col(target), ["this_pct", ref, "delta_pct"]))
+    if measures:
+        beyond = outliers.outlier_counts(df, measures, batch)
+        parts.append(_long(beyond, "segment", "outlier", F.col("column"), ["outlier_count", "outlier_pct"]))
     if checks:
         # hits add up over the batches
         per = stage(quality.integrity_audit(df, checks, [batch]).withColumnRenamed(batch, "segment"), "audit")

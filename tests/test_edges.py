@@ -453,3 +453,48 @@ def test_a_cluster_needs_a_named_folder(monkeypatch):
         session.shared_dir(Session())
     Context.master = "local[2]"
     assert session.shared_dir(Session()).endswith("app")
+
+
+# ---------------------------------------------------------------- lexicons, contracts, outliers of batches
+
+def test_terms_of_several_words(spark):
+    from riskloom.functions.text import has_any, known_terms, tokens, word_hits
+
+    texts = ["Not good, not good at all", "good", "so not", "", None, "a a a"]
+    words = spark.createDataFrame([(t,) for t in texts], "t string").select(tokens(F.col("t")).alias("w"))
+    lexicon = ["good", "not good", "at all", "good not good", "a a", "good"]
+    assert one(words, known_terms(F.col("w"), lexicon)) == [
+        ["good", "good", "not good", "not good", "at all", "good not good"], ["good"], [], [], None, ["a a", "a a"],
+    ]
+    assert one(words, word_hits(F.col("w"), lexicon)) == [6, 1, 0, 0, None, 2]
+    assert one(words, has_any(F.col("w"), ["not good", "so not"])) == [True, False, True, False, None, False]
+    assert one(words, word_hits(F.col("w"), [])) == [0, 0, 0, 0, None, 0]
+    # large lexicons are looked up in a set
+    many = [f"word{i}" for i in range(500)] + ["good"]
+    df = words.where(F.col("w").isNotNull()).select(word_hits(F.col("w"), many).alias("n"))
+    assert [r["n"] for r in df.collect()] == [2, 1, 0, 0, 0]
+    assert "INSET" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_schema_contract(spark):
+    first = spark.createDataFrame([(1, 2.5, "x")], "id bigint, score double, note string")
+    later = spark.createDataFrame([("7", "y", "2.0"), ("z", None, "3")], "id string, other string, score string")
+    contract = schema.infer_schema(first)
+    kept = schema.contract_rows(spark, contract)
+    assert schema.read_contract(kept.orderBy(F.desc("position"))) == contract
+    assert schema.contract_schema(contract) == first.schema
+    out = schema.batches_by_contract({"a": first, "b": later})
+    assert [tuple(r) for r in out.collect()] == [("a", 1, 2.5, "x"), ("b", 7, 2.0, None), ("b", None, 3.0, None)]
+    out = schema.batches_by_contract({"b": later}, {"other": "string", "score": "int"})
+    assert [tuple(r) for r in out.collect()] == [("b", "y", 2), ("b", None, 3)]
+    nested = {"s": "struct<a:int,b:array<string>>", "d": "decimal(12,2)"}
+    assert {f.name: f.dataType.simpleString() for f in schema.contract_schema(nested)} == nested
+
+
+def test_outliers_of_each_batch(spark):
+    rows = [("a", float(i), 0, float(i)) for i in range(40)] + [("b", 1000.0, 1, 5.5), ("b", None, 1, 6.5), (None, -1000.0, 1, 7.5)]
+    df = spark.createDataFrame(rows, "week string, x double, code int, x_grade double")
+    out = {(r["segment"], r["column"]): (r["outlier_count"], r["outlier_pct"]) for r in outliers.outlier_counts(df, ["x", "code", "x_grade"], "week").collect()}
+    assert out == {("b", "x"): (1, 100.0), (None, "x"): (1, 100.0), ("Overall", "x"): (2, pytest.approx(200 / 42))}
+    assert outliers.outlier_counts(df, ["code"], "week").count() == 0
+    assert outliers.outlier_counts(df.limit(0), ["x"], "week").count() == 0

@@ -68,14 +68,18 @@ def test_clean_table_has_no_gaps_but_the_outcome(cleaned):
 
 
 def test_panels_of_all_segments(raw):
-    panel = intake.segment_panels(raw.drop("student_id").withColumn("batch", F.col("batch").cast("string")), "batch", "Target", student.checks())
+    panel = intake.segment_panels(raw.drop("student_id").withColumn("batch", F.col("batch").cast("string")), "batch", "Target", student.checks(), measures=student.MEASURES)
     rows = panel.collect()
     assert {r["segment"] for r in rows} == {"1", "2", "3", "Overall"}
     assert {r["block"] for r in rows} == {
-        "basic", "dtype", "missing", "outcome", "drift_last", "drift_cum", "audit", "severity",
+        "basic", "dtype", "missing", "outcome", "drift_last", "drift_cum", "outlier", "audit", "severity",
     }
     missing = [r for r in rows if r["block"] == "missing" and r["metric"] == "missing_count"]
     assert all(sum(r["segment"] == s for r in missing) <= 5 for s in ("1", "2", "3", "Overall"))
+    beyond = {(r["segment"], r["item"]): r["value"] for r in rows if r["metric"] == "outlier_count"}
+    for (segment, item), n in beyond.items():
+        if segment == "Overall":
+            assert n == sum(x for (s, i), x in beyond.items() if i == item and s != "Overall")
     size = {r["segment"]: r["value"] for r in rows if r["metric"] == "rows"}
     assert size["Overall"] == size["1"] + size["2"] + size["3"]
 
