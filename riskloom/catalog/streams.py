@@ -8,7 +8,7 @@ from riskloom.catalog.registry import query, rounded
 from riskloom.functions.expr import col, pct
 from riskloom.plans.rules import Check
 from riskloom.session import shared_path
-from riskloom.streaming import intake
+from riskloom.streaming import drift, intake
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,3 +69,23 @@ def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = intake.without_repeats(twice, "ts", ["event_id"], "60 days")
     intake.finished(intake.run_append(once.select("event_id", "user_id", "event_type", "value"), path))
     return spark.read.parquet(path)
+
+
+@query(
+    "stream_cumulative_drift",
+    """WITH d AS (SELECT date_trunc('week', ts) AS w, event_type, count(*) AS n FROM events GROUP BY ALL),
+        closed AS (SELECT * FROM d WHERE w + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)),
+        g AS (SELECT w.w, t.event_type, coalesce(n, 0) AS n FROM (SELECT DISTINCT w FROM closed) AS w
+          CROSS JOIN (SELECT DISTINCT event_type FROM closed) AS t LEFT JOIN closed AS c ON c.w = w.w AND c.event_type = t.event_type),
+        r AS (SELECT w, event_type, n, sum(n) OVER (PARTITION BY event_type ORDER BY w ROWS UNBOUNDED PRECEDING) - n AS before,
+          sum(n) OVER (PARTITION BY w) AS total FROM g),
+        s AS (SELECT *, sum(before) OVER (PARTITION BY w) AS total_before FROM r)
+        SELECT strftime(w, '%Y-%m-%d') AS week, event_type, round(n * 100.0 / total, 6) AS this_pct,
+          round(before * 100.0 / total_before, 6) AS cum_pct, round(n * 100.0 / total - before * 100.0 / total_before, 6) AS delta_pct
+        FROM s WHERE total_before > 0 AND n + before > 0""",
+)
+def stream_cumulative_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed weeks against the running total, which is kept as state of the stream."""
+    path = shared_path(spark, "drift")
+    intake.finished(intake.run_append(drift.cumulative_drift(_events(spark, sf_dir), "ts", "event_type"), path))
+    return rounded(spark.read.parquet(path))
