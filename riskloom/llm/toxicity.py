@@ -3,7 +3,8 @@
 A text's features are its hashed byte n-grams: the logarithm of one more than a gram's count, times the log ratio of the
 gram's smoothed document frequencies in toxic and in other texts, the whole vector scaled to length 1.  A linear support vector machine on these features is fitted on the driver from at most
 ``max_rows`` labelled texts (those of least key hash, the documented bound); its margins become scores by a logistic
-curve fitted on margins of folds left out.  Scoring runs on whole texts in the tasks that read them.
+curve fitted on margins of folds left out; ratios and choice of features are made anew for each fold, too, so these
+margins owe nothing to the texts they belong to.  Scoring runs on whole texts in the tasks that read them.
 
 Defined results: a null or empty text has no feature, its score comes from the intercept alone; repeated rows are
 scored each for itself; without labels of both kinds every score is the share of label 1 (0.5 without any labels); an
@@ -63,7 +64,8 @@ class Model:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, chosen: Column, max_rows: int) -> list[tuple]:
     """(text, 0 or 1) of at most ``max_rows`` labelled documents for which ``chosen`` (on doc_id) holds.
 
-    Only keys travel until the sample is known; of several labels of one document the largest counts.
+    Only keys travel until the sample is known; of several labels of one document the largest counts, of
+    several texts of one id the least.
     """
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("key"), F.col(label).cast("int").alias("y"))
@@ -74,7 +76,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, chosen: Column
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     taken = known.withColumnRenamed("key", "doc_id").filter(chosen).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # at most max_rows keys of 8 bytes: small whatever the input
-    rows = texts.join(F.broadcast(taken), "doc_id").select("doc_id", "y", "text").limit(2 * max_rows)
+    rows = texts.join(F.broadcast(taken), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
     table = rows.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     return list(zip(bytesops.texts_of(table.column("text").combine_chunks()), table.column("y").to_pylist()))
 
@@ -113,6 +115,20 @@ def _logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
+def log_ratios(counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log ratio of smoothed document frequencies in texts of label 1 and 0; 0 for features that aren't used."""
+    out = np.log((counts[1] + 0.5) / (y.sum() + 1)) - np.log((counts[0] + 0.5) / ((1 - y).sum() + 1))
+    return np.where((counts.sum(0) >= MIN_DOCS) & (np.abs(out) >= MIN_RATIO), out, 0.0).astype(np.float32)
+
+
+def _scaled(x: tuple, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, values of length 1) of a text's (buckets, counts)."""
+    buckets, count = x
+    buckets, count = buckets[ratio[buckets] != 0], count[ratio[buckets] != 0]
+    v = count * ratio[buckets]
+    return buckets, v / max(np.linalg.norm(v), 1e-9)
+
+
 def fit(rows: list[tuple], sizes=SIZES, bits: int = BITS) -> Model:
     y = np.array([r[1] for r in rows], float)
     share = (y.sum() + 1) / (len(y) + 2)
@@ -120,36 +136,35 @@ def fit(rows: list[tuple], sizes=SIZES, bits: int = BITS) -> Model:
     flat = Model(empty, empty, 0.0, 1.0, float(np.log(share / (1 - share))), sizes, bits)
     if min(y.sum(), (1 - y).sum()) < FOLDS:
         return flat
-    counts = np.zeros((2, 1 << bits), np.int32)
+    fold = np.arange(len(rows)) % FOLDS
+    counts = np.zeros((FOLDS, 2, 1 << bits), np.int32)
     for at in range(0, len(rows), 64):
         for i, (f, _) in enumerate(features([t for t, _ in rows[at : at + 64]], sizes, bits), at):
-            counts[int(y[i])][f] += 1
-    ratio = np.log((counts[1] + 0.5) / (y.sum() + 1)) - np.log((counts[0] + 0.5) / ((1 - y).sum() + 1))
-    chosen = (counts.sum(0) >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
-    used = np.flatnonzero(chosen)
-    if not len(used):
+            counts[fold[i], int(y[i])][f] += 1
+    total = counts.sum(0)
+    ratio = log_ratios(total, y)
+    left_out = [log_ratios(total - counts[k], y[fold != k]) for k in range(FOLDS)]
+    kept = np.any([ratio, *left_out], axis=0)  # used with any of the folds left out
+    if not ratio.any():
         return flat
-    place = np.full(1 << bits, -1, np.int32)
-    place[used] = np.arange(len(used))
-    found: list[tuple] = []  # of the chosen features only, so that all texts fit
-    for at in range(0, len(rows), 64):
-        for f, n in features([t for t, _ in rows[at : at + 64]], sizes, bits, chosen):
-            x = n * ratio[f]
-            found.append((place[f], x / max(np.linalg.norm(x), 1e-9)))
+    # counts of these features only, so that all texts fit
+    found = [
+        x
+        for at in range(0, len(rows), 64)
+        for x in features([t for t, _ in rows[at : at + 64]], sizes, bits, kept)
+    ]
     signs = 2 * y - 1
     cost = np.where(y == 1, (1 - y).sum() / y.sum(), 1.0)
-    fold = np.arange(len(rows)) % FOLDS
     margins = np.zeros(len(rows))
     for k in range(FOLDS):
         inside = np.flatnonzero(fold != k)
-        w, b = _svm([found[i] for i in inside], signs[inside], len(used), cost[inside])
+        scaled = [_scaled(x, left_out[k]) for x in found]
+        w, b = _svm([scaled[i] for i in inside], signs[inside], 1 << bits, cost[inside])
         for i in np.flatnonzero(fold == k):
-            margins[i] = w[found[i][0]] @ found[i][1] + b
-    w, b = _svm(found, signs, len(used), cost)
+            margins[i] = w[scaled[i][0]] @ scaled[i][1] + b
+    w, b = _svm([_scaled(x, ratio) for x in found], signs, 1 << bits, cost)
     slope, shift = _logistic(margins, y)
-    ratios, weights = empty.copy(), empty.copy()
-    ratios[used], weights[used] = ratio[used], w
-    return Model(ratios, weights, float(b), slope, shift, sizes, bits)
+    return Model(ratio, w.astype(np.float32), float(b), slope, shift, sizes, bits)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
