@@ -256,6 +256,16 @@ def basic_check_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.basic_check(_event_cells(spark, sf_dir), ["week"]))
 
 
+@query(
+    "repeated_rows",
+    """WITH l AS (SELECT l_returnflag, l_linestatus, l_quantity, CASE WHEN l_linenumber % 2 = 0 THEN l_discount END AS d FROM lineitem)
+       SELECT l_returnflag, l_linestatus, l_quantity, d, count(*) AS _n FROM l GROUP BY ALL HAVING count(*) > 1""",
+)
+def repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    half = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_discount")).alias("d")
+    return quality.repeated_rows(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", half))
+
+
 @query(
     "basic_check_lineitem",
     """WITH copies AS (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL)

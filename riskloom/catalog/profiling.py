@@ -77,6 +77,28 @@ def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FREQUENT = ("l_returnflag", "l_linenumber", "l_quantity", "l_partkey", "l_hot")
+
+
+@query(
+    "frequent_values",
+    """WITH l AS (SELECT * REPLACE (l_quantity::INT AS l_quantity), CASE WHEN l_orderkey % 5 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN l_linenumber ELSE l_orderkey * 10 + l_linenumber END
+          AS l_hot FROM lineitem), v AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS \"count\" FROM l GROUP BY {c}" for c in _FREQUENT
+    )
+    + """), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC, value NULLS LAST) AS INT) AS rank FROM v)
+        SELECT "column", value, "count", rank, round("count" * 100.0 / (SELECT count(*) FROM lineitem), 6) AS pct FROM r WHERE rank <= 5""",
+)
+def frequent_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few values, many equally rare ones, and a third of the rows on few values beside many rare ones."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    hot = F.when(order % 5 == 0, None).when(order % 2 == 0, line).otherwise(order * 10 + line)
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_hot", hot)
+    rows = rows.withColumn("l_quantity", F.col("l_quantity").cast("int")).select(*_FREQUENT)
+    return rounded(profile.frequent_values(rows, _FREQUENT, 5))
+
+
 def _histogram_sql(c: str, source: str) -> str:
     return f"""SELECT '{c}' AS "column", CAST(b AS INT) AS bin, round(lo + b * (hi - lo) / 30, 6) AS low,
         round(lo + (b + 1) * (hi - lo) / 30, 6) AS high,

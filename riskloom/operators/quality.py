@@ -11,8 +11,6 @@ from riskloom.operators.drift import with_total
 from riskloom.functions.expr import col, pct
 from riskloom.plans.rules import SEVERITIES, Check
 
-FEW_HASHES = 100_000
-
 
 def _plain_zero(df: DataFrame, name: str) -> Column:
     """Negative zero as zero, so that rows that compare equal also hash alike."""
@@ -20,41 +18,45 @@ def _plain_zero(df: DataFrame, name: str) -> Column:
     return F.when(col(name) == 0, F.lit(0.0)).otherwise(col(name)) if fraction else col(name)
 
 
-def repeated_rows(df: DataFrame, few: int = FEW_HASHES) -> DataFrame:
+def _row_digest(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """128 bits that stand for a row: two hashes with seeds of their own.
+
+    The hash passes over NULLs, so which cells are NULL is hashed, too.
+    """
+    cells = [_plain_zero(df, c) for c in names]
+    gaps = [col(c).isNull() for c in names]
+    return [F.xxhash64(F.lit(1), *cells, *gaps).alias("_h1"), F.xxhash64(F.lit(2), *gaps, *cells).alias("_h2")]
+
+
+def repeated_rows(df: DataFrame) -> DataFrame:
     """(all columns, _n) of the rows that occur more than once; NULLs count as equal.
 
-    A first pass shuffles one hash per row instead of the row.  Where few hashes
-    recur, only their rows are compared in full; else all rows are.  Equal rows
-    are combined before either shuffle, so a row with very many copies is one
-    record per task.
+    Whole rows are compared, but only those whose digest recurs; a row with very many copies is one record per task.
+    The digests that recur meet the rows in a semi join, whose kind Spark picks by their measured size.
     """
-    names = [col(c) for c in df.columns]
-    hashed = df.withColumn("_h", F.xxhash64(*[_plain_zero(df, c) for c in df.columns]))
-    twice = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_h")
-    found = twice.limit(few + 1).collect()
-    rows = df
-    if len(found) <= few:
-        candidates = F.broadcast(df.sparkSession.createDataFrame(found, twice.schema))
-        rows = hashed.join(candidates, "_h", "left_semi").drop("_h")
-    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    marked = df.select("*", *_row_digest(df, df.columns))
+    recurring = marked.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    rows = marked.join(recurring, ["_h1", "_h2"], "left_semi")
+    return rows.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
 
 
 def basic_check(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows, columns, missing cells and repeated rows, for the table or per group."""
+    """Rows, columns, missing cells and repeated rows, for the table or per group.
+
+    One pass: the rows of a group are counted by digest, and counts and gaps ride along.  Rows of equal digest are
+    taken for equal; NULLs count as equal.  What is shuffled is a record per distinct row and task, without its cells.
+    """
     cells = [c for c in df.columns if c not in by]
     keys = [col(b) for b in by]
     nulls = reduce(lambda a, b: a + b, [col(c).isNull().cast("bigint") for c in cells])
+    rows = df.select(*keys, nulls.alias("_gaps"), *_row_digest(df, cells))
+    distinct = rows.groupBy(*keys, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.sum("_gaps").alias("_gaps"))
     zero = F.lit(0).cast("bigint")
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("missing_cells"))
-    repeats = repeated_rows(df).groupBy(*keys).agg(F.sum(F.col("_n") - 1).alias("duplicate_rows"))
-    sums = (
-        counted.withColumn("duplicate_rows", zero)
-        .unionByName(repeats.withColumns({"rows": zero, "missing_cells": zero}))
-        .groupBy(*keys)
-        .agg(
-            *[F.coalesce(F.sum(c), zero).alias(c) for c in ("rows", "missing_cells", "duplicate_rows")],
-            F.lit(len(cells)).alias("cols"),
-        )
+    sums = distinct.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), zero).alias("rows"),
+        F.coalesce(F.sum("_gaps"), zero).alias("missing_cells"),
+        F.coalesce(F.sum(F.col("_n") - 1), zero).alias("duplicate_rows"),
+        F.lit(len(cells)).alias("cols"),
     )
     return sums.select(
         *keys,

@@ -191,13 +191,22 @@ def test_basic_check_counts_repeats_with_nulls_equal(spark):
     assert r["missing_cell_pct"] == 37.5 and r["has_missing"] == "Yes"
 
 
-@pytest.mark.parametrize("few", [100, 1])
-def test_repeated_rows_both_ways(spark, few):
+def test_repeated_rows(spark):
     rows = [(1, 0.0, "a"), (1, -0.0, "a"), (1, None, "b"), (1, None, "b"), (1, None, "b"), (2, None, None), (None, 2.0, None)]
-    got = quality.repeated_rows(spark.createDataFrame(rows, "i int, x double, t string"), few).collect()
+    got = quality.repeated_rows(spark.createDataFrame(rows, "i int, x double, t string")).collect()
     assert sorted((r["t"], r["_n"]) for r in got) == [("a", 2), ("b", 3)]
 
 
+def test_rows_that_differ_only_in_the_place_of_a_gap(spark):
+    df = spark.createDataFrame(
+        [(1.0, None, "a"), (None, 1.0, "a"), (0.0, None, "b"), (-0.0, None, "b")], "x double, y double, t string"
+    )
+    r = quality.basic_check(df).first()
+    assert (r["rows"], r["missing_cells"], r["duplicate_rows"]) == (4, 4, 1)
+    by = {r["t"]: (r["rows"], r["duplicate_rows"]) for r in quality.basic_check(df, ["t"]).collect()}
+    assert by == {"a": (2, 0), "b": (2, 1)}
+
+
 def test_basic_check_of_nothing(spark):
     r = quality.basic_check(spark.createDataFrame([], "a int, b int")).first()
     assert (r["rows"], r["missing_cells"], r["missing_cell_pct"], r["duplicate_rows"]) == (0, 0, 0.0, 0)
@@ -498,3 +507,19 @@ def test_outliers_of_each_batch(spark):
     assert out == {("b", "x"): (1, 100.0), (None, "x"): (1, 100.0), ("Overall", "x"): (2, pytest.approx(200 / 42))}
     assert outliers.outlier_counts(df, ["code"], "week").count() == 0
     assert outliers.outlier_counts(df.limit(0), ["x"], "week").count() == 0
+
+
+@pytest.mark.parametrize("k,tracked", [(3, 64), (1, 64), (10, 64), (3, 1024)])
+def test_frequent_values_equal_the_full_count(spark, k, tracked):
+    i = F.col("id")
+    df = spark.range(6000, numPartitions=5).select(
+        F.when(i % 4 == 0, "hot").when(i % 9 == 1, "warm").when(i % 9 == 2, "warm2").otherwise(i.cast("string")).alias("mixed"),
+        (i % 3000).alias("twice each"),
+        (i % 4).alias("few"),
+        F.when(i % 3 > 0, i % 2).alias("gaps"),
+        F.lit(None).cast("int").alias("none"),
+    )
+    want = {tuple(r) for r in profile.top_values(df, df.columns, k).select("column", "value", "count", "rank", "pct").collect()}
+    got = profile.frequent_values(df, df.columns, k, tracked).select("column", "value", "count", "rank", "pct").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert profile.frequent_values(df.limit(0), ["few"], k, tracked).count() == 0
