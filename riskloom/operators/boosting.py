@@ -3,8 +3,10 @@
 Features are cut into bins once and written as blocks of bytes.  A round grows one tree per class from the softmax's
 first and second derivatives.  For every level of its trees one job adds up both derivatives per (class, node, feature,
 bin), inside the tasks, and only these sums, whose size depends on the model and not on the rows, come to the driver,
-which picks the splits.  A tree's splits travel with the next job; rows keep only their margins between rounds, cached
-beside the blocks and checkpointed now and then, so a lost executor costs a few rounds of its own blocks.
+which picks the splits.  Of two children the lighter one is summed and the other is what is left of the parent.
+Derivatives are rounded to a grid that keeps all sums exact, so that neither this nor the partitions change a split.
+A tree's splits travel with the next job; rows keep only their margins between rounds, cached beside the blocks and
+checkpointed now and then, so a lost executor costs a few rounds of its own blocks.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from riskloom.session import stage
 
 BLOCK_ROWS = 4096
 CHECKPOINT_ROUNDS = 25
+BLOCKS_PER_PARTITION = 1000  # at most, some 400 MB
+GRID_BITS = 30
 
 
 @dataclass(frozen=True)
@@ -53,7 +57,7 @@ class Boosted:
 
 def cut_points(df: DataFrame, values: str, width: int, bins: int) -> list[np.ndarray]:
     """Ascending cuts per feature, in one pass; a value belongs to the first bin whose cut is not below it."""
-    shares = [(i + 1) / bins for i in range(bins - 1)]
+    shares = F.lit([(i + 1) / bins for i in range(bins - 1)])
     found = df.agg(*[F.percentile_approx(F.col(values)[i], shares, 20_000).alias(f"q{i}") for i in range(width)]).first()
     return [np.unique(np.array(found[f"q{i}"] or [], np.float64)) for i in range(width)]
 
@@ -81,7 +85,7 @@ def blocks_of(df: DataFrame, values: str, label: str, cuts: Sequence[np.ndarray]
 @dataclass
 class _Block:
     number: int
-    x: np.ndarray
+    x: np.ndarray  # (features, rows)
     y: np.ndarray
     margins: np.ndarray
 
@@ -113,12 +117,12 @@ class _Growing:
 
     def place(self, x: np.ndarray) -> np.ndarray:
         feature, cut, left, right = (np.array(a) for a in (self.feature, self.cut, self.left, self.right))
-        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        at, rows = np.zeros(x.shape[1], np.int64), np.arange(x.shape[1])
         while True:
             inner = feature[at] != LEAF
             if not inner.any():
                 return at
-            to = np.where(x[rows, np.maximum(feature[at], 0)] <= cut[at], left[at], right[at])
+            to = np.where(x[np.maximum(feature[at], 0), rows] <= cut[at], left[at], right[at])
             at = np.where(inner, to, at)
 
 
@@ -126,27 +130,36 @@ def _sampled(block: _Block, n: int, share: float, seed: int, turn: int) -> np.nd
     return np.random.default_rng((seed, turn, block.number)).random(n) < share
 
 
-def _histograms(block: _Block, trees: list[_Growing], level: list[list[int]], width: int, bins: int, s: BoostSettings, turn: int) -> np.ndarray:
-    """(2, places, width, bins): sums of both derivatives for the open nodes of all classes."""
+def _grid(rows: int) -> float:
+    """Steps of 1 / this, at which sums of up to ``rows`` values of at most 1 are exact doubles."""
+    return 2.0 ** min(GRID_BITS, 52 - max(rows, 1).bit_length())
+
+
+def _histograms(
+    block: _Block, trees: list[_Growing], asked: list[list[int]], columns: np.ndarray, grid: float, s: BoostSettings, turn: int
+) -> np.ndarray:
+    """(2, places, features, bins): sums of both derivatives for the asked nodes of all classes, over each class's own
+    features."""
     p = _softmax(block.margins)
     use = _sampled(block, len(p), s.row_share, s.seed, turn)
-    places = sum(map(len, level))
-    out = np.zeros((2, places * width * bins))
+    out = np.zeros((2, sum(map(len, asked)), columns.shape[1], s.bins))
     first = 0
-    columns = np.arange(width) * bins
-    for k, tree in enumerate(trees):
-        if level[k]:
+    for k, (tree, nodes) in enumerate(zip(trees, asked)):
+        if nodes:
             slot = np.full(len(tree.feature), -1)
-            slot[level[k]] = first + np.arange(len(level[k]))
-            first += len(level[k])
+            slot[nodes] = np.arange(len(nodes))
             at = slot[tree.place(block.x)]
-            own = use & (at >= 0)
-            index = (at[own] * (width * bins))[:, None] + columns + block.x[own]
-            g = p[own, k] - (block.y[own] == k)
-            h = 2.0 * p[own, k] * (1.0 - p[own, k])
-            for i, d in enumerate((g, h)):
-                out[i] += np.bincount(index.ravel(), np.repeat(d, width), out.shape[1])
-    return out.reshape(2, places, width, bins)
+            own = np.flatnonzero(use & (at >= 0))
+            q = p[own, k]
+            g = np.rint((q - (block.y[own] == k)) * grid) / grid
+            h = np.rint(2.0 * q * (1.0 - q) * grid) / grid
+            base, size = at[own] * s.bins, len(nodes) * s.bins
+            for i, f in enumerate(columns[k]):
+                index = base + block.x[f][own]
+                for j, d in enumerate((g, h)):
+                    out[j, first : first + len(nodes), i] = np.bincount(index, d, size).reshape(-1, s.bins)
+            first += len(nodes)
+    return out
 
 
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
@@ -158,26 +171,28 @@ def leaf_value(g, h, s: BoostSettings):
     return -s.rate * _shrunk(np.asarray(g, float), s.l1) / (h + s.l2)
 
 
-def _split(tree: _Growing, nodes: list[int], sums: np.ndarray, columns: np.ndarray, s: BoostSettings) -> list[int]:
-    """Split the open nodes where that gains enough; the new nodes."""
-    opened: list[int] = []
+def _split(tree: _Growing, sums: dict[int, np.ndarray], columns: np.ndarray, s: BoostSettings) -> list[tuple[int, int, int]]:
+    """Split the nodes where that gains enough; each such node with its lighter and its heavier child.
+
+    ``sums`` holds (2, features, bins) of each open node, over the features ``columns``.
+    """
+    opened: list[tuple[int, int, int]] = []
     score = lambda g, h: _shrunk(g, s.l1) ** 2 / (h + s.l2)
-    upto = np.cumsum(sums, axis=3)
-    whole = upto[:, :, :1, -1:]
-    g, h = upto[:, :, :, :-1]
-    rest_g, rest_h = whole[0] - g, whole[1] - h
-    gain = score(g, h) + score(rest_g, rest_h) - score(whole[0], whole[1])
-    gain = np.where((h >= s.least_weight) & (rest_h >= s.least_weight) & columns[None, :, None], gain, -np.inf)
-    for i, node in enumerate(nodes):
-        best = int(np.argmax(gain[i]))
-        f, b = divmod(best, gain.shape[2])
-        if not gain[i, f, b] > s.least_gain:
+    for node, own in sums.items():
+        upto = np.cumsum(own, axis=2)
+        all_g, all_h = upto[:, :1, -1:]
+        g, h = upto[:, :, :-1]
+        rest_g, rest_h = all_g - g, all_h - h
+        gain = score(g, h) + score(rest_g, rest_h) - score(all_g, all_h)
+        gain = np.where((h >= s.least_weight) & (rest_h >= s.least_weight), gain, -np.inf)
+        i, b = divmod(int(np.argmax(gain)), gain.shape[1])
+        if not gain[i, b] > s.least_gain:
             continue
-        tree.feature[node], tree.cut[node], tree.gain[node] = f, b, float(gain[i, f, b])
-        tree.left[node], tree.right[node] = tree.add(), tree.add()
-        tree.value[tree.left[node]] = float(leaf_value(g[i, f, b], h[i, f, b], s))
-        tree.value[tree.right[node]] = float(leaf_value(rest_g[i, f, b], rest_h[i, f, b], s))
-        opened += [tree.left[node], tree.right[node]]
+        tree.feature[node], tree.cut[node], tree.gain[node] = int(columns[i]), b, float(gain[i, b])
+        tree.left[node], tree.right[node] = left, right = tree.add(), tree.add()
+        tree.value[left] = float(leaf_value(g[i, b], h[i, b], s))
+        tree.value[right] = float(leaf_value(rest_g[i, b], rest_h[i, b], s))
+        opened.append((node, left, right) if h[i, b] <= rest_h[i, b] else (node, right, left))
     return opened
 
 
@@ -218,47 +233,53 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
     cuts = cut_points(df, values, width, s.bins)
     written = stage(blocks_of(df, values, label, cuts), "blocks")
     n_blocks = written.count()
-    parts = max(1, min(n_blocks, 4 * spark.sparkContext.defaultParallelism))
+    parts = max(1, min(n_blocks, max(spark.sparkContext.defaultParallelism, -(-n_blocks // BLOCKS_PER_PARTITION))))
+    grid = _grid(n_blocks * BLOCK_ROWS)
 
     def read(row) -> _Block:
         number, (n, x, y) = row
         labels = np.frombuffer(y, np.uint16).astype(np.int64)
-        return _Block(number, np.frombuffer(x, np.uint8).reshape(n, width), labels, np.zeros((n, n_classes)))
+        by_feature = np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(n, width).T)
+        return _Block(number, by_feature, labels, np.zeros((n, n_classes)))
 
     ordered = written.orderBy(F.xxhash64("bins", "labels"), "bins", "labels").rdd.map(tuple).zipWithIndex()
-    state = ordered.map(lambda r: read((r[1], r[0]))).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = ordered.map(lambda r: (r[1], r[0])).partitionBy(parts, lambda number: number)
+    state = dealt.map(read).persist(StorageLevel.MEMORY_AND_DISK)
     rng = np.random.default_rng(s.seed)
     grown: list[list[_Growing]] = []
     losses: list[float] = []
     before: RDD | None = None
     for turn in range(s.rounds):
-        columns = np.zeros((n_classes, width), bool)
-        for k in range(n_classes):
-            columns[k, rng.permutation(width)[: max(1, round(s.column_share * width))]] = True
+        taken = max(1, round(s.column_share * width))
+        columns = np.array([np.sort(rng.permutation(width)[:taken]) for _ in range(n_classes)])
         trees = [_Growing.new() for _ in range(n_classes)]
-        level = [[0] for _ in range(n_classes)]
+        open_sums: list[dict[int, np.ndarray]] = [{} for _ in range(n_classes)]
+        pairs: list[list[tuple[int, int, int]]] = []
         for depth in range(s.depth):
-            if not any(level):
+            asked = [[lighter for _, lighter, _ in own] for own in pairs] if depth else [[0] for _ in range(n_classes)]
+            if not any(asked):
                 break
 
-            def work(block, trees=trees, level=level, turn=turn, first=depth == 0):
-                made = [_histograms(block, trees, level, width, s.bins, s, turn)]
+            def work(block, trees=trees, asked=asked, columns=columns, turn=turn, first=depth == 0):
+                made = [_histograms(block, trees, asked, columns, grid, s, turn)]
                 return made + [np.array(_loss(block))] if first else made
 
             found = _added(state, parts, work)
-            sums, at, opened = found[0], 0, []
             if depth == 0:
                 losses.append(float(found[1][0] / found[1][1]))
                 if before is not None:
                     before.unpersist()
-            for k in range(n_classes):
-                n = len(level[k])
-                if n and depth == 0:
-                    g, h = sums[:, at, 0].sum(axis=1)
-                    trees[k].value[0] = float(leaf_value(g, h, s))
-                opened.append(_split(trees[k], level[k], sums[:, at : at + n], columns[k], s) if n else [])
-                at += n
-            level = opened
+            at = 0
+            for k, tree in enumerate(trees):
+                got = dict(zip(asked[k], found[0].swapaxes(0, 1)[at : at + len(asked[k])]))
+                at += len(asked[k])
+                if depth == 0:
+                    tree.value[0] = float(leaf_value(*got[0][:, 0].sum(axis=1), s))
+                else:
+                    for node, lighter, heavier in pairs[k]:
+                        got[heavier] = open_sums[k][node] - got[lighter]
+                open_sums[k] = dict(sorted(got.items()))
+            pairs = [_split(tree, own, columns[k], s) for k, (tree, own) in enumerate(zip(trees, open_sums))]
         grown.append(trees)
         before, state = state, state.map(lambda block, trees=trees: _stepped(block, trees)).persist(StorageLevel.MEMORY_AND_DISK)
         if (turn + 1) % CHECKPOINT_ROUNDS == 0:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -15,7 +16,7 @@ from riskloom.functions.expr import col
 from riskloom.operators import attribution, boosting, sparse_logistic, trees
 from riskloom.operators.orderstats import quantile_table
 from riskloom.operators.split import class_weights, with_weights
-from riskloom.session import shared_path, stage
+from riskloom.session import shared_path, side_by_side, stage
 
 FEATURES, LABEL, WEIGHT, VALUES = "_features", "_label", "_weight", "_values"
 ROWS_PER_PARTITION = 20_000
@@ -264,7 +265,7 @@ def train(
 ) -> Trained:
     """Fit the named models with balanced class weights.
 
-    The prepared training table is staged once; every model reads it from there.
+    The prepared training table is staged once; every model reads it from there, all of them at the same time.
     """
     known = df.where(col(target).isNotNull())
     weights = class_weights(known, target)
@@ -284,8 +285,10 @@ def train(
         context.setCheckpointDir(shared_path(df.sparkSession, "checkpoints"))
     # every round is a job over all partitions, so these should be full
     ready = ready.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
-    fitted = {n: fit_model(n, ready, rows, len(classes), settings) for n in names}
-    return Trained(preparation, fitted, list(numeric), list(categorical), classes)
+    found = side_by_side(
+        df.sparkSession, [partial(fit_model, n, ready, rows, len(classes), settings) for n in names]
+    )
+    return Trained(preparation, dict(zip(names, found)), list(numeric), list(categorical), classes)
 
 
 def load_trained(

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(
     cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
@@ -61,3 +67,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, works: Sequence[Callable[[], T]], at_once: int | None = None) -> list[T]:
+    """The results of ``works``, whose jobs run at the same time, up to ``at_once`` of them.
+
+    Jobs of few tasks, one behind the other, leave most cores idle; those of several works fill them.
+    """
+    if not works:
+        return []
+    with ThreadPoolExecutor(max(1, min(len(works), at_once or len(works)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in works]]

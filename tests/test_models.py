@@ -1,6 +1,7 @@
 """Fitted models: repeatable, better than guessing, and measured right."""
 
 import os
+import threading
 from dataclasses import replace
 
 import duckdb
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import evaluation
 from riskloom.catalog.modeling import POSITIVE, fitted
-from riskloom.operators import boosting, sparse_logistic
+from riskloom.operators import boosting, models, sparse_logistic
 from riskloom.operators.models import Settings, fit_preparation, load_trained, train
 from riskloom.plans import student
 from riskloom.operators.scenarios import Scenario
@@ -235,3 +236,52 @@ def test_a_missing_model_is_named(run):
 def test_fairness_uses_labels(run):
     rates = run.audit("Boosted_Trees", ["Gender"], POSITIVE).first()
     assert 0 <= rates["disparate_impact"] < 1.0  # integers against words would give exactly 1
+
+
+def test_trees_do_not_depend_on_blocks_or_their_order(classes, monkeypatch):
+    """Sums are exact, so other blocks and other partitions give the same splits to the last bit."""
+    one = boosting.fit(classes.coalesce(1), "x", "y", 3, replace(SMALL, rounds=4)).trees
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 37)
+    many = boosting.fit(classes.repartition(3, "id"), "x", "y", 3, replace(SMALL, rounds=4)).trees
+    for name in ("feature", "threshold", "left", "right", "gain"):
+        assert (getattr(one, name) == getattr(many, name)).all()
+
+
+def test_only_the_lighter_child_of_a_split_is_summed(classes, monkeypatch):
+    places = []
+    added = boosting._added
+
+    def seen(*args):
+        made = added(*args)
+        if made[0].ndim == 4:
+            places.append(made[0].shape[1])
+        return made
+
+    monkeypatch.setattr(boosting, "_added", seen)
+    boosting.fit(classes, "x", "y", 3, replace(SMALL, rounds=1))
+    assert len(places) == 3 and places[0] == 3 and places[1] <= 3 and places[2] <= 6
+
+
+def _together(monkeypatch, parties):
+    """Makes every fit wait until ``parties`` fits are under way."""
+    gate, fit_model = threading.Barrier(parties), models.fit_model
+
+    def fit(*args):
+        gate.wait(60)
+        return fit_model(*args)
+
+    monkeypatch.setattr(models, "fit_model", fit)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, float(a), float(b), "u" if a > b else "v", 1 + i % 2) for i, (a, b) in enumerate(rng.random((80, 2)))]
+    return spark.createDataFrame(rows, "id long, a double, b double, t string, fold int")
+
+
+def test_models_are_fitted_side_by_side(table, monkeypatch):
+    _together(monkeypatch, 2)
+    made = train(table, "t", ["a", "b"], names=["Decision_Tree", "Logistic_L1"])
+    assert list(made.models) == ["Decision_Tree", "Logistic_L1"]
+    assert made.models["Logistic_L1"].coefficients.shape == (2, 2)
