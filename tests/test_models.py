@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import evaluation
 from riskloom.catalog.modeling import POSITIVE, fitted
 from riskloom.operators import boosting, models, sparse_logistic
-from riskloom.operators.models import Settings, fit_preparation, load_trained, train
+from riskloom.operators.models import Settings, cross_validate, fit_preparation, load_trained, train
 from riskloom.plans import student
 from riskloom.operators.scenarios import Scenario
 from riskloom.plans.actions import ActionPlan
@@ -285,3 +285,11 @@ def test_models_are_fitted_side_by_side(table, monkeypatch):
     made = train(table, "t", ["a", "b"], names=["Decision_Tree", "Logistic_L1"])
     assert list(made.models) == ["Decision_Tree", "Logistic_L1"]
     assert made.models["Logistic_L1"].coefficients.shape == (2, 2)
+
+
+def test_folds_are_fitted_side_by_side(table, monkeypatch):
+    _together(monkeypatch, 2)
+    small = Settings(tree_leaf=1)
+    held = cross_validate(table, "t", "fold", 2, ["a", "b"], settings=small, name="Decision_Tree").collect()
+    assert sorted(r["id"] for r in held) == list(range(80)) and all(r["fold"] == 1 + r["id"] % 2 for r in held)
+    assert sum(r["truth"] == r["pred"] for r in held) > 60
