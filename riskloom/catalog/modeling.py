@@ -7,6 +7,7 @@ A run is fitted once and then reported on, so the queries on the same tables sha
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +23,7 @@ from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
 from riskloom.plans.actions import ActionPlan
 from riskloom.plans.modeling import Run, run_models
-from riskloom.session import shared_path, stage
+from riskloom.session import shared_path, side_by_side, stage
 
 POSITIVE = "Dropout"
 MAIN = "Boosted_Trees"  # the model that action lists go by
@@ -142,10 +143,10 @@ def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("combined_importance")
 def combined_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both models are fitted once on the same staged matrix."""
+    """Both models are fitted once on the same staged matrix, at the same time."""
     ready, features = _ready(spark, sf_dir)
-    l1 = importance.l1_importance(ready, features, importance.LIST_SIZE)
-    rf = importance.forest_importance(ready, features, importance.LIST_SIZE)
+    lists = (importance.l1_importance, importance.forest_importance)
+    l1, rf = side_by_side(spark, [partial(make, ready, features, importance.LIST_SIZE) for make in lists])
     return rounded(importance.combined_importance(l1, rf))
 
 
