@@ -7,11 +7,15 @@ which picks the splits.  Of two children the lighter one is summed and the other
 Derivatives are rounded to a grid that keeps all sums exact, so that neither this nor the partitions change a split.
 A tree's splits travel with the next job; rows keep only their margins between rounds, cached beside the blocks and
 checkpointed now and then, so a lost executor costs a few rounds of its own blocks.
+
+A level of few rows takes less time than its job.  So up to ``WHOLE_BLOCKS`` blocks every class gets a task with a copy of
+all rows, which grows the class's tree of a round in one job; up to ``FEW_BLOCKS`` one task grows all classes through
+``CHECKPOINT_ROUNDS`` rounds.  The trees are the same to the last bit, as sums are exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +30,8 @@ BLOCK_ROWS = 4096
 CHECKPOINT_ROUNDS = 25
 BLOCKS_PER_PARTITION = 1000  # at most, some 400 MB
 GRID_BITS = 30
+WHOLE_BLOCKS, FEW_BLOCKS = 64, 16  # some 20 and 5 MB of bins a copy at 80 features
+WHOLE_ROUNDS = 10  # fewer don't pay for the copies
 
 
 @dataclass(frozen=True)
@@ -115,9 +121,10 @@ class _Growing:
             own.append(empty)
         return len(self.feature) - 1
 
-    def place(self, x: np.ndarray) -> np.ndarray:
+    def place(self, x: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """The leaf of each row of ``x``, from the nodes ``at`` or the root on."""
         feature, cut, left, right = (np.array(a) for a in (self.feature, self.cut, self.left, self.right))
-        at, rows = np.zeros(x.shape[1], np.int64), np.arange(x.shape[1])
+        at, rows = np.zeros(x.shape[1], np.int64) if at is None else at, np.arange(x.shape[1])
         while True:
             inner = feature[at] != LEAF
             if not inner.any():
@@ -150,18 +157,27 @@ def _histograms(
             slot[nodes] = np.arange(len(nodes))
             at = slot[tree.place(block.x)]
             own = np.flatnonzero(use & (at >= 0))
-            q = p[own, k]
-            g = np.rint((q - (block.y[own] == k)) * grid) / grid
-            h = np.rint(2.0 * q * (1.0 - q) * grid) / grid
-            base, size = at[own] * s.bins, len(nodes) * s.bins
-            for i, f in enumerate(columns[k]):
-                index = base + block.x[f][own]
-                for j, d in enumerate((g, h)):
-                    out[j, first : first + len(nodes), i] = np.bincount(index, d, size).reshape(-1, s.bins)
+            both = _derivatives(p[own, k], block.y[own] == k, grid)
+            _add_up(out[:, first : first + len(nodes)], at[own], both, (block.x[f][own] for f in columns[k]))
             first += len(nodes)
     return out
 
 
+def _derivatives(q: np.ndarray, hit: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivatives for probabilities ``q`` of a class that the rows of ``hit`` have."""
+    return np.rint((q - hit) * grid) / grid, np.rint(2.0 * q * (1.0 - q) * grid) / grid
+
+
+def _add_up(out: np.ndarray, place: np.ndarray, derivatives: Sequence[np.ndarray], columns: Iterable[np.ndarray]) -> None:
+    """Fill ``out``, (2, places, features, bins), from the rows' places, derivatives and bins."""
+    _, places, _, bins = out.shape
+    base = place * bins
+    for i, own in enumerate(columns):
+        index = base + own
+        for j, d in enumerate(derivatives):
+            out[j, :, i] = np.bincount(index, d, places * bins).reshape(-1, bins)
+
+
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0)
 
@@ -196,6 +212,28 @@ def _split(tree: _Growing, sums: dict[int, np.ndarray], columns: np.ndarray, s:
     return opened
 
 
+def _grow(trees: list[_Growing], columns: Sequence[np.ndarray], s: BoostSettings, ask: Callable[[list[list[int]], int], np.ndarray]) -> None:
+    """Grow the trees together, level by level; ``ask(nodes, depth)`` gives (2, places, features, bins) of the asked nodes
+    of each tree, one tree behind the other."""
+    open_sums: list[dict[int, np.ndarray]] = [{} for _ in trees]
+    pairs: list[list[tuple[int, int, int]]] = []
+    for depth in range(s.depth):
+        asked = [[lighter for _, lighter, _ in own] for own in pairs] if depth else [[0] for _ in trees]
+        if not any(asked):
+            break
+        found, at = ask(asked, depth), 0
+        for k, tree in enumerate(trees):
+            got = dict(zip(asked[k], found.swapaxes(0, 1)[at : at + len(asked[k])]))
+            at += len(asked[k])
+            if depth == 0:
+                tree.value[0] = float(leaf_value(*got[0][:, 0].sum(axis=1), s))
+            else:
+                for node, lighter, heavier in pairs[k]:
+                    got[heavier] = open_sums[k][node] - got[lighter]
+            open_sums[k] = dict(sorted(got.items()))
+        pairs = [_split(tree, own, columns[k], s) for k, (tree, own) in enumerate(zip(trees, open_sums))]
+
+
 def _stepped(block: _Block, trees: list[_Growing]) -> _Block:
     margins = block.margins.copy()
     for k, tree in enumerate(trees):
@@ -243,56 +281,154 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
         return _Block(number, by_feature, labels, np.zeros((n, n_classes)))
 
     ordered = written.orderBy(F.xxhash64("bins", "labels"), "bins", "labels").rdd.map(tuple).zipWithIndex()
-    dealt = ordered.map(lambda r: (r[1], r[0])).partitionBy(parts, lambda number: number)
-    state = dealt.map(read).persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = ordered.map(lambda r: (r[1], r[0]))
     rng = np.random.default_rng(s.seed)
+    taken = max(1, round(s.column_share * width))
+    draws = [np.array([np.sort(rng.permutation(width)[:taken]) for _ in range(n_classes)]) for _ in range(s.rounds)]
+    if n_blocks <= WHOLE_BLOCKS and s.rounds >= WHOLE_ROUNDS:
+        grown, losses, covers = _by_class(ordered.mapValues(lambda b: read((0, b))), n_blocks, n_classes, draws, grid, s)
+    else:
+        grown, losses, covers = _by_level(ordered.partitionBy(parts, lambda number: number).map(read), parts, draws, grid, s)
+    made = [_finished(tree, cover, cuts) for tree, cover in zip((t for trees in grown for t in trees), covers)]
+    return Boosted(joined(made, [k for _ in grown for k in range(n_classes)], n_classes), losses)
+
+
+Fitted = tuple[list[list[_Growing]], list[float], list[np.ndarray]]  # trees by round and class, losses, covers
+
+
+def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: BoostSettings) -> Fitted:
+    """A job a level, over blocks dealt to ``parts`` tasks."""
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
     grown: list[list[_Growing]] = []
     losses: list[float] = []
     before: RDD | None = None
-    for turn in range(s.rounds):
-        taken = max(1, round(s.column_share * width))
-        columns = np.array([np.sort(rng.permutation(width)[:taken]) for _ in range(n_classes)])
-        trees = [_Growing.new() for _ in range(n_classes)]
-        open_sums: list[dict[int, np.ndarray]] = [{} for _ in range(n_classes)]
-        pairs: list[list[tuple[int, int, int]]] = []
-        for depth in range(s.depth):
-            asked = [[lighter for _, lighter, _ in own] for own in pairs] if depth else [[0] for _ in range(n_classes)]
-            if not any(asked):
-                break
-
-            def work(block, trees=trees, asked=asked, columns=columns, turn=turn, first=depth == 0):
+    for turn, columns in enumerate(draws):
+        trees = [_Growing.new() for _ in columns]
+
+        def ask(asked, depth, state=state, trees=trees, columns=columns, turn=turn):
+            def work(block):
                 made = [_histograms(block, trees, asked, columns, grid, s, turn)]
-                return made + [np.array(_loss(block))] if first else made
+                return made if depth else made + [np.array(_loss(block))]
 
             found = _added(state, parts, work)
             if depth == 0:
                 losses.append(float(found[1][0] / found[1][1]))
                 if before is not None:
                     before.unpersist()
-            at = 0
-            for k, tree in enumerate(trees):
-                got = dict(zip(asked[k], found[0].swapaxes(0, 1)[at : at + len(asked[k])]))
-                at += len(asked[k])
-                if depth == 0:
-                    tree.value[0] = float(leaf_value(*got[0][:, 0].sum(axis=1), s))
-                else:
-                    for node, lighter, heavier in pairs[k]:
-                        got[heavier] = open_sums[k][node] - got[lighter]
-                open_sums[k] = dict(sorted(got.items()))
-            pairs = [_split(tree, own, columns[k], s) for k, (tree, own) in enumerate(zip(trees, open_sums))]
+            return found[0]
+
+        _grow(trees, columns, s, ask)
         grown.append(trees)
         before, state = state, state.map(lambda block, trees=trees: _stepped(block, trees)).persist(StorageLevel.MEMORY_AND_DISK)
         if (turn + 1) % CHECKPOINT_ROUNDS == 0:
             state.checkpoint()  # by the next job
     total, n = _added(state, parts, lambda block: [np.array(_loss(block))])[0]
     losses.append(float(total / n))
-    every = [tree for trees in grown for tree in trees]
-    covers = _covers(state, parts, every)
+    covers = _covers(state, parts, [tree for trees in grown for tree in trees])
     for kept in (before, state):
         if kept is not None:
             kept.unpersist()
-    made = [_finished(tree, cover, cuts) for tree, cover in zip(every, covers)]
-    return Boosted(joined(made, [k for _ in grown for k in range(n_classes)], n_classes), losses)
+    return grown, losses, covers
+
+
+@dataclass
+class _Whole:
+    """A copy of all rows, for the trees of the classes ``own``."""
+
+    own: list[int]
+    sizes: list[int]  # rows of each block, in order
+    rows: _Block
+
+    def sampled(self, s: BoostSettings, turn: int) -> np.ndarray:
+        parts = [np.random.default_rng((s.seed, turn, number)).random(n) for number, n in enumerate(self.sizes)]
+        return np.flatnonzero(np.concatenate(parts) < s.row_share)
+
+    def round(self, columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
+        """The trees of the own classes in one round."""
+        use = self.sampled(s, turn)
+        p, y, x = _softmax(self.rows.margins)[use], self.rows.y[use], self.rows.x[:, use]
+        return [self._tree(x, _derivatives(p[:, k], y == k, grid), columns[k], s) for k in self.own]
+
+    @staticmethod
+    def _tree(x: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray, s: BoostSettings) -> _Growing:
+        tree, at = _Growing.new(), np.zeros(x.shape[1], np.int64)
+
+        def ask(asked, depth):
+            nonlocal at
+            at = tree.place(x, at)
+            slot = np.full(len(tree.feature), -1)
+            slot[asked[0]] = np.arange(len(asked[0]))
+            place = slot[at]
+            rows = np.flatnonzero(place >= 0)
+            out = np.empty((2, len(asked[0]), len(columns), s.bins))
+            _add_up(out, place[rows], [d[rows] for d in derivatives], (x[f][rows] for f in columns))
+            return out
+
+        _grow([tree], [columns], s, ask)
+        return tree
+
+
+def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray], grid: float, s: BoostSettings) -> Fitted:
+    """A copy of all rows for each class, a job a round; of few blocks one copy for all classes, a job for many rounds.
+
+    ``blocks`` are pairs of number and block.
+    """
+    tasks = 1 if n_blocks <= FEW_BLOCKS else n_classes
+    at_once = CHECKPOINT_ROUNDS if tasks == 1 else 1
+
+    def whole(pairs):
+        held: dict[int, list[tuple[int, _Block]]] = {}
+        for task, pair in pairs:
+            held.setdefault(task, []).append(pair)
+        for task, found in held.items():
+            found.sort(key=lambda pair: pair[0])
+            x, y, margins = (np.concatenate([getattr(b, n) for _, b in found], axis) for n, axis in (("x", 1), ("y", 0), ("margins", 0)))
+            yield _Whole(list(range(task, n_classes, tasks)), [len(b.y) for _, b in found], _Block(0, x, y, margins))
+
+    copies = blocks.flatMap(lambda pair: [(task, pair) for task in range(tasks)])
+    state = copies.partitionBy(tasks, lambda task: task).mapPartitions(whole).persist(StorageLevel.MEMORY_AND_DISK)
+    grown: list[list[_Growing]] = []
+    losses: list[float] = []
+    before: RDD | None = None
+    for first in range(0, len(draws), at_once):
+
+        def rounds(held, first=first):
+            out, now = [], held.rows
+            for turn in range(first, min(first + at_once, len(draws))):
+                trees = _Whole(held.own, held.sizes, now).round(draws[turn], grid, s, turn)
+                out.append((trees, np.divide(*_loss(now))))
+                now = _stepped(now, trees) if tasks == 1 else now
+            return held.own, out
+
+        found = dict((own[0], out) for own, out in state.map(rounds).collect())
+        if before is not None:
+            before.unpersist()
+        made = [[found[k % tasks][r][0][k // tasks] for k in range(n_classes)] for r in range(len(found[0]))]
+        losses += [float(loss) for _, loss in found[0]]
+        grown += made
+
+        def step(held, made=made):
+            now = held.rows
+            for trees in made:
+                now = _stepped(now, trees)
+            return _Whole(held.own, held.sizes, now)
+
+        before, state = state, state.map(step).persist(StorageLevel.MEMORY_AND_DISK)
+        if len(grown) % CHECKPOINT_ROUNDS == 0:
+            state.checkpoint()  # by the next job
+    sent = state.context.broadcast(grown)
+
+    def last(held):
+        x = held.rows.x
+        covers = [[np.bincount(trees[k].place(x), minlength=len(trees[k].feature)) for trees in sent.value] for k in held.own]
+        return held.own, covers, np.divide(*_loss(held.rows))
+
+    ends = {k: (cover, loss) for own, covers, loss in state.map(last).collect() for k, cover in zip(own, covers)}
+    losses.append(float(ends[0][1]))
+    for kept in (before, state):
+        if kept is not None:
+            kept.unpersist()
+    return grown, losses, [ends[k][0][r] for r in range(len(grown)) for k in range(n_classes)]
 
 
 def _covers(state: RDD, parts: int, trees: list[_Growing]) -> list[np.ndarray]:

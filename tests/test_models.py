@@ -293,3 +293,22 @@ def test_folds_are_fitted_side_by_side(table, monkeypatch):
     held = cross_validate(table, "t", "fold", 2, ["a", "b"], settings=small, name="Decision_Tree").collect()
     assert sorted(r["id"] for r in held) == list(range(80)) and all(r["fold"] == 1 + r["id"] % 2 for r in held)
     assert sum(r["truth"] == r["pred"] for r in held) > 60
+
+
+def test_rounds_of_few_rows_take_few_jobs(spark, classes, monkeypatch):
+    """Rounds grown by one task, by a task a class and level by level give the same trees to the last bit."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 60)
+    settings = replace(SMALL, rounds=12, row_share=0.8, column_share=0.8)
+    context, made, jobs = spark.sparkContext, [], []
+    for limits in ({}, {"FEW_BLOCKS": 0}, {"WHOLE_BLOCKS": 0}):
+        for name, value in limits.items():
+            monkeypatch.setattr(boosting, name, value)
+        context.setJobGroup(f"boosting {limits}", "fit")
+        made.append(boosting.fit(classes.coalesce(1), "x", "y", 3, settings))
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"boosting {limits}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] < 12 and jobs[0] < jobs[1] < 12 * 3 and jobs[2] >= 12 * 3
+    for other in made[1:]:
+        for name in ("feature", "threshold", "left", "right", "value", "cover", "gain", "outputs"):
+            assert (getattr(other.trees, name) == getattr(made[0].trees, name)).all()
+        assert other.losses == pytest.approx(made[0].losses)
