@@ -20,13 +20,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # merged where the rows are: broadcasts of every step would add up in the driver
+        large = both.filter(F.col("v") > F.col("u")).join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.coalesce(parts)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         # a vertex points to its least neighbour, and so do its other neighbours
-        rest = large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rest = large.join(least.hint("merge"), "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = rest.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(parts).distinct()
         now = stage(now.coalesce(parts), "stars")
         # done if no vertex is pointed to and points on
-        if not now.join(now.select(F.col("v").alias("w")), F.col("u") == F.col("w"), "left_semi").coalesce(parts).limit(1).count():
+        if not now.join(now.select(F.col("v").alias("w")).hint("merge"), F.col("u") == F.col("w"), "left_semi").coalesce(parts).limit(1).count():
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -116,6 +116,20 @@ def test_components(spark):
     assert {r["node"]: r["root"] for r in got.collect()} == {4: 3, 5: 3, 9: 3, 8: 7, 21: 20, 22: 20, 23: 20, 24: 20}
 
 
+def test_components_send_nothing_to_all_executors(spark, monkeypatch):
+    """Each step's joins meet by a shuffle, however small: broadcasts would add up in the driver."""
+    plans, staged = [], graphs.stage
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(graphs, "stage", seen)
+    got = graphs.components(spark.createDataFrame([(i, i + 1) for i in range(12)], "a bigint, b bigint"))
+    assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(1, 13)]
+    assert len(plans) > 1 and all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in plans)
+
+
 def test_repeated_passages_are_found_and_cut(spark):
     shared, short = prose(70), prose(12)
     rows = []
