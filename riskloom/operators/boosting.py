@@ -31,6 +31,7 @@ CHECKPOINT_ROUNDS = 25
 BLOCKS_PER_PARTITION = 1000  # at most, some 400 MB
 GRID_BITS = 30
 WHOLE_BLOCKS, FEW_BLOCKS = 64, 16  # some 20 and 5 MB of bins a copy at 80 features
+STEP_ROWS = 1 << 15
 WHOLE_ROUNDS = 10  # fewer don't pay for the copies
 
 
@@ -93,12 +94,12 @@ class _Block:
     number: int
     x: np.ndarray  # (features, rows)
     y: np.ndarray
-    margins: np.ndarray
+    margins: np.ndarray  # (classes, rows)
 
 
 def _softmax(m: np.ndarray) -> np.ndarray:
-    e = np.exp(m - m.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = np.exp(m - m.max(axis=0))
+    return e / e.sum(axis=0)
 
 
 @dataclass
@@ -121,16 +122,28 @@ class _Growing:
             own.append(empty)
         return len(self.feature) - 1
 
-    def place(self, x: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-        """The leaf of each row of ``x``, from the nodes ``at`` or the root on."""
-        feature, cut, left, right = (np.array(a) for a in (self.feature, self.cut, self.left, self.right))
-        at, rows = np.zeros(x.shape[1], np.int64) if at is None else at, np.arange(x.shape[1])
-        while True:
-            inner = feature[at] != LEAF
-            if not inner.any():
-                return at
-            to = np.where(x[np.maximum(feature[at], 0), rows] <= cut[at], left[at], right[at])
-            at = np.where(inner, to, at)
+    def descend(self, x: np.ndarray, found: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        """The rows of each leaf, from the rows of the nodes ``found`` on.
+
+        Rows are dealt node by node: a level reads one byte a row, in ascending order.
+        """
+        found = dict(found)
+        for node, feature in enumerate(self.feature):  # children come behind their parent
+            if feature != LEAF and node in found:
+                rows = found.pop(node)
+                low = x[feature][rows] <= self.cut[node]
+                found[self.left[node]], found[self.right[node]] = rows[low], rows[~low]
+        return found
+
+    def leaves(self, x: np.ndarray) -> dict[int, np.ndarray]:
+        return self.descend(x, {0: np.arange(x.shape[1])})
+
+    def cover(self, x: np.ndarray) -> np.ndarray:
+        """Rows in each leaf."""
+        out = np.zeros(len(self.feature), np.int64)
+        for node, rows in self.leaves(x).items():
+            out[node] = len(rows)
+        return out
 
 
 def _sampled(block: _Block, n: int, share: float, seed: int, turn: int) -> np.ndarray:
@@ -148,17 +161,14 @@ def _histograms(
     """(2, places, features, bins): sums of both derivatives for the asked nodes of all classes, over each class's own
     features."""
     p = _softmax(block.margins)
-    use = _sampled(block, len(p), s.row_share, s.seed, turn)
+    use = np.flatnonzero(_sampled(block, len(block.y), s.row_share, s.seed, turn))
     out = np.zeros((2, sum(map(len, asked)), columns.shape[1], s.bins))
     first = 0
     for k, (tree, nodes) in enumerate(zip(trees, asked)):
         if nodes:
-            slot = np.full(len(tree.feature), -1)
-            slot[nodes] = np.arange(len(nodes))
-            at = slot[tree.place(block.x)]
-            own = np.flatnonzero(use & (at >= 0))
-            both = _derivatives(p[own, k], block.y[own] == k, grid)
-            _add_up(out[:, first : first + len(nodes)], at[own], both, (block.x[f][own] for f in columns[k]))
+            found = tree.descend(block.x, {0: use})
+            both = _derivatives(p[k], block.y == k, grid)
+            _add_up(out[:, first : first + len(nodes)], [found[node] for node in nodes], both, block.x, columns[k])
             first += len(nodes)
     return out
 
@@ -168,14 +178,19 @@ def _derivatives(q: np.ndarray, hit: np.ndarray, grid: float) -> tuple[np.ndarra
     return np.rint((q - hit) * grid) / grid, np.rint(2.0 * q * (1.0 - q) * grid) / grid
 
 
-def _add_up(out: np.ndarray, place: np.ndarray, derivatives: Sequence[np.ndarray], columns: Iterable[np.ndarray]) -> None:
-    """Fill ``out``, (2, places, features, bins), from the rows' places, derivatives and bins."""
-    _, places, _, bins = out.shape
-    base = place * bins
-    for i, own in enumerate(columns):
-        index = base + own
-        for j, d in enumerate(derivatives):
-            out[j, :, i] = np.bincount(index, d, places * bins).reshape(-1, bins)
+def _add_up(
+    out: np.ndarray, places: Sequence[np.ndarray], derivatives: Sequence[np.ndarray], x: np.ndarray, columns: np.ndarray
+) -> None:
+    """Add the rows of each place to ``out``, (2, places, features, bins), some at a time so that they stay in a cache."""
+    bins = out.shape[3]
+    rows, base = np.concatenate(places), np.repeat(np.arange(len(places)) * bins, [len(own) for own in places])
+    for lo in range(0, len(rows), STEP_ROWS):
+        own, start = rows[lo : lo + STEP_ROWS], base[lo : lo + STEP_ROWS]
+        both = [d[own] for d in derivatives]
+        for i, f in enumerate(columns):
+            index = start + x[f][own]
+            for j, d in enumerate(both):
+                out[j, :, i] += np.bincount(index, d, len(places) * bins).reshape(-1, bins)
 
 
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
@@ -236,14 +251,16 @@ def _grow(trees: list[_Growing], columns: Sequence[np.ndarray], s: BoostSettings
 
 def _stepped(block: _Block, trees: list[_Growing]) -> _Block:
     margins = block.margins.copy()
-    for k, tree in enumerate(trees):
-        margins[:, k] += np.array(tree.value)[tree.place(block.x)]
+    for own, tree in zip(margins, trees):
+        for node, rows in tree.leaves(block.x).items():
+            own[rows] += tree.value[node]
     return _Block(block.number, block.x, block.y, margins)
 
 
 def _loss(block: _Block) -> tuple[float, int]:
     p = _softmax(block.margins)
-    return float(-np.log(np.maximum(p[np.arange(len(p)), block.y], 1e-300)).sum()), len(p)
+    n = len(block.y)
+    return float(-np.log(np.maximum(p[block.y, np.arange(n)], 1e-300)).sum()), n
 
 
 def _added(rdd: RDD, parts: int, work):
@@ -276,9 +293,9 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
 
     def read(row) -> _Block:
         number, (n, x, y) = row
-        labels = np.frombuffer(y, np.uint16).astype(np.int64)
+        labels = np.frombuffer(y, np.uint16)
         by_feature = np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(n, width).T)
-        return _Block(number, by_feature, labels, np.zeros((n, n_classes)))
+        return _Block(number, by_feature, labels, np.zeros((n_classes, n)))
 
     ordered = written.orderBy(F.xxhash64("bins", "labels"), "bins", "labels").rdd.map(tuple).zipWithIndex()
     ordered = ordered.map(lambda r: (r[1], r[0]))
@@ -346,22 +363,20 @@ class _Whole:
     def round(self, columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
         """The trees of the own classes in one round."""
         use = self.sampled(s, turn)
-        p, y, x = _softmax(self.rows.margins)[use], self.rows.y[use], self.rows.x[:, use]
-        return [self._tree(x, _derivatives(p[:, k], y == k, grid), columns[k], s) for k in self.own]
+        p, y, x = _softmax(self.rows.margins), self.rows.y, self.rows.x
+        return [self._tree(x, use, _derivatives(p[k], y == k, grid), columns[k], s) for k in self.own]
 
     @staticmethod
-    def _tree(x: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray, s: BoostSettings) -> _Growing:
-        tree, at = _Growing.new(), np.zeros(x.shape[1], np.int64)
+    def _tree(
+        x: np.ndarray, use: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray, s: BoostSettings
+    ) -> _Growing:
+        tree, found = _Growing.new(), {0: use}
 
         def ask(asked, depth):
-            nonlocal at
-            at = tree.place(x, at)
-            slot = np.full(len(tree.feature), -1)
-            slot[asked[0]] = np.arange(len(asked[0]))
-            place = slot[at]
-            rows = np.flatnonzero(place >= 0)
-            out = np.empty((2, len(asked[0]), len(columns), s.bins))
-            _add_up(out, place[rows], [d[rows] for d in derivatives], (x[f][rows] for f in columns))
+            nonlocal found
+            found = tree.descend(x, found)
+            out = np.zeros((2, len(asked[0]), len(columns), s.bins))
+            _add_up(out, [found[node] for node in asked[0]], derivatives, x, columns)
             return out
 
         _grow([tree], [columns], s, ask)
@@ -382,7 +397,7 @@ def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray
             held.setdefault(task, []).append(pair)
         for task, found in held.items():
             found.sort(key=lambda pair: pair[0])
-            x, y, margins = (np.concatenate([getattr(b, n) for _, b in found], axis) for n, axis in (("x", 1), ("y", 0), ("margins", 0)))
+            x, y, margins = (np.concatenate([getattr(b, n) for _, b in found], axis) for n, axis in (("x", 1), ("y", 0), ("margins", 1)))
             yield _Whole(list(range(task, n_classes, tasks)), [len(b.y) for _, b in found], _Block(0, x, y, margins))
 
     copies = blocks.flatMap(lambda pair: [(task, pair) for task in range(tasks)])
@@ -420,7 +435,7 @@ def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray
 
     def last(held):
         x = held.rows.x
-        covers = [[np.bincount(trees[k].place(x), minlength=len(trees[k].feature)) for trees in sent.value] for k in held.own]
+        covers = [[trees[k].cover(x) for trees in sent.value] for k in held.own]
         return held.own, covers, np.divide(*_loss(held.rows))
 
     ends = {k: (cover, loss) for own, covers, loss in state.map(last).collect() for k, cover in zip(own, covers)}
@@ -436,7 +451,7 @@ def _covers(state: RDD, parts: int, trees: list[_Growing]) -> list[np.ndarray]:
     if not trees:
         return []
     sent = state.context.broadcast(trees)
-    count = lambda block: [np.bincount(t.place(block.x), minlength=len(t.feature)) for t in sent.value]
+    count = lambda block: [t.cover(block.x) for t in sent.value]
     return _added(state, parts, count)
 
 

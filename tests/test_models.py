@@ -312,3 +312,24 @@ def test_rounds_of_few_rows_take_few_jobs(spark, classes, monkeypatch):
         for name in ("feature", "threshold", "left", "right", "value", "cover", "gain", "outputs"):
             assert (getattr(other.trees, name) == getattr(made[0].trees, name)).all()
         assert other.losses == pytest.approx(made[0].losses)
+
+
+def test_sums_taken_in_steps_give_the_same_trees(classes, monkeypatch):
+    """However few rows are added up at a time, and whichever path grows the trees, splits stay the same to the last bit."""
+    settings = replace(SMALL, rounds=10, row_share=0.8)
+    one = boosting.fit(classes.coalesce(1), "x", "y", 3, settings)
+    monkeypatch.setattr(boosting, "STEP_ROWS", 7)
+    for whole in (boosting.WHOLE_BLOCKS, 0):
+        monkeypatch.setattr(boosting, "WHOLE_BLOCKS", whole)
+        many = boosting.fit(classes.coalesce(1), "x", "y", 3, settings)
+        for name in ("feature", "threshold", "left", "right", "value", "cover", "gain"):
+            assert (getattr(one.trees, name) == getattr(many.trees, name)).all()
+        assert many.losses == pytest.approx(one.losses)
+
+
+def test_rows_are_dealt_to_leaves_from_any_node_on():
+    tree = boosting._Growing([0, 1, -1, -1, -1], [2, 0, 0, 0, 0], [1, 3, -1, -1, -1], [2, 4, -1, -1, -1], [0.0] * 5, [0.0] * 5)
+    x = np.array([[0, 1, 3, 2, 9], [0, 1, 0, 5, 0]], np.uint8)
+    assert {k: v.tolist() for k, v in tree.leaves(x).items()} == {2: [2, 4], 3: [0], 4: [1, 3]}
+    assert {k: v.tolist() for k, v in tree.descend(x, {1: np.array([3, 0])}).items()} == {3: [0], 4: [3]}
+    assert tree.cover(x).tolist() == [0, 0, 2, 1, 2]
