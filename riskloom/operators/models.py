@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial, reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -130,6 +130,7 @@ class Trained:
     numeric: Sequence[str]
     categorical: Sequence[str]
     classes: Sequence[str]
+    paths: dict = field(default_factory=dict, compare=False, repr=False)  # trees read from Spark's models
 
     @property
     def features(self) -> list[str]:
@@ -205,8 +206,10 @@ class Trained:
         model = self.models[name]
         if isinstance(model, boosting.Boosted):
             return model.trees, place
-        spark = self._spark()
-        return trees.of_spark_model(model, place, spark, shared_path(spark, "nodes")), 0
+        if (name, place) not in self.paths:
+            spark = self._spark()
+            self.paths[name, place] = trees.of_spark_model(model, place, spark, shared_path(spark, "nodes"))
+        return self.paths[name, place], 0
 
     def prepared_array(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` with the prepared features as an array, in the order of ``features``."""

@@ -333,3 +333,12 @@ def test_rows_are_dealt_to_leaves_from_any_node_on():
     assert {k: v.tolist() for k, v in tree.leaves(x).items()} == {2: [2, 4], 3: [0], 4: [1, 3]}
     assert {k: v.tolist() for k, v in tree.descend(x, {1: np.array([3, 0])}).items()} == {3: [0], 4: [3]}
     assert tree.cover(x).tolist() == [0, 0, 2, 1, 2]
+
+
+def test_nodes_of_a_spark_model_are_read_once_a_class(table, monkeypatch):
+    made = train(table, "t", ["a", "b"], settings=Settings(tree_leaf=1), names=["Decision_Tree"])
+    read, of = [], models.trees.of_spark_model
+    monkeypatch.setattr(models.trees, "of_spark_model", lambda model, place, *rest: read.append(place) or of(model, place, *rest))
+    bases = [made.base("Decision_Tree", c) for c in ("u", "v", "u")]
+    made.explained(table, "Decision_Tree", "u").collect()
+    assert read == [0, 1] and bases[0] == bases[2] and bases[0] + bases[1] == pytest.approx(1.0)
