@@ -30,7 +30,7 @@ BLOCK_ROWS = 4096
 CHECKPOINT_ROUNDS = 25
 BLOCKS_PER_PARTITION = 1000  # at most, some 400 MB
 GRID_BITS = 30
-WHOLE_BLOCKS, FEW_BLOCKS = 64, 16  # some 20 and 5 MB of bins a copy at 80 features
+WHOLE_BLOCKS, FEW_BLOCKS = 64, 32  # some 20 and 10 MB of bins a copy at 80 features
 STEP_ROWS = 1 << 15
 WHOLE_ROUNDS = 10  # fewer don't pay for the copies
 
