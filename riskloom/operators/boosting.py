@@ -15,8 +15,10 @@ all rows, which grows the class's tree of a round in one job; up to ``FEW_BLOCKS
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ GRID_BITS = 30
 WHOLE_BLOCKS, FEW_BLOCKS = 64, 32  # some 20 and 10 MB of bins a copy at 80 features
 STEP_ROWS = 1 << 15
 WHOLE_ROUNDS = 10  # fewer don't pay for the copies
+JOINT_BINS = 64  # of features that are counted together
+GATHERED_BLOCKS = 32  # some 11 MB
 
 
 @dataclass(frozen=True)
@@ -91,11 +95,66 @@ def blocks_of(df: DataFrame, values: str, label: str, cuts: Sequence[np.ndarray]
 
 @dataclass
 class _Block:
-    number: int
+    """Blocks of rows, one behind the other, with the number and the rows of each."""
+
+    numbers: list[int]
+    sizes: list[int]
     x: np.ndarray  # (features, rows)
     y: np.ndarray
     margins: np.ndarray  # (classes, rows)
 
+    @classmethod
+    def together(cls, blocks: Sequence[_Block]) -> _Block:
+        x, y, margins = (np.concatenate([getattr(b, n) for b in blocks], -1) for n in ("x", "y", "margins"))
+        return cls([n for b in blocks for n in b.numbers], [n for b in blocks for n in b.sizes], x, y, margins)
+
+    def sampled(self, share: float, seed: int, turn: int) -> np.ndarray:
+        parts = [np.random.default_rng((seed, turn, number)).random(n) for number, n in zip(self.numbers, self.sizes)]
+        return np.flatnonzero(np.concatenate(parts) < share)
+
+
+@dataclass
+class _Joint:
+    """Features with few bins under one index: they are counted together, and their own sums follow from the joint ones."""
+
+    features: list[int]
+    bins: list[int]
+    index: np.ndarray  # of each row
+
+    @classmethod
+    def of(cls, x: np.ndarray, bins: Sequence[int], groups: Sequence[Sequence[int]]) -> list[_Joint]:
+        out = []
+        for features in groups:
+            index = x[features[0]].astype(np.uint16)
+            for f in features[1:]:
+                index = index * np.uint16(bins[f]) + x[f]
+            out.append(cls(list(features), [bins[f] for f in features], index))
+        return out
+
+
+def joint_features(bins: Sequence[int], limit: int) -> list[list[int]]:
+    """Features in groups whose numbers of bins have a product of at most ``limit``, or of one feature alone."""
+    groups: list[list[int]] = []
+    sizes: list[int] = []
+    for f in sorted(range(len(bins)), key=lambda f: -bins[f]):
+        at = next((i for i, size in enumerate(sizes) if size * bins[f] <= limit), None)
+        if at is None:
+            groups.append([f])
+            sizes.append(bins[f])
+        else:
+            groups[at].append(f)
+            sizes[at] *= bins[f]
+    return groups
+
+
+def _apart(sums: np.ndarray, bins: Sequence[int]) -> list[np.ndarray]:
+    """Sums over the bins of each feature, from those over the joint bins, the last axis; half of the features at a time."""
+    if len(bins) == 1:
+        return [sums]
+    half = len(bins) // 2
+    both = sums.reshape(*sums.shape[:-1], math.prod(bins[:half]), -1)
+    return _apart(both.sum(axis=-1), bins[:half]) + _apart(both.sum(axis=-2), bins[half:])
+
 
 def _softmax(m: np.ndarray) -> np.ndarray:
     e = np.exp(m - m.max(axis=0))
@@ -146,29 +205,26 @@ class _Growing:
         return out
 
 
-def _sampled(block: _Block, n: int, share: float, seed: int, turn: int) -> np.ndarray:
-    return np.random.default_rng((seed, turn, block.number)).random(n) < share
-
-
 def _grid(rows: int) -> float:
     """Steps of 1 / this, at which sums of up to ``rows`` values of at most 1 are exact doubles."""
     return 2.0 ** min(GRID_BITS, 52 - max(rows, 1).bit_length())
 
 
 def _histograms(
-    block: _Block, trees: list[_Growing], asked: list[list[int]], columns: np.ndarray, grid: float, s: BoostSettings, turn: int
+    block: _Block, joints: list[_Joint], trees: list[_Growing], asked: list[list[int]], columns: np.ndarray, grid: float,
+    s: BoostSettings, turn: int,
 ) -> np.ndarray:
     """(2, places, features, bins): sums of both derivatives for the asked nodes of all classes, over each class's own
     features."""
     p = _softmax(block.margins)
-    use = np.flatnonzero(_sampled(block, len(block.y), s.row_share, s.seed, turn))
+    use = block.sampled(s.row_share, s.seed, turn)
     out = np.zeros((2, sum(map(len, asked)), columns.shape[1], s.bins))
     first = 0
     for k, (tree, nodes) in enumerate(zip(trees, asked)):
         if nodes:
             found = tree.descend(block.x, {0: use})
             both = _derivatives(p[k], block.y == k, grid)
-            _add_up(out[:, first : first + len(nodes)], [found[node] for node in nodes], both, block.x, columns[k])
+            _add_up(out[:, first : first + len(nodes)], [found[node] for node in nodes], both, joints, columns[k])
             first += len(nodes)
     return out
 
@@ -179,18 +235,25 @@ def _derivatives(q: np.ndarray, hit: np.ndarray, grid: float) -> tuple[np.ndarra
 
 
 def _add_up(
-    out: np.ndarray, places: Sequence[np.ndarray], derivatives: Sequence[np.ndarray], x: np.ndarray, columns: np.ndarray
+    out: np.ndarray, places: Sequence[np.ndarray], derivatives: Sequence[np.ndarray], joints: list[_Joint], columns: np.ndarray
 ) -> None:
     """Add the rows of each place to ``out``, (2, places, features, bins), some at a time so that they stay in a cache."""
-    bins = out.shape[3]
-    rows, base = np.concatenate(places), np.repeat(np.arange(len(places)) * bins, [len(own) for own in places])
+    n, at = len(places), {int(f): i for i, f in enumerate(columns)}
+    used = [j for j in joints if any(f in at for f in j.features)]
+    width = [math.prod(j.bins) for j in used]
+    totals = [np.zeros(n * w, np.complex128) for w in width]  # both derivatives in one pass
+    rows, base = np.concatenate(places), np.repeat(np.arange(n), [len(own) for own in places])
     for lo in range(0, len(rows), STEP_ROWS):
         own, start = rows[lo : lo + STEP_ROWS], base[lo : lo + STEP_ROWS]
-        both = [d[own] for d in derivatives]
-        for i, f in enumerate(columns):
-            index = start + x[f][own]
-            for j, d in enumerate(both):
-                out[j, :, i] += np.bincount(index, d, len(places) * bins).reshape(-1, bins)
+        both = derivatives[0][own] + 1j * derivatives[1][own]
+        starts = {w: start * w for w in set(width)}
+        for joint, w, total in zip(used, width, totals):
+            np.add.at(total, starts[w] + joint.index.take(own), both)
+    for joint, w, total in zip(used, width, totals):
+        for f, bins, sums in zip(joint.features, joint.bins, _apart(total.reshape(n, w), joint.bins)):
+            if f in at:
+                out[0, :, at[f], :bins] += sums.real
+                out[1, :, at[f], :bins] += sums.imag
 
 
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
@@ -208,14 +271,26 @@ def _split(tree: _Growing, sums: dict[int, np.ndarray], columns: np.ndarray, s:
     ``sums`` holds (2, features, bins) of each open node, over the features ``columns``.
     """
     opened: list[tuple[int, int, int]] = []
-    score = lambda g, h: _shrunk(g, s.l1) ** 2 / (h + s.l2)
+
+    def score(g, h):
+        out = np.abs(g)
+        out -= s.l1
+        np.maximum(out, 0.0, out=out)
+        out *= out
+        out /= h + s.l2
+        return out
+
     for node, own in sums.items():
+        if own[1, 0].sum() < 2 * s.least_weight:
+            continue
         upto = np.cumsum(own, axis=2)
         all_g, all_h = upto[:, :1, -1:]
         g, h = upto[:, :, :-1]
         rest_g, rest_h = all_g - g, all_h - h
-        gain = score(g, h) + score(rest_g, rest_h) - score(all_g, all_h)
-        gain = np.where((h >= s.least_weight) & (rest_h >= s.least_weight), gain, -np.inf)
+        gain = score(g, h)
+        gain += score(rest_g, rest_h)
+        gain -= score(all_g, all_h)
+        gain[~(np.minimum(h, rest_h) >= s.least_weight)] = -np.inf
         i, b = divmod(int(np.argmax(gain)), gain.shape[1])
         if not gain[i, b] > s.least_gain:
             continue
@@ -254,7 +329,7 @@ def _stepped(block: _Block, trees: list[_Growing]) -> _Block:
     for own, tree in zip(margins, trees):
         for node, rows in tree.leaves(block.x).items():
             own[rows] += tree.value[node]
-    return _Block(block.number, block.x, block.y, margins)
+    return _Block(block.numbers, block.sizes, block.x, block.y, margins)
 
 
 def _loss(block: _Block) -> tuple[float, int]:
@@ -295,7 +370,10 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
         number, (n, x, y) = row
         labels = np.frombuffer(y, np.uint16)
         by_feature = np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(n, width).T)
-        return _Block(number, by_feature, labels, np.zeros((n_classes, n)))
+        return _Block([number], [n], by_feature, labels, np.zeros((n_classes, n)))
+
+    bins = [len(own) + 1 for own in cuts]
+    joined_bins = bins, joint_features(bins, JOINT_BINS)
 
     ordered = written.orderBy(F.xxhash64("bins", "labels"), "bins", "labels").rdd.map(tuple).zipWithIndex()
     ordered = ordered.map(lambda r: (r[1], r[0]))
@@ -303,17 +381,26 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
     taken = max(1, round(s.column_share * width))
     draws = [np.array([np.sort(rng.permutation(width)[:taken]) for _ in range(n_classes)]) for _ in range(s.rounds)]
     if n_blocks <= WHOLE_BLOCKS and s.rounds >= WHOLE_ROUNDS:
-        grown, losses, covers = _by_class(ordered.mapValues(lambda b: read((0, b))), n_blocks, n_classes, draws, grid, s)
+        grown, losses, covers = _by_class(ordered.map(read), n_blocks, n_classes, draws, grid, s, joined_bins)
     else:
-        grown, losses, covers = _by_level(ordered.partitionBy(parts, lambda number: number).map(read), parts, draws, grid, s)
+        dealt = ordered.partitionBy(parts, lambda number: number).map(read)
+        grown, losses, covers = _by_level(dealt.mapPartitions(_gathered), parts, draws, grid, s, joined_bins)
     made = [_finished(tree, cover, cuts) for tree, cover in zip((t for trees in grown for t in trees), covers)]
     return Boosted(joined(made, [k for _ in grown for k in range(n_classes)], n_classes), losses)
 
 
+def _gathered(blocks: Iterable[_Block]) -> Iterator[_Block]:
+    """Up to ``GATHERED_BLOCKS`` blocks as one: sums as large as the model are made once for all of them."""
+    blocks = iter(blocks)
+    while held := list(islice(blocks, GATHERED_BLOCKS)):
+        yield _Block.together(held)
+
+
+JoinedBins = tuple[list[int], list[list[int]]]  # bins of each feature, features counted together
 Fitted = tuple[list[list[_Growing]], list[float], list[np.ndarray]]  # trees by round and class, losses, covers
 
 
-def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: BoostSettings) -> Fitted:
+def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: BoostSettings, joined_bins: JoinedBins) -> Fitted:
     """A job a level, over blocks dealt to ``parts`` tasks."""
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     grown: list[list[_Growing]] = []
@@ -324,7 +411,8 @@ def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: B
 
         def ask(asked, depth, state=state, trees=trees, columns=columns, turn=turn):
             def work(block):
-                made = [_histograms(block, trees, asked, columns, grid, s, turn)]
+                joints = _Joint.of(block.x, *joined_bins)
+                made = [_histograms(block, joints, trees, asked, columns, grid, s, turn)]
                 return made if depth else made + [np.array(_loss(block))]
 
             found = _added(state, parts, work)
@@ -353,22 +441,18 @@ class _Whole:
     """A copy of all rows, for the trees of the classes ``own``."""
 
     own: list[int]
-    sizes: list[int]  # rows of each block, in order
     rows: _Block
 
-    def sampled(self, s: BoostSettings, turn: int) -> np.ndarray:
-        parts = [np.random.default_rng((s.seed, turn, number)).random(n) for number, n in enumerate(self.sizes)]
-        return np.flatnonzero(np.concatenate(parts) < s.row_share)
-
-    def round(self, columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
+    def round(self, joints: list[_Joint], columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
         """The trees of the own classes in one round."""
-        use = self.sampled(s, turn)
+        use = self.rows.sampled(s.row_share, s.seed, turn)
         p, y, x = _softmax(self.rows.margins), self.rows.y, self.rows.x
-        return [self._tree(x, use, _derivatives(p[k], y == k, grid), columns[k], s) for k in self.own]
+        return [self._tree(x, joints, use, _derivatives(p[k], y == k, grid), columns[k], s) for k in self.own]
 
     @staticmethod
     def _tree(
-        x: np.ndarray, use: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray, s: BoostSettings
+        x: np.ndarray, joints: list[_Joint], use: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray,
+        s: BoostSettings,
     ) -> _Growing:
         tree, found = _Growing.new(), {0: use}
 
@@ -376,32 +460,32 @@ class _Whole:
             nonlocal found
             found = tree.descend(x, found)
             out = np.zeros((2, len(asked[0]), len(columns), s.bins))
-            _add_up(out, [found[node] for node in asked[0]], derivatives, x, columns)
+            _add_up(out, [found[node] for node in asked[0]], derivatives, joints, columns)
             return out
 
         _grow([tree], [columns], s, ask)
         return tree
 
 
-def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray], grid: float, s: BoostSettings) -> Fitted:
-    """A copy of all rows for each class, a job a round; of few blocks one copy for all classes, a job for many rounds.
-
-    ``blocks`` are pairs of number and block.
-    """
+def _by_class(
+    blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray], grid: float, s: BoostSettings, joined_bins: JoinedBins
+) -> Fitted:
+    """A copy of all rows for each class, a job a round; of few blocks one copy for all classes, a job for many rounds."""
     tasks = 1 if n_blocks <= FEW_BLOCKS else n_classes
     at_once = CHECKPOINT_ROUNDS if tasks == 1 else 1
 
     def whole(pairs):
-        held: dict[int, list[tuple[int, _Block]]] = {}
-        for task, pair in pairs:
-            held.setdefault(task, []).append(pair)
+        held: dict[int, list[_Block]] = {}
+        for task, block in pairs:
+            held.setdefault(task, []).append(block)
         for task, found in held.items():
-            found.sort(key=lambda pair: pair[0])
-            x, y, margins = (np.concatenate([getattr(b, n) for _, b in found], axis) for n, axis in (("x", 1), ("y", 0), ("margins", 1)))
-            yield _Whole(list(range(task, n_classes, tasks)), [len(b.y) for _, b in found], _Block(0, x, y, margins))
+            found.sort(key=lambda block: block.numbers)
+            yield _Whole(list(range(task, n_classes, tasks)), _Block.together(found))
 
-    copies = blocks.flatMap(lambda pair: [(task, pair) for task in range(tasks)])
-    state = copies.partitionBy(tasks, lambda task: task).mapPartitions(whole).persist(StorageLevel.MEMORY_AND_DISK)
+    copies = blocks.flatMap(lambda block: [(task, block) for task in range(tasks)])
+    state = copies.partitionBy(tasks, lambda task: task).mapPartitions(whole)
+    if tasks > 1:
+        state = state.persist(StorageLevel.MEMORY_AND_DISK)
     grown: list[list[_Growing]] = []
     losses: list[float] = []
     before: RDD | None = None
@@ -409,13 +493,17 @@ def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray
 
         def rounds(held, first=first):
             out, now = [], held.rows
+            joints = _Joint.of(now.x, *joined_bins)
             for turn in range(first, min(first + at_once, len(draws))):
-                trees = _Whole(held.own, held.sizes, now).round(draws[turn], grid, s, turn)
+                trees = _Whole(held.own, now).round(joints, draws[turn], grid, s, turn)
                 out.append((trees, np.divide(*_loss(now))))
                 now = _stepped(now, trees) if tasks == 1 else now
-            return held.own, out
+            return _Whole(held.own, now), out
 
-        found = dict((own[0], out) for own, out in state.map(rounds).collect())
+        after = state.map(rounds)
+        if tasks == 1:  # which has stepped its rows already
+            after = after.persist(StorageLevel.MEMORY_AND_DISK)
+        found = dict(after.map(lambda done: (done[0].own[0], done[1])).collect())
         if before is not None:
             before.unpersist()
         made = [[found[k % tasks][r][0][k // tasks] for k in range(n_classes)] for r in range(len(found[0]))]
@@ -426,9 +514,12 @@ def _by_class(blocks: RDD, n_blocks: int, n_classes: int, draws: list[np.ndarray
             now = held.rows
             for trees in made:
                 now = _stepped(now, trees)
-            return _Whole(held.own, held.sizes, now)
+            return _Whole(held.own, now)
 
-        before, state = state, state.map(step).persist(StorageLevel.MEMORY_AND_DISK)
+        if tasks == 1:
+            before, state = after, after.map(lambda done: done[0])
+        else:
+            before, state = state, state.map(step).persist(StorageLevel.MEMORY_AND_DISK)
         if len(grown) % CHECKPOINT_ROUNDS == 0:
             state.checkpoint()  # by the next job
     sent = state.context.broadcast(grown)

@@ -101,6 +101,7 @@ def fit_model(name: str, ready: DataFrame, rows: int, classes: int, settings: Se
             maxDepth=s.forest_depth,
             minInstancesPerNode=s.forest_leaf,
             featureSubsetStrategy="sqrt",
+            cacheNodeIds=True,  # else every job sends all trees to every task, which finds each row's nodes from the roots
             **common,
         ).fit(ready)
     raise ValueError(f"no model {name}; there are {', '.join(TITLES)}")

@@ -342,3 +342,37 @@ def test_nodes_of_a_spark_model_are_read_once_a_class(table, monkeypatch):
     bases = [made.base("Decision_Tree", c) for c in ("u", "v", "u")]
     made.explained(table, "Decision_Tree", "u").collect()
     assert read == [0, 1] and bases[0] == bases[2] and bases[0] + bases[1] == pytest.approx(1.0)
+
+
+def test_features_with_few_bins_are_counted_together():
+    """One index for several features; the sums of each follow from the joint ones and are exact."""
+    bins = [2, 9, 1, 64, 2, 3, 25]
+    groups = boosting.joint_features(bins, 64)
+    assert sorted(f for own in groups for f in own) == list(range(7)) and len(groups) == 3
+    assert all(len(own) == 1 or np.prod([bins[f] for f in own]) <= 64 for own in groups)
+    rng = np.random.default_rng(7)
+    x = np.array([rng.integers(0, b, 500) for b in bins], np.uint8)
+    both = [np.rint(rng.normal(size=500) * 2**30) / 2**30 for _ in range(2)]
+    places, columns = [np.arange(0, 500, 3), np.arange(1, 500, 5)], np.array([0, 1, 3, 4, 6])
+    out = np.zeros((2, 2, 5, 64))
+    boosting._add_up(out, places, both, boosting._Joint.of(x, bins, groups), columns)
+    for j, d in enumerate(both):
+        for place, rows in enumerate(places):
+            for i, f in enumerate(columns):
+                assert (out[j, place, i] == np.bincount(x[f][rows], d[rows], 64)).all()
+
+
+def test_blocks_of_a_task_are_summed_as_one(monkeypatch):
+    monkeypatch.setattr(boosting, "GATHERED_BLOCKS", 2)
+    blocks = [boosting._Block([n], [n + 1], np.full((2, n + 1), n, np.uint8), np.full(n + 1, n), np.zeros((3, n + 1))) for n in range(3)]
+    one, two = boosting._gathered(iter(blocks))
+    assert (one.numbers, one.sizes, two.numbers, two.sizes) == ([0, 1], [1, 2], [2], [3])
+    assert one.x.tolist() == [[0, 1, 1]] * 2 and one.y.tolist() == [0, 1, 1] and one.margins.shape == (3, 3)
+    apart = [len(b.sampled(0.5, 42, 0)) for b in blocks[:2]]
+    assert len(one.sampled(0.5, 42, 0)) == sum(apart)
+
+
+def test_forest_keeps_the_node_of_each_row(table):
+    """Its jobs don't send all trees to all tasks; the forest is the same."""
+    made = train(table, "t", ["a", "b"], settings=Settings(forest_trees=5, forest_leaf=1), names=["Random_Forest"]).models["Random_Forest"]
+    assert made.getOrDefault("cacheNodeIds") and made.getNumTrees == 5
