@@ -23,7 +23,7 @@ from riskloom.operators.split import stratified_folds
 from riskloom.plans import student
 from riskloom.plans.actions import ActionPlan
 from riskloom.plans.modeling import Run, run_models
-from riskloom.session import shared_path, side_by_side, stage
+from riskloom.session import EVEN, shared_path, side_by_side, stage
 
 POSITIVE = "Dropout"
 MAIN = "Boosted_Trees"  # the model that action lists go by
@@ -43,7 +43,7 @@ def _once(cache: dict, spark: SparkSession, sf_dir: str, make):
 
 def modeling_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Students with all derived features, staged once per session."""
-    return _once(_tables, spark, sf_dir, lambda: stage(student_signals(spark, sf_dir), "modeling"))
+    return _once(_tables, spark, sf_dir, lambda: stage(student_signals(spark, sf_dir), "modeling", EVEN))
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -192,7 +192,7 @@ def model_fairness_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = modeling_table(spark, sf_dir).where(F.col(student.TARGET).isNotNull())
     numeric = _numeric(df)
-    folded = stage(stratified_folds(df, student.TARGET, "student_id", 5), "folds")
+    folded = stage(stratified_folds(df, student.TARGET, "student_id", 5), "folds", EVEN)
     held = cross_validate(folded, student.TARGET, "fold", 5, numeric, key="student_id")
     return rounded(evaluate.cross_validation_score(held, "truth", "pred", "fold"))
 

@@ -13,10 +13,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.expr import col
-from riskloom.operators import attribution, boosting, sparse_logistic, trees
+from riskloom.operators import attribution, boosting, forest, sparse_logistic, trees
 from riskloom.operators.orderstats import quantile_table
 from riskloom.operators.split import class_weights, with_weights
-from riskloom.session import shared_path, side_by_side, stage
+from riskloom.session import EVEN, shared_path, side_by_side, stage
 
 FEATURES, LABEL, WEIGHT, VALUES = "_features", "_label", "_weight", "_values"
 ROWS_PER_PARTITION = 20_000
@@ -83,9 +83,10 @@ def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Seque
 
 
 def fit_model(name: str, ready: DataFrame, rows: int, classes: int, settings: Settings):
-    """One of the four models on the prepared training table.
+    """One of the four models on the prepared training table, whose weights are those of the classes.
 
-    The logistic penalty of a summed loss becomes 1 / (C * rows) for a mean loss.
+    More rows than a partition holds get a forest that counts them block by block; Spark's own goes through all trees row by
+    row and misses the caches at nearly every count.  The logistic penalty of a summed loss becomes 1 / (C * rows) for a mean loss.
     """
     s = settings
     if name == "Logistic_L1":
@@ -95,6 +96,10 @@ def fit_model(name: str, ready: DataFrame, rows: int, classes: int, settings: Se
     common = {"featuresCol": FEATURES, "labelCol": LABEL, "weightCol": WEIGHT, "seed": s.seed}
     if name == "Decision_Tree":
         return DecisionTreeClassifier(maxDepth=s.tree_depth, minInstancesPerNode=s.tree_leaf, **common).fit(ready)
+    if name == "Random_Forest" and rows > ROWS_PER_PARTITION:
+        weights = [r[0] for r in ready.groupBy(LABEL).agg(F.max(WEIGHT).alias("w")).orderBy(LABEL).select("w").collect()]
+        sizes = forest.ForestSettings(s.forest_trees, s.forest_depth, s.forest_leaf, seed=s.seed)
+        return forest.fit(ready, VALUES, LABEL, weights, FEATURES, sizes)
     if name == "Random_Forest":
         return RandomForestClassifier(
             numTrees=s.forest_trees,
@@ -219,7 +224,7 @@ class Trained:
 
     def score_all(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Scores of every model, with ``model``; the features are prepared once."""
-        prepared = stage(self.preparation.transform(df).select(*[col(c) for c in keep], FEATURES), "prepared")
+        prepared = stage(self.preparation.transform(df).select(*[col(c) for c in keep], FEATURES), "prepared", EVEN)
         out = None
         for name in self.models:
             part = self._scored(prepared, name, keep).withColumn("model", F.lit(name))
@@ -282,7 +287,7 @@ def train(
     ready = preparation.transform(with_weights(known, target, WEIGHT, weights).withColumn(LABEL, codes))
     # without the notes that codes are categories: all models take them for numbers, so all splits are thresholds
     vector = F.col(FEATURES).alias(FEATURES, metadata={"codes": "numbers"})
-    ready = stage(ready.select(vector, vector_to_array(FEATURES).alias(VALUES), LABEL, WEIGHT), "train")
+    ready = stage(ready.select(vector, vector_to_array(FEATURES).alias(VALUES), LABEL, WEIGHT), "train", EVEN)
     rows = ready.count()
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:

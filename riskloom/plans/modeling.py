@@ -11,7 +11,7 @@ from riskloom.functions.expr import col
 from riskloom.operators import evaluate, fairness
 from riskloom.operators.models import TITLES, Settings, Trained, train
 from riskloom.operators.split import stratified_split
-from riskloom.session import stage
+from riskloom.session import EVEN, stage
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def run_models(
     ``order`` replaces the hash order of the split.
     """
     known = df.where(col(target).isNotNull())
-    rows = stage(stratified_split(known, target, key, share, order), "split")
+    rows = stage(stratified_split(known, target, key, share, order), "split", EVEN)
     trained = train(rows.where(F.col("split") == "train"), target, numeric, categorical, settings, names)
     scored = trained.score_all(rows.where(F.col("split") == "test"), rows.columns)
-    return Run(rows, trained, stage(scored, "scored"), key, target)
+    return Run(rows, trained, stage(scored, "scored", EVEN), key, target)

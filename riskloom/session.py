@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
+EVEN = 8 << 20  # bytes of a row group of tables that are read many times
 
 
 def local_session(
@@ -56,16 +57,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "riskloom", f"{name}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage before several passes over the same derived table.  Unlike
     an executor-local cache it survives lost executors, and later passes still
-    prune columns and push filters.
+    prune columns and push filters.  A row group goes to one task, so few files
+    of large groups leave cores idle; ``group_bytes`` is then their size.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", str(group_bytes)) if group_bytes else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,5 +1,6 @@
 """Fitted models: repeatable, better than guessing, and measured right."""
 
+import math
 import os
 import threading
 from dataclasses import replace
@@ -7,11 +8,13 @@ from dataclasses import replace
 import duckdb
 import numpy as np
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassificationModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from riskloom.catalog import evaluation
 from riskloom.catalog.modeling import POSITIVE, fitted
-from riskloom.operators import boosting, models, sparse_logistic
+from riskloom.operators import boosting, forest, models, sparse_logistic
 from riskloom.operators.models import Settings, cross_validate, fit_preparation, load_trained, train
 from riskloom.plans import student
 from riskloom.operators.scenarios import Scenario
@@ -376,3 +379,70 @@ def test_forest_keeps_the_node_of_each_row(table):
     """Its jobs don't send all trees to all tasks; the forest is the same."""
     made = train(table, "t", ["a", "b"], settings=Settings(forest_trees=5, forest_leaf=1), names=["Random_Forest"]).models["Random_Forest"]
     assert made.getOrDefault("cacheNodeIds") and made.getNumTrees == 5
+
+
+def _with_vectors(classes):
+    weight = F.element_at(F.array(F.lit(1.0), F.lit(2.0), F.lit(0.5)), F.col("y").cast("int") + 1)
+    return classes.select(
+        F.col("x").alias("_values"), array_to_vector("x").alias("_features"), F.col("y").alias("_label"), weight.alias("_weight"), "id"
+    )
+
+
+def test_one_tree_of_all_rows_and_features_is_sparks_tree(classes):
+    """Same splits, weights, least rows and merged leaves: every row gets the probabilities of Spark's decision tree."""
+    ready = _with_vectors(classes)
+    s = forest.ForestSettings(trees=1, depth=5, least_rows=4, drawn=False, subset=4)
+    own = forest.fit(ready.repartition(3), "_values", "_label", [1.0, 2.0, 0.5], "_features", s)
+    spark_tree = DecisionTreeClassifier(
+        maxDepth=5, minInstancesPerNode=4, featuresCol="_features", labelCol="_label", weightCol="_weight"
+    ).fit(ready)
+    assert own.totalNumNodes == spark_tree.numNodes > 7
+    assert own.featureImportances.toArray() == pytest.approx(spark_tree.featureImportances.toArray())
+    a, b = ([r["probability"].toArray() for r in m.transform(ready).orderBy("id").collect()] for m in (own, spark_tree))
+    assert np.array(a) == pytest.approx(np.array(b))
+
+
+def test_rows_of_a_forest_are_drawn_with_replacement():
+    times = forest._drawn(1, 2, [0, 5], [60_000, 40_000])
+    assert np.array_equal(times[60_000:], forest._drawn(1, 2, [5], [40_000]))  # a block's draws are its own
+    shares = [np.mean(times == k) for k in range(4)]
+    assert shares == pytest.approx([math.exp(-1) / math.factorial(k) for k in range(4)], abs=0.01)
+
+
+def test_cuts_lie_between_values(spark):
+    rare = [0.0] * 5 + [1.0] * 995
+    rows = [([r, float(i), 7.0],) for i, r in enumerate(rare)]
+    few, many, one = forest.cuts_of(spark.createDataFrame(rows, "x array<double>").repartition(3), "x", 3, 32)
+    assert few.tolist() == [0.5] and one.tolist() == []
+    assert len(many) == 31 and many == pytest.approx(np.arange(1, 32) * 1000 / 32, abs=5)
+
+
+def test_many_rows_get_a_forest_counted_by_blocks(classes, monkeypatch, tmp_path):
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 100)
+    ready = _with_vectors(classes)
+    grown = []
+    monkeypatch.setattr(forest, "grow", lambda *a, f=forest.grow: grown.append(f(*a)) or grown[-1])
+    made = models.fit_model("Random_Forest", ready, 600, 3, Settings(forest_trees=15, forest_leaf=5))
+    assert len(grown) == 1 and made.getNumTrees == 15 and made.numFeatures == 4
+    hits = made.transform(ready).agg(F.avg((F.col("prediction") == F.col("_label")).cast("int"))).first()[0]
+    assert hits > 0.85
+    made.write().overwrite().save(str(tmp_path / "forest"))
+    back = RandomForestClassificationModel.load(str(tmp_path / "forest"))
+    a, b = ([tuple(r["probability"]) for r in m.transform(ready).orderBy("id").collect()] for m in (made, back))
+    assert a == b
+    again = models.fit_model("Random_Forest", ready, 600, 3, Settings(forest_trees=15, forest_leaf=5))
+    assert [tuple(r["probability"]) for r in again.transform(ready).orderBy("id").collect()] == a
+
+
+def test_nodes_counted_together_and_alone_have_the_same_counts(monkeypatch):
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 12, (5, 900)).astype(np.uint8)
+    times = rng.integers(0, 3, 900).astype(float)
+    found = [np.arange(0, 400), np.arange(0), np.arange(400, 900, 2), np.arange(401, 900, 2)]
+    columns = np.array([[0, 2], [1, 4], [0, 3], [2, 4]])
+    want = np.array([[np.bincount(codes[f][rows], times[rows], 12) for f in own] for rows, own in zip(found, columns)])
+    for small, together in ((0, 1), (300, 100), (1000, 1000)):
+        monkeypatch.setattr(forest, "SMALL_ROWS", small)
+        monkeypatch.setattr(forest, "TOGETHER_ROWS", together)
+        got = forest._counts(np.ascontiguousarray(codes.T), codes, found, times, columns, 12)
+        assert np.array_equal(got, want)
