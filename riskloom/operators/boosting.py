@@ -36,7 +36,9 @@ WHOLE_BLOCKS, FEW_BLOCKS = 64, 32  # some 20 and 10 MB of bins a copy at 80 feat
 STEP_ROWS = 1 << 15
 WHOLE_ROUNDS = 10  # fewer don't pay for the copies
 JOINT_BINS = 64  # of features that are counted together
+WIDE_BINS = 4096  # the same where places have more than twice as many rows
 GATHERED_BLOCKS = 32  # some 11 MB
+KEPT = StorageLevel.MEMORY_AND_DISK_DESER  # blocks are bytes already: packing them again costs more than their sums
 
 
 @dataclass(frozen=True)
@@ -147,6 +149,19 @@ def joint_features(bins: Sequence[int], limit: int) -> list[list[int]]:
     return groups
 
 
+class _Joints:
+    """The joint indexes of a block's features, those of small places and those of large ones, made when asked for."""
+
+    def __init__(self, x: np.ndarray, bins: Sequence[int], groups: Sequence[Sequence[Sequence[int]]]):
+        self.x, self.bins, self.groups = x, bins, groups
+        self.made: dict[bool, list[_Joint]] = {}
+
+    def of(self, wide: bool) -> list[_Joint]:
+        if wide not in self.made:
+            self.made[wide] = _Joint.of(self.x, self.bins, self.groups[wide])
+        return self.made[wide]
+
+
 def _apart(sums: np.ndarray, bins: Sequence[int]) -> list[np.ndarray]:
     """Sums over the bins of each feature, from those over the joint bins, the last axis; half of the features at a time."""
     if len(bins) == 1:
@@ -190,8 +205,8 @@ class _Growing:
         for node, feature in enumerate(self.feature):  # children come behind their parent
             if feature != LEAF and node in found:
                 rows = found.pop(node)
-                low = x[feature][rows] <= self.cut[node]
-                found[self.left[node]], found[self.right[node]] = rows[low], rows[~low]
+                low = x[feature].take(rows) <= self.cut[node]
+                found[self.left[node]], found[self.right[node]] = rows.compress(low), rows.compress(~low)
         return found
 
     def leaves(self, x: np.ndarray) -> dict[int, np.ndarray]:
@@ -211,7 +226,7 @@ def _grid(rows: int) -> float:
 
 
 def _histograms(
-    block: _Block, joints: list[_Joint], trees: list[_Growing], asked: list[list[int]], columns: np.ndarray, grid: float,
+    block: _Block, joints: _Joints, trees: list[_Growing], asked: list[list[int]], columns: np.ndarray, grid: float,
     s: BoostSettings, turn: int,
 ) -> np.ndarray:
     """(2, places, features, bins): sums of both derivatives for the asked nodes of all classes, over each class's own
@@ -224,7 +239,7 @@ def _histograms(
         if nodes:
             found = tree.descend(block.x, {0: use})
             both = _derivatives(p[k], block.y == k, grid)
-            _add_up(out[:, first : first + len(nodes)], [found[node] for node in nodes], both, joints, columns[k])
+            _add_up_all(out[:, first : first + len(nodes)], [found[node] for node in nodes], both, joints, columns[k])
             first += len(nodes)
     return out
 
@@ -245,10 +260,11 @@ def _add_up(
     rows, base = np.concatenate(places), np.repeat(np.arange(n), [len(own) for own in places])
     for lo in range(0, len(rows), STEP_ROWS):
         own, start = rows[lo : lo + STEP_ROWS], base[lo : lo + STEP_ROWS]
-        both = derivatives[0][own] + 1j * derivatives[1][own]
-        starts = {w: start * w for w in set(width)}
+        both = derivatives[0].take(own) + 1j * derivatives[1].take(own)
+        starts = {w: start * w for w in set(width)} if n > 1 else {}
         for joint, w, total in zip(used, width, totals):
-            np.add.at(total, starts[w] + joint.index.take(own), both)
+            index = joint.index.take(own)
+            np.add.at(total, starts[w] + index if n > 1 else index.astype(np.intp), both)
     for joint, w, total in zip(used, width, totals):
         for f, bins, sums in zip(joint.features, joint.bins, _apart(total.reshape(n, w), joint.bins)):
             if f in at:
@@ -256,6 +272,19 @@ def _add_up(
                 out[1, :, at[f], :bins] += sums.imag
 
 
+def _add_up_all(
+    out: np.ndarray, places: Sequence[np.ndarray], derivatives: Sequence[np.ndarray], joints: _Joints, columns: np.ndarray
+) -> None:
+    """``_add_up`` of large places one by one, over more features under one index, and of all others together."""
+    large = [len(own) > 2 * WIDE_BINS for own in places]
+    for i in np.flatnonzero(large).tolist():
+        _add_up(out[:, i : i + 1], places[i : i + 1], derivatives, joints.of(True), columns)
+    if small := [i for i, is_large in enumerate(large) if not is_large]:
+        found = np.zeros((2, len(small), *out.shape[2:]))
+        _add_up(found, [places[i] for i in small], derivatives, joints.of(False), columns)
+        out[:, small] += found
+
+
 def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0)
 
@@ -373,7 +402,7 @@ def fit(df: DataFrame, values: str, label: str, n_classes: int, settings: BoostS
         return _Block([number], [n], by_feature, labels, np.zeros((n_classes, n)))
 
     bins = [len(own) + 1 for own in cuts]
-    joined_bins = bins, joint_features(bins, JOINT_BINS)
+    joined_bins = bins, [joint_features(bins, limit) for limit in (JOINT_BINS, WIDE_BINS)]
 
     ordered = written.orderBy(F.xxhash64("bins", "labels"), "bins", "labels").rdd.map(tuple).zipWithIndex()
     ordered = ordered.map(lambda r: (r[1], r[0]))
@@ -396,13 +425,13 @@ def _gathered(blocks: Iterable[_Block]) -> Iterator[_Block]:
         yield _Block.together(held)
 
 
-JoinedBins = tuple[list[int], list[list[int]]]  # bins of each feature, features counted together
+JoinedBins = tuple[list[int], list[list[list[int]]]]  # bins of each feature, features counted together in small and large places
 Fitted = tuple[list[list[_Growing]], list[float], list[np.ndarray]]  # trees by round and class, losses, covers
 
 
 def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: BoostSettings, joined_bins: JoinedBins) -> Fitted:
     """A job a level, over blocks dealt to ``parts`` tasks."""
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    state = state.persist(KEPT)
     grown: list[list[_Growing]] = []
     losses: list[float] = []
     before: RDD | None = None
@@ -411,7 +440,7 @@ def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: B
 
         def ask(asked, depth, state=state, trees=trees, columns=columns, turn=turn):
             def work(block):
-                joints = _Joint.of(block.x, *joined_bins)
+                joints = _Joints(block.x, *joined_bins)
                 made = [_histograms(block, joints, trees, asked, columns, grid, s, turn)]
                 return made if depth else made + [np.array(_loss(block))]
 
@@ -424,7 +453,7 @@ def _by_level(state: RDD, parts: int, draws: list[np.ndarray], grid: float, s: B
 
         _grow(trees, columns, s, ask)
         grown.append(trees)
-        before, state = state, state.map(lambda block, trees=trees: _stepped(block, trees)).persist(StorageLevel.MEMORY_AND_DISK)
+        before, state = state, state.map(lambda block, trees=trees: _stepped(block, trees)).persist(KEPT)
         if (turn + 1) % CHECKPOINT_ROUNDS == 0:
             state.checkpoint()  # by the next job
     total, n = _added(state, parts, lambda block: [np.array(_loss(block))])[0]
@@ -443,7 +472,7 @@ class _Whole:
     own: list[int]
     rows: _Block
 
-    def round(self, joints: list[_Joint], columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
+    def round(self, joints: _Joints, columns: np.ndarray, grid: float, s: BoostSettings, turn: int) -> list[_Growing]:
         """The trees of the own classes in one round."""
         use = self.rows.sampled(s.row_share, s.seed, turn)
         p, y, x = _softmax(self.rows.margins), self.rows.y, self.rows.x
@@ -451,7 +480,7 @@ class _Whole:
 
     @staticmethod
     def _tree(
-        x: np.ndarray, joints: list[_Joint], use: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray,
+        x: np.ndarray, joints: _Joints, use: np.ndarray, derivatives: Sequence[np.ndarray], columns: np.ndarray,
         s: BoostSettings,
     ) -> _Growing:
         tree, found = _Growing.new(), {0: use}
@@ -460,7 +489,7 @@ class _Whole:
             nonlocal found
             found = tree.descend(x, found)
             out = np.zeros((2, len(asked[0]), len(columns), s.bins))
-            _add_up(out, [found[node] for node in asked[0]], derivatives, joints, columns)
+            _add_up_all(out, [found[node] for node in asked[0]], derivatives, joints, columns)
             return out
 
         _grow([tree], [columns], s, ask)
@@ -485,7 +514,7 @@ def _by_class(
     copies = blocks.flatMap(lambda block: [(task, block) for task in range(tasks)])
     state = copies.partitionBy(tasks, lambda task: task).mapPartitions(whole)
     if tasks > 1:
-        state = state.persist(StorageLevel.MEMORY_AND_DISK)
+        state = state.persist(KEPT)
     grown: list[list[_Growing]] = []
     losses: list[float] = []
     before: RDD | None = None
@@ -493,7 +522,7 @@ def _by_class(
 
         def rounds(held, first=first):
             out, now = [], held.rows
-            joints = _Joint.of(now.x, *joined_bins)
+            joints = _Joints(now.x, *joined_bins)
             for turn in range(first, min(first + at_once, len(draws))):
                 trees = _Whole(held.own, now).round(joints, draws[turn], grid, s, turn)
                 out.append((trees, np.divide(*_loss(now))))
@@ -502,7 +531,7 @@ def _by_class(
 
         after = state.map(rounds)
         if tasks == 1:  # which has stepped its rows already
-            after = after.persist(StorageLevel.MEMORY_AND_DISK)
+            after = after.persist(KEPT)
         found = dict(after.map(lambda done: (done[0].own[0], done[1])).collect())
         if before is not None:
             before.unpersist()
@@ -519,7 +548,7 @@ def _by_class(
         if tasks == 1:
             before, state = after, after.map(lambda done: done[0])
         else:
-            before, state = state, state.map(step).persist(StorageLevel.MEMORY_AND_DISK)
+            before, state = state, state.map(step).persist(KEPT)
         if len(grown) % CHECKPOINT_ROUNDS == 0:
             state.checkpoint()  # by the next job
     sent = state.context.broadcast(grown)

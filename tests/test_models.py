@@ -381,6 +381,24 @@ def test_forest_keeps_the_node_of_each_row(table):
     assert made.getOrDefault("cacheNodeIds") and made.getNumTrees == 5
 
 
+def test_large_places_are_summed_like_small_ones():
+    """Places with more rows than twice the wide limit go alone, over other joint features, and give the same sums."""
+    rng = np.random.default_rng(8)
+    n, bins = 4 * boosting.WIDE_BINS, [64, 30, 2, 2, 5]
+    x = np.array([rng.integers(0, b, n) for b in bins], np.uint8)
+    both = rng.integers(-99, 99, n) / 64, rng.integers(0, 99, n) / 64
+    places = [np.arange(n)[: 3 * boosting.WIDE_BINS], np.arange(n)[-50:], np.arange(0)]
+    columns = np.array([0, 1, 3, 4])
+    joints = boosting._Joints(x, bins, [boosting.joint_features(bins, limit) for limit in (boosting.JOINT_BINS, boosting.WIDE_BINS)])
+    out = np.zeros((2, 3, 4, 64))
+    boosting._add_up_all(out, places, both, joints, columns)
+    assert sorted(joints.made) == [False, True]
+    for d, values in enumerate(both):
+        for i, rows in enumerate(places):
+            for j, f in enumerate(columns):
+                assert np.array_equal(out[d, i, j], np.bincount(x[f][rows], values[rows], 64))
+
+
 def _with_vectors(classes):
     weight = F.element_at(F.array(F.lit(1.0), F.lit(2.0), F.lit(0.5)), F.col("y").cast("int") + 1)
     return classes.select(
