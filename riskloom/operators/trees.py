@@ -49,18 +49,20 @@ class Trees:
     n_outputs: int
 
     def leaves(self, x: np.ndarray, tree: int) -> np.ndarray:
-        """The leaf each row of ``x`` ends in."""
-        at = np.full(len(x), self.roots[tree])
-        rows = np.arange(len(x))
-        while True:
-            inner = self.feature[at] != LEAF
-            if not inner.any():
-                return at
-            go = np.where(x[rows, np.maximum(self.feature[at], 0)] <= self.threshold[at], self.left[at], self.right[at])
-            at = np.where(inner, go, at)
+        """The leaf each row of ``x`` ends in; rows are dealt node by node, so a node reads one column of its rows."""
+        out = np.empty(len(x), self.roots.dtype)
+        found = [(int(self.roots[tree]), np.arange(len(x)))]
+        while found:
+            node, rows = found.pop()
+            if self.feature[node] == LEAF:
+                out[rows] = node
+            elif len(rows):
+                low = x[:, self.feature[node]].take(rows) <= self.threshold[node]
+                found += [(int(self.left[node]), rows.compress(low)), (int(self.right[node]), rows.compress(~low))]
+        return out
 
     def margins(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), self.n_outputs))
+        out, x = np.zeros((len(x), self.n_outputs)), np.asfortranarray(x)
         for tree, output in enumerate(self.outputs.tolist()):
             out[:, output] += self.value[self.leaves(x, tree)]
         return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import evaluation
 from riskloom.catalog.modeling import POSITIVE, fitted
 from riskloom.operators import boosting, forest, models, sparse_logistic
+from riskloom.operators.trees import LEAF, joined
 from riskloom.operators.models import Settings, cross_validate, fit_preparation, load_trained, train
 from riskloom.plans import student
 from riskloom.operators.scenarios import Scenario
@@ -464,3 +465,21 @@ def test_nodes_counted_together_and_alone_have_the_same_counts(monkeypatch):
         monkeypatch.setattr(forest, "TOGETHER_ROWS", together)
         got = forest._counts(np.ascontiguousarray(codes.T), codes, found, times, columns, 12)
         assert np.array_equal(got, want)
+
+
+def test_rows_of_trees_are_dealt_node_by_node():
+    """Missing numbers go right, rows on a threshold left; a node reads one column, never whole rows."""
+    x = np.array([[1.0, 5.0], [1.0, np.nan], [2.0, 0.0], [np.nan, 0.0]])
+    tree = {"feature": [0, 1, LEAF, LEAF, LEAF], "threshold": [1.0, 5.0, 0, 0, 0], "left": [1, 3, -1, -1, -1], "right": [2, 4, -1, -1, -1],
+            "value": [0, 0, 3.0, 1.0, 2.0], "cover": [4, 2, 2, 1, 1], "gain": [1, 1, 0, 0, 0]}
+    both = joined([tree, tree], [0, 1], 2)
+    read = []
+
+    class Columns(np.ndarray):
+        def __getitem__(self, at):
+            read.append(at)
+            return np.asarray(self)[at]
+
+    assert both.leaves(x.view(Columns), 1).tolist() == [8, 9, 7, 7]
+    assert read == [(slice(None), 0), (slice(None), 1)]
+    assert both.margins(x).tolist() == [[1, 1], [2, 2], [3, 3], [3, 3]] and both.margins(x[:0]).shape == (0, 2)
